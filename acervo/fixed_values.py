@@ -242,6 +242,8 @@ CONTENTS_TERMS = [
 NOT_ENOUGH_TEXT = "error 1: No enough text"
 MARKER_NOT_FOUND = "error 2: SUMÁRIO marker not found"
 SECTION_TOO_SHORT = "error 3: Extracted SUMÁRIO is too short"
+NOT_A_PDF = "error 0: Input file is not a PDF. Received key: "
+PDF_TOO_SMALL = "error 0: PDF file is too small. Size: %d bytes"
 
 # --- fixed values: run parameters ------------------------------------------------
 RUN_MODE_PUBLISH_DATE = "PUBLISH_DATE"
@@ -257,7 +259,13 @@ BAD_DATE_RANGE = "date_end must be >= date_start"
 URL_REQUIRED = "The field 'url' is required."
 MISSING_URL = "Missing required field: url"
 MISSING_PDF_URL = "Missing required field: pdf_url"
+MISSING_BUCKET_ONLY = "Missing bucket. Send bucket or configure S3_BUCKET."
 MISSING_BUCKET = "Missing bucket or pdf_s3_uri."
 MISSING_KEY = "Missing key or pdf_s3_uri."
 INVALID_EVENT = "Invalid event. Expected JSON object."
 NO_PAPER_ID = "Could not extract paper id from URL."
+NO_ID_IN_PDF_URL = "Missing id and could not extract id from URL."
+NO_ID_IN_FILE_NAME = "Could not extract paper_id from file name. Send paper_id explicitly."
+INVALID_STORAGE_URI = "Invalid s3_uri. Expected format: s3://bucket/key.pdf"
+NON_200_RESPONSE = "Lambda returned non-200 response"
+NO_RESPONSE_BODY = "Lambda response has no body"
