@@ -207,6 +207,10 @@ MAX_PAGES_TO_SCAN = 35
 MIN_EXTRACTED_TEXT_CHARS = 500
 MIN_SECTION_CHARS = 100
 MIN_PDF_BYTES = 1000
+MIN_ENTRIES = 3
+MIN_TRAILING_NUMBERS = 3
+MIN_LEADERS = 2
+MIN_ENTRY_RATIO = 0.45
 SECTION_MARKER = r"(?iu)^SUM[ÁA]RIO$"
 ROMAN_NUMBER_LINE = r"^[ivxlcdm]{1,8}$"
 PAGE_NUMBER_LINE = r"^\d{1,3}$"

@@ -26,6 +26,12 @@ def normalise_page(c: Column) -> Column:
     return F.regexp_replace(out, r"(?U)^\s+|\s+$", "")
 
 
+def line_chars(c: Column) -> Column:
+    """Characters a line adds to its normalised page, 0 for a blank line."""
+    line = F.trim(F.regexp_replace(_plain_symbols(c), _BLANK_RUN, " "))
+    return F.when(line.rlike(r"(?U)\S"), F.length(line)).otherwise(0)
+
+
 def normalise_line(c: Column) -> Column:
     """A single line, single-spaced."""
     return squeeze(_plain_symbols(c))

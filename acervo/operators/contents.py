@@ -49,8 +49,7 @@ def page_stats(
     lines: DataFrame, marker: str = fixed.SECTION_MARKER, max_pages: int = fixed.MAX_PAGES_TO_SCAN
 ) -> DataFrame:
     """Counts per page and whether the page looks like a table of contents."""
-    text_chars = F.length(rules.normalise_page(F.col("text")))
-    counted = classified(lines.where(F.col("page_no") <= max_pages), marker).withColumn("chars", text_chars)
+    counted = classified(lines.where(F.col("page_no") <= max_pages), marker).withColumn("chars", rules.line_chars(F.col("text")))
     stats = counted.groupBy("doc_id", "page_no").agg(
         F.count_if(~F.col("noise")).alias("n_lines"),
         F.count_if("is_entry").alias("n_entries"),
@@ -63,12 +62,12 @@ def page_stats(
         F.min(F.when(F.col("is_marker"), F.col("line_no"))).alias("marker_line"),
     )
     looks = (
-        (F.col("n_entries") >= 3)
-        | (F.col("n_numbers") >= 3)
-        | (F.col("n_leaders") >= 2)
-        | (F.col("n_entries") >= 0.45 * F.col("n_lines"))
+        (F.col("n_entries") >= fixed.MIN_ENTRIES)
+        | (F.col("n_numbers") >= fixed.MIN_TRAILING_NUMBERS)
+        | (F.col("n_leaders") >= fixed.MIN_LEADERS)
+        | F.coalesce(F.try_divide("n_entries", "n_lines") >= fixed.MIN_ENTRY_RATIO, F.lit(False))
     )
-    return stats.withColumn("looks_like_contents", (F.col("n_lines") > 0) & looks)
+    return stats.withColumn("looks_like_contents", looks)
 
 
 def _with_bounds(stats: DataFrame) -> DataFrame:
