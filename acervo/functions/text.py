@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import html
-
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from acervo import fixed_values as fixed
 
@@ -64,24 +63,35 @@ def equals_flag(c: Column, value) -> Column:
     return F.when(c == F.lit(value), 1).otherwise(0)
 
 
-@F.pandas_udf("string")
-def _unescape(texts: pd.Series) -> pd.Series:
-    return texts.map(html.unescape, na_action="ignore")
+def _decoder(kind: T.DataType):
+    """Entity decoding of a text or an array of texts, whole Arrow batches at a time.
+
+    The functions are local, so executors get them by value and need no copy of this package.
+    """
+
+    def one(texts: pd.Series) -> pd.Series:
+        import html
+
+        return texts.map(html.unescape, na_action="ignore")
+
+    def many(rows: pd.Series) -> pd.Series:
+        import html
 
+        decode = lambda texts: [None if t is None else html.unescape(t) for t in texts]
+        return rows.map(decode, na_action="ignore")
 
-@F.pandas_udf("array<string>")
-def _unescape_all(rows: pd.Series) -> pd.Series:
-    return rows.map(lambda texts: [t if t is None else html.unescape(t) for t in texts], na_action="ignore")
+    return F.pandas_udf(many if isinstance(kind, T.ArrayType) else one, kind)
 
 
 def unescape(c: Column) -> Column:
     """HTML entities decoded. Only texts with an ampersand travel to Python."""
-    return F.coalesce(_unescape(F.when(c.contains("&"), c)), c)
+    return F.coalesce(_decoder(T.StringType())(F.when(c.contains("&"), c)), c)
 
 
 def unescape_all(c: Column) -> Column:
     """``unescape`` for an array of texts."""
-    return F.coalesce(_unescape_all(F.when(F.exists(c, lambda t: t.contains("&")), c)), c)
+    encoded = F.when(F.exists(c, lambda t: t.contains("&")), c)
+    return F.coalesce(_decoder(T.ArrayType(T.StringType()))(encoded), c)
 
 
 def squeeze(c: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from acervo import fixed_values as fixed
@@ -96,12 +97,12 @@ def build(
     """
     chosen = registry(spark, settings)
     built: dict[str, DataFrame] = {}
-    fs = spark._jvm.org.apache.hadoop.fs
-    conf = spark._jsc.hadoopConfiguration()
 
-    def stored(path: str) -> bool:
-        marker = fs.Path(f"{path}/_SUCCESS")
-        return marker.getFileSystem(conf).exists(marker)
+    def stored(path: str) -> DataFrame | None:
+        try:
+            return spark.read.parquet(path)
+        except AnalysisException:
+            return None
 
     def resolve(name: str) -> DataFrame:
         if name in built:
@@ -109,9 +110,10 @@ def build(
         model = chosen[name]
         path = tables.table_path(warehouse, tables.layer_schema(model.layer, "stage"), name)
         selected = tags is None or bool(model.tags & tags)
-        if not selected and not model.view and stored(path):
-            built[name] = spark.read.parquet(path)
-            return built[name]
+        earlier = None if selected or model.view else stored(path)
+        if earlier is not None:
+            built[name] = earlier
+            return earlier
         df = model.build(*[resolve(dep) for dep in model.inputs])
         if model.view:
             df.createOrReplaceTempView(name)

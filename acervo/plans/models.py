@@ -25,11 +25,13 @@ def rename_odd_labels(papers: DataFrame) -> DataFrame:
     )
 
 
-def silver_papers(papers: DataFrame, contents: DataFrame, dedupe: bool = False) -> DataFrame:
+def silver_papers(
+    papers: DataFrame, contents: DataFrame, dedupe: bool = False, raw_urls: bool = False
+) -> DataFrame:
     """Dated, cleaned papers with their table of contents: 34 columns.
 
     Papers with two stored tables of contents come out twice; ``dedupe`` keeps one per paper.
-    ``silver_papers_raw_url`` variants keep the case that cleaning takes from an address.
+    Cleaning upper-cases addresses; ``raw_urls`` adds them as they were.
     """
     contents = contents.select("paper_id", "tableOfContent")
     if dedupe:
@@ -46,6 +48,7 @@ def silver_papers(papers: DataFrame, contents: DataFrame, dedupe: bool = False)
             text.clean_text(F.col(source)).alias(f"silver_papers_{column}")
             for column, source in fixed.SILVER_PAPER_TEXTS.items()
         ],
+        *[F.col(c).alias(f"silver_papers{c}_raw") for c in ("_pdf_url", "_source_url") if raw_urls],
     )
 
 
