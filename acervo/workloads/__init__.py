@@ -6,9 +6,9 @@ Every module has ``QUERIES`` (name -> function of session and folder) and ``ORAC
 
 from __future__ import annotations
 
-from acervo.workloads import warehouse
+from acervo.workloads import lines, relations, warehouse
 
-_MODULES = [warehouse]
+_MODULES = [warehouse, relations, lines]
 
 
 def all_queries() -> dict:
