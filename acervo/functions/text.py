@@ -63,35 +63,37 @@ def equals_flag(c: Column, value) -> Column:
     return F.when(c == F.lit(value), 1).otherwise(0)
 
 
-def _decoder(kind: T.DataType):
+def _decoder(kind: T.DataType, times: int):
     """Entity decoding of a text or an array of texts, whole Arrow batches at a time.
 
     The functions are local, so executors get them by value and need no copy of this package.
     """
 
-    def one(texts: pd.Series) -> pd.Series:
+    def decode(value: str | None) -> str | None:
         import html
 
-        return texts.map(html.unescape, na_action="ignore")
+        for _ in range(times if value else 0):
+            value = html.unescape(value)
+        return value
 
-    def many(rows: pd.Series) -> pd.Series:
-        import html
+    def one(texts: pd.Series) -> pd.Series:
+        return texts.map(decode, na_action="ignore")
 
-        decode = lambda texts: [None if t is None else html.unescape(t) for t in texts]
-        return rows.map(decode, na_action="ignore")
+    def many(rows: pd.Series) -> pd.Series:
+        return rows.map(lambda values: [decode(v) for v in values], na_action="ignore")
 
     return F.pandas_udf(many if isinstance(kind, T.ArrayType) else one, kind)
 
 
-def unescape(c: Column) -> Column:
+def unescape(c: Column, times: int = 1) -> Column:
     """HTML entities decoded. Only texts with an ampersand travel to Python."""
-    return F.coalesce(_decoder(T.StringType())(F.when(c.contains("&"), c)), c)
+    return F.coalesce(_decoder(T.StringType(), times)(F.when(c.contains("&"), c)), c)
 
 
-def unescape_all(c: Column) -> Column:
+def unescape_all(c: Column, times: int = 1) -> Column:
     """``unescape`` for an array of texts."""
     encoded = F.when(F.exists(c, lambda t: t.contains("&")), c)
-    return F.coalesce(_decoder(T.ArrayType(T.StringType()))(encoded), c)
+    return F.coalesce(_decoder(T.ArrayType(T.StringType()), times)(encoded), c)
 
 
 def squeeze(c: Column) -> Column:
@@ -99,9 +101,9 @@ def squeeze(c: Column) -> Column:
     return F.coalesce(F.trim(F.regexp_replace(c, _SPACES, " ")), F.lit(""))
 
 
-def clean_cell(c: Column) -> Column:
+def clean_cell(c: Column, times: int = 1) -> Column:
     """Entities decoded, white space squeezed."""
-    return squeeze(unescape(c))
+    return squeeze(unescape(c, times))
 
 
 def label(c: Column) -> Column:

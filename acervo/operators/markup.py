@@ -88,7 +88,7 @@ def item_links(links: DataFrame, pattern: str = fixed.ITEM_PATH) -> DataFrame:
 
 def _element_text(markup: Column) -> Column:
     """Text of an element's inner markup: tags to blanks, entities decoded, squeezed."""
-    return text.clean_cell(text.unescape(F.regexp_replace(markup, r"<[^>]*>", " ")))
+    return text.clean_cell(F.regexp_replace(markup, r"<[^>]*>", " "), times=2)
 
 
 def page_titles(pages: DataFrame) -> DataFrame:
@@ -288,14 +288,19 @@ def table_cells(pages: DataFrame) -> DataFrame:
             ),
         ),
     )
-    decoded = blocks.withColumn("n_links", F.size(ends)).withColumn(
-        "parts", text.unescape_all(text.unescape_all(raw))
+    decoded = (
+        blocks.withColumn("n_links", F.size(ends))
+        .withColumn("raw", raw)
+        .withColumn("parts", text.unescape_all(F.col("raw"), times=2))
+    )
+    pairs = F.arrays_zip(
+        F.slice("parts", 4, F.col("n_links")).alias("href"),
+        F.slice("parts", F.col("n_links") + 4, F.col("n_links")).alias("text"),
     )
     links = F.transform(
-        F.sequence(F.lit(4), F.col("n_links") + 3),
-        lambda i: F.struct(
-            urls.resolve_url(F.col("url"), F.element_at("parts", i)).alias("href"),
-            text.squeeze(F.element_at("parts", i + F.col("n_links"))).alias("text"),
+        pairs,
+        lambda p: F.struct(
+            urls.resolve_url(F.col("url"), p["href"]).alias("href"), text.squeeze(p["text"]).alias("text")
         ),
     )
     named = decoded.select(
@@ -309,9 +314,7 @@ def table_cells(pages: DataFrame) -> DataFrame:
         text.squeeze(F.element_at("parts", 1)).alias("text"),
         F.element_at("parts", 2).alias("cell_class"),
         F.element_at("parts", 3).alias("summary"),
-        F.when(F.col("n_links") > 0, links)
-        .otherwise(F.array().cast("array<struct<href:string,text:string>>"))
-        .alias("links"),
+        links.alias("links"),
     )
     before = Window.partitionBy("page_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     of_table = Window.partitionBy("page_id", "table_id")

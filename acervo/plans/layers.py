@@ -34,6 +34,7 @@ class Settings:
     teachers: DataFrame
     teacher_table: str = "base_docentes"
     periods: list[str] = field(default_factory=lambda: list(fixed.PERIODS))
+    period_folder: str = "{}"
     as_of: str | None = None
 
 
@@ -42,7 +43,7 @@ def registry(spark: SparkSession, settings: Settings) -> dict[str, Model]:
     base = settings.teacher_table
 
     def stage(folder: str, schema) -> Callable[[], DataFrame]:
-        return lambda: documents.read_json(spark, folder, schema)
+        return lambda: documents.read_json_or_empty(spark, folder, schema)
 
     out: dict[str, Model] = {}
     for kind, folder, schema in (
@@ -51,7 +52,7 @@ def registry(spark: SparkSession, settings: Settings) -> dict[str, Model]:
     ):
         names = [documents.period_name(kind, period) for period in settings.periods]
         for period, name in zip(settings.periods, names):
-            out[name] = Model(stage(f"{folder}/{period}", schema), [], "stage", {"stage"})
+            out[name] = Model(stage(f"{folder}/{settings.period_folder.format(period)}", schema), [], "stage", {"stage"})
         union = lambda *dfs, names=names: union_relations(dict(zip(names, dfs)))
         out[f"bronze_{kind}"] = Model(union, names, "bronze", {"bronze"}, view=True)
     out[base] = Model(lambda: settings.teachers, [], "stage", {"stage"})

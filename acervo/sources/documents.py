@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,6 +25,16 @@ def read_json(spark: SparkSession, path: str | list[str], schema: T.StructType)
     return spark.read.schema(schema).option("multiLine", False).json(path)
 
 
+def read_json_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """``read_json``; a folder that does not exist holds no documents."""
+    try:
+        return read_json(spark, path, schema)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def read_mapped(spark: SparkSession, path: str | list[str], mapping: dict[str, str]) -> DataFrame:
     """External table over JSON: ``mapping`` gives the document key behind each column."""
     raw = read_json(spark, path, text_schema(list(mapping.values())))

@@ -6,9 +6,9 @@ Every module has ``QUERIES`` (name -> function of session and folder) and ``ORAC
 
 from __future__ import annotations
 
-from acervo.workloads import lines, relations, warehouse
+from acervo.workloads import lines, pages, relations, stored, warehouse
 
-_MODULES = [warehouse, relations, lines]
+_MODULES = [warehouse, relations, lines, pages, stored]
 
 
 def all_queries() -> dict:

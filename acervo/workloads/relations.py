@@ -232,8 +232,7 @@ ORACLES["q_url_ids"] = r"""
 WITH u AS (SELECT page_id, url, regexp_extract(url, '^(https?://[^/?#]*)', 1) AS origin,
   regexp_extract(url, '^https?://[^/?#]*([^?#]*)', 1) AS path,
   regexp_extract(url, '\?([^#]*)', 1) AS query, regexp_extract(url, '(#.*)$', 1) AS fragment FROM pages),
-s AS (SELECT *, list_filter(string_split(path, '/'), x -> x <> '') AS segments FROM u),
-k AS (SELECT *, segments[-1] AS segment, string_split(path, '/') AS raw FROM s)
+k AS (SELECT *, nullif(regexp_extract(path, '([^/]+)/*$', 1), '') AS segment, string_split(path, '/') AS raw FROM u)
 SELECT page_id, segment, nullif(regexp_extract(path, '(\d+)\D*$', 1), '') AS number,
   origin || path || '?' || CASE WHEN query = '' THEN '' ELSE query || '&' END || 'show=full' || fragment AS full_url,
   origin || array_to_string(list_concat(raw[:len(raw)-2], ['up', 'x']), '/') || '?y=1' AS resolved,
