@@ -14,8 +14,13 @@ _SPACES = r"(?U)[\s\x1c-\x1f]+"
 
 
 def clean_text(c: Column) -> Column:
-    """Upper case, outer blanks off, Portuguese accents off (tabs and Ñ stay)."""
-    return F.translate(F.btrim(F.upper(c)), fixed.ACCENTED_LETTERS, fixed.PLAIN_LETTERS)
+    """Upper case, outer blanks off, Portuguese accents off (tabs and Ñ stay).
+
+    A text with as many bytes as characters has no accents and skips the slow translation.
+    """
+    upper = F.btrim(F.upper(c))
+    plain = F.translate(upper, fixed.ACCENTED_LETTERS, fixed.PLAIN_LETTERS)
+    return F.when(F.octet_length(c) == F.length(c), upper).otherwise(plain)
 
 
 def drop_right(c: Column, n: int) -> Column:

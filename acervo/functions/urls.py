@@ -5,6 +5,7 @@ Parts come from one generic URI pattern, so no malformed link can raise.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -32,45 +33,53 @@ def drop_fragment(url: Column) -> Column:
     return F.regexp_replace(url, r"#.*$", "")
 
 
-def _query_suffix(query: Column) -> Column:
-    return F.when(query != "", F.concat(F.lit("?"), query)).otherwise(F.lit(""))
+def evaluate_once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed a single time, however often ``use`` names it."""
+    return F.transform(F.array(value), use)[0]
 
 
-def _without_dots(path: Column) -> Column:
-    """Resolve ``.`` and ``..`` segments; a path that has none passes untouched."""
-    segments = F.split(path, "/")
-    stack = F.aggregate(
-        F.slice(segments, 2, F.size(segments)),
-        F.array().cast("array<string>"),
-        lambda done, s: F.when(s == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))))
-        .when(s == ".", done)
-        .otherwise(F.concat(done, F.array(s))),
+def _without_dots(url: Column) -> Column:
+    """Resolve ``.`` and ``..`` path segments; an address that has none passes untouched."""
+
+    def resolve(u: Column) -> Column:
+        path = F.regexp_extract(u, r"^[^/?#]*//[^/?#]*([^?#]*)", 1)
+        segments = F.split(F.regexp_replace(path, r"/\.{1,2}$", "$0/"), "/")
+        stack = F.aggregate(
+            F.slice(segments, 2, 1_000_000),
+            F.array().cast("array<string>"),
+            lambda done, s: F.when(s == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))))
+            .when(s == ".", done)
+            .otherwise(F.concat(done, F.array(s))),
+        )
+        return F.concat(
+            F.regexp_extract(u, r"^([^/?#]*//[^/?#]*)", 1),
+            F.lit("/"),
+            F.array_join(stack, "/"),
+            F.regexp_extract(u, r"(\?.*)$", 1),
+        )
+
+    return evaluate_once(
+        url, lambda u: F.when(u.rlike(r"^[^/?#]*//[^?#]*/\.{1,2}(/|\?|$)"), resolve(u)).otherwise(u)
     )
-    ends_open = path.rlike(r"/\.{1,2}$")
-    resolved = F.concat(F.lit("/"), F.array_join(stack, "/"))
-    resolved = F.when(ends_open & ~resolved.endswith("/"), F.concat(resolved, F.lit("/"))).otherwise(resolved)
-    return F.when(path.rlike(r"/\.{1,2}(/|$)"), resolved).otherwise(path)
 
 
 def resolve_url(base: Column, href: Column) -> Column:
     """Absolute form of ``href`` on a page at ``base``, without its fragment."""
-    target = drop_fragment(F.regexp_replace(F.ltrim(href), r"[\t\r\n]", ""))
-    page = url_parts(base)
-    origin = F.concat(page.scheme, F.lit("://"), page.host)
-    link = url_parts(target)
-    folder = F.regexp_replace(page.path, r"[^/]*$", "")
-    folder = F.when(folder == "", F.lit("/")).otherwise(folder)
-    return (
-        F.when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), target)
-        .when(target.startswith("//"), F.concat(page.scheme, F.lit(":"), target))
-        .when(target == "", F.concat(origin, page.path, _query_suffix(page.query)))
-        .when(target.startswith("?"), F.concat(origin, page.path, target))
-        .when(
-            target.startswith("/"),
-            F.concat(origin, _without_dots(link.path), _query_suffix(link.query)),
+    origin = F.regexp_extract(base, r"^([^/?#]*//[^/?#]*)", 1)
+    page = F.regexp_extract(base, r"^([^?#]*)", 1)
+    folder = F.regexp_extract(base, r"^([^/?#]*//[^/?#]*/(?:[^?#]*/)?)", 1)
+
+    def against_base(target: Column) -> Column:
+        relative = (
+            F.when(target.startswith("//"), F.concat(F.regexp_extract(base, r"^([^/?#]*)", 1), target))
+            .when(target.startswith("/"), F.concat(origin, target))
+            .when(target.startswith("?"), F.concat(page, target))
+            .when(target == "", drop_fragment(base))
+            .otherwise(F.concat(F.coalesce(F.nullif(folder, F.lit("")), F.concat(origin, F.lit("/"))), target))
         )
-        .otherwise(F.concat(origin, _without_dots(F.concat(folder, link.path)), _query_suffix(link.query)))
-    )
+        return F.when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), target).otherwise(_without_dots(relative))
+
+    return evaluate_once(drop_fragment(F.regexp_replace(F.ltrim(href), r"[\t\r\n]", "")), against_base)
 
 
 def is_item_link(url: Column, pattern: str = fixed.ITEM_PATH) -> Column:
@@ -115,30 +124,34 @@ def with_query_value(url: Column, name: str, value: str) -> Column:
 
     Parameters without a value are dropped; repeated ones move up to their first place.
     """
-    parts = url_parts(url)
-    fragment = F.regexp_extract(url, r"(#.*)$", 1)
     pairs = F.transform(
-        F.filter(F.split(parts.query, "&"), lambda p: p.rlike(r"^[^=]*=.")),
+        F.filter(F.split(url_parts(url).query, "&"), lambda p: p.rlike(r"^[^=]*=.")),
         lambda p: F.struct(
             _reencode(F.substring_index(p, "=", 1)).alias("k"),
             _reencode(F.regexp_extract(p, r"^[^=]*=(.*)$", 1)).alias("v"),
         ),
     )
-    names = F.array_distinct(F.transform(pairs, lambda p: p["k"]))
-    names = F.when(F.array_contains(names, name), names).otherwise(F.concat(names, F.array(F.lit(name))))
-    rebuilt = F.flatten(
-        F.transform(
+
+    def rebuilt(pairs: Column) -> Column:
+        names = F.array_distinct(F.concat(F.transform(pairs, lambda p: p["k"]), F.array(F.lit(name))))
+        texts = F.transform(
             names,
-            lambda k: F.when(k == name, F.array(F.lit(f"{name}={value}"))).otherwise(
-                F.transform(
-                    F.filter(pairs, lambda p: p["k"] == k),
-                    lambda p: F.concat(p["k"], F.lit("="), p["v"]),
+            lambda k: F.when(k == name, F.lit(f"{name}={value}")).otherwise(
+                F.array_join(
+                    F.transform(
+                        F.filter(pairs, lambda p: p["k"] == k), lambda p: F.concat(p["k"], F.lit("="), p["v"])
+                    ),
+                    "&",
                 )
             ),
         )
-    )
+        return F.array_join(texts, "&")
+
     return F.concat(
-        parts.scheme, F.lit("://"), parts.host, parts.path, F.lit("?"), F.array_join(rebuilt, "&"), fragment
+        F.regexp_extract(url, r"^([^?#]*)", 1),
+        F.lit("?"),
+        evaluate_once(pairs, rebuilt),
+        F.regexp_extract(url, r"(#.*)$", 1),
     )
 
 

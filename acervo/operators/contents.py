@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from acervo import fixed_values as fixed
 from acervo.functions import lines as rules
 from acervo.operators.relations import drop_consecutive_repeats
+from acervo.session import stored
 
 
 def page_lines(pages: DataFrame, max_pages: int = fixed.MAX_PAGES_TO_SCAN) -> DataFrame:
@@ -90,16 +91,20 @@ def section_pages(stats: DataFrame) -> DataFrame:
 
 
 def section_lines(
-    lines: DataFrame, marker: str = fixed.SECTION_MARKER, max_pages: int = fixed.MAX_PAGES_TO_SCAN
+    lines: DataFrame, stats: DataFrame | None = None, max_pages: int = fixed.MAX_PAGES_TO_SCAN
 ) -> DataFrame:
-    """Lines of the section, noise off, marker line kept: doc_id, page_no, line_no, line."""
-    pages = section_pages(page_stats(lines, marker, max_pages))
-    candidates = normalised(lines.where(F.col("page_no") <= max_pages)).where(~F.col("noise"))
-    return (
-        candidates.join(pages, ["doc_id", "page_no"])
+    """Lines of the section, noise off, marker line kept: doc_id, page_no, line_no, line.
+
+    Only the lines of the chosen pages are normalised. ``stats`` may hand in a stored
+    ``page_stats``.
+    """
+    pages = section_pages(page_stats(lines, max_pages=max_pages) if stats is None else stats)
+    chosen = (
+        lines.where(F.col("page_no") <= max_pages)
+        .join(pages, ["doc_id", "page_no"])
         .where(F.col("from_line").isNull() | (F.col("line_no") >= F.col("from_line")))
-        .select("doc_id", "page_no", "line_no", "line")
     )
+    return normalised(chosen).where(~F.col("noise")).select("doc_id", "page_no", "line_no", "line")
 
 
 def clean_section(section: DataFrame) -> DataFrame:
@@ -136,13 +141,13 @@ def section_status(
     lines: DataFrame, marker: str = fixed.SECTION_MARKER, max_pages: int = fixed.MAX_PAGES_TO_SCAN
 ) -> DataFrame:
     """Outcome per document: doc_id, text_chars, section_chars, status, message (NULL for 200)."""
-    stats = page_stats(lines, marker, max_pages)
+    stats = stored(page_stats(lines, marker, max_pages), "page-stats")  # read twice below
     scanned = F.col("end_page").isNull() | (F.col("page_no") <= F.col("end_page"))
     docs = _with_bounds(stats).groupBy("doc_id").agg(
         F.sum(F.when(scanned, F.col("n_chars")).otherwise(0)).alias("text_chars"),
         F.max(F.col("marker_page").isNotNull()).alias("has_marker"),
     )
-    sizes = section_sizes(clean_section(section_lines(lines, marker, max_pages)))
+    sizes = section_sizes(clean_section(section_lines(lines, stats, max_pages)))
     message = (
         F.when(F.col("text_chars") < fixed.MIN_EXTRACTED_TEXT_CHARS, fixed.NOT_ENOUGH_TEXT)
         .when(~F.col("has_marker"), fixed.MARKER_NOT_FOUND)

@@ -85,17 +85,18 @@ def drop_consecutive_repeats(
 
     Rows are sorted per (key, block), not per key, so a key with a third of all rows is spread
     over its blocks. The last value of each block reaches the next block through a table with
-    one row per block, which is joined on the partitioning the sort already made.
+    one row per block. Both sides of that join read the one shuffle the sort needs.
     """
     here = Window.partitionBy(*key, block).orderBy(*order)
-    last = df.groupBy(*key, block).agg(F.max_by(value, F.struct(*order)).alias("__last"))
-    before = last.withColumn(
-        "__before", F.lag(F.struct("__last")).over(Window.partitionBy(*key).orderBy(block))
-    ).drop("__last")
-    marked = df.withColumn("__previous", F.lag(F.struct(F.col(value).alias("__last"))).over(here))
-    joined = marked.join(before, [*key, block], "inner")
+    boxed = F.struct(F.col(value).alias("value"))
+    marked = df.withColumns({"__previous": F.lag(boxed).over(here), "__next": F.lead(boxed).over(here)})
+    ends = marked.where(F.col("__next").isNull()).select(*key, block, boxed.alias("__end"))
+    before = ends.select(
+        *key, block, F.lag("__end").over(Window.partitionBy(*key).orderBy(block)).alias("__before")
+    )
+    joined = marked.drop("__next").join(before, [*key, block])
     previous = F.coalesce("__previous", "__before")
-    repeated = previous.isNotNull() & previous["__last"].eqNullSafe(F.col(value))
+    repeated = previous.isNotNull() & previous["value"].eqNullSafe(F.col(value))
     return joined.where(~repeated).drop("__previous", "__before")
 
 

@@ -37,18 +37,31 @@ def silver_papers(
     if dedupe:
         contents = latest_per_key(contents, "paper_id", ["tableOfContent"])
         papers = latest_per_key(papers, "_id", ["_source_url"])
-    dated = dates.with_pt_date(papers, "Data do documento", "data_publicacao")
-    joined = left_join(dated, contents, "_id", "paper_id")
-    renamed = rename_odd_labels(joined)
-    return renamed.select(
+    renamed = rename_odd_labels(dates.with_pt_date(papers, "Data do documento", "data_publicacao"))
+    # Texts are cleaned before the join, once per stored document and not once per joined row.
+    raw = {"pdf_url_raw": "_pdf_url", "source_url_raw": "_source_url"} if raw_urls else {}
+    own = renamed.select(
         F.col("_id").alias("silver_papers_id"),
         F.col("data_publicacao").alias("silver_papers_data_publicacao"),
-        text.null_flag(F.col("tableOfContent")).alias("silver_papers_has_table_of_content"),
         *[
             text.clean_text(F.col(source)).alias(f"silver_papers_{column}")
             for column, source in fixed.SILVER_PAPER_TEXTS.items()
+            if source != "tableOfContent"
         ],
-        *[F.col(c).alias(f"silver_papers{c}_raw") for c in ("_pdf_url", "_source_url") if raw_urls],
+        *[F.col(source).alias(f"silver_papers_{column}") for column, source in raw.items()],
+    )
+    sections = contents.select(
+        "paper_id",
+        text.null_flag(F.col("tableOfContent")).alias("__has"),
+        text.clean_text(F.col("tableOfContent")).alias("silver_papers_table_of_content"),
+    )
+    joined = left_join(own, sections, "silver_papers_id", "paper_id")
+    has_contents = F.coalesce("__has", F.lit(0)).alias("silver_papers_has_table_of_content")
+    return joined.select(
+        "silver_papers_id",
+        "silver_papers_data_publicacao",
+        has_contents,
+        *[f"silver_papers_{column}" for column in [*fixed.SILVER_PAPER_TEXTS, *raw]],
     )
 
 

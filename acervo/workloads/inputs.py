@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acervo import fixed_values as fixed
-from acervo.session import prepare
+from acervo.session import prepare, spread
 
 HOST = "https://repository.example.org"
 
@@ -128,11 +128,11 @@ LINES_FROM = "lineitem JOIN part ON l_partkey = p_partkey"
 
 
 def papers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark_select(load(spark, sf_dir, "orders"), PAPERS)
+    return spark_select(spread(load(spark, sf_dir, "orders")), PAPERS)
 
 
 def contents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark_select(load(spark, sf_dir, "lineitem"), CONTENTS)
+    return spark_select(spread(load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")), CONTENTS)
 
 
 def teachers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,7 +145,9 @@ def teacher_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items, parts = load(spark, sf_dir, "lineitem"), load(spark, sf_dir, "part").select("p_partkey", "p_name")
+    wanted = ["l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_returnflag"]
+    items = spread(load(spark, sf_dir, "lineitem").select(*wanted))
+    parts = load(spark, sf_dir, "part").select("p_partkey", "p_name")
     return spark_select(items.join(parts, F.col("l_partkey") == F.col("p_partkey")), LINES)
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from acervo import fixed_values as fixed
 from acervo.operators import markup, records
+from acervo.session import spread
 from acervo.workloads import inputs
 
 QUERIES, ORACLES = {}, {}
@@ -17,7 +18,7 @@ HOST = inputs.HOST
 
 def q_container_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links of each page's navigation, numbered in page order."""
-    links = markup.container_links(inputs.load(spark, sf_dir, "pages"), container="nav", summary=None)
+    links = markup.container_links(spread(inputs.load(spark, sf_dir, "pages")), container="nav", summary=None)
     in_page = Window.partitionBy("page_id").orderBy("pos")
     return links.select("page_id", F.row_number().over(in_page).alias("link_no"), "link")
 
@@ -33,7 +34,7 @@ _WORD_PATH = r"^/[^/.,]+$"
 
 def q_item_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Navigation links whose path is a plain word, each once per page, in first-seen order."""
-    links = markup.container_links(inputs.load(spark, sf_dir, "pages"), container="nav", summary=None)
+    links = markup.container_links(spread(inputs.load(spark, sf_dir, "pages")), container="nav", summary=None)
     items = markup.item_links(links, _WORD_PATH)
     in_page = Window.partitionBy("page_id").orderBy("first_pos")
     return items.select("page_id", "link", F.row_number().over(in_page).alias("item_no"))
@@ -46,7 +47,7 @@ SELECT page_id, link, CAST(row_number() OVER (PARTITION BY page_id ORDER BY firs
 
 
 def q_page_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return markup.page_titles(inputs.load(spark, sf_dir, "pages"))
+    return markup.page_titles(spread(inputs.load(spark, sf_dir, "pages")))
 
 
 def _sql_element(tag: str) -> str:
@@ -86,7 +87,7 @@ _HAS_FULL_RECORD = "c_custkey % 8 > 0"
 
 def _rendered(spark: SparkSession, sf_dir: str, full: bool = False) -> DataFrame:
     """One item page per customer; every fourth has no table, its full variant mostly has one."""
-    customers, nations = inputs.load(spark, sf_dir, "customer"), inputs.load(spark, sf_dir, "nation")
+    customers, nations = spread(inputs.load(spark, sf_dir, "customer")), inputs.load(spark, sf_dir, "nation")
     joined = customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
     has_record = _HAS_FULL_RECORD if full else _HAS_RECORD
     html = f"""concat('<!DOCTYPE html><html><head><title>Item ', c_name, ' &amp;amp; mais</title><script>var t="<table>";</script></head><body></table>',

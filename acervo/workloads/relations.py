@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from acervo import fixed_values as fixed
 from acervo.functions import text, urls
 from acervo.operators import envelopes, quality, relations
+from acervo.session import spread
 from acervo.sources.documents import period_name
 from acervo.workloads import inputs
 
@@ -210,7 +211,7 @@ SELECT 'unique' AS "check", column_name, violations, violations = 0 AS passed FR
 
 
 def q_url_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = inputs.load(spark, sf_dir, "pages")
+    pages = spread(inputs.load(spark, sf_dir, "pages"))
     url = F.col("url")
     key = F.concat(F.lit("in/"), urls.last_segment(url), F.lit(".pdf"))
     uri = urls.storage_uri(F.lit("store"), key)

@@ -9,6 +9,7 @@ from acervo import fixed_values as fixed
 from acervo.functions import dates, text
 from acervo.operators.joins import left_join
 from acervo.plans import models
+from acervo.session import spread
 from acervo.workloads import inputs
 
 AS_OF = "2021-06-30"
@@ -51,7 +52,7 @@ def sql_pt_date(c: str) -> str:
 
 
 def q_text_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = inputs.load(spark, sf_dir, "documents")
+    docs = spread(inputs.load(spark, sf_dir, "documents"))
     return docs.select("doc_id", text.clean_text(F.col("text")).alias("cleaned"))
 
 
