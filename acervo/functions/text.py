@@ -5,7 +5,6 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from acervo import fixed_values as fixed
 
@@ -68,37 +67,25 @@ def equals_flag(c: Column, value) -> Column:
     return F.when(c == F.lit(value), 1).otherwise(0)
 
 
-def _decoder(kind: T.DataType, times: int):
-    """Entity decoding of a text or an array of texts, whole Arrow batches at a time.
+def _decoder(times: int):
+    """Entity decoding, whole Arrow batches at a time.
 
     The functions are local, so executors get them by value and need no copy of this package.
     """
 
-    def decode(value: str | None) -> str | None:
+    def decode(texts: pd.Series) -> pd.Series:
         import html
 
-        for _ in range(times if value else 0):
-            value = html.unescape(value)
-        return value
+        for _ in range(times):
+            texts = texts.map(html.unescape, na_action="ignore")
+        return texts
 
-    def one(texts: pd.Series) -> pd.Series:
-        return texts.map(decode, na_action="ignore")
-
-    def many(rows: pd.Series) -> pd.Series:
-        return rows.map(lambda values: [decode(v) for v in values], na_action="ignore")
-
-    return F.pandas_udf(many if isinstance(kind, T.ArrayType) else one, kind)
+    return F.pandas_udf(decode, "string")
 
 
 def unescape(c: Column, times: int = 1) -> Column:
     """HTML entities decoded. Only texts with an ampersand travel to Python."""
-    return F.coalesce(_decoder(T.StringType(), times)(F.when(c.contains("&"), c)), c)
-
-
-def unescape_all(c: Column, times: int = 1) -> Column:
-    """``unescape`` for an array of texts."""
-    encoded = F.when(F.exists(c, lambda t: t.contains("&")), c)
-    return F.coalesce(_decoder(T.ArrayType(T.StringType()), times)(encoded), c)
+    return F.coalesce(_decoder(times)(F.when(c.contains("&"), c)), c)
 
 
 def squeeze(c: Column) -> Column:

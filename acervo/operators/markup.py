@@ -13,15 +13,20 @@ from pyspark.sql import functions as F
 from acervo import fixed_values as fixed
 from acervo.functions import text, urls
 
-# Comment, script or style element, tag (quotes may hold '>'), declaration, text, stray '<'.
-# Possessive repeats keep the matcher iterative on long pages.
-_TOKEN = (
-    r"(?is)<!--.*?-->"
-    r"|<(script|style)\b[^>]*+>.*?</\1\s*>"
-    r"""|</?[a-z](?:[^>"'=]++|=\s*+"[^"]*+"|=\s*+'[^']*+'|["'=])*+>"""
-    r"|<[!?/][^>]*+>|[^<]++|<"
-)
-_RAW_ELEMENT = r"(?is)<!--.*?-->|<(script|style)\b[^>]*+>.*?</\1\s*>"
+# Comments and script or style elements, whose content is no markup.
+_SKIPPED = r"(?is)<!--.*?-->|<(script|style)\b[^>]*+>.*?</\1\s*>"
+
+
+def _tag_pattern(names: str) -> str:
+    """Tags of the given names; quoted values may hold '>'.
+
+    Possessive repeats keep the matcher iterative on long pages.
+    """
+    return rf"""</?(?:{names})(?=[\s/>])(?:[^>"'=]++|=\s*+"[^"]*+"|=\s*+'[^']*+'|["'=])*+>"""
+
+
+# Skipped elements, tags, declarations, texts and stray '<'.
+_TOKEN = _SKIPPED + "|" + _tag_pattern(r"[a-z][^\s/>]*+") + r"|<[!?/][^>]*+>|[^<]++|<"
 
 
 def attribute(tag: Column, name: str) -> Column:
@@ -30,16 +35,30 @@ def attribute(tag: Column, name: str) -> Column:
     return F.concat(*[F.regexp_extract(tag, pattern, i) for i in (1, 2, 3)])
 
 
-def _tokens(pages: DataFrame) -> DataFrame:
-    """One row per token: page_id, url, pos, tok, tag (lower case, '' for text), closing."""
-    cut = pages.select(
-        "page_id", "url", F.posexplode(F.regexp_extract_all("html", F.lit(_TOKEN), F.lit(0))).alias("pos", "tok")
-    )
-    return cut.select(
-        "*",
-        F.lower(F.regexp_extract("tok", r"^</?([A-Za-z][^\s/>]*)", 1)).alias("tag"),
-        F.col("tok").startswith("</").alias("closing"),
+_TAG_NAME = r"^</?([A-Za-z][^\s/>]*)"
+
+
+def _tokens(pages: DataFrame, tags: list[str], keep_text: bool) -> DataFrame:
+    """One row per token: page_id, url, pos, tok, tag (lower case, '' for text), closing.
+
+    Tokens are named and filtered as an array inside the page's row, so only the wanted ones
+    become rows and each is matched against the patterns once. Without ``keep_text`` other tags
+    and texts are not even cut out.
+    """
+    pattern = _TOKEN if keep_text else _SKIPPED + "|" + _tag_pattern("|".join(tags))
+    cut = F.transform(
+        F.regexp_extract_all("html", F.lit(pattern), F.lit(0)),
+        lambda tok, pos: F.struct(
+            pos.alias("pos"), tok.alias("tok"), F.lower(F.regexp_extract(tok, _TAG_NAME, 1)).alias("tag")
+        ),
     )
+    wanted = lambda t: t["tag"].isin(*tags)
+    if keep_text:
+        wanted = lambda t: t["tag"].isin(*tags, "script", "style") | (
+            (t["tag"] == "") & t["tok"].rlike(r"(?U)^[^\S<]*+(?:[^\s<]|<(?![!?/]))")
+        )
+    rows = pages.select("page_id", "url", F.inline(F.filter(cut, wanted)))
+    return rows.withColumn("closing", F.col("tok").startswith("</"))
 
 
 def container_links(
@@ -52,9 +71,8 @@ def container_links(
     The container is any ``container`` element whose ``summary`` attribute equals ``summary``
     (any such element for None). Nested containers belong to the outer one.
     """
-    tokens = _tokens(pages.where(F.lower("html").contains(f"<{container}"))).where(
-        (F.col("tag") == container) | ((F.col("tag") == "a") & ~F.col("closing"))
-    )
+    with_container = pages.where(F.lower("html").contains(f"<{container}"))
+    tokens = _tokens(with_container, [container, "a"], keep_text=False)
     is_open = (F.col("tag") == container) & ~F.col("closing")
     is_close = (F.col("tag") == container) & F.col("closing")
     wanted = F.lit(True) if summary is None else F.trim(attribute(F.col("tok"), "summary")) == summary
@@ -93,7 +111,7 @@ def _element_text(markup: Column) -> Column:
 
 def page_titles(pages: DataFrame) -> DataFrame:
     """Title and main heading of each page; per row, no shuffle."""
-    visible = F.regexp_replace("html", _RAW_ELEMENT, "")
+    visible = F.regexp_replace("html", _SKIPPED, "")
     title = F.regexp_extract(visible, r"(?is)^.*<title\b[^>]*>(.*?)</title\s*>", 1)
     heading = F.regexp_extract(visible, r"(?is)<h1\b[^>]*>(.*?)</h[1-6]\s*>", 1)
     return pages.select(
@@ -109,77 +127,60 @@ def _last_flag(opens: Column, closes: Column, window) -> Column:
 
 
 def _with_state(tokens: DataFrame) -> DataFrame:
-    """What each token is inside of: table, row, cell, link, heading, title."""
-    w = Window.partitionBy("page_id").orderBy("pos")
-    running = w.rowsBetween(Window.unboundedPreceding, 0)
-    tag, closing = F.col("tag"), F.col("closing")
-    table_open, table_close = (tag == "table") & ~closing, (tag == "table") & closing
+    """What each token is inside of: top-level table, row, cell, heading.
+
+    Counts of opening tags number them; three running windows share one sort.
+    """
+    running = Window.partitionBy("page_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    tag, opens, closes = F.col("tag"), ~F.col("closing"), F.col("closing")
+    table, row, cell = tag == "table", tag == "tr", tag.isin("td", "th")
     heading = tag.rlike("^h[1-6]$")
 
-    # A closing tag outside any table is ignored: the depth is reflected at zero.
     out = tokens.withColumn(
-        "level", F.sum(F.when(table_open, 1).when(table_close, -1).otherwise(0)).over(running)
+        "level", F.sum(F.when(table & opens, 1).when(table, -1).otherwise(0)).over(running)
     )
+    # A closing tag outside any table is ignored: the depth is reflected at zero.
     out = out.withColumn("depth", F.col("level") - F.least(F.lit(0), F.min("level").over(running)))
     in_table = F.col("depth") > 0
     out = out.withColumns(
         {
-            "top_open": table_open & (F.col("depth") == 1),
-            "top_close": table_close & (F.lag("depth", 1, 0).over(w) == 1),
-            "row_open": (tag == "tr") & ~closing & in_table,
-            "row_close": (tag == "tr") & closing & in_table,
-            "cell_open": tag.isin("td", "th") & ~closing & in_table,
-            "cell_close": tag.isin("td", "th") & closing & in_table,
+            "top_open": table & opens & (F.col("depth") == 1),
+            "top_close": table & closes & (F.col("depth") == 0),
+            "row_open": row & opens & in_table,
+            "row_close": row & closes & in_table,
+            "cell_open": cell & opens & in_table,
+            "cell_close": cell & closes & in_table,
+            "heading_close": heading & closes,
         }
-    )
-    out = out.withColumns(
+    ).drop("level")
+    return out.withColumns(
         {
             "table_id": F.sum(F.col("top_open").cast("int")).over(running),
             "row_id": F.sum(F.col("row_open").cast("int")).over(running),
             "cell_id": F.sum(F.col("cell_open").cast("int")).over(running),
-            "heading_id": F.sum((heading & ~closing).cast("int")).over(running),
-            "title_id": F.sum(((tag == "title") & ~closing).cast("int")).over(running),
+            "heading_id": F.sum((heading & opens).cast("int")).over(running),
             "in_row": _last_flag(F.col("row_open"), F.col("row_close"), running),
             "in_cell": _last_flag(F.col("cell_open"), F.col("cell_close"), running),
-            "in_heading": _last_flag(heading & ~closing, heading & closing, running),
-            "in_title": _last_flag((tag == "title") & ~closing, (tag == "title") & closing, running),
-        }
-    )
-    link_open = (tag == "a") & ~closing & in_table & (F.col("in_cell") == 1) & (F.col("href") != "")
-    out = out.withColumn("link_open", F.coalesce(link_open, F.lit(False)))
-    link_close = (tag == "a") & closing & in_table
-    out = out.withColumns(
-        {
-            "link_id": F.sum(F.col("link_open").cast("int")).over(running),
-            "in_link": _last_flag(F.col("link_open"), link_close, running),
-        }
-    )
-    return out.withColumns(
-        {
-            "cell_done": F.col("cell_close") & (F.lag("in_cell").over(w) == 1),
-            "link_done": link_close & (F.lag("in_link").over(w) == 1) & (F.col("in_cell") == 1),
-            "heading_done": heading & closing,
+            "in_heading": _last_flag(heading & opens, heading & closes, running),
         }
     )
 
 
 def _with_completion(state: DataFrame) -> DataFrame:
-    """Whether the row and table around each finished cell get closed, and in which table."""
+    """The row and table event that come next after each token, to tell what gets closed."""
     after = Window.partitionBy("page_id").orderBy(F.col("pos").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    row_event = F.when(
-        F.col("row_open") | F.col("row_close"), F.struct(F.col("row_close").alias("closes"), "table_id")
-    )
+    inside = (F.col("in_cell") == 1) | (F.col("in_heading") == 1)
     useful = state.where(
-        F.col("row_open")
+        inside
+        | F.col("row_open")
         | F.col("row_close")
         | F.col("top_open")
         | F.col("top_close")
-        | F.col("cell_open")
-        | F.col("cell_done")
-        | F.col("link_open")
-        | F.col("link_done")
-        | F.col("heading_done")
-        | ((F.col("tag") == "") & ((F.col("in_cell") == 1) | (F.col("in_heading") == 1)))
+        | F.col("cell_close")
+        | F.col("heading_close")
+    )
+    row_event = F.when(
+        F.col("row_open") | F.col("row_close"), F.struct(F.col("row_close").alias("closes"), "table_id")
     )
     return useful.withColumns(
         {
@@ -189,162 +190,157 @@ def _with_completion(state: DataFrame) -> DataFrame:
     )
 
 
-_TABLE_TAGS = ["table", "tr", "td", "th", "a", "h1", "h2", "h3", "h4", "h5", "h6", "title"]
-
-
-def table_cells(pages: DataFrame) -> DataFrame:
-    """Non-empty cells of the top-level tables, in flat form.
+def _with_values(tokens: DataFrame) -> DataFrame:
+    """Adds ``value``: the text of a text, the href, class or summary of a tag, decoded.
 
-    Columns: page_id, url, table_no, row_no, cell_no (all from 1), text, cell_class,
-    links ``array<struct<href,text>>``, heading (last one before the table), summary.
-    A nested table's rows count as rows of the table around it. Rows without a closing tag,
-    empty rows and tables without rows are left out.
+    Element bodies and attributes are decoded once and texts twice, so the former are escaped
+    before all take the same way. Decoding comes before the shuffle: Python does not keep a
+    partitioning.
     """
-    body = F.regexp_extract("tok", r"(?is)^<(?:script|style)[^>]*>(.*)</", 1)
-    tokens = _tokens(pages.where(F.lower("html").contains("<table")))
-    tokens = tokens.where(~F.col("tok").rlike(r"^<[!?]"))
-    # Element bodies and attribute values are decoded once, texts twice, so the former are
-    # escaped once before both go through the same decoding.
-    pieces = (
-        F.when(F.col("tag").isin("script", "style"), F.replace(body, F.lit("&"), F.lit("&amp;")))
-        .when(F.col("tag") == "", F.col("tok"))
+    tag, tok = F.col("tag"), F.col("tok")
+    opens = ~F.col("closing")
+    raw = tag.isin("script", "style")
+    escaped = lambda c: F.replace(c, F.lit("&"), F.lit("&amp;"))
+    value = (
+        F.when(tag == "", tok)
+        .when(raw, escaped(F.regexp_extract(tok, r"(?is)^<(?:script|style)[^>]*>(.*)</", 1)))
+        .when((tag == "a") & opens, escaped(attribute(tok, "href")))
+        .when(tag.isin("td", "th") & opens, escaped(attribute(tok, "class")))
+        .when((tag == "table") & opens, escaped(attribute(tok, "summary")))
         .otherwise(F.lit(""))
     )
-    attributes = {
-        name: F.when(
-            F.col("tag").isin(*on) & ~F.col("closing"),
-            F.replace(attribute(F.col("tok"), name), F.lit("&"), F.lit("&amp;")),
+    self_closed = (tag != "") & ~raw & tok.endswith("/>")
+    return (
+        tokens.where(~self_closed)
+        .withColumn("coded", value)
+        .select(
+            "page_id",
+            "url",
+            "pos",
+            F.when(raw, "").otherwise(tag).alias("tag"),
+            "closing",
+            text.unescape(F.col("coded"), times=2).alias("value"),
         )
-        for name, on in {"href": ["a"], "class": ["td", "th"], "summary": ["table"]}.items()
-    }
-    kept = (
-        tokens.withColumn("piece", pieces)
-        .withColumn("tag", F.when(F.col("tag").isin("script", "style"), "").otherwise(F.col("tag")))
-        .where(F.col("tag").isin(*_TABLE_TAGS) | ((F.col("tag") == "") & F.col("piece").rlike(r"(?U)\S")))
-        .where(~F.col("tok").endswith("/>") | (F.col("tag") == ""))
-        .withColumns(attributes)
-        .drop("tok")
     )
-    state = _with_completion(_with_state(kept))
 
+
+def _blocks(state: DataFrame) -> DataFrame:
+    """Cells, headings and table starts, one row each, with decoded texts and resolved links.
+
+    Only closed cells in closed rows of closed tables survive; of several closing tags the first
+    counts.
+    """
+    is_text, link_tag = F.col("tag") == "", F.col("tag") == "a"
+    link_opens = link_tag & ~F.col("closing") & (F.col("value") != "")
+    link_closes = link_tag & F.col("closing")
     event = F.struct(
-        "pos",
-        F.when(F.col("link_open"), "link").when(F.col("link_done"), "link_done").otherwise("text").alias("what"),
-        F.when(F.col("in_link") == 1, F.col("link_id")).when(F.col("link_done"), F.col("link_id")).alias("link_id"),
-        F.when(F.col("link_open"), F.col("href")).otherwise(F.col("piece")).alias("piece"),
+        "pos", F.when(link_opens, "link").when(link_closes, "end").otherwise("text").alias("what"), "value"
     )
-    in_cell = F.col("cell_done") | (F.col("in_cell") == 1)
-    in_heading = F.col("heading_done") | ((F.col("in_heading") == 1) & (F.col("tag") == ""))
-    membership = F.filter(
+    in_cell = (F.col("in_cell") == 1) | F.col("cell_close")
+    in_heading = (F.col("in_heading") == 1) | F.col("heading_close")
+    kind = lambda name, id_: F.struct(F.lit(name).alias("kind"), F.col(id_).alias("id"))
+    membership = F.array_compact(
         F.array(
-            F.when(in_cell & ~F.col("top_open"), F.struct(F.lit("cell").alias("kind"), F.col("cell_id").alias("id"))),
-            F.when(in_heading, F.struct(F.lit("heading").alias("kind"), F.col("heading_id").alias("id"))),
-            F.when(F.col("top_open"), F.struct(F.lit("table").alias("kind"), F.col("table_id").alias("id"))),
-        ),
-        lambda m: m.isNotNull(),
+            F.when(in_cell & (is_text | link_opens | link_closes | F.col("cell_open") | F.col("cell_close")), kind("cell", "cell_id")),
+            F.when(in_heading & (is_text | F.col("heading_close")), kind("heading", "heading_id")),
+            F.when(F.col("top_open"), kind("table", "table_id")),
+        )
     )
-    finished = F.when(
-        F.col("cell_done") & (F.col("in_row") == 1) & F.col("next_row.closes")
-        & (F.col("next_close") == F.col("next_row.table_id")),
-        F.struct(F.col("next_row.table_id").alias("table_id"), F.col("row_id").alias("row_id")),
+    closed = (F.col("in_row") == 1) & F.col("next_row.closes") & (F.col("next_close") == F.col("next_row.table_id"))
+    place = F.struct(
+        "pos", F.when(closed, F.col("next_row.table_id")).alias("table_id"), F.col("row_id").alias("row_id")
     )
-    is_event = (F.col("tag") == "") | F.col("link_open") | F.col("link_done")
     blocks = (
         state.withColumn("member", F.explode(membership))
-        .groupBy("page_id", "url", F.col("member.kind").alias("kind"), F.col("member.id").alias("id"))
+        .groupBy("page_id", F.col("member.kind").alias("kind"), F.col("member.id").alias("id"))
         .agg(
-            F.min(F.when(F.col("heading_done") | F.col("top_open") | F.col("cell_done"), F.col("pos"))).alias("pos"),
-            F.array_sort(F.collect_list(F.when(is_event, event))).alias("events"),
-            F.max(F.when(F.col("cell_open"), F.col("class"))).alias("class"),
-            F.max(F.when(F.col("top_open"), F.col("summary"))).alias("summary"),
-            F.max("top_open").alias("is_table"),
-            F.max(F.col("heading_done")).alias("heading_done"),
-            F.max(finished).alias("place"),
+            F.first("url").alias("url"),
+            F.min(F.when(F.col("heading_close") | F.col("top_open") | F.col("cell_close"), F.col("pos"))).alias("pos"),
+            F.array_sort(F.collect_list(F.when(is_text | link_opens | link_closes, event))).alias("events"),
+            F.max(F.when(F.col("cell_open") | F.col("top_open"), F.col("value"))).alias("attribute"),
+            F.min(F.when(F.col("cell_close"), place)).alias("place"),
         )
-        .where((F.col("kind") != "cell") | F.col("place").isNotNull())
+        .where(F.col("pos").isNotNull() & ((F.col("kind") != "cell") | F.col("place.table_id").isNotNull()))
     )
-    joined = lambda events: F.array_join(F.transform(events, lambda e: e["piece"]), " ")
-    texts = F.filter("events", lambda e: e["what"] == "text")
-    ends = F.filter("events", lambda e: e["what"] == "link_done")
-    raw = F.concat(
-        F.array(joined(texts), F.coalesce("class", F.lit("")), F.coalesce("summary", F.lit(""))),
-        F.transform(
-            ends,
-            lambda end: F.coalesce(
-                F.try_element_at(
-                    F.transform(
-                        F.filter("events", lambda e: (e["what"] == "link") & (e["link_id"] == end["link_id"])),
-                        lambda e: e["piece"],
-                    ),
-                    F.lit(1),
-                ),
-                F.lit(""),
-            ),
-        ),
-        F.transform(
-            ends,
-            lambda end: joined(
-                F.filter("events", lambda e: (e["what"] == "text") & (e["link_id"] == end["link_id"]))
-            ),
-        ),
-    )
-    decoded = (
-        blocks.withColumn("n_links", F.size(ends))
-        .withColumn("raw", raw)
-        .withColumn("parts", text.unescape_all(F.col("raw"), times=2))
-    )
-    pairs = F.arrays_zip(
-        F.slice("parts", 4, F.col("n_links")).alias("href"),
-        F.slice("parts", F.col("n_links") + 4, F.col("n_links")).alias("text"),
-    )
-    links = F.transform(
-        pairs,
-        lambda p: F.struct(
-            urls.resolve_url(F.col("url"), p["href"]).alias("href"), text.squeeze(p["text"]).alias("text")
-        ),
+    joined = lambda events: text.squeeze(F.array_join(F.transform(events, lambda e: e["value"]), " "))
+    # A link counts when the next link tag of the cell closes it.
+    link_tags = F.filter("events", lambda e: e["what"] != "text")
+    closed_links = F.filter(
+        F.arrays_zip(link_tags.alias("tag"), F.slice(link_tags, 2, 1_000_000).alias("next")),
+        lambda z: (z["tag"]["what"] == "link") & (z["next"]["what"] == "end"),
     )
-    named = decoded.select(
+
+    def link(z: Column) -> Column:
+        between = F.filter("events", lambda e: (e["pos"] > z["tag"]["pos"]) & (e["pos"] < z["next"]["pos"]))
+        return F.struct(
+            urls.resolve_url(F.col("url"), z["tag"]["value"]).alias("href"), joined(between).alias("text")
+        )
+
+    return blocks.select(
         "page_id",
         "url",
         "kind",
         "pos",
-        F.coalesce("place.table_id", F.when(F.col("kind") == "table", F.col("id"))).alias("table_id"),
+        F.col("place.table_id").alias("table_id"),
         F.col("place.row_id").alias("row_id"),
-        F.col("id").alias("cell_id"),
-        text.squeeze(F.element_at("parts", 1)).alias("text"),
-        F.element_at("parts", 2).alias("cell_class"),
-        F.element_at("parts", 3).alias("summary"),
-        links.alias("links"),
+        joined(F.filter("events", lambda e: e["what"] == "text")).alias("text"),
+        F.coalesce("attribute", F.lit("")).alias("attribute"),
+        F.transform(closed_links, link).alias("links"),
     )
-    before = Window.partitionBy("page_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    of_table = Window.partitionBy("page_id", "table_id")
-    heading = F.last(
-        F.when((F.col("kind") == "heading") & (F.col("text") != ""), F.col("text")), ignorenulls=True
-    ).over(before)
-    placed = (
-        named.withColumn("heading", F.coalesce(heading, F.lit("")))
-        .where(F.col("kind") != "heading")
-        .withColumn("heading", F.max(F.when(F.col("kind") == "table", F.col("heading"))).over(of_table))
-        .withColumn("summary", F.max(F.when(F.col("kind") == "table", F.col("summary"))).over(of_table))
+
+
+_TABLE_TAGS = ["table", "tr", "td", "th", "a", "h1", "h2", "h3", "h4", "h5", "h6"]
+
+
+def table_cells(pages: DataFrame) -> DataFrame:
+    """Non-empty cells of the top-level tables, in flat form.
+
+    Columns: page_id, url, table_no, row_no, cell_no (all from 1), text, cell_class,
+    links ``array<struct<href,text>>``, heading (last one before the table), summary.
+    A nested table's rows count as rows of the table around it. Rows without a closing tag,
+    empty rows and tables without rows are left out.
+    """
+    tokens = _tokens(pages.where(F.lower("html").contains("<table")), _TABLE_TAGS, keep_text=True)
+    blocks = _blocks(_with_completion(_with_state(_with_values(tokens))))
+
+    # All windows below share one sort: blocks of a page in document order.
+    in_page = Window.partitionBy("page_id").orderBy("pos")
+    running = in_page.rowsBetween(Window.unboundedPreceding, 0)
+    heading = F.when((F.col("kind") == "heading") & (F.col("text") != ""), F.col("text"))
+    table = F.struct(F.coalesce("heading", F.lit("")).alias("heading"), F.col("attribute").alias("summary"))
+    cells = (
+        blocks.withColumn("heading", F.last(heading, ignorenulls=True).over(running))
+        .withColumn("table", F.last(F.when(F.col("kind") == "table", table), ignorenulls=True).over(running))
         .where((F.col("kind") == "cell") & ((F.col("text") != "") | (F.size("links") > 0)))
     )
-    in_row = Window.partitionBy("page_id", "table_id", "row_id").orderBy("cell_id")
-    in_table = Window.partitionBy("page_id", "table_id").orderBy("row_id")
-    in_page = Window.partitionBy("page_id").orderBy("table_id")
-    return (
-        placed.withColumn("cell_no", F.row_number().over(in_row))
-        .withColumn("row_no", F.dense_rank().over(in_table))
-        .withColumn("table_no", F.dense_rank().over(in_page))
-        .select(
-            "page_id",
-            "url",
-            "table_no",
-            "row_no",
-            "cell_no",
-            "text",
-            "cell_class",
-            "links",
-            "heading",
-            "summary",
+    new_table = ~F.lag("table_id").over(in_page).eqNullSafe(F.col("table_id"))
+    new_row = new_table | ~F.lag("row_id").over(in_page).eqNullSafe(F.col("row_id"))
+    first_in = lambda flag, n: F.last(F.when(F.col(flag), F.col(n)), ignorenulls=True).over(running)
+    numbered = (
+        cells.withColumns({"new_table": new_table, "new_row": new_row})
+        .withColumns(
+            {
+                "table_no": F.sum(F.col("new_table").cast("int")).over(running).cast("int"),
+                "row_seq": F.sum(F.col("new_row").cast("int")).over(running).cast("int"),
+                "cell_seq": F.row_number().over(in_page),
+            }
+        )
+        .withColumns(
+            {
+                "row_no": F.col("row_seq") - first_in("new_table", "row_seq") + 1,
+                "cell_no": F.col("cell_seq") - first_in("new_row", "cell_seq") + 1,
+            }
         )
     )
+    return numbered.select(
+        "page_id",
+        "url",
+        "table_no",
+        "row_no",
+        "cell_no",
+        "text",
+        F.col("attribute").alias("cell_class"),
+        "links",
+        "table.heading",
+        "table.summary",
+    )
