@@ -109,15 +109,23 @@ def _element_text(markup: Column) -> Column:
     return text.clean_cell(F.regexp_replace(markup, r"<[^>]*>", " "), times=2)
 
 
+def page_title(html: Column) -> Column:
+    """Cleaned text of the last title element."""
+    visible = F.regexp_replace(html, _SKIPPED, "")
+    return _element_text(F.regexp_extract(visible, r"(?is)^.*<title\b[^>]*>(.*?)</title\s*>", 1))
+
+
+def first_heading(html: Column) -> Column:
+    """Cleaned text of the first main heading."""
+    visible = F.regexp_replace(html, _SKIPPED, "")
+    return _element_text(F.regexp_extract(visible, r"(?is)<h1\b[^>]*>(.*?)</h[1-6]\s*>", 1))
+
+
 def page_titles(pages: DataFrame) -> DataFrame:
     """Title and main heading of each page; per row, no shuffle."""
-    visible = F.regexp_replace("html", _SKIPPED, "")
-    title = F.regexp_extract(visible, r"(?is)^.*<title\b[^>]*>(.*?)</title\s*>", 1)
-    heading = F.regexp_extract(visible, r"(?is)<h1\b[^>]*>(.*?)</h[1-6]\s*>", 1)
+    html = F.col("html")
     return pages.select(
-        "page_id",
-        _element_text(title).alias("page_title"),
-        _element_text(heading).alias("first_heading"),
+        "page_id", page_title(html).alias("page_title"), first_heading(html).alias("first_heading")
     )
 
 

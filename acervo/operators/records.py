@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from acervo import fixed_values as fixed
 from acervo.functions import text, urls
-from acervo.operators.markup import page_titles, table_cells
+from acervo.operators.markup import page_title, table_cells
 
 
 def _contains_any(c: Column, terms: list[str]) -> Column:
@@ -146,22 +146,22 @@ def html_pdf_url(html: Column, url: Column) -> Column:
 
 def parse_pages(pages: DataFrame) -> DataFrame:
     """One row per item page: page_id, url, page_title, tables_found, fields, pdf_url."""
-    plain = pages.select("page_id", "url", html_pdf_url(F.col("html"), F.col("url")).alias("html_pdf_url"))
-    titles = page_titles(pages).select("page_id", "page_title")
+    own = pages.select(
+        "page_id",
+        "url",
+        page_title(F.col("html")).alias("page_title"),
+        html_pdf_url(F.col("html"), F.col("url")).alias("html_pdf_url"),
+    )
     tables = parsed_tables(table_cells(pages))
     empty = F.create_map().cast("map<string,string>")
-    # Both joins are on the key the cells are already partitioned by.
-    return (
-        plain.join(titles, "page_id", "left")
-        .join(tables, "page_id", "left")
-        .select(
-            "page_id",
-            "url",
-            "page_title",
-            F.coalesce("tables_found", F.lit(0)).alias("tables_found"),
-            F.coalesce("fields", empty).alias("fields"),
-            F.coalesce("table_pdf_url", "html_pdf_url").alias("pdf_url"),
-        )
+    # The tables are already partitioned by the join key; only the narrow side is shuffled.
+    return own.join(tables, "page_id", "left").select(
+        "page_id",
+        "url",
+        "page_title",
+        F.coalesce("tables_found", F.lit(0)).alias("tables_found"),
+        F.coalesce("fields", empty).alias("fields"),
+        F.coalesce("table_pdf_url", "html_pdf_url").alias("pdf_url"),
     )
 
 
