@@ -67,7 +67,7 @@ def equals_flag(c: Column, value) -> Column:
     return F.when(c == F.lit(value), 1).otherwise(0)
 
 
-def _decoder(times: int):
+def _decoder(times: int, many: bool = False):
     """Entity decoding, whole Arrow batches at a time.
 
     The functions are local, so executors get them by value and need no copy of this package.
@@ -80,7 +80,10 @@ def _decoder(times: int):
             texts = texts.map(html.unescape, na_action="ignore")
         return texts
 
-    return F.pandas_udf(decode, "string")
+    def decode_arrays(rows: pd.Series) -> pd.Series:
+        return rows.map(lambda row: list(decode(pd.Series(row, dtype="object"))), na_action="ignore")
+
+    return F.pandas_udf(decode_arrays if many else decode, "array<string>" if many else "string")
 
 
 def unescape(c: Column, times: int = 1) -> Column:
@@ -88,6 +91,11 @@ def unescape(c: Column, times: int = 1) -> Column:
     return F.coalesce(_decoder(times)(F.when(c.contains("&"), c)), c)
 
 
+def unescape_all(c: Column, times: int = 1) -> Column:
+    """``unescape`` for an array of texts."""
+    return F.coalesce(_decoder(times, many=True)(F.when(F.exists(c, lambda t: t.contains("&")), c)), c)
+
+
 def squeeze(c: Column) -> Column:
     """Runs of any white space become one blank, outer ones go; NULL becomes ''."""
     return F.coalesce(F.trim(F.regexp_replace(c, _SPACES, " ")), F.lit(""))

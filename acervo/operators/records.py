@@ -121,20 +121,33 @@ def parsed_tables(cells: DataFrame) -> DataFrame:
         (F.col("table_no") == F.col("metadata_table"))
         & (F.size("cells") >= 2)
         & (F.col("label") != "")
-        & ~F.lower("label").isin(*fixed.SKIPPED_LABELS)
+        & ~F.btrim(F.lower("label"), F.lit(":")).isin(*fixed.SKIPPED_LABELS)
     )
     pdf = _first_pdf(F.col("cells"))
     searched = F.col("is_files_table") | ~F.col("has_files_table")
     pages = facts.groupBy("page_id").agg(
         F.max("table_no").alias("tables_found"),
-        F.array_sort(F.collect_list(F.when(in_record, entry))).alias("entries"),
+        F.array_sort(F.collect_list(F.when(in_record, entry))).alias("rows"),
         F.min(
             F.when(searched & pdf.isNotNull(), F.struct("table_no", "row_no", pdf.alias("href")))
         ).alias("pdf"),
     )
-    valued = F.filter("entries", lambda e: e["value"] != "")
-    return pages.select(
-        "page_id", "tables_found", _fields(valued).alias("fields"), F.col("pdf.href").alias("table_pdf_url")
+    # Stored texts are decoded thrice more than cell texts; what is left to decode is rare.
+    n = F.size("rows")
+    texts = F.concat(F.transform("rows", lambda e: e["label"]), F.transform("rows", lambda e: e["value"]))
+    decoded = pages.withColumn("coded", texts).withColumn("texts", text.unescape_all(F.col("coded"), times=3))
+    pairs = F.arrays_zip(F.slice("texts", 1, n).alias("label"), F.slice("texts", n + 1, n).alias("value"))
+    entries = F.transform(
+        pairs, lambda e: F.struct(text.label(e["label"]).alias("label"), text.squeeze(e["value"]).alias("value"))
+    )
+    kept = decoded.withColumn(
+        "entries", F.filter(entries, lambda e: (e["label"] != "") & (e["value"] != ""))
+    )
+    return kept.select(
+        "page_id",
+        "tables_found",
+        _fields(F.col("entries")).alias("fields"),
+        F.col("pdf.href").alias("table_pdf_url"),
     )
 
 
@@ -154,7 +167,7 @@ def parse_pages(pages: DataFrame) -> DataFrame:
     )
     tables = parsed_tables(table_cells(pages))
     empty = F.create_map().cast("map<string,string>")
-    # The tables are already partitioned by the join key; only the narrow side is shuffled.
+    # One narrow row per page on either side.
     return own.join(tables, "page_id", "left").select(
         "page_id",
         "url",
