@@ -1,8 +1,9 @@
 """Table-of-contents sections from lines of extracted page text.
 
-Lines are ``(doc_id, page_no, line_no, text)``; ``line_no`` may be any sortable type. Counts are
+Lines are ``(doc_id, page_no, line_no, text)`` with whole line numbers, gaps allowed. Counts are
 pre-aggregated per page, the section is decided on at most 35 page rows per document, and only
-then are the lines of the chosen pages read: no document's lines meet in one task.
+then are the lines of the chosen pages read: no document's lines meet in one task, and a page of
+more than ``LINES_PER_PART`` lines is worked on in parts.
 """
 
 from __future__ import annotations
@@ -16,6 +17,9 @@ from acervo.operators.relations import drop_consecutive_repeats
 from acervo.session import stored
 
 
+LINES_PER_PART = 500_000
+
+
 def page_lines(pages: DataFrame, max_pages: int = fixed.MAX_PAGES_TO_SCAN) -> DataFrame:
     """Lines of document pages ``(doc_id, page_no, text)``; pages without text are skipped.
 
@@ -61,6 +65,8 @@ def page_stats(
             F.sum(F.when(F.col("chars") > 0, F.col("chars") + 1)) - 1, F.lit(0)
         ).alias("n_chars"),
         F.min(F.when(F.col("is_marker"), F.col("line_no"))).alias("marker_line"),
+        F.min("line_no").alias("first_line"),
+        F.max("line_no").alias("last_line"),
     )
     looks = (
         (F.col("n_entries") >= fixed.MIN_ENTRIES)
@@ -86,17 +92,25 @@ def section_pages(stats: DataFrame) -> DataFrame:
     inside = (F.col("page_no") >= F.col("marker_page")) & (
         F.col("end_page").isNull() | (F.col("page_no") < F.col("end_page"))
     )
-    first_line = F.when(F.col("page_no") == F.col("marker_page"), F.col("marker_line"))
-    return _with_bounds(stats).where(inside).select("doc_id", "page_no", first_line.alias("from_line"))
+    from_line = F.when(F.col("page_no") == F.col("marker_page"), F.col("marker_line"))
+    parts = F.ceil(F.col("n_lines") / LINES_PER_PART)
+    span = F.col("last_line") - F.col("first_line") + 1
+    return _with_bounds(stats).where(inside).select(
+        "doc_id",
+        "page_no",
+        from_line.alias("from_line"),
+        "first_line",
+        F.ceil(span / F.greatest(parts, F.lit(1))).alias("part_width"),
+    )
 
 
 def section_lines(
     lines: DataFrame, stats: DataFrame | None = None, max_pages: int = fixed.MAX_PAGES_TO_SCAN
 ) -> DataFrame:
-    """Lines of the section, noise off, marker line kept: doc_id, page_no, line_no, line.
+    """Lines of the section, noise off, marker line kept: doc_id, page_no, part, line_no, line.
 
-    Only the lines of the chosen pages are normalised. ``stats`` may hand in a stored
-    ``page_stats``.
+    Only the lines of the chosen pages are normalised. ``part`` cuts an oversized page, it is 0
+    on any other. ``stats`` may hand in a stored ``page_stats``.
     """
     pages = section_pages(page_stats(lines, max_pages=max_pages) if stats is None else stats)
     chosen = (
@@ -104,13 +118,18 @@ def section_lines(
         .join(pages, ["doc_id", "page_no"])
         .where(F.col("from_line").isNull() | (F.col("line_no") >= F.col("from_line")))
     )
-    return normalised(chosen).where(~F.col("noise")).select("doc_id", "page_no", "line_no", "line")
+    part = F.floor((F.col("line_no") - F.col("first_line")) / F.col("part_width")).cast("int")
+    return (
+        normalised(chosen)
+        .where(~F.col("noise"))
+        .select("doc_id", "page_no", part.alias("part"), "line_no", "line")
+    )
 
 
 def clean_section(section: DataFrame) -> DataFrame:
     """Leaders off, then consecutive repeats off."""
     plain = section.withColumn("line", rules.without_leaders(F.col("line")))
-    return drop_consecutive_repeats(plain, ["doc_id"], "page_no", ["page_no", "line_no"], "line")
+    return drop_consecutive_repeats(plain, ["doc_id"], ["page_no", "part"], ["line_no"], "line")
 
 
 def section_sizes(cleaned: DataFrame) -> DataFrame:

@@ -79,7 +79,7 @@ def numbered_blocks(df: DataFrame, position: Column, rows_per_block: int = 1_000
 
 
 def drop_consecutive_repeats(
-    df: DataFrame, key: list[str], block: str, order: list[str], value: str
+    df: DataFrame, key: list[str], block: list[str], order: list[str], value: str
 ) -> DataFrame:
     """Drop rows whose value equals the row before within the key; later repeats stay.
 
@@ -87,14 +87,14 @@ def drop_consecutive_repeats(
     over its blocks. The last value of each block reaches the next block through a table with
     one row per block. Both sides of that join read the one shuffle the sort needs.
     """
-    here = Window.partitionBy(*key, block).orderBy(*order)
+    here = Window.partitionBy(*key, *block).orderBy(*order)
     boxed = F.struct(F.col(value).alias("value"))
     marked = df.withColumns({"__previous": F.lag(boxed).over(here), "__next": F.lead(boxed).over(here)})
-    ends = marked.where(F.col("__next").isNull()).select(*key, block, boxed.alias("__end"))
+    ends = marked.where(F.col("__next").isNull()).select(*key, *block, boxed.alias("__end"))
     before = ends.select(
-        *key, block, F.lag("__end").over(Window.partitionBy(*key).orderBy(block)).alias("__before")
+        *key, *block, F.lag("__end").over(Window.partitionBy(*key).orderBy(*block)).alias("__before")
     )
-    joined = marked.drop("__next").join(before, [*key, block])
+    joined = marked.drop("__next").join(before, [*key, *block])
     previous = F.coalesce("__previous", "__before")
     repeated = previous.isNotNull() & previous["value"].eqNullSafe(F.col(value))
     return joined.where(~repeated).drop("__previous", "__before")

@@ -111,7 +111,7 @@ TEACHER_MENTIONS = {
 LINES = {
     "doc_id": "cast(floor(l_orderkey / 64) as bigint)",
     "page_no": "cast(l_orderkey % 64 as int) + 1",
-    "line_no": "concat(l_linenumber, '-', lpad(cast(l_partkey as string), 12, '0'), '-', lpad(cast(cast(l_quantity as int) as string), 3, '0'))",
+    "line_no": "cast(l_linenumber as bigint) * 100000000000000000 + l_partkey * 1000 + cast(l_quantity as bigint)",
     "text": """CASE
       WHEN l_linenumber = 1 AND l_orderkey % 5 = 0 THEN '  Sumário '
       WHEN l_linenumber = 2 AND l_orderkey % 7 = 0 THEN concat('O sumário de ', p_name)

@@ -45,7 +45,7 @@ toc_pages AS (SELECT *, n_lines > 0 AND (n_entries >= 3 OR n_numbers >= 3 OR n_l
 
 
 def q_toc_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contents.page_stats(inputs.lines(spark, sf_dir))
+    return contents.page_stats(inputs.lines(spark, sf_dir)).drop("first_line", "last_line")
 
 
 ORACLES["q_toc_pages"] = f"WITH {_SQL_PAGES} SELECT * FROM toc_pages"
@@ -62,7 +62,7 @@ section AS (SELECT c.doc_id, page_no, line_no, line FROM classified c JOIN bound
 
 
 def q_toc_section(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contents.section_lines(inputs.lines(spark, sf_dir))
+    return contents.section_lines(inputs.lines(spark, sf_dir)).drop("part")
 
 
 ORACLES["q_toc_section"] = f"WITH {_SQL_SECTION} SELECT * FROM section"
@@ -75,7 +75,7 @@ cleaned AS (SELECT doc_id, page_no, line_no, line FROM marked WHERE previous IS
 
 
 def q_toc_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contents.clean_section(contents.section_lines(inputs.lines(spark, sf_dir)))
+    return contents.clean_section(contents.section_lines(inputs.lines(spark, sf_dir))).drop("part")
 
 
 ORACLES["q_toc_clean"] = f"WITH {_SQL_CLEAN} SELECT * FROM cleaned"
@@ -127,7 +127,7 @@ def q_consecutive_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = inputs.load(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type")
     micros = F.unix_micros(F.col("ts").cast("timestamp"))
     blocked = events.withColumn("block", relations.numbered_blocks(events, micros))
-    kept = relations.drop_consecutive_repeats(blocked, ["user_id"], "block", ["ts", "event_id"], "event_type")
+    kept = relations.drop_consecutive_repeats(blocked, ["user_id"], ["block"], ["ts", "event_id"], "event_type")
     return kept.drop("block")
 
 

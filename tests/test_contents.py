@@ -59,6 +59,17 @@ def test_section_text(spark):
     assert rows(contents.section_sizes(section)) == [("d", len(texts["d"]))]
 
 
+def test_oversized_pages_are_cut_without_a_trace(spark, monkeypatch):
+    lines = ["Sumário"] + [f"Linha {i // 3} ... {i // 6}" for i in range(60)]
+    pages = {"d": {1: "\n".join(lines), 2: "\n".join(lines[-4:])}, "e": {1: "Sumário"}}
+    whole = contents.clean_section(contents.section_lines(contents.page_lines(_pages(spark, pages))))
+    monkeypatch.setattr(contents, "LINES_PER_PART", 7)
+    cut = contents.clean_section(contents.section_lines(contents.page_lines(_pages(spark, pages))))
+    assert whole.select("part").distinct().count() == 1
+    assert cut.select("part").distinct().count() == 9
+    assert rows(cut, "doc_id", "page_no", "line_no", "line") == rows(whole, "doc_id", "page_no", "line_no", "line")
+
+
 def test_page_stats(spark):
     pages = {1: "Um ..... 1\nxii\n\nalgo", 2: PROSE, 3: "a\nb\nc\nd\ne\nf\ng\nh\ni 1\nj 2"}
     stats = contents.page_stats(contents.page_lines(_pages(spark, {"d": pages})))

@@ -56,7 +56,7 @@ def test_consecutive_repeats_do_not_depend_on_blocks(spark, block):
             expected.append((k, i, v))
         last[k] = v
     blocked = df.withColumn("b", F.floor(F.col("i") / block))
-    got = relations.drop_consecutive_repeats(blocked, ["k"], "b", ["i"], "v")
+    got = relations.drop_consecutive_repeats(blocked, ["k"], ["b"], ["i"], "v")
     assert sorted(map(tuple, got.select("k", "i", "v").collect())) == sorted(expected, key=lambda r: r[:2])
 
 
