@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from acervo import fixed_values as fixed
 from acervo.functions import text, urls
 from acervo.operators.markup import page_title, table_cells
+from acervo.session import stored
 
 
 def _contains_any(c: Column, terms: list[str]) -> Column:
@@ -204,6 +205,16 @@ def with_fallback(parsed: DataFrame, parsed_full: DataFrame) -> DataFrame:
     )
 
 
+def records_with_fallback(pages: DataFrame, full_pages: DataFrame) -> DataFrame:
+    """Records of ``pages``; only where they have no fields is the full-record page parsed.
+
+    The default records are stored in between, so no page is parsed twice.
+    """
+    default = stored(parse_pages(pages), "records")
+    missing = default.where(F.size("fields") == 0).select("page_id")
+    return with_fallback(default, parse_pages(full_pages.join(missing, "page_id", "left_semi")))
+
+
 def non_system_labels(fields: Column) -> Column:
     """How many labels do not start with an underscore."""
     return F.size(F.filter(F.map_keys(fields), lambda k: ~k.startswith("_")))

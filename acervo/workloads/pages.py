@@ -220,9 +220,7 @@ SELECT c_custkey AS page_id, 'Item ' || c_name || ' & mais' AS page_title,
 
 
 def q_record_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    default = records.parse_pages(_rendered(spark, sf_dir))
-    full = records.parse_pages(_rendered(spark, sf_dir, full=True))
-    merged = records.with_fallback(default, full)
+    merged = records.records_with_fallback(_rendered(spark, sf_dir), _rendered(spark, sf_dir, full=True))
     field = lambda name: F.try_element_at("fields", F.lit(name))
     return merged.select(
         "page_id",

@@ -95,7 +95,7 @@ _PERIOD = "CASE " + " ".join(
 )
 
 
-def _build(spark: SparkSession, sf_dir: str, folder: str, tags: set[str] | None) -> dict[str, DataFrame]:
+def _build(spark: SparkSession, sf_dir: str, folder: str) -> dict[str, DataFrame]:
     """Papers by period and tables of contents as JSON, then the layers."""
     orders = inputs.load(spark, sf_dir, "orders")
     dated = inputs.spark_select(orders, {**inputs.PAPERS, "period": _PERIOD})
@@ -113,12 +113,12 @@ def _build(spark: SparkSession, sf_dir: str, folder: str, tags: set[str] | None)
         period_folder="period={}",
         as_of=warehouse.AS_OF,
     )
-    return layers.build(spark, settings, f"{folder}/warehouse", tags)
+    return layers.build(spark, settings, f"{folder}/warehouse")
 
 
 def q_layer_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All layers from JSON documents to the mart; rows per table."""
-    built = _build(spark, sf_dir, work_dir(spark, "layers"), None)
+    built = _build(spark, sf_dir, work_dir(spark, "layers"))
     counts = None
     for name, df in built.items():
         one = df.agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows")
@@ -161,12 +161,11 @@ ORACLES["q_layer_build"] = _sql_layer_counts()
 
 
 def q_mart_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The mart built, exported table by table, read back by name and summarised."""
-    folder = work_dir(spark, "export")
-    built = _build(spark, sf_dir, folder, {"silver", "gold"})
-    exported = tables.export_mart({name: built[name] for name in tables.mart_tables()}, f"{folder}/export")
-    mart = {name: spark.read.parquet(path) for name, path in exported.items()}
-    return models.star_summary(mart[models.MART_FACT], mart[models.MART_CALENDAR], mart[models.MART_ADVISORS])
+    """The mart exported table by table, read back by name and summarised."""
+    mart = warehouse.mart(spark, sf_dir)
+    exported = tables.export_mart({name: mart[name] for name in tables.mart_tables()}, work_dir(spark, "export"))
+    back = {name: spark.read.parquet(path) for name, path in exported.items()}
+    return models.star_summary(back[models.MART_FACT], back[models.MART_CALENDAR], back[models.MART_ADVISORS])
 
 
 ORACLES["q_mart_export"] = warehouse.ORACLES["q_star_summary"]

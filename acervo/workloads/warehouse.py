@@ -305,8 +305,20 @@ fact AS (SELECT silver_papers_id AS {_F}_id, a.id AS {_A}_id,
 ORACLES["q_fact"] = f"WITH {_SQL_FACT} SELECT * FROM fact"
 
 
+def mart(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The three tables of the mart."""
+    return {
+        models.MART_ADVISORS: _advisors(spark, sf_dir),
+        models.MART_CALENDAR: _publish_calendar(spark),
+        models.MART_FACT: _fact(spark, sf_dir),
+    }
+
+
 def star(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return models.star_summary(_fact(spark, sf_dir), _publish_calendar(spark), _advisors(spark, sf_dir))
+    tables = mart(spark, sf_dir)
+    return models.star_summary(
+        tables[models.MART_FACT], tables[models.MART_CALENDAR], tables[models.MART_ADVISORS]
+    )
 
 
 def q_star_summary(spark: SparkSession, sf_dir: str) -> DataFrame:

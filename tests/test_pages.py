@@ -149,7 +149,7 @@ def test_fallback_warning_and_documents(spark):
     full_table = _table(("Título", "Um"), ("Autor", "B"))
     default = _pages(spark, "<title>D</title>" + full_table, "<title>D</title>", "<title>D</title>")
     full = _pages(spark, "<title>F</title>", "<title>F</title>" + full_table + "<a href='/bitstream/p/9/f'>", "")
-    merged = records.with_fallback(records.parse_pages(default), records.parse_pages(full))
+    merged = records.records_with_fallback(default, full)
     got = {r["page_id"]: r for r in merged.withColumn("w", records.parser_warning(F.col("fields"))).collect()}
     assert [(got[i]["page_title"], got[i]["source_used"], got[i]["w"] is None) for i in range(3)] == [
         ("D", "default", True),
