@@ -113,4 +113,4 @@ def label(c: Column) -> Column:
 
 def joined_or_list(values: Column) -> Column:
     """One value as it is; several as JSON text, the way a multi-valued label is stored."""
-    return F.when(F.size(values) == 1, values[0]).otherwise(F.to_json(values))
+    return F.when(F.size(values) == 1, F.try_element_at(values, F.lit(1))).otherwise(F.to_json(values))

@@ -75,7 +75,7 @@ def container_links(
     tokens = _tokens(with_container, [container, "a"], keep_text=False)
     is_open = (F.col("tag") == container) & ~F.col("closing")
     is_close = (F.col("tag") == container) & F.col("closing")
-    wanted = F.lit(True) if summary is None else F.trim(attribute(F.col("tok"), "summary")) == summary
+    wanted = F.lit(True) if summary is None else F.btrim(attribute(F.col("tok"), "summary"), F.lit(" \t\r\n\f")) == summary
     in_page = Window.partitionBy("page_id").orderBy("pos")
     running = in_page.rowsBetween(Window.unboundedPreceding, 0)
     # Opening and closing tags of one nesting level alternate, so the tag before a closing

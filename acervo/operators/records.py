@@ -103,12 +103,12 @@ def _first_pdf(cells: Column) -> Column:
 
 
 def _fields(entries: Column) -> Column:
-    """Map of label -> value; a label with several distinct values holds them as JSON text."""
+    """Map of label -> its distinct values, both in first-seen order."""
     labels = F.array_distinct(F.transform(entries, lambda e: e["label"]))
     values = F.transform(
         labels,
-        lambda k: text.joined_or_list(
-            F.array_distinct(F.transform(F.filter(entries, lambda e: e["label"] == k), lambda e: e["value"]))
+        lambda k: F.array_distinct(
+            F.transform(F.filter(entries, lambda e: e["label"] == k), lambda e: e["value"])
         ),
     )
     return F.map_from_arrays(labels, values)
@@ -155,7 +155,7 @@ def parsed_tables(cells: DataFrame) -> DataFrame:
 def html_pdf_url(html: Column, url: Column) -> Column:
     """First bitstream link anywhere in the markup, NULL without one."""
     href = F.regexp_extract(html, fixed.BITSTREAM_HREF, 1)
-    return F.when(href != "", urls.resolve_url(url, F.replace(href, F.lit("&amp;"), F.lit("&"))))
+    return F.when(href != "", urls.resolve_url(url, text.unescape(href)))
 
 
 def parse_pages(pages: DataFrame) -> DataFrame:
@@ -167,7 +167,7 @@ def parse_pages(pages: DataFrame) -> DataFrame:
         html_pdf_url(F.col("html"), F.col("url")).alias("html_pdf_url"),
     )
     tables = parsed_tables(table_cells(pages))
-    empty = F.create_map().cast("map<string,string>")
+    empty = F.create_map().cast("map<string,array<string>>")
     # One narrow row per page on either side.
     return own.join(tables, "page_id", "left").select(
         "page_id",
@@ -225,25 +225,41 @@ def parser_warning(fields: Column) -> Column:
     return F.when(non_system_labels(fields) == 0, F.lit(fixed.PARSER_WARNING))
 
 
+def field(name: str) -> Column:
+    """A field as it is at rest: one value as text, several as JSON text, NULL without any."""
+    return text.joined_or_list(F.try_element_at("fields", F.lit(name)))
+
+
+def _quoted(c: Column) -> Column:
+    """A text as a JSON string."""
+    listed = F.to_json(F.array(c))
+    return F.substring(listed, F.lit(2), F.length(listed) - 2)
+
+
 def documents(records: DataFrame) -> DataFrame:
     """Stored form of the records: item_id and the JSON document with its system keys.
 
-    Pages whose address has no item id are left out; ``rejected_documents`` lists them.
+    A single value is a JSON string, several are a list. Pages whose address has no item id are
+    left out; ``rejected_documents`` lists them.
     """
     item = urls.last_segment(F.col("url"))
-    system = F.filter(
-        F.array(
-            F.struct(F.lit("_id").alias("key"), item.alias("value")),
-            F.struct(F.lit("_source_url").alias("key"), F.col("url").alias("value")),
-            F.struct(F.lit("_pdf_url").alias("key"), F.col("pdf_url").alias("value")),
-            F.struct(F.lit("_parser_warning").alias("key"), parser_warning(F.col("fields")).alias("value")),
+    system = {
+        "_id": item,
+        "_source_url": F.col("url"),
+        "_pdf_url": F.col("pdf_url"),
+        "_parser_warning": parser_warning(F.col("fields")),
+    }
+    own = F.transform(
+        F.map_entries(F.map_filter("fields", lambda k, v: ~k.isin(*system))),
+        lambda e: F.concat(
+            _quoted(e["key"]),
+            F.lit(":"),
+            F.when(F.size(e["value"]) == 1, _quoted(e["value"][0])).otherwise(F.to_json(e["value"])),
         ),
-        lambda e: e["value"].isNotNull(),
-    )
-    own = F.map_filter("fields", lambda k, v: ~k.isin("_id", "_source_url", "_pdf_url", "_parser_warning"))
-    return records.where(item.isNotNull()).select(
-        item.alias("item_id"), F.to_json(F.map_concat(own, F.map_from_entries(system))).alias("document")
     )
+    pairs = F.array_compact(F.array(*[F.when(v.isNotNull(), F.concat(F.lit(f'"{k}":'), _quoted(v))) for k, v in system.items()]))
+    document = F.concat(F.lit("{"), F.array_join(F.concat(own, pairs), ","), F.lit("}"))
+    return records.where(item.isNotNull()).select(item.alias("item_id"), document.alias("document"))
 
 
 def rejected_documents(records: DataFrame) -> DataFrame:

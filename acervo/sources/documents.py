@@ -72,3 +72,8 @@ def read_latest_documents(spark: SparkSession, path: str, schema: T.StructType,
     """Documents under ``path``, the last run's for every key."""
     runs = read_json(spark, path, T.StructType([*schema.fields, T.StructField("run", T.LongType())]))
     return latest_per_key(runs, key, ["run"]).drop("run")
+
+
+def stored_objects(spark: SparkSession, path: str) -> DataFrame:
+    """Listing of the files under ``path``: path and length; no content is read."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length")

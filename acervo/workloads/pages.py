@@ -221,15 +221,14 @@ SELECT c_custkey AS page_id, 'Item ' || c_name || ' & mais' AS page_title,
 
 def q_record_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     merged = records.records_with_fallback(_rendered(spark, sf_dir), _rendered(spark, sf_dir, full=True))
-    field = lambda name: F.try_element_at("fields", F.lit(name))
     return merged.select(
         "page_id",
         "source_used",
         "tables_found",
         "pdf_url",
-        field("Título").alias("titulo"),
-        field("Autor(es)").alias("autores"),
-        field("URI").alias("uri"),
+        records.field("Título").alias("titulo"),
+        records.field("Autor(es)").alias("autores"),
+        records.field("URI").alias("uri"),
         records.non_system_labels(F.col("fields")).alias("n_fields"),
         records.parser_warning(F.col("fields")).alias("warning"),
     )
@@ -259,6 +258,7 @@ def q_record_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         at("_pdf_url").alias("pdf_url"),
         at("_parser_warning").alias("warning"),
         at("Título").alias("titulo"),
+        at("Autor(es)").alias("autores"),
     )
 
 
@@ -266,6 +266,8 @@ ORACLES["q_record_documents"] = f"""
 SELECT CAST(c_custkey AS VARCHAR) AS item_id, CAST(c_custkey AS VARCHAR) AS id,
   '{HOST}/handle/prefix/' || c_custkey AS source_url, CASE WHEN {_HAS_RECORD} THEN {_SQL_PDF} END AS pdf_url,
   CASE WHEN NOT ({_HAS_RECORD}) THEN '{fixed.PARSER_WARNING}' END AS warning,
-  CASE WHEN {_HAS_RECORD} THEN c_name || ' & ' || c_mktsegment END AS titulo FROM customer"""
+  CASE WHEN {_HAS_RECORD} THEN c_name || ' & ' || c_mktsegment END AS titulo,
+  CASE WHEN {_HAS_RECORD} THEN '["' || n_name || ' ' || c_mktsegment || '","Autor ' || c_custkey || '"]' END AS autores
+FROM customer JOIN nation ON c_nationkey = n_nationkey"""
 
 QUERIES.update({name: fn for name, fn in globals().items() if name.startswith("q_")})

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from acervo import fixed_values as fixed
 from acervo.plans import layers, models
-from acervo.session import work_dir
+from acervo.session import spread, work_dir
 from acervo.sources import documents, tables
 from acervo.streaming.ingest import load_new_files
 from acervo.workloads import inputs, warehouse
@@ -94,18 +94,17 @@ _PERIOD = "CASE " + " ".join(
     for period, (_, last) in zip(fixed.PERIODS, _PERIOD_YEARS)
 )
 
+_SECTION_PERIOD = _PERIOD.replace("o_orderdate", "l_shipdate")
+
 
 def _build(spark: SparkSession, sf_dir: str, folder: str) -> dict[str, DataFrame]:
     """Papers by period and tables of contents as JSON, then the layers."""
-    orders = inputs.load(spark, sf_dir, "orders")
+    orders = spread(inputs.load(spark, sf_dir, "orders"))
     dated = inputs.spark_select(orders, {**inputs.PAPERS, "period": _PERIOD})
     dated.write.mode("overwrite").partitionBy("period").json(f"{folder}/papers")
-    periods = orders.select(
-        F.col("o_orderkey").cast("string").alias("order_id"), F.expr(_PERIOD).alias("period")
-    )
-    contents = inputs.contents(spark, sf_dir)
-    dated_contents = contents.join(periods, F.col("paper_id") == F.col("order_id")).drop("order_id")
-    dated_contents.write.mode("overwrite").partitionBy("period").json(f"{folder}/contents")
+    items = spread(inputs.load(spark, sf_dir, "lineitem"))
+    sections = inputs.spark_select(items, {**inputs.CONTENTS, "period": _SECTION_PERIOD})
+    sections.write.mode("overwrite").partitionBy("period").json(f"{folder}/contents")
     settings = layers.Settings(
         metadata_path=f"{folder}/papers",
         contents_path=f"{folder}/contents",
@@ -133,7 +132,7 @@ def _sql_layer_counts() -> str:
         rows.append(
             (
                 f"papers_tableofcontent_{period}",
-                f"SELECT count(*) FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE {_PERIOD} = '{period}'",
+                f"SELECT count(*) FROM lineitem WHERE {_SECTION_PERIOD} = '{period}'",
             )
         )
     fanned = "SELECT count(*) FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey"
@@ -141,7 +140,7 @@ def _sql_layer_counts() -> str:
     all_days = f"SELECT DATE '{fixed.CALENDAR_END}' - DATE '{fixed.CALENDAR_START}' + 1"
     rows += [
         ("bronze_papers_metadata", "SELECT count(*) FROM orders"),
-        ("bronze_papers_tableofcontent", "SELECT count(*) FROM lineitem JOIN orders ON l_orderkey = o_orderkey"),
+        ("bronze_papers_tableofcontent", "SELECT count(*) FROM lineitem"),
         ("base_docentes", "SELECT count(*) FROM customer"),
         ("bronze_base_docentes", "SELECT count(*) FROM customer"),
         ("silver_papers", fanned),

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from acervo.functions import lines as rules
 from acervo.operators import contents
+from acervo.sources import documents
 from conftest import rows
 
 PROSE = "um texto corrido sem nada de especial"
@@ -116,3 +117,11 @@ def test_pdf_status(spark):
         ("b.PDF", 422, "error 0: PDF file is too small. Size: 999 bytes"),
         ("c.txt", 422, "error 0: Input file is not a PDF. Received key: c.txt"),
     ]
+
+
+def test_stored_objects_pass_the_same_gate(spark, tmp_path):
+    (tmp_path / "a.pdf").write_bytes(b"x" * 1000)
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "sub" / "b.pdf").write_bytes(b"x" * 10)
+    got = contents.pdf_status(documents.stored_objects(spark, str(tmp_path)))
+    assert rows(got, "length", "status") == [(10, 422), (1000, 200)]

@@ -121,7 +121,16 @@ def test_record(spark):
     got = _parsed(spark, html)[0]
     # A link text counts as seen only when it equals a whole part.
     assert got["fields"] == {
-        "Título": "Um", "Autor(es)": '["Silva","Souza"]', "URI": "x l x l | l | x l", "Data": "1 | 2", "Nota": "<b>",
+        "Título": ["Um"], "Autor(es)": ["Silva", "Souza"], "URI": ["x l x l | l | x l"], "Data": ["1 | 2"], "Nota": ["<b>"],
+    }
+    at_rest = records.parse_pages(_pages(spark, html)).select(
+        *[records.field(name) for name in ("Título", "Autor(es)", "none")]
+    )
+    assert rows(at_rest) == [("Um", '["Silva","Souza"]', None)]
+    stored = records.documents(records.parse_pages(_pages(spark, html))).first()["document"]
+    assert json.loads(stored) == {
+        "Título": "Um", "Autor(es)": ["Silva", "Souza"], "URI": "x l x l | l | x l", "Data": "1 | 2", "Nota": "<b>",
+        "_id": "7", "_source_url": URL,
     }
     assert (got["page_title"], got["tables_found"], got["pdf_url"]) == ("T", 1, None)
 
@@ -156,7 +165,7 @@ def test_fallback_warning_and_documents(spark):
         ("F", "show_full", True),
         ("D", "show_full", False),
     ]
-    assert got[1]["fields"] == {"Título": "Um", "Autor": "B"}
+    assert got[1]["fields"] == {"Título": ["Um"], "Autor": ["B"]}
     assert got[1]["pdf_url"] == "https://h.example/bitstream/p/9/f"
     stored = [json.loads(r["document"]) for r in records.documents(merged).collect()]
     by_title = sorted(stored, key=lambda d: (d.get("_parser_warning") or "", d.get("_pdf_url") or ""))
