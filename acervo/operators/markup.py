@@ -223,7 +223,7 @@ def _with_values(tokens: DataFrame) -> DataFrame:
         .withColumn("coded", value)
         .select(
             "page_id",
-            "url",
+            F.when((tag == "table") & opens, F.col("url")).alias("url"),  # one copy per table is enough
             "pos",
             F.when(raw, "").otherwise(tag).alias("tag"),
             "closing",
@@ -233,7 +233,7 @@ def _with_values(tokens: DataFrame) -> DataFrame:
 
 
 def _blocks(state: DataFrame) -> DataFrame:
-    """Cells, headings and table starts, one row each, with decoded texts and resolved links.
+    """Cells, headings and table starts, one row each; links still as they are written.
 
     Only closed cells in closed rows of closed tables survive; of several closing tags the first
     counts.
@@ -262,7 +262,7 @@ def _blocks(state: DataFrame) -> DataFrame:
         state.withColumn("member", F.explode(membership))
         .groupBy("page_id", F.col("member.kind").alias("kind"), F.col("member.id").alias("id"))
         .agg(
-            F.first("url").alias("url"),
+            F.max(F.when(F.col("top_open"), F.col("url"))).alias("url"),
             F.min(F.when(F.col("heading_close") | F.col("top_open") | F.col("cell_close"), F.col("pos"))).alias("pos"),
             F.array_sort(F.collect_list(F.when(is_text | link_opens | link_closes, event))).alias("events"),
             F.max(F.when(F.col("cell_open") | F.col("top_open"), F.col("value"))).alias("attribute"),
@@ -280,9 +280,7 @@ def _blocks(state: DataFrame) -> DataFrame:
 
     def link(z: Column) -> Column:
         between = F.filter("events", lambda e: (e["pos"] > z["tag"]["pos"]) & (e["pos"] < z["next"]["pos"]))
-        return F.struct(
-            urls.resolve_url(F.col("url"), z["tag"]["value"]).alias("href"), joined(between).alias("text")
-        )
+        return F.struct(z["tag"]["value"].alias("href"), joined(between).alias("text"))
 
     return blocks.select(
         "page_id",
@@ -315,7 +313,9 @@ def table_cells(pages: DataFrame) -> DataFrame:
     in_page = Window.partitionBy("page_id").orderBy("pos")
     running = in_page.rowsBetween(Window.unboundedPreceding, 0)
     heading = F.when((F.col("kind") == "heading") & (F.col("text") != ""), F.col("text"))
-    table = F.struct(F.coalesce("heading", F.lit("")).alias("heading"), F.col("attribute").alias("summary"))
+    table = F.struct(
+        "url", F.coalesce("heading", F.lit("")).alias("heading"), F.col("attribute").alias("summary")
+    )
     cells = (
         blocks.withColumn("heading", F.last(heading, ignorenulls=True).over(running))
         .withColumn("table", F.last(F.when(F.col("kind") == "table", table), ignorenulls=True).over(running))
@@ -340,15 +340,19 @@ def table_cells(pages: DataFrame) -> DataFrame:
             }
         )
     )
+    links = F.transform(
+        "links",
+        lambda k: F.struct(urls.resolve_url(F.col("table.url"), k["href"]).alias("href"), k["text"].alias("text")),
+    )
     return numbered.select(
         "page_id",
-        "url",
+        "table.url",
         "table_no",
         "row_no",
         "cell_no",
         "text",
         F.col("attribute").alias("cell_class"),
-        "links",
+        links.alias("links"),
         "table.heading",
         "table.summary",
     )
