@@ -141,19 +141,31 @@ def section_sizes(cleaned: DataFrame) -> DataFrame:
 
 
 def section_texts(cleaned: DataFrame) -> DataFrame:
-    """The section as one text per document, as it is stored.
+    """The section as text, as it is stored: doc_id, piece_no, section.
 
-    Pages are joined first and documents from their pages, so one value holds at most 35 pages.
+    Lines are joined per page first and pages per document then. A section is one piece, number
+    0, unless it has more than ``LINES_PER_PART`` lines: then it goes on in further pieces, so no
+    value grows without bound.
     """
-    by_page = cleaned.groupBy("doc_id", "page_no").agg(
-        F.array_sort(F.collect_list(F.struct("line_no", "line"))).alias("lines")
+    by_part = cleaned.groupBy("doc_id", "page_no", "part").agg(
+        F.count("*").alias("n"), F.array_sort(F.collect_list(F.struct("line_no", "line"))).alias("lines")
     )
-    page_text = F.array_join(F.transform("lines", lambda e: e["line"]), "\n")
-    by_doc = by_page.groupBy("doc_id").agg(
-        F.array_sort(F.collect_list(F.struct("page_no", page_text.alias("text")))).alias("pages")
+    of_doc = Window.partitionBy("doc_id")
+    so_far = of_doc.orderBy("page_no", "part").rowsBetween(Window.unboundedPreceding, 0)
+    pieces = (
+        by_part.withColumn("text", F.array_join(F.transform("lines", lambda e: e["line"]), "\n"))
+        .withColumn("seen", F.sum("n").over(so_far))
+        .withColumn("total", F.sum("n").over(of_doc))
+        .withColumn("piece_no", F.floor((F.col("seen") - F.col("n")) / LINES_PER_PART))
+        .groupBy("doc_id", "piece_no")
+        .agg(
+            F.array_sort(F.collect_list(F.struct("page_no", "part", "text"))).alias("parts"),
+            F.max(F.col("seen") == F.col("total")).alias("ends"),
+        )
     )
-    whole = F.array_join(F.transform("pages", lambda e: e["text"]), "\n")
-    return by_doc.select("doc_id", F.regexp_replace(whole, r"^\n+|\n+$", "").alias("section"))
+    whole = F.array_join(F.transform("parts", lambda e: e["text"]), "\n")
+    section = F.when(F.col("ends"), F.regexp_replace(whole, r"\n+$", "")).otherwise(whole)
+    return pieces.select("doc_id", F.col("piece_no").cast("int").alias("piece_no"), section.alias("section"))
 
 
 def section_status(

@@ -46,10 +46,11 @@ def union_relations(relations: dict[str, DataFrame], source_column: str = "__tab
 def latest_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     """One row per key, the last by ``order``: a document written again replaces the earlier one.
 
-    An aggregate, not a window: each task keeps one row per key before the shuffle.
+    ``order`` should leave no ties, so that a task run again picks the same row. An aggregate, not a window: each task keeps one row per key before the shuffle.
     """
     rest = [c for c in df.columns if c != key]
-    newest = F.max_by(F.struct(*[F.col(f"`{c}`") for c in rest]), F.struct(*order))
+    quoted = lambda names: F.struct(*[F.col(f"`{c}`") for c in names])
+    newest = F.max_by(quoted(rest), quoted(order))
     return df.groupBy(key).agg(newest.alias("__row")).select(key, "__row.*")
 
 

@@ -36,7 +36,7 @@ def silver_papers(
     contents = contents.select("paper_id", "tableOfContent")
     if dedupe:
         contents = latest_per_key(contents, "paper_id", ["tableOfContent"])
-        papers = latest_per_key(papers, "_id", ["_source_url"])
+        papers = latest_per_key(papers, "_id", [c for c in papers.columns if c != "_id"])
     renamed = rename_odd_labels(dates.with_pt_date(papers, "Data do documento", "data_publicacao"))
     # Texts are cleaned before the join, once per stored document and not once per joined row.
     raw = {"pdf_url_raw": "_pdf_url", "source_url_raw": "_source_url"} if raw_urls else {}

@@ -69,9 +69,9 @@ def append_documents(documents: DataFrame, path: str, run: int) -> None:
 
 
 def read_latest_documents(spark: SparkSession, path: str, schema: T.StructType, key: str) -> DataFrame:
-    """Documents under ``path``, the last run's for every key."""
+    """Documents under ``path``, the last run's for every key (of two in one run, the greater)."""
     runs = read_json(spark, path, T.StructType([*schema.fields, T.StructField("run", T.LongType())]))
-    return latest_per_key(runs, key, ["run"]).drop("run")
+    return latest_per_key(runs, key, ["run", *schema.names]).drop("run")
 
 
 def stored_objects(spark: SparkSession, path: str) -> DataFrame:

@@ -89,7 +89,7 @@ def q_toc_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contents.section_texts(contents.clean_section(contents.section_lines(inputs.lines(spark, sf_dir))))
 
 
-ORACLES["q_toc_text"] = f"WITH {_SQL_TEXTS} SELECT * FROM texts"
+ORACLES["q_toc_text"] = f"WITH {_SQL_TEXTS} SELECT doc_id, 0 AS piece_no, section FROM texts"
 
 
 def q_status_gates(spark: SparkSession, sf_dir: str) -> DataFrame:

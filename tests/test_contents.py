@@ -55,7 +55,7 @@ def test_marker_must_be_the_whole_line_and_within_the_page_limit(spark):
 def test_section_text(spark):
     pages = {1: "Sumário\nUm ..... 1\nUm --- 1\n....\n----\nDois 2", 2: "Dois 2\nUm ..... 1\nTres 3\n_____"}
     section = contents.clean_section(contents.section_lines(contents.page_lines(_pages(spark, {"d": pages}))))
-    texts = dict(map(tuple, contents.section_texts(section).collect()))
+    texts = {r["doc_id"]: r["section"] for r in contents.section_texts(section).collect()}
     assert texts == {"d": "Sumário\nUm 1\n\nDois 2\nUm 1\nTres 3"}
     assert rows(contents.section_sizes(section)) == [("d", len(texts["d"]))]
 
@@ -69,6 +69,12 @@ def test_oversized_pages_are_cut_without_a_trace(spark, monkeypatch):
     assert whole.select("part").distinct().count() == 1
     assert cut.select("part").distinct().count() == 9
     assert rows(cut, "doc_id", "page_no", "line_no", "line") == rows(whole, "doc_id", "page_no", "line_no", "line")
+    pieces = contents.section_texts(cut).where("doc_id = 'd'").orderBy("piece_no").collect()
+    assert len(pieces) > 3
+    monkeypatch.undo()
+    one = contents.section_texts(whole).where("doc_id = 'd'").collect()
+    assert [r["piece_no"] for r in one] == [0]
+    assert "\n".join(r["section"] for r in pieces) == one[0]["section"]
 
 
 def test_page_stats(spark):
