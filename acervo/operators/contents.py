@@ -168,32 +168,61 @@ def section_texts(cleaned: DataFrame) -> DataFrame:
     return pieces.select("doc_id", F.col("piece_no").cast("int").alias("piece_no"), section.alias("section"))
 
 
-def section_status(
-    lines: DataFrame, marker: str = fixed.SECTION_MARKER, max_pages: int = fixed.MAX_PAGES_TO_SCAN
-) -> DataFrame:
-    """Outcome per document: doc_id, text_chars, section_chars, status, message (NULL for 200)."""
-    stats = stored(page_stats(lines, marker, max_pages), "page-stats")  # read twice below
+def _documents_seen(stats: DataFrame) -> DataFrame:
+    """Per document: characters of the scanned pages and whether a marker was found."""
     scanned = F.col("end_page").isNull() | (F.col("page_no") <= F.col("end_page"))
-    docs = _with_bounds(stats).groupBy("doc_id").agg(
+    return _with_bounds(stats).groupBy("doc_id").agg(
         F.sum(F.when(scanned, F.col("n_chars")).otherwise(0)).alias("text_chars"),
         F.max(F.col("marker_page").isNotNull()).alias("has_marker"),
     )
-    sizes = section_sizes(clean_section(section_lines(lines, stats, max_pages)))
+
+
+def _with_status(documents: DataFrame) -> DataFrame:
+    """Adds status and message from text_chars, has_marker and section_chars."""
     message = (
         F.when(F.col("text_chars") < fixed.MIN_EXTRACTED_TEXT_CHARS, fixed.NOT_ENOUGH_TEXT)
         .when(~F.col("has_marker"), fixed.MARKER_NOT_FOUND)
         .when(F.col("section_chars") < fixed.MIN_SECTION_CHARS, fixed.SECTION_TOO_SHORT)
     )
-    return (
-        docs.join(sizes, "doc_id", "left")
+    return documents.withColumn("message", message).withColumn(
+        "status", F.when(F.col("message").isNull(), 200).otherwise(422)
+    )
+
+
+def section_status(
+    lines: DataFrame, marker: str = fixed.SECTION_MARKER, max_pages: int = fixed.MAX_PAGES_TO_SCAN
+) -> DataFrame:
+    """Outcome per document: doc_id, text_chars, section_chars, status, message (NULL for 200)."""
+    stats = stored(page_stats(lines, marker, max_pages), "page-stats")  # read twice below
+    sizes = section_sizes(clean_section(section_lines(lines, stats, max_pages)))
+    sized = (
+        _documents_seen(stats)
+        .join(sizes, "doc_id", "left")
         .withColumn("section_chars", F.coalesce("section_chars", F.lit(0)))
-        .select(
-            "doc_id",
-            "text_chars",
-            "section_chars",
-            F.when(message.isNull(), 200).otherwise(422).alias("status"),
-            message.alias("message"),
-        )
+    )
+    return _with_status(sized).select("doc_id", "text_chars", "section_chars", "status", "message")
+
+
+def contents_documents(
+    lines: DataFrame, marker: str = fixed.SECTION_MARKER, max_pages: int = fixed.MAX_PAGES_TO_SCAN
+) -> DataFrame:
+    """Stored form of the sections: doc_id, document (JSON, NULL unless status is 200), status, message.
+
+    A section of several pieces is several documents of the same paper.
+    """
+    stats = stored(page_stats(lines, marker, max_pages), "page-stats")
+    texts = section_texts(clean_section(section_lines(lines, stats, max_pages)))
+    of_doc = Window.partitionBy("doc_id")
+    sized = (
+        _documents_seen(stats)
+        .join(texts, "doc_id", "left")
+        .withColumn("section_chars", F.coalesce(F.sum(F.length("section") + 1).over(of_doc) - 1, F.lit(0)))
+    )
+    body = F.to_json(
+        F.struct(F.col("doc_id").cast("string").alias("paper_id"), F.col("section").alias("tableOfContent"))
+    )
+    return _with_status(sized).select(
+        "doc_id", F.when(F.col("status") == 200, body).alias("document"), "status", "message"
     )
 
 

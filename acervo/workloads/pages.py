@@ -85,7 +85,7 @@ _HAS_RECORD = "c_custkey % 4 > 0"
 _HAS_FULL_RECORD = "c_custkey % 8 > 0"
 
 
-def _rendered(spark: SparkSession, sf_dir: str, full: bool = False) -> DataFrame:
+def rendered(spark: SparkSession, sf_dir: str, full: bool = False) -> DataFrame:
     """One item page per customer; every fourth has no table, its full variant mostly has one."""
     customers, nations = spread(inputs.load(spark, sf_dir, "customer")), inputs.load(spark, sf_dir, "nation")
     joined = customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
@@ -102,7 +102,7 @@ def _rendered(spark: SparkSession, sf_dir: str, full: bool = False) -> DataFrame
 
 
 def q_html_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cells = markup.table_cells(_rendered(spark, sf_dir))
+    cells = markup.table_cells(rendered(spark, sf_dir))
     first = F.try_element_at("links", F.lit(1))
     return cells.select(
         "page_id",
@@ -192,7 +192,7 @@ ORACLES["q_html_cells"] = _sql_cells()
 
 
 def q_metadata_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return records.metadata_tables(markup.table_cells(_rendered(spark, sf_dir)))
+    return records.metadata_tables(markup.table_cells(rendered(spark, sf_dir)))
 
 
 # The record has five metadata rows of six (six of seven with its link), the small table two of two.
@@ -209,7 +209,7 @@ _SQL_PDF = f"""CASE c_custkey % 6 WHEN 0 THEN '{HOST}/files/' || c_custkey || '.
 
 
 def q_pdf_url(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return records.parse_pages(_rendered(spark, sf_dir)).select("page_id", "page_title", "tables_found", "pdf_url")
+    return records.parse_pages(rendered(spark, sf_dir)).select("page_id", "page_title", "tables_found", "pdf_url")
 
 
 _SQL_TABLES = "1 + CASE WHEN c_custkey % 3 = 0 THEN 1 ELSE 0 END + CASE WHEN c_custkey % 6 < 3 THEN 1 ELSE 0 END"
@@ -220,7 +220,7 @@ SELECT c_custkey AS page_id, 'Item ' || c_name || ' & mais' AS page_title,
 
 
 def q_record_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    merged = records.records_with_fallback(_rendered(spark, sf_dir), _rendered(spark, sf_dir, full=True))
+    merged = records.records_with_fallback(rendered(spark, sf_dir), rendered(spark, sf_dir, full=True))
     return merged.select(
         "page_id",
         "source_used",
@@ -248,7 +248,7 @@ FROM c"""
 
 def q_record_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The JSON documents of the records, read back by key."""
-    stored = records.documents(records.parse_pages(_rendered(spark, sf_dir)))
+    stored = records.documents(records.parse_pages(rendered(spark, sf_dir)))
     keys = F.from_json("document", "map<string,string>")
     at = lambda name: F.try_element_at(keys, F.lit(name))
     return stored.select(

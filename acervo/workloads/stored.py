@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acervo import fixed_values as fixed
-from acervo.plans import layers, models
+from acervo.plans import checks, ingest, layers, models
 from acervo.session import spread, work_dir
 from acervo.sources import documents, tables
 from acervo.streaming.ingest import load_new_files
-from acervo.workloads import inputs, warehouse
+from acervo.workloads import inputs, lines, pages, warehouse
 
 QUERIES, ORACLES = {}, {}
 
@@ -87,6 +87,52 @@ def q_incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLES["q_incremental_load"] = f'SELECT _id, "Título", "Tipo" FROM ({inputs.PAPERS_SQL})'
 
+
+
+def q_ingest_papers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Item pages to stored JSON documents and back through the fixed schema."""
+    folder = work_dir(spark, "ingest-papers")
+    ingest.store_papers(pages.rendered(spark, sf_dir), pages.rendered(spark, sf_dir, full=True), folder, run=1)
+    loaded = documents.read_latest_documents(spark, folder, documents.PAPERS, "_id")
+    return loaded.select("_id", "_source_url", "_pdf_url", "_parser_warning", "Título", "Autor(es)", "Palavras-chave", "URI")
+
+
+ORACLES["q_ingest_papers"] = f"""
+SELECT CAST(page_id AS VARCHAR) AS _id, '{inputs.HOST}/handle/prefix/' || page_id AS _source_url, pdf_url AS _pdf_url,
+  warning AS _parser_warning, titulo AS "Título", autores AS "Autor(es)", CAST(NULL AS VARCHAR) AS "Palavras-chave",
+  uri AS "URI" FROM ({pages.ORACLES['q_record_fallback']})"""
+
+
+def q_ingest_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines to stored tables of contents and back, with the rejected documents beside them."""
+    folder = work_dir(spark, "ingest-contents")
+    rejected = ingest.store_contents(inputs.lines(spark, sf_dir), folder, run=1)
+    loaded = documents.read_json(spark, folder, documents.CONTENTS)
+    good = loaded.select("paper_id", "tableOfContent", F.lit(None).cast("string").alias("message"))
+    return good.unionByName(
+        rejected.select(F.col("key").alias("paper_id"), F.lit(None).cast("string").alias("tableOfContent"), "message")
+    )
+
+
+ORACLES["q_ingest_contents"] = f"""
+SELECT CAST(s.doc_id AS VARCHAR) AS paper_id, CASE WHEN status = 200 THEN section END AS "tableOfContent", message
+FROM ({lines.ORACLES['q_status_gates']}) s LEFT JOIN ({lines.ORACLES['q_toc_text']}) t ON s.doc_id = t.doc_id"""
+
+
+def q_model_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The teacher model's own data tests."""
+    teachers = models.silver_teachers(inputs.teachers(spark, sf_dir))
+    return checks.run_checks({"silver_base_docentes": teachers})
+
+
+ORACLES["q_model_checks"] = f"""
+WITH t AS ({warehouse.ORACLES['q_silver_teacher']}),
+v AS (SELECT 'not_null' AS "check", 'silver_base_docentes_disciplina' AS column_name,
+    (SELECT count(*) FROM t WHERE silver_base_docentes_disciplina IS NULL) AS violations
+  UNION ALL SELECT 'unique', 'silver_base_docentes_id',
+    (SELECT count(*) FROM (SELECT 1 FROM t WHERE silver_base_docentes_id IS NOT NULL GROUP BY silver_base_docentes_id HAVING count(*) > 1)))
+SELECT 'silver_base_docentes' AS model, "check", column_name, violations, violations = 0 AS passed FROM v"""
+
 # Publishing years of each period; together they cover all papers.
 _PERIOD_YEARS = [(None, 2016), (2017, 2018), (2019, 2020), (2021, 2022), (2023, 2024), (2025, None)]
 _PERIOD = "CASE " + " ".join(

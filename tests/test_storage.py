@@ -6,7 +6,8 @@ import json
 import pytest
 
 from acervo import fixed_values as fixed
-from acervo.plans import layers, models
+from acervo.operators import contents
+from acervo.plans import checks, ingest, layers, models
 from acervo.session import shared_dir, stored
 from acervo.sources import documents, tables
 from acervo.streaming.ingest import load_new_files
@@ -177,3 +178,31 @@ def test_shared_folder(spark):
 def test_schemas_are_text(kind):
     schema = documents.PAPERS if kind == "papers" else documents.CONTENTS
     assert {f.dataType.simpleString() for f in schema.fields} == {"string"}
+
+
+def test_model_checks(spark, tmp_path):
+    built = layers.build(spark, _settings(spark, tmp_path), str(tmp_path / "warehouse"), {"silver"})
+    assert rows(checks.run_checks(built), "check", "violations", "passed") == [("not_null", 2, False), ("unique", 1, False)]
+    assert checks.run_checks({}) is None
+
+
+def test_pages_to_documents_to_stage(spark, tmp_path):
+    table = "<table><tr><td>Título</td><td>{t}</td></tr><tr><td>Autor(es)</td><td>A</td></tr><tr><td>Autor(es)</td><td>B</td></tr></table>"
+    schema = "page_id bigint, url string, html string"
+    first = spark.createDataFrame([(1, "https://h/handle/p/1", table.format(t="um")), (2, "https://h/", "")], schema)
+    again = spark.createDataFrame([(1, "https://h/handle/p/1", table.format(t="dois"))], schema)
+    none = spark.createDataFrame([], schema)
+    target = str(tmp_path / "docs")
+    assert rows(ingest.store_papers(first, none, target, 1), "url", "status") == [("https://h/", 500)]
+    assert ingest.store_papers(again, none, target, 2).count() == 0
+    papers = documents.read_latest_documents(spark, target, documents.PAPERS, "_id")
+    assert rows(papers, "_id", "`Título`", "`Autor(es)`") == [("1", "dois", '["A","B"]')]
+
+
+def test_lines_to_documents(spark, tmp_path):
+    entries = "\n".join(f"{i}. Capitulo numero {i} ..... {i}" for i in range(1, 30))
+    pages = spark.createDataFrame([("7", 1, "Sumário\n" + entries), ("8", 1, "nada")], "doc_id string, page_no int, text string")
+    rejected = ingest.store_contents(contents.page_lines(pages), str(tmp_path / "toc"), 1)
+    assert rows(rejected) == [("8", 422, "error 1: No enough text")]
+    stored_text = documents.contents_table(spark, str(tmp_path / "toc")).collect()
+    assert [(r["paper_id"], r["table_of_content"][:28]) for r in stored_text] == [("7", "Sumário\n1. Capitulo numero 1")]
