@@ -104,7 +104,7 @@ def format_conversations(
 
 def read_turns(formatted: Column) -> Column:
     """The turns of a formatted conversation, as they were: array of (role, text)."""
-    blocks = F.slice(F.split(formatted, r"<\|im_start\|>"), 2, F.lit(2**31 - 1))
+    blocks = F.filter(F.split(formatted, r"<\|im_start\|>"), lambda _, i: i > 0)
 
     def turns(block: Column) -> Column:
         role = F.url_decode(F.substring_index(block, "\n", 1))

@@ -61,7 +61,7 @@ def likeness(a: Column, b: Column) -> Column:
 
 def differences(a: Column, b: Column) -> Column:
     """Where ``b`` differs from ``a``: the numbers, from 0, of sections of ``b`` whose node ``a`` lacks."""
-    of = lambda fp: F.slice(F.split(fp, r"\|"), 2, F.lit(2**31 - 1))
+    of = lambda fp: F.filter(F.split(fp, r"\|"), lambda _, i: i > 0)
     nodes = F.transform(of(a), lambda s: F.left(s, F.lit(8)))
     marked = F.transform(of(b), lambda s, i: F.when(~F.array_contains(nodes, F.left(s, F.lit(8))), i))
     return F.when(F.left(a, F.lit(32)) == F.left(b, F.lit(32)), F.array().cast("array<int>")).otherwise(
