@@ -267,6 +267,7 @@ MISSING_BUCKET_ONLY = "Missing bucket. Send bucket or configure S3_BUCKET."
 MISSING_BUCKET = "Missing bucket or pdf_s3_uri."
 MISSING_KEY = "Missing key or pdf_s3_uri."
 INVALID_EVENT = "Invalid event. Expected JSON object."
+UNREADABLE_BODY = "The body is no readable JSON."
 NO_PAPER_ID = "Could not extract paper id from URL."
 NO_ID_IN_PDF_URL = "Missing id and could not extract id from URL."
 NO_ID_IN_FILE_NAME = "Could not extract paper_id from file name. Send paper_id explicitly."

@@ -87,7 +87,7 @@ def _decoder(times: int, many: bool = False):
 
 
 def unescape(c: Column, times: int = 1) -> Column:
-    """HTML entities decoded. Only texts with an ampersand travel to Python."""
+    """HTML entities decoded. All rows go through Python; texts without an ampersand go as NULL."""
     return F.coalesce(_decoder(times)(F.when(c.contains("&"), c)), c)
 
 

@@ -1,14 +1,14 @@
 """Table-of-contents sections from lines of extracted page text.
 
 Lines are ``(doc_id, page_no, line_no, text)`` with whole line numbers, gaps allowed. Counts are
-pre-aggregated per page, the section is decided on at most 35 page rows per document, and only
-then are the lines of the chosen pages read: no document's lines meet in one task, and a page of
-more than ``LINES_PER_PART`` lines is worked on in parts.
+pre-aggregated per page, the section is decided on page rows, and only then are the lines of the
+chosen pages read. A page of more than ``LINES_PER_PART`` lines is sorted in parts. All pages count
+unless the caller passes ``max_pages``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from acervo import fixed_values as fixed
@@ -20,12 +20,17 @@ from acervo.session import stored
 LINES_PER_PART = 500_000
 
 
-def page_lines(pages: DataFrame, max_pages: int = fixed.MAX_PAGES_TO_SCAN) -> DataFrame:
+def scanned_pages(rows: DataFrame, max_pages: int | None) -> DataFrame:
+    """The scan cap: rows of the first ``max_pages`` pages; all rows for None."""
+    return rows if max_pages is None else rows.where(F.col("page_no") <= max_pages)
+
+
+def page_lines(pages: DataFrame, max_pages: int | None = None) -> DataFrame:
     """Lines of document pages ``(doc_id, page_no, text)``; pages without text are skipped.
 
-    The page limit is applied before anything is split.
+    A page limit is applied before anything is split.
     """
-    scanned = pages.where((F.col("page_no") <= max_pages) & F.col("text").isNotNull())
+    scanned = scanned_pages(pages, max_pages).where(F.col("text").isNotNull())
     split = F.split(rules.normalise_page(F.col("text")), rules.LINE_BREAK)
     return scanned.select("doc_id", "page_no", F.posexplode(split).alias("line_no", "text"))
 
@@ -51,10 +56,10 @@ def classified(lines: DataFrame, marker: str = fixed.SECTION_MARKER) -> DataFram
 
 
 def page_stats(
-    lines: DataFrame, marker: str = fixed.SECTION_MARKER, max_pages: int = fixed.MAX_PAGES_TO_SCAN
+    lines: DataFrame, marker: str = fixed.SECTION_MARKER, max_pages: int | None = None
 ) -> DataFrame:
     """Counts per page and whether the page looks like a table of contents."""
-    counted = classified(lines.where(F.col("page_no") <= max_pages), marker).withColumn("chars", rules.line_chars(F.col("text")))
+    counted = classified(scanned_pages(lines, max_pages), marker).withColumn("chars", rules.line_chars(F.col("text")))
     stats = counted.groupBy("doc_id", "page_no").agg(
         F.count_if(~F.col("noise")).alias("n_lines"),
         F.count_if("is_entry").alias("n_entries"),
@@ -78,13 +83,15 @@ def page_stats(
 
 
 def _with_bounds(stats: DataFrame) -> DataFrame:
-    """Marker page and ending page of the document on each of its (at most 35) page rows."""
-    of_doc = Window.partitionBy("doc_id")
-    started = stats.withColumn(
-        "marker_page", F.min(F.when(F.col("marker_line").isNotNull(), F.col("page_no"))).over(of_doc)
-    )
-    ends = (F.col("page_no") > F.col("marker_page")) & ~F.col("looks_like_contents")
-    return started.withColumn("end_page", F.min(F.when(ends, F.col("page_no"))).over(of_doc))
+    """Marker page and ending page of the document on each of its page rows.
+
+    Two aggregates, so that a document's pages never meet in one task.
+    """
+    first = F.min("page_no")
+    started = stats.where(F.col("marker_line").isNotNull()).groupBy("doc_id").agg(first.alias("marker_page"))
+    after = stats.join(started, "doc_id").where((F.col("page_no") > F.col("marker_page")) & ~F.col("looks_like_contents"))
+    ended = after.groupBy("doc_id").agg(first.alias("end_page"))
+    return stats.join(started.join(ended, "doc_id", "left"), "doc_id", "left")
 
 
 def section_pages(stats: DataFrame) -> DataFrame:
@@ -105,7 +112,7 @@ def section_pages(stats: DataFrame) -> DataFrame:
 
 
 def section_lines(
-    lines: DataFrame, stats: DataFrame | None = None, max_pages: int = fixed.MAX_PAGES_TO_SCAN
+    lines: DataFrame, stats: DataFrame | None = None, max_pages: int | None = None
 ) -> DataFrame:
     """Lines of the section, noise off, marker line kept: doc_id, page_no, part, line_no, line.
 
@@ -114,7 +121,7 @@ def section_lines(
     """
     pages = section_pages(page_stats(lines, max_pages=max_pages) if stats is None else stats)
     chosen = (
-        lines.where(F.col("page_no") <= max_pages)
+        scanned_pages(lines, max_pages)
         .join(pages, ["doc_id", "page_no"])
         .where(F.col("from_line").isNull() | (F.col("line_no") >= F.col("from_line")))
     )
@@ -141,31 +148,17 @@ def section_sizes(cleaned: DataFrame) -> DataFrame:
 
 
 def section_texts(cleaned: DataFrame) -> DataFrame:
-    """The section as text, as it is stored: doc_id, piece_no, section.
+    """The section as text, as it is stored: doc_id, section, one row per document of any size.
 
-    Lines are joined per page first and pages per document then. A section is one piece, number
-    0, unless it has more than ``LINES_PER_PART`` lines: then it goes on in further pieces, so no
-    value grows without bound.
+    Lines are joined per part of a page first and parts per document then.
     """
     by_part = cleaned.groupBy("doc_id", "page_no", "part").agg(
-        F.count("*").alias("n"), F.array_sort(F.collect_list(F.struct("line_no", "line"))).alias("lines")
-    )
-    of_doc = Window.partitionBy("doc_id")
-    so_far = of_doc.orderBy("page_no", "part").rowsBetween(Window.unboundedPreceding, 0)
-    pieces = (
-        by_part.withColumn("text", F.array_join(F.transform("lines", lambda e: e["line"]), "\n"))
-        .withColumn("seen", F.sum("n").over(so_far))
-        .withColumn("total", F.sum("n").over(of_doc))
-        .withColumn("piece_no", F.floor((F.col("seen") - F.col("n")) / LINES_PER_PART))
-        .groupBy("doc_id", "piece_no")
-        .agg(
-            F.array_sort(F.collect_list(F.struct("page_no", "part", "text"))).alias("parts"),
-            F.max(F.col("seen") == F.col("total")).alias("ends"),
-        )
+        F.array_sort(F.collect_list(F.struct("line_no", "line"))).alias("lines")
     )
+    joined = by_part.withColumn("text", F.array_join(F.transform("lines", lambda e: e["line"]), "\n"))
+    parts = joined.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("page_no", "part", "text"))).alias("parts"))
     whole = F.array_join(F.transform("parts", lambda e: e["text"]), "\n")
-    section = F.when(F.col("ends"), F.regexp_replace(whole, r"\n+$", "")).otherwise(whole)
-    return pieces.select("doc_id", F.col("piece_no").cast("int").alias("piece_no"), section.alias("section"))
+    return parts.select("doc_id", F.regexp_replace(whole, r"\n+$", "").alias("section"))
 
 
 def _documents_seen(stats: DataFrame) -> DataFrame:
@@ -190,7 +183,7 @@ def _with_status(documents: DataFrame) -> DataFrame:
 
 
 def section_status(
-    lines: DataFrame, marker: str = fixed.SECTION_MARKER, max_pages: int = fixed.MAX_PAGES_TO_SCAN
+    lines: DataFrame, marker: str = fixed.SECTION_MARKER, max_pages: int | None = None
 ) -> DataFrame:
     """Outcome per document: doc_id, text_chars, section_chars, status, message (NULL for 200)."""
     stats = stored(page_stats(lines, marker, max_pages), "page-stats")  # read twice below
@@ -204,19 +197,15 @@ def section_status(
 
 
 def contents_documents(
-    lines: DataFrame, marker: str = fixed.SECTION_MARKER, max_pages: int = fixed.MAX_PAGES_TO_SCAN
+    lines: DataFrame, marker: str = fixed.SECTION_MARKER, max_pages: int | None = None
 ) -> DataFrame:
-    """Stored form of the sections: doc_id, document (JSON, NULL unless status is 200), status, message.
-
-    A section of several pieces is several documents of the same paper.
-    """
+    """Stored form of the sections: doc_id, document (JSON, NULL unless status is 200), status, message."""
     stats = stored(page_stats(lines, marker, max_pages), "page-stats")
     texts = section_texts(clean_section(section_lines(lines, stats, max_pages)))
-    of_doc = Window.partitionBy("doc_id")
     sized = (
         _documents_seen(stats)
         .join(texts, "doc_id", "left")
-        .withColumn("section_chars", F.coalesce(F.sum(F.length("section") + 1).over(of_doc) - 1, F.lit(0)))
+        .withColumn("section_chars", F.coalesce(F.length("section"), F.lit(0)))
     )
     body = F.to_json(
         F.struct(F.col("doc_id").cast("string").alias("paper_id"), F.col("section").alias("tableOfContent"))

@@ -24,6 +24,11 @@ def _is_object(json: Column) -> Column:
     return F.json_object_keys(json).isNotNull()
 
 
+def _readable(json: Column) -> Column:
+    """Whether the text is JSON of any kind."""
+    return F.try_parse_json(json).isNotNull()
+
+
 def _filled(c: Column) -> Column:
     """NULL for an empty text."""
     return F.nullif(c, F.lit(""))
@@ -32,13 +37,15 @@ def _filled(c: Column) -> Column:
 def _opened(events: DataFrame) -> DataFrame:
     """Adds the parsed envelope, the text of its body and the request in force.
 
-    A body that is an object, or text holding one, takes the place of the outer object.
+    A body that is an object, or text holding one, takes the place of the outer object. A body text
+    that is no JSON makes the event unreadable: ``__bad_body``, without a request.
     """
     outer = events.withColumn("__env", F.from_json("event", _ENVELOPE))
     body = _filled(F.col("__env.body"))
-    return outer.withColumn("__body", F.when(_is_object(body), body)).withColumn(
-        "__request", F.from_json(F.coalesce("__body", "event"), _REQUEST)
-    )
+    bad = F.coalesce(body.isNotNull() & ~_readable(body), F.lit(False))
+    opened = outer.withColumns({"__body": F.when(_is_object(body), body), "__bad_body": bad})
+    request = F.from_json(F.coalesce("__body", "event"), _REQUEST)
+    return opened.withColumn("__request", F.when(~F.col("__bad_body"), request))
 
 
 def _verdict(checks: list[tuple[Column, str, int]]) -> dict[str, Column]:
@@ -54,13 +61,15 @@ def link_requests(events: DataFrame) -> DataFrame:
     """Search-page requests: the query string's url, else the body's, else the event's own."""
     direct = F.from_json("event", "url string")["url"]
     in_body = F.from_json("__body", "url string")["url"]
-    url = F.coalesce(_filled(F.col("__env.queryStringParameters.url")), _filled(in_body), _filled(direct))
+    asked = _filled(F.col("__env.queryStringParameters.url"))  # found before the body is looked at
+    url = F.coalesce(asked, F.when(~F.col("__bad_body"), F.coalesce(_filled(in_body), _filled(direct))))
     opened = _opened(events).withColumn("url", url)
     checks = [
         (~_is_object(F.col("event")), fixed.INVALID_EVENT, 500),
+        (F.col("__bad_body") & F.col("url").isNull(), fixed.UNREADABLE_BODY, 500),
         (F.col("url").isNull(), fixed.URL_REQUIRED, 500),
     ]
-    return opened.withColumns(_verdict(checks)).drop("__env", "__body", "__request")
+    return opened.withColumns(_verdict(checks)).drop("__env", "__body", "__bad_body", "__request")
 
 
 def paper_requests(events: DataFrame, bucket: str | None = None, prefix: str | None = None) -> DataFrame:
@@ -75,11 +84,12 @@ def paper_requests(events: DataFrame, bucket: str | None = None, prefix: str | N
     request = request.withColumn("item_id", urls.last_segment(F.col("url")))
     checks = [
         (~_is_object(F.col("event")), fixed.INVALID_EVENT, 500),
+        (F.col("__bad_body"), fixed.UNREADABLE_BODY, 500),
         (F.col("url").isNull(), fixed.MISSING_URL, 500),
         (F.col("bucket").isNull(), fixed.MISSING_BUCKET_ONLY, 500),
         (F.col("item_id").isNull(), fixed.NO_PAPER_ID, 500),
     ]
-    return request.withColumns(_verdict(checks)).drop("__env", "__body", "__request")
+    return request.withColumns(_verdict(checks)).drop("__env", "__body", "__bad_body", "__request")
 
 
 def pdf_requests(events: DataFrame, bucket: str | None = None, prefix: str | None = None) -> DataFrame:
@@ -97,11 +107,12 @@ def pdf_requests(events: DataFrame, bucket: str | None = None, prefix: str | Non
     request = request.withColumn("key", urls.pdf_key(F.col("prefix"), F.col("item_id")))
     checks = [
         (~_is_object(F.col("event")), fixed.INVALID_EVENT, 500),
+        (F.col("__bad_body"), fixed.UNREADABLE_BODY, 500),
         (F.col("pdf_url").isNull(), fixed.MISSING_PDF_URL, 500),
         (F.col("item_id").isNull(), fixed.NO_ID_IN_PDF_URL, 500),
         (F.col("bucket").isNull(), fixed.MISSING_BUCKET_ONLY, 500),
     ]
-    return request.withColumns(_verdict(checks)).drop("__env", "__body", "__request")
+    return request.withColumns(_verdict(checks)).drop("__env", "__body", "__bad_body", "__request")
 
 
 def contents_requests(
@@ -137,19 +148,24 @@ def contents_requests(
     request = request.withColumn("output_key", urls.contents_key(F.col("output_prefix"), F.col("paper_id")))
     checks = [
         (~_is_object(F.col("event")), fixed.INVALID_EVENT, 422),
+        (F.col("__bad_body"), fixed.UNREADABLE_BODY, 422),
         (F.col("__bad_uri"), fixed.INVALID_STORAGE_URI, 422),
         (F.col("bucket").isNull(), fixed.MISSING_BUCKET, 422),
         (F.col("key").isNull(), fixed.MISSING_KEY, 422),
         (F.col("paper_id").isNull(), fixed.NO_ID_IN_FILE_NAME, 422),
     ]
-    return request.withColumns(_verdict(checks)).drop("__env", "__body", "__request", "__bad_uri")
+    return request.withColumns(_verdict(checks)).drop("__env", "__body", "__bad_body", "__request", "__bad_uri")
 
 
 def decoded_responses(responses: DataFrame) -> DataFrame:
-    """Response envelopes ``(statusCode, body)``: the body of good ones, the reason of the others."""
+    """Response envelopes ``(statusCode, body)``: the body of good ones, the reason of the others.
+
+    A body that is no JSON, the empty text included, cannot be decoded.
+    """
     checks = [
         (~F.col("statusCode").eqNullSafe(200), fixed.NON_200_RESPONSE, 500),
         (F.col("body").isNull(), fixed.NO_RESPONSE_BODY, 500),
+        (~_readable(F.col("body")), fixed.UNREADABLE_BODY, 500),
     ]
     verdict = _verdict(checks)
     return responses.withColumns(verdict).withColumn("decoded", F.when(F.col("status") == 200, F.col("body")))

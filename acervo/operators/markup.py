@@ -1,8 +1,10 @@
 """HTML pages as a flat table of tokens, links and table cells.
 
 Input is ``(page_id, url, html)`` with one row per page, so every group below is one page and
-no larger than one input record. Each job has a single shuffle, of tokens by ``page_id``; the
-windows and groupings after it all contain ``page_id`` and reuse that partitioning.
+no larger than one input record. Tokens are decoded in the page's row and shuffled once, by
+``page_key``; the windows and groupings after it all contain ``page_key`` and reuse that
+partitioning. The key is made of the page's id, address and markup, so pages without an id, or with
+the same one, stay apart; a row that is repeated in all three counts as one page.
 """
 
 from __future__ import annotations
@@ -29,17 +31,31 @@ def _tag_pattern(names: str) -> str:
 _TOKEN = _SKIPPED + "|" + _tag_pattern(r"[a-z][^\s/>]*+") + r"|<[!?/][^>]*+>|[^<]++|<"
 
 
+# An attribute with a value; a quoted value may hold anything, other attributes' names included.
+_ATTRIBUTE = r"""(?is)[^\s"'<>/=]++\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>]++)"""
+
+
 def attribute(tag: Column, name: str) -> Column:
-    """Value of an attribute in the text of a start tag, '' where absent."""
-    pattern = rf"""(?is)[\s"'/]{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
-    return F.concat(*[F.regexp_extract(tag, pattern, i) for i in (1, 2, 3)])
+    """Value of an attribute in the text of a start tag, '' where absent; the last of repeated ones.
+
+    The tag is cut into its attributes from the left, so a name inside a quoted value is not met.
+    """
+    named = rf"(?is)^{name}\s*="
+    found = F.filter(F.regexp_extract_all(tag, F.lit(_ATTRIBUTE), F.lit(0)), lambda a: a.rlike(named))
+    value = F.regexp_extract(F.coalesce(F.try_element_at(found, F.lit(-1)), F.lit("")), r"(?s)=\s*(.*)$", 1)
+    return F.regexp_replace(value, r"""(?s)^(["'])(.*)\1$""", "$2")
+
+
+def page_key() -> Column:
+    """What tells pages apart: the id, and hashes of address and markup."""
+    return F.struct("page_id", F.xxhash64("url", "html").alias("h"), F.hash("url", "html").alias("g"))
 
 
 _TAG_NAME = r"^</?([A-Za-z][^\s/>]*)"
 
 
 def _tokens(pages: DataFrame, tags: list[str], keep_text: bool) -> DataFrame:
-    """One row per token: page_id, url, pos, tok, tag (lower case, '' for text), closing.
+    """One row per token: page_key, page_id, url, pos, tok, tag (lower case, '' for text), closing.
 
     Tokens are named and filtered as an array inside the page's row, so only the wanted ones
     become rows and each is matched against the patterns once. Without ``keep_text`` other tags
@@ -57,51 +73,58 @@ def _tokens(pages: DataFrame, tags: list[str], keep_text: bool) -> DataFrame:
         wanted = lambda t: t["tag"].isin(*tags, "script", "style") | (
             (t["tag"] == "") & t["tok"].rlike(r"(?U)^[^\S<]*+(?:[^\s<]|<(?![!?/]))")
         )
-    rows = pages.select("page_id", "url", F.inline(F.filter(cut, wanted)))
+    rows = pages.select(page_key().alias("page_key"), "page_id", "url", F.inline(F.filter(cut, wanted)))
     return rows.withColumn("closing", F.col("tok").startswith("</"))
 
 
+def _each_once(tokens: DataFrame) -> DataFrame:
+    """Tokens without the copies that a repeated page row brings; shares the sort of the windows."""
+    before = F.lag("pos").over(Window.partitionBy("page_key").orderBy("pos"))
+    return tokens.withColumn("before", before).where(~F.col("before").eqNullSafe(F.col("pos"))).drop("before")
+
+
 def container_links(
     pages: DataFrame,
     container: str = "table",
     summary: str | None = fixed.SEARCH_TABLE_SUMMARY,
 ) -> DataFrame:
-    """Links inside a container element, resolved, in document order: page_id, url, pos, link.
+    """Links inside a container element, resolved, in document order: page_key, page_id, url, pos, link.
 
     The container is any ``container`` element whose ``summary`` attribute equals ``summary``
-    (any such element for None). Nested containers belong to the outer one.
+    (any such element for None). Nested containers belong to the outer one; a self-closed one is none.
     """
     with_container = pages.where(F.lower("html").contains(f"<{container}"))
     tokens = _tokens(with_container, [container, "a"], keep_text=False)
     is_open = (F.col("tag") == container) & ~F.col("closing")
     is_close = (F.col("tag") == container) & F.col("closing")
     wanted = F.lit(True) if summary is None else F.btrim(attribute(F.col("tok"), "summary"), F.lit(" \t\r\n\f")) == summary
-    in_page = Window.partitionBy("page_id").orderBy("pos")
+    # Decided and decoded in the page's row: Python does not keep a partitioning.
+    href = F.when((F.col("tag") == "a") & ~F.col("closing"), attribute(F.col("tok"), "href"))
+    tokens = tokens.where(~((F.col("tag") == container) & F.col("tok").endswith("/>")))
+    tokens = tokens.withColumns({"target": is_open & wanted, "coded": href}).withColumn("href", text.unescape(F.col("coded")))
+    tokens = _each_once(tokens.drop("tok", "coded"))
+    in_page = Window.partitionBy("page_key").orderBy("pos")
     running = in_page.rowsBetween(Window.unboundedPreceding, 0)
     # Opening and closing tags of one nesting level alternate, so the tag before a closing
     # tag on its level is the one it closes.
-    on_level = Window.partitionBy("page_id", "level").orderBy("pos")
+    on_level = Window.partitionBy("page_key", "level").orderBy("pos")
     marked = (
-        tokens.withColumn("target", is_open & wanted)
-        .withColumn("depth", F.sum(F.when(is_open, 1).when(is_close, -1).otherwise(0)).over(running))
+        tokens.withColumn("depth", F.sum(F.when(is_open, 1).when(is_close, -1).otherwise(0)).over(running))
         .withColumn("level", F.when(is_close, F.col("depth") + 1).when(is_open, F.col("depth")).otherwise(-1))
         .withColumn("closes_target", is_close & F.coalesce(F.lag("target").over(on_level), F.lit(False)))
         .withColumn(
             "inside", F.sum(F.when(F.col("target"), 1).when(F.col("closes_target"), -1).otherwise(0)).over(running)
         )
     )
-    hrefs = (
-        marked.where((F.col("tag") == "a") & (F.col("inside") > 0))
-        .withColumn("href", text.unescape(attribute(F.col("tok"), "href")))
-        .where(F.col("href") != "")
-    )
-    return hrefs.select("page_id", "url", "pos", urls.resolve_url(F.col("url"), F.col("href")).alias("link"))
+    hrefs = marked.where((F.col("inside") > 0) & (F.col("href") != ""))
+    return hrefs.select("page_key", "page_id", "url", "pos", urls.resolve_url(F.col("url"), F.col("href")).alias("link"))
 
 
 def item_links(links: DataFrame, pattern: str = fixed.ITEM_PATH) -> DataFrame:
     """Item links of each page, each once, with the position it was first seen at."""
     kept = links.where(urls.is_item_link(F.col("link"), pattern))
-    return kept.groupBy("page_id", "link").agg(F.min("pos").alias("first_pos"))
+    firsts = kept.groupBy("page_key", "link").agg(F.min("pos").alias("first_pos"))
+    return firsts.select("page_key", "page_key.page_id", "link", "first_pos")
 
 
 def _element_text(markup: Column) -> Column:
@@ -139,7 +162,7 @@ def _with_state(tokens: DataFrame) -> DataFrame:
 
     Counts of opening tags number them; three running windows share one sort.
     """
-    running = Window.partitionBy("page_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    running = Window.partitionBy("page_key").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     tag, opens, closes = F.col("tag"), ~F.col("closing"), F.col("closing")
     table, row, cell = tag == "table", tag == "tr", tag.isin("td", "th")
     heading = tag.rlike("^h[1-6]$")
@@ -176,7 +199,7 @@ def _with_state(tokens: DataFrame) -> DataFrame:
 
 def _with_completion(state: DataFrame) -> DataFrame:
     """The row and table event that come next after each token, to tell what gets closed."""
-    after = Window.partitionBy("page_id").orderBy(F.col("pos").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    after = Window.partitionBy("page_key").orderBy(F.col("pos").desc()).rowsBetween(Window.unboundedPreceding, -1)
     inside = (F.col("in_cell") == 1) | (F.col("in_heading") == 1)
     useful = state.where(
         inside
@@ -222,7 +245,7 @@ def _with_values(tokens: DataFrame) -> DataFrame:
         tokens.where(~self_closed)
         .withColumn("coded", value)
         .select(
-            "page_id",
+            "page_key",
             F.when((tag == "table") & opens, F.col("url")).alias("url"),  # one copy per table is enough
             "pos",
             F.when(raw, "").otherwise(tag).alias("tag"),
@@ -260,7 +283,7 @@ def _blocks(state: DataFrame) -> DataFrame:
     )
     blocks = (
         state.withColumn("member", F.explode(membership))
-        .groupBy("page_id", F.col("member.kind").alias("kind"), F.col("member.id").alias("id"))
+        .groupBy("page_key", F.col("member.kind").alias("kind"), F.col("member.id").alias("id"))
         .agg(
             F.max(F.when(F.col("top_open"), F.col("url"))).alias("url"),
             F.min(F.when(F.col("heading_close") | F.col("top_open") | F.col("cell_close"), F.col("pos"))).alias("pos"),
@@ -274,7 +297,7 @@ def _blocks(state: DataFrame) -> DataFrame:
     # A link counts when the next link tag of the cell closes it.
     link_tags = F.filter("events", lambda e: e["what"] != "text")
     closed_links = F.filter(
-        F.arrays_zip(link_tags.alias("tag"), F.slice(link_tags, 2, 1_000_000).alias("next")),
+        F.arrays_zip(link_tags.alias("tag"), F.slice(link_tags, 2, F.size(link_tags)).alias("next")),
         lambda z: (z["tag"]["what"] == "link") & (z["next"]["what"] == "end"),
     )
 
@@ -283,7 +306,7 @@ def _blocks(state: DataFrame) -> DataFrame:
         return F.struct(z["tag"]["value"].alias("href"), joined(between).alias("text"))
 
     return blocks.select(
-        "page_id",
+        "page_key",
         "url",
         "kind",
         "pos",
@@ -301,16 +324,16 @@ _TABLE_TAGS = ["table", "tr", "td", "th", "a", "h1", "h2", "h3", "h4", "h5", "h6
 def table_cells(pages: DataFrame) -> DataFrame:
     """Non-empty cells of the top-level tables, in flat form.
 
-    Columns: page_id, url, table_no, row_no, cell_no (all from 1), text, cell_class,
+    Columns: page_key, page_id, url, table_no, row_no, cell_no (all from 1), text, cell_class,
     links ``array<struct<href,text>>``, heading (last one before the table), summary.
     A nested table's rows count as rows of the table around it. Rows without a closing tag,
     empty rows and tables without rows are left out.
     """
     tokens = _tokens(pages.where(F.lower("html").contains("<table")), _TABLE_TAGS, keep_text=True)
-    blocks = _blocks(_with_completion(_with_state(_with_values(tokens))))
+    blocks = _blocks(_with_completion(_with_state(_each_once(_with_values(tokens)))))
 
     # All windows below share one sort: blocks of a page in document order.
-    in_page = Window.partitionBy("page_id").orderBy("pos")
+    in_page = Window.partitionBy("page_key").orderBy("pos")
     running = in_page.rowsBetween(Window.unboundedPreceding, 0)
     heading = F.when((F.col("kind") == "heading") & (F.col("text") != ""), F.col("text"))
     table = F.struct(
@@ -345,7 +368,8 @@ def table_cells(pages: DataFrame) -> DataFrame:
         lambda k: F.struct(urls.resolve_url(F.col("table.url"), k["href"]).alias("href"), k["text"].alias("text")),
     )
     return numbered.select(
-        "page_id",
+        "page_key",
+        "page_key.page_id",
         "table.url",
         "table_no",
         "row_no",

@@ -1,6 +1,6 @@
 """Metadata records and PDF links from the table cells of item pages.
 
-Everything is grouped by ``page_id`` first, so it runs on the partitioning ``table_cells``
+Everything is grouped by ``page_key`` first, so it runs on the partitioning ``table_cells``
 leaves behind; a group is one page.
 """
 
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from acervo import fixed_values as fixed
 from acervo.functions import text, urls
-from acervo.operators.markup import page_title, table_cells
+from acervo.operators.markup import page_key, page_title, table_cells
 from acervo.session import stored
 
 
@@ -26,7 +26,7 @@ def table_rows(cells: DataFrame) -> DataFrame:
     """One row per table row, with the tests that need its first cell and its texts."""
     cell = F.struct("cell_no", "text", "cell_class", "links")
     words = F.lower(F.concat_ws(" ", "text", "links.href", "links.text"))
-    rows = cells.groupBy("page_id", "url", "table_no", "row_no").agg(
+    rows = cells.groupBy("page_key", "url", "table_no", "row_no").agg(
         F.array_sort(F.collect_list(cell)).alias("cells"),
         F.first("heading").alias("heading"),
         F.first("summary").alias("summary"),
@@ -45,8 +45,8 @@ def table_rows(cells: DataFrame) -> DataFrame:
 
 def table_facts(rows: DataFrame) -> DataFrame:
     """Files-table and metadata-table tests, repeated on every row of the table."""
-    of_table = Window.partitionBy("page_id", "table_no")
-    of_page = Window.partitionBy("page_id")
+    of_table = Window.partitionBy("page_key", "table_no")
+    of_page = Window.partitionBy("page_key")
     heading, summary = F.lower("heading"), F.lower("summary")
     by_words = (
         F.max("says_file").over(of_table)
@@ -77,7 +77,8 @@ def table_facts(rows: DataFrame) -> DataFrame:
 def metadata_tables(cells: DataFrame) -> DataFrame:
     """The metadata table of each page that has one: page_id, table_no, score."""
     facts = table_facts(table_rows(cells)).where(F.col("table_no") == F.col("metadata_table"))
-    return facts.groupBy("page_id", "table_no").agg(F.max("score").alias("score"))
+    scores = facts.groupBy("page_key", "table_no").agg(F.max("score").alias("score"))
+    return scores.select("page_key.page_id", "table_no", "score")
 
 
 def _row_value(cells: Column) -> Column:
@@ -126,7 +127,7 @@ def parsed_tables(cells: DataFrame) -> DataFrame:
     )
     pdf = _first_pdf(F.col("cells"))
     searched = F.col("is_files_table") | ~F.col("has_files_table")
-    pages = facts.groupBy("page_id").agg(
+    pages = facts.groupBy("page_key").agg(
         F.max("table_no").alias("tables_found"),
         F.array_sort(F.collect_list(F.when(in_record, entry))).alias("rows"),
         F.min(
@@ -145,7 +146,7 @@ def parsed_tables(cells: DataFrame) -> DataFrame:
         "entries", F.filter(entries, lambda e: (e["label"] != "") & (e["value"] != ""))
     )
     return kept.select(
-        "page_id",
+        "page_key",
         "tables_found",
         _fields(F.col("entries")).alias("fields"),
         F.col("pdf.href").alias("table_pdf_url"),
@@ -161,6 +162,7 @@ def html_pdf_url(html: Column, url: Column) -> Column:
 def parse_pages(pages: DataFrame) -> DataFrame:
     """One row per item page: page_id, url, page_title, tables_found, fields, pdf_url."""
     own = pages.select(
+        page_key().alias("page_key"),
         "page_id",
         "url",
         page_title(F.col("html")).alias("page_title"),
@@ -169,7 +171,7 @@ def parse_pages(pages: DataFrame) -> DataFrame:
     tables = parsed_tables(table_cells(pages))
     empty = F.create_map().cast("map<string,array<string>>")
     # One narrow row per page on either side.
-    return own.join(tables, "page_id", "left").select(
+    return own.join(tables, "page_key", "left").select(
         "page_id",
         "url",
         "page_title",

@@ -46,12 +46,19 @@ def union_relations(relations: dict[str, DataFrame], source_column: str = "__tab
 def latest_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     """One row per key, the last by ``order``: a document written again replaces the earlier one.
 
-    ``order`` should leave no ties, so that a task run again picks the same row. An aggregate, not a window: each task keeps one row per key before the shuffle.
+    Of rows equal in ``order`` a hash of the row decides, so a task run again picks the same row.
+    The winner is found on key, order and hash alone; whole rows are shuffled once, by the join that
+    picks the winners, and never aggregated.
     """
-    rest = [c for c in df.columns if c != key]
-    quoted = lambda names: F.struct(*[F.col(f"`{c}`") for c in names])
-    newest = F.max_by(quoted(rest), quoted(order))
-    return df.groupBy(key).agg(newest.alias("__row")).select(key, "__row.*")
+    hashed = df.withColumn("__row", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+    place = F.struct(*[F.col(f"`{c}`") for c in order], "__row")
+    # Structs, because NULL keys and order values must meet their like.
+    winners = hashed.groupBy(F.struct(F.col(f"`{key}`")).alias("__key")).agg(F.max(place).alias("__place"))
+    placed = hashed.withColumns({"__key": F.struct(F.col(f"`{key}`")), "__place": place})
+    won = placed.join(winners, ["__key", "__place"])
+    # Rows that are equal throughout have all won.
+    first = F.row_number().over(Window.partitionBy("__key", "__place").orderBy("__place"))
+    return won.withColumn("__n", first).where("__n = 1").select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def distinct_values(df: DataFrame, keys: list[str], value: str, position: str) -> DataFrame:
@@ -67,16 +74,16 @@ def label_counts(values: DataFrame, keys: list[str]) -> DataFrame:
     return values.groupBy(*keys).agg(F.count("*").alias("n_values"))
 
 
-def numbered_blocks(df: DataFrame, position: Column, rows_per_block: int = 1_000_000) -> Column:
-    """Cut the range of ``position`` into blocks of about ``rows_per_block`` rows.
+def numbered_blocks(df: DataFrame, position: Column, blocks: int = 128, name: str = "block") -> DataFrame:
+    """``df`` with the number of the block of ``position`` that each row is in.
 
-    One aggregate over a single column; a small table is one block.
+    The edges are quantiles, so a burst is split like any other stretch. They are one value, found by
+    one aggregate over a single column.
     """
-    lo, hi, rows = df.agg(F.min(position), F.max(position), F.count("*")).first()
-    if not rows or rows <= rows_per_block:
-        return F.lit(0).cast("bigint")
-    width = max(1, (hi - lo) // -(-rows // rows_per_block) + 1)
-    return F.floor((position - F.lit(lo)) / F.lit(width)).cast("bigint")
+    shares = F.array(*[F.lit(i / blocks) for i in range(1, blocks)])
+    edges = df.select(F.percentile_approx(position, shares, F.lit(10 * blocks)).alias("edges")).scalar()
+    passed = F.size(F.filter(F.coalesce("__edges", F.array()), lambda e: F.coalesce(e <= position, F.lit(False))))
+    return df.withColumn("__edges", edges).withColumn(name, passed).drop("__edges")
 
 
 def drop_consecutive_repeats(
@@ -86,19 +93,21 @@ def drop_consecutive_repeats(
 
     Rows are sorted per (key, block), not per key, so a key with a third of all rows is spread
     over its blocks. The last value of each block reaches the next block through a table with
-    one row per block. Both sides of that join read the one shuffle the sort needs.
+    one row per block. Both sides of that join read the one shuffle the sort needs. NULL is a key
+    and a block like any other: they are compared inside structs.
     """
-    here = Window.partitionBy(*key, *block).orderBy(*order)
+    packed = df.withColumns({"__key": F.struct(*key), "__block": F.struct(*block)})
+    here = Window.partitionBy("__key", "__block").orderBy(*order)
     boxed = F.struct(F.col(value).alias("value"))
-    marked = df.withColumns({"__previous": F.lag(boxed).over(here), "__next": F.lead(boxed).over(here)})
-    ends = marked.where(F.col("__next").isNull()).select(*key, *block, boxed.alias("__end"))
+    marked = packed.withColumns({"__previous": F.lag(boxed).over(here), "__next": F.lead(boxed).over(here)})
+    ends = marked.where(F.col("__next").isNull()).select("__key", "__block", boxed.alias("__end"))
     before = ends.select(
-        *key, *block, F.lag("__end").over(Window.partitionBy(*key).orderBy(*block)).alias("__before")
+        "__key", "__block", F.lag("__end").over(Window.partitionBy("__key").orderBy("__block")).alias("__before")
     )
-    joined = marked.drop("__next").join(before, [*key, *block])
+    joined = marked.drop("__next").join(before, ["__key", "__block"])
     previous = F.coalesce("__previous", "__before")
     repeated = previous.isNotNull() & previous["value"].eqNullSafe(F.col(value))
-    return joined.where(~repeated).drop("__previous", "__before")
+    return joined.where(~repeated).drop("__previous", "__before", "__key", "__block")
 
 
 def valid_range(start: Column, end: Column) -> Column:
@@ -136,6 +145,14 @@ def backfill_plan(
     return runs.withColumn("payload", F.to_json(F.struct(link.alias("url"))))
 
 
+def run_configurations(plan: DataFrame, bucket: Column) -> DataFrame:
+    """Adds ``run_conf``: what each run of the plan is started with, its target bucket included."""
+    conf = F.struct(
+        "run_mode", F.col("publish_date").cast("string").alias("papers_publish_date"), bucket.alias("aws_bucket_name")
+    )
+    return plan.withColumn("run_conf", F.to_json(conf))
+
+
 def rejected_requests(requests: DataFrame) -> DataFrame:
     """Requests whose date range is unusable, with the reason."""
     return requests.where(~valid_range(F.col("date_start"), F.col("date_end"))).withColumn(

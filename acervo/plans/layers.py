@@ -36,14 +36,17 @@ class Settings:
     periods: list[str] = field(default_factory=lambda: list(fixed.PERIODS))
     period_folder: str = "{}"
     as_of: str | None = None
+    empty_periods: frozenset[str] = frozenset()  # periods without a folder; any other must have one
 
 
 def registry(spark: SparkSession, settings: Settings) -> dict[str, Model]:
     """All models in dependency order."""
     base = settings.teacher_table
 
-    def stage(folder: str, schema) -> Callable[[], DataFrame]:
-        return lambda: documents.read_json_or_empty(spark, folder, schema)
+    def stage(folder: str, period: str, schema) -> Callable[[], DataFrame]:
+        if period in settings.empty_periods:
+            return lambda: spark.createDataFrame([], schema)
+        return lambda: documents.read_json(spark, f"{folder}/{settings.period_folder.format(period)}", schema)
 
     out: dict[str, Model] = {}
     for kind, folder, schema in (
@@ -52,7 +55,7 @@ def registry(spark: SparkSession, settings: Settings) -> dict[str, Model]:
     ):
         names = [documents.period_name(kind, period) for period in settings.periods]
         for period, name in zip(settings.periods, names):
-            out[name] = Model(stage(f"{folder}/{settings.period_folder.format(period)}", schema), [], "stage", {"stage"})
+            out[name] = Model(stage(folder, period, schema), [], "stage", {"stage"})
         union = lambda *dfs, names=names: union_relations(dict(zip(names, dfs)))
         out[f"bronze_{kind}"] = Model(union, names, "bronze", {"bronze"}, view=True)
     out[base] = Model(lambda: settings.teachers, [], "stage", {"stage"})
@@ -94,15 +97,19 @@ def build(
 
     Views stay lazy. Tables are written to ``<warehouse>/<layer>/<model>`` and read back, so
     the next layer starts from stored data. A model that was not selected is taken from the
-    warehouse where it is stored there before, and is otherwise computed on the way.
+    warehouse where it is stored there before, and is otherwise computed on the way. The layer
+    schemas are created where missing. All inputs are looked up before anything is written.
     """
+    tables.create_layers(spark)
     chosen = registry(spark, settings)
     built: dict[str, DataFrame] = {}
 
     def stored(path: str) -> DataFrame | None:
         try:
             return spark.read.parquet(path)
-        except AnalysisException:
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             return None
 
     def resolve(name: str) -> DataFrame:

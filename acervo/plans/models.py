@@ -1,4 +1,4 @@
-"""Bronze, silver and gold models: DataFrames in, one DataFrame out, all lazy."""
+"""Bronze, silver and gold models: DataFrames in, one DataFrame out."""
 
 from __future__ import annotations
 
@@ -36,7 +36,7 @@ def silver_papers(
     contents = contents.select("paper_id", "tableOfContent")
     if dedupe:
         contents = latest_per_key(contents, "paper_id", ["tableOfContent"])
-        papers = latest_per_key(papers, "_id", [c for c in papers.columns if c != "_id"])
+        papers = latest_per_key(papers, "_id", [])
     renamed = rename_odd_labels(dates.with_pt_date(papers, "Data do documento", "data_publicacao"))
     # Texts are cleaned before the join, once per stored document and not once per joined row.
     raw = {"pdf_url_raw": "_pdf_url", "source_url_raw": "_source_url"} if raw_urls else {}
@@ -101,10 +101,15 @@ def master_calendar(
     return spine.select(*[c.alias(f"{CALENDAR}_{name}") for name, c in attributes.items()])
 
 
+def advisor_columns(teachers: DataFrame) -> DataFrame:
+    """The 8 columns of the advisors, repeated rows and all."""
+    fields = [*TEACHER_FIELDS, "nome_citacao"]
+    return teachers.select(*[F.col(f"{TEACHERS}_{c}").alias(f"{MART_ADVISORS}_{c}") for c in fields])
+
+
 def mart_advisors(teachers: DataFrame) -> DataFrame:
     """Distinct advisors, 8 columns."""
-    fields = [*TEACHER_FIELDS, "nome_citacao"]
-    return teachers.select(*[F.col(f"{TEACHERS}_{c}").alias(f"{MART_ADVISORS}_{c}") for c in fields]).distinct()
+    return advisor_columns(teachers).distinct()
 
 
 def mart_publish_calendar(calendar: DataFrame, as_of: str | Column | None = None) -> DataFrame:
@@ -120,7 +125,10 @@ def mart_publish_calendar(calendar: DataFrame, as_of: str | Column | None = None
 
 
 def mart_fact(papers: DataFrame, advisors: DataFrame) -> DataFrame:
-    """One row per paper and matching advisor, 14 columns; unmatched papers stay."""
+    """One row per paper and matching advisor, 14 columns; unmatched papers stay.
+
+    ``advisors`` may hold repeated rows: names are made distinct here.
+    """
     citation = f"{MART_ADVISORS}_nome_citacao"
     names = advisors.select(f"{MART_ADVISORS}_id", citation).distinct()
     joined = left_join(papers, names, "silver_papers_primeiro_orientador", citation, spread="silver_papers_id")
@@ -149,8 +157,8 @@ def mart_fact(papers: DataFrame, advisors: DataFrame) -> DataFrame:
 def star_summary(fact: DataFrame, calendar: DataFrame, advisors: DataFrame, by: str = "campus") -> DataFrame:
     """Measures of the fact by publishing month and one advisor attribute.
 
-    The fact is summed by its two keys first, so only one row per (advisor, day) is joined. The
-    calendar has a fixed number of days and is broadcast; the advisors go by their size.
+    The fact is summed by its two keys first, so only one row per (advisor, day) is joined. Calendar
+    and advisors go by their size.
     """
     measures = ["qtd_publicacoes", "qtd_publicacoes_com_orientador_identificado", "qtd_publicacoes_com_sumario"]
     keys = [f"{MART_ADVISORS}_id", f"{MART_CALENDAR}_id"]
@@ -158,7 +166,7 @@ def star_summary(fact: DataFrame, calendar: DataFrame, advisors: DataFrame, by:
     days = calendar.select(f"{MART_CALENDAR}_id", F.col(f"{MART_CALENDAR}_year_month").alias("year_month"))
     people = advisors.select(f"{MART_ADVISORS}_id", F.col(f"{MART_ADVISORS}_{by}").alias(by))
     return (
-        summed.join(F.broadcast(days), f"{MART_CALENDAR}_id", "left")
+        summed.join(days, f"{MART_CALENDAR}_id", "left")
         .join(people, f"{MART_ADVISORS}_id", "left")
         .groupBy("year_month", by)
         .agg(*[F.sum(m).alias(m) for m in measures])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -20,13 +21,15 @@ RUNTIME_CONF = {
 }
 
 
-def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "acervo") -> SparkSession:
+def local_session(
+    cores: str = "*", shuffle_partitions: int = 8, app: str = "acervo", memory: str = "6g"
+) -> SparkSession:
     """Session for tests and the local benchmark."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
     for key, value in RUNTIME_CONF.items():
@@ -43,24 +46,28 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@functools.cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="acervo-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, named by ``spark.checkpoint.dir``.
 
     Only a local session may fall back to a temporary folder of this machine.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not configured and not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="acervo-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return (configured or _own_folder()).rstrip("/")
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh sub-folder of the shared folder; it is removed when the session ends."""
+    folder = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -68,12 +75,3 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = work_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deal a table out to all cores where its files give fewer tasks than that.
-
-    Meant for work that is heavy per row. A table of many files, as on a cluster, is returned as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

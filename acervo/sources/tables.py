@@ -32,14 +32,14 @@ def mart_tables(mart: str = MART, layer: str = "gold") -> list[str]:
     return [f"{layer}_datamart_{mart}_{part}" for part in MART_PARTS]
 
 
-def export_mart(tables: dict[str, DataFrame], target: str) -> dict[str, str]:
+def export_mart(tables: dict[str, DataFrame], target: str, one_file: tuple[str, ...] = ()) -> dict[str, str]:
     """Each table as ``<target>/<name>.parquet``, written by the executors with its own types.
 
-    Only the publish calendar, a few thousand rows by construction, is written as one file.
+    Those named in ``one_file``, small by construction, are written as one file.
     """
     written = {}
     for name, df in tables.items():
-        out = df.coalesce(1) if name.endswith("publish_calendar") else df
+        out = df.coalesce(1) if name in one_file else df
         written[name] = f"{target}/{name}.parquet"
         out.write.mode("overwrite").parquet(written[name])
     return written

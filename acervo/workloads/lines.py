@@ -34,22 +34,35 @@ def q_toc_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["q_toc_lines"] = f"""WITH {_SQL_LINES}
 SELECT doc_id, page_no, line_no, line, noise, is_marker, is_entry, has_leader, has_number FROM classified"""
 
-_SQL_PAGES = f"""{_SQL_LINES},
+def _sql_pages(scanned: str = "") -> str:
+    return f"""{_SQL_LINES},
 stats AS (SELECT doc_id, page_no, count(*) FILTER (NOT noise) AS n_lines, count(*) FILTER (is_entry) AS n_entries,
   count(*) FILTER (has_number) AS n_numbers, count(*) FILTER (has_leader) AS n_leaders,
   CAST(coalesce(sum(length(line) + 1) FILTER (line <> '') - 1, 0) AS BIGINT) AS n_chars,
   min(line_no) FILTER (is_marker) AS marker_line
-  FROM classified WHERE page_no <= {fixed.MAX_PAGES_TO_SCAN} GROUP BY 1, 2),
+  FROM classified {scanned} GROUP BY 1, 2),
 toc_pages AS (SELECT *, n_lines > 0 AND (n_entries >= 3 OR n_numbers >= 3 OR n_leaders >= 2
   OR n_entries / n_lines >= 0.45) AS looks_like_contents FROM stats)"""
 
 
+_SQL_PAGES = _sql_pages()
+
+
 def q_toc_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contents.page_stats(inputs.lines(spark, sf_dir)).drop("first_line", "last_line")
 
 
 ORACLES["q_toc_pages"] = f"WITH {_SQL_PAGES} SELECT * FROM toc_pages"
 
+
+def q_toc_scan_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scan cap is the feature here: counts of the first pages of each document only."""
+    lines = inputs.lines(spark, sf_dir)
+    return contents.page_stats(lines, max_pages=fixed.MAX_PAGES_TO_SCAN).drop("first_line", "last_line")
+
+
+ORACLES["q_toc_scan_cap"] = f"WITH {_sql_pages(f'WHERE page_no <= {fixed.MAX_PAGES_TO_SCAN}')} SELECT * FROM toc_pages"
+
 _SQL_SECTION = f"""{_SQL_PAGES},
 first_page AS (SELECT doc_id, min(page_no) AS marker_page FROM toc_pages WHERE marker_line IS NOT NULL GROUP BY 1),
 last_page AS (SELECT p.doc_id, min(page_no) AS end_page FROM toc_pages p JOIN first_page f ON p.doc_id = f.doc_id
@@ -57,7 +70,7 @@ last_page AS (SELECT p.doc_id, min(page_no) AS end_page FROM toc_pages p JOIN fi
 bounds AS (SELECT f.doc_id, marker_page, end_page, t.marker_line FROM first_page f
   JOIN toc_pages t ON t.doc_id = f.doc_id AND t.page_no = marker_page LEFT JOIN last_page l ON l.doc_id = f.doc_id),
 section AS (SELECT c.doc_id, page_no, line_no, line FROM classified c JOIN bounds b ON c.doc_id = b.doc_id
-  WHERE page_no <= {fixed.MAX_PAGES_TO_SCAN} AND NOT noise AND page_no >= marker_page
+  WHERE NOT noise AND page_no >= marker_page
   AND (end_page IS NULL OR page_no < end_page) AND (page_no > marker_page OR line_no >= marker_line))"""
 
 
@@ -89,7 +102,7 @@ def q_toc_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contents.section_texts(contents.clean_section(contents.section_lines(inputs.lines(spark, sf_dir))))
 
 
-ORACLES["q_toc_text"] = f"WITH {_SQL_TEXTS} SELECT doc_id, 0 AS piece_no, section FROM texts"
+ORACLES["q_toc_text"] = f"WITH {_SQL_TEXTS} SELECT doc_id, section FROM texts"
 
 
 def q_status_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,16 +137,51 @@ SELECT path, length, CASE WHEN message IS NULL THEN 200 ELSE 422 END AS status,
 
 
 def q_consecutive_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = inputs.load(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type")
-    micros = F.unix_micros(F.col("ts").cast("timestamp"))
-    blocked = events.withColumn("block", relations.numbered_blocks(events, micros))
-    kept = relations.drop_consecutive_repeats(blocked, ["user_id"], ["block"], ["ts", "event_id"], "event_type")
+    """Some events have no user, and two thirds fall into one burst."""
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    events = inputs.load(spark, sf_dir, "events").select(
+        F.expr("nullif(user_id, 7)").alias("user_id"),
+        F.when(F.expr("event_id % 3 = 0"), at).otherwise(F.col("event_id")).alias("micros"),
+        "event_id",
+        "event_type",
+    )
+    blocked = relations.numbered_blocks(events, F.col("micros"))
+    kept = relations.drop_consecutive_repeats(blocked, ["user_id"], ["block"], ["micros", "event_id"], "event_type")
     return kept.drop("block")
 
 
 ORACLES["q_consecutive_dedupe"] = """
-SELECT user_id, ts, event_id, event_type FROM (
-  SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS previous FROM events)
+WITH e AS (SELECT nullif(user_id, 7) AS user_id, CASE WHEN event_id % 3 = 0 THEN epoch_us(ts) ELSE event_id END AS micros,
+  event_id, event_type FROM events)
+SELECT user_id, micros, event_id, event_type FROM (
+  SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY micros, event_id) AS previous FROM e)
 WHERE previous IS NULL OR previous <> event_type"""
 
+# Documents as pages of text, with symbols and blanks that the rules normalise.
+_RAW_PAGE = {
+    "doc_id": "doc_id",
+    "page_no": "1",
+    "text": "concat(replace(text, 'the', concat('…', chr(0))), ' ·', chr(9), ' ', chr(10), ' ', chr(10), chr(10), ' end', chr(13), chr(10))",
+}
+
+
+def q_page_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of document texts with NUL, ellipsis, middle dot, byte order mark and blank lines in them."""
+    pages = inputs.spark_select(inputs.load(spark, sf_dir, "documents"), _RAW_PAGE)
+    marked = pages.withColumn("text", F.concat(F.lit("\ufeff"), F.col("text")))
+    return contents.page_lines(marked)
+
+
+ORACLES["q_page_lines"] = rf"""
+WITH p AS ({inputs.sql_select(_RAW_PAGE, 'documents')}),
+s AS (SELECT doc_id, page_no, replace(replace(replace(chr(65279) || text, chr(0), ' '), chr(65279), ' '), '·', '.') AS t FROM p),
+n AS (SELECT doc_id, page_no, regexp_replace(replace(t, '…', '...'), '[ 	
+]+', ' ', 'g') AS t FROM s),
+b AS (SELECT doc_id, page_no, regexp_replace(regexp_replace(t, '
+\s*
++', chr(10), 'g'), ' *
+ *', chr(10), 'g') AS t FROM n),
+l AS (SELECT doc_id, page_no, string_split(regexp_replace(t, '^\s+|\s+$', '', 'g'), chr(10)) AS lines FROM b)
+SELECT doc_id, page_no, CAST(unnest(generate_series(0, len(lines) - 1)) AS INTEGER) AS line_no, unnest(lines) AS text FROM l"""
+
 QUERIES.update({name: fn for name, fn in globals().items() if name.startswith("q_")})

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from acervo import fixed_values as fixed
 from acervo.operators import markup, records
-from acervo.session import spread
+from acervo.plans import ingest
 from acervo.workloads import inputs
 
 QUERIES, ORACLES = {}, {}
@@ -16,10 +16,47 @@ HOST = inputs.HOST
 # --- the given pages ----------------------------------------------------------------
 
 
+def q_search_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Item links of rendered search pages: in the search table only, nested tables included."""
+    html = f"""concat('<table summary="other"><tr><td><a href="/handle/p/1">no</a></td></tr></table>',
+      '<TABLE summary=" {fixed.SEARCH_TABLE_SUMMARY} "><tr><td><a title="see href=/handle/p/2" href="/handle/p/', c_custkey, '">a</a>',
+      '<table><tr><td><A HREF=''/handle/p/', c_custkey + 1, '?x=1&amp;y=2#f''>b</A></td></tr></table><table/>',
+      '<a href="/handle/p/3" href="/handle/p/', c_custkey + 2, '">c</a><a href="/about">d</a><a href="/handle/p/', c_custkey,
+      '">again</a><!-- <a href="/handle/p/4">e</a> --></td></tr></table><a href="/handle/p/5">after</a>')"""
+    customers = inputs.dealt(inputs.load(spark, sf_dir, "customer").select("c_custkey"), "c_custkey")
+    found = ingest.item_requests(
+        customers.selectExpr("nullif(c_custkey, 5) AS page_id", f"concat('{HOST}/simple-search?p=', c_custkey) AS url", f"{html} AS html")
+    )
+    in_page = Window.partitionBy("page_key").orderBy("first_pos")
+    return found.select("page_id", F.row_number().over(in_page).alias("item_no"), "link")
+
+
+ORACLES["q_search_items"] = f"""
+WITH l AS (SELECT nullif(c_custkey, 5) AS page_id, unnest([1, 2, 3]) AS item_no, unnest([CAST(c_custkey AS VARCHAR),
+  (c_custkey + 1) || '?x=1&y=2', CAST(c_custkey + 2 AS VARCHAR)]) AS tail FROM customer)
+SELECT page_id, CAST(item_no AS INTEGER) AS item_no, '{HOST}/handle/p/' || tail AS link FROM l"""
+
+
+def q_record_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values of several cells and links; pages without an id, pages that share one, misleading attributes."""
+    html = """concat('<table><tr><td class="metadataFieldLabel" title="class=x">Nota</td><td>', c_mktsegment, '</td><td>b <a title="href=/no" href="/l">L',
+      c_custkey, '</a></td></tr><tr><td>Autor</td><td>x</td><td><a href="/no" href="/m.pdf?k=', c_custkey, '">x</a></td></tr></table>')"""
+    customers = inputs.dealt(inputs.load(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment"), "c_custkey")
+    pages = customers.selectExpr("nullif(c_custkey % 50, 0) AS page_id", f"concat('{HOST}/handle/p/', c_custkey) AS url", f"{html} AS html")
+    parsed = records.parse_pages(pages)
+    return parsed.select("page_id", "url", "tables_found", "pdf_url", records.field("Nota").alias("nota"), records.field("Autor").alias("autor"))
+
+
+ORACLES["q_record_values"] = f"""
+SELECT nullif(c_custkey % 50, 0) AS page_id, '{HOST}/handle/p/' || c_custkey AS url, 1 AS tables_found,
+  '{HOST}/m.pdf?k=' || c_custkey AS pdf_url,
+  c_mktsegment || ' | b L' || c_custkey || ' | L' || c_custkey AS nota, 'x | x' AS autor FROM customer"""
+
+
 def q_container_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links of each page's navigation, numbered in page order."""
-    links = markup.container_links(spread(inputs.load(spark, sf_dir, "pages")), container="nav", summary=None)
-    in_page = Window.partitionBy("page_id").orderBy("pos")
+    links = markup.container_links(inputs.load(spark, sf_dir, "pages"), container="nav", summary=None)
+    in_page = Window.partitionBy("page_key").orderBy("pos")
     return links.select("page_id", F.row_number().over(in_page).alias("link_no"), "link")
 
 
@@ -34,9 +71,9 @@ _WORD_PATH = r"^/[^/.,]+$"
 
 def q_item_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Navigation links whose path is a plain word, each once per page, in first-seen order."""
-    links = markup.container_links(spread(inputs.load(spark, sf_dir, "pages")), container="nav", summary=None)
+    links = markup.container_links(inputs.load(spark, sf_dir, "pages"), container="nav", summary=None)
     items = markup.item_links(links, _WORD_PATH)
-    in_page = Window.partitionBy("page_id").orderBy("first_pos")
+    in_page = Window.partitionBy("page_key").orderBy("first_pos")
     return items.select("page_id", "link", F.row_number().over(in_page).alias("item_no"))
 
 
@@ -47,7 +84,7 @@ SELECT page_id, link, CAST(row_number() OVER (PARTITION BY page_id ORDER BY firs
 
 
 def q_page_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return markup.page_titles(spread(inputs.load(spark, sf_dir, "pages")))
+    return markup.page_titles(inputs.load(spark, sf_dir, "pages"))
 
 
 def _sql_element(tag: str) -> str:
@@ -87,7 +124,7 @@ _HAS_FULL_RECORD = "c_custkey % 8 > 0"
 
 def rendered(spark: SparkSession, sf_dir: str, full: bool = False) -> DataFrame:
     """One item page per customer; every fourth has no table, its full variant mostly has one."""
-    customers, nations = spread(inputs.load(spark, sf_dir, "customer")), inputs.load(spark, sf_dir, "nation")
+    customers, nations = inputs.dealt(inputs.load(spark, sf_dir, "customer"), "c_custkey"), inputs.load(spark, sf_dir, "nation")
     joined = customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
     has_record = _HAS_FULL_RECORD if full else _HAS_RECORD
     html = f"""concat('<!DOCTYPE html><html><head><title>Item ', c_name, ' &amp;amp; mais</title><script>var t="<table>";</script></head><body></table>',

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from acervo import fixed_values as fixed
 from acervo.functions import text, urls
 from acervo.operators import envelopes, quality, relations
-from acervo.session import spread
 from acervo.sources.documents import period_name
 from acervo.workloads import inputs
 
@@ -118,6 +117,7 @@ SELECT user_id, total, printf('%.2f', total) AS total_text FROM t"""
 
 _MODE = "CASE user_id % 4 WHEN 0 THEN 'DIRECT_LINK' WHEN 1 THEN 'OTHER' ELSE 'PUBLISH_DATE' END"
 _LINK = f"concat('{HOST}/handle/prefix/', user_id)"
+_BUCKET = "concat('store-', user_id % 3)"
 
 
 def _requests(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,25 +133,41 @@ def _requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(swapped, F.col("first")).otherwise(F.col("last")).alias("date_end"),
         F.expr(_MODE).alias("run_mode"),
         F.expr(_LINK).alias("direct_link"),
+        F.expr(_BUCKET).alias("bucket"),
     )
 
 
 def q_backfill_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = relations.backfill_plan(_requests(spark, sf_dir), HOST)
-    return plan.select("user_id", "publish_date", "run_mode", "payload")
+    started = relations.run_configurations(plan, F.col("bucket"))
+    return started.select("user_id", "publish_date", "run_mode", "payload", "run_conf")
 
 
-_SQL_REQUESTS = f"""r AS (SELECT user_id, {_MODE} AS run_mode, {_LINK} AS direct_link,
+_SQL_REQUESTS = f"""r AS (SELECT user_id, {_MODE} AS run_mode, {_LINK} AS direct_link, {_BUCKET} AS bucket,
   CASE WHEN user_id % 11 = 0 THEN CAST(max(ts) AS DATE) ELSE CAST(min(ts) AS DATE) END AS date_start,
   CASE WHEN user_id % 11 = 0 THEN CAST(min(ts) AS DATE) ELSE CAST(max(ts) AS DATE) END AS date_end
   FROM events GROUP BY user_id)"""
 ORACLES["q_backfill_plan"] = f"""WITH {_SQL_REQUESTS},
-d AS (SELECT user_id, run_mode, direct_link,
+d AS (SELECT user_id, run_mode, direct_link, bucket,
   CAST(unnest(generate_series(date_start, date_end, INTERVAL 1 DAY)) AS DATE) AS publish_date
   FROM r WHERE date_end >= date_start)
 SELECT user_id, publish_date, run_mode, '{{"url":"' || CASE run_mode
   WHEN 'PUBLISH_DATE' THEN '{HOST}' || replace('{fixed.SEARCH_QUERY}', '%s', CAST(publish_date AS VARCHAR))
-  WHEN 'DIRECT_LINK' THEN direct_link ELSE '' END || '"}}' AS payload FROM d"""
+  WHEN 'DIRECT_LINK' THEN direct_link ELSE '' END || '"}}' AS payload,
+  '{{"run_mode":"' || run_mode || '","papers_publish_date":"' || CAST(publish_date AS VARCHAR)
+    || '","aws_bucket_name":"' || bucket || '"}}' AS run_conf FROM d"""
+
+
+def q_backfill_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Usable requests in strict mode, a run per week."""
+    usable = _requests(spark, sf_dir).where("date_end >= date_start")
+    plan = relations.backfill_plan(usable, HOST, days_per_batch=7, strict=True)
+    return plan.select("user_id", "publish_date")
+
+
+ORACLES["q_backfill_strict"] = f"""WITH {_SQL_REQUESTS}
+SELECT user_id, CAST(unnest(generate_series(date_start, date_end, INTERVAL 7 DAY)) AS DATE) AS publish_date
+FROM r WHERE date_end >= date_start"""
 
 
 def q_backfill_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -211,7 +227,7 @@ SELECT 'unique' AS "check", column_name, violations, violations = 0 AS passed FR
 
 
 def q_url_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = spread(inputs.load(spark, sf_dir, "pages"))
+    pages = inputs.load(spark, sf_dir, "pages")
     url = F.col("url")
     key = F.concat(F.lit("in/"), urls.last_segment(url), F.lit(".pdf"))
     uri = urls.storage_uri(F.lit("store"), key)
@@ -247,10 +263,11 @@ FROM k"""
 
 def _event_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Request envelopes of every shape, by event number."""
-    events = spread(inputs.load(spark, sf_dir, "events"))
+    events = inputs.dealt(inputs.load(spark, sf_dir, "events").select("event_id", "event_type"), "event_id")
     url = F.concat(F.lit(f"{HOST}/handle/prefix/"), F.col("event_id"))
     direct = F.struct(url.alias("url"))
-    kind = F.expr("event_id % 7")
+    kind = F.expr("event_id % 10")
+    bad = F.lit("no json").alias("body")
     event = (
         F.when(kind == 0, F.to_json(direct))
         .when(kind == 1, F.to_json(F.struct(F.to_json(direct).alias("body"))))
@@ -265,6 +282,9 @@ def _event_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .when(kind == 4, F.lit('{"other": 1}'))
         .when(kind == 5, F.lit("not json"))
+        .when(kind == 7, F.to_json(F.struct(bad, url.alias("url"))))
+        .when(kind == 8, F.to_json(F.struct(direct.alias("queryStringParameters"), bad)))
+        .when(kind == 9, F.to_json(F.struct(F.lit("[1]").alias("body"), url.alias("url"))))
         .otherwise(F.to_json(F.struct(F.lit("").alias("body"), url.alias("url"))))
     )
     return events.select("event_id", event.alias("event"))
@@ -275,9 +295,10 @@ def q_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["q_envelope"] = f"""
-SELECT event_id, CASE WHEN event_id % 7 NOT IN (4, 5) THEN '{HOST}/handle/prefix/' || event_id END AS url,
-  CASE WHEN event_id % 7 IN (4, 5) THEN 500 ELSE 200 END AS status,
-  CASE event_id % 7 WHEN 4 THEN '{fixed.URL_REQUIRED.replace("'", "''")}' WHEN 5 THEN '{fixed.INVALID_EVENT}' END AS message
+SELECT event_id, CASE WHEN event_id % 10 NOT IN (4, 5, 7) THEN '{HOST}/handle/prefix/' || event_id END AS url,
+  CASE WHEN event_id % 10 IN (4, 5, 7) THEN 500 ELSE 200 END AS status,
+  CASE event_id % 10 WHEN 4 THEN '{fixed.URL_REQUIRED.replace("'", "''")}' WHEN 5 THEN '{fixed.INVALID_EVENT}'
+    WHEN 7 THEN '{fixed.UNREADABLE_BODY}' END AS message
 FROM events"""
 
 
@@ -286,16 +307,17 @@ def q_paper_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["q_paper_requests"] = f"""
-WITH k AS (SELECT event_id, event_id % 7 AS kind FROM events),
-u AS (SELECT *, CASE WHEN kind = 3 THEN 'ignored' WHEN kind NOT IN (4, 5) THEN '{HOST}/handle/prefix/' || event_id END AS url FROM k)
+WITH k AS (SELECT event_id, event_id % 10 AS kind FROM events),
+u AS (SELECT *, CASE WHEN kind = 3 THEN 'ignored' WHEN kind NOT IN (4, 5, 7, 8) THEN '{HOST}/handle/prefix/' || event_id END AS url FROM k)
 SELECT event_id, url, 'store' AS bucket, 'papers' AS prefix,
   CASE WHEN kind = 3 THEN 'ignored' WHEN url IS NOT NULL THEN CAST(event_id AS VARCHAR) END AS item_id,
-  CASE WHEN kind IN (4, 5) THEN 500 ELSE 200 END AS status,
-  CASE kind WHEN 4 THEN '{fixed.MISSING_URL}' WHEN 5 THEN '{fixed.INVALID_EVENT}' END AS message FROM u"""
+  CASE WHEN kind IN (4, 5, 7, 8) THEN 500 ELSE 200 END AS status,
+  CASE kind WHEN 4 THEN '{fixed.MISSING_URL}' WHEN 5 THEN '{fixed.INVALID_EVENT}' WHEN 7 THEN '{fixed.UNREADABLE_BODY}'
+    WHEN 8 THEN '{fixed.UNREADABLE_BODY}' END AS message FROM u"""
 
 
 def _pdf_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = spread(inputs.load(spark, sf_dir, "events"))
+    events = inputs.dealt(inputs.load(spark, sf_dir, "events").select("event_id", "event_type"), "event_id")
     number = F.col("event_id").cast("string")
     kind = F.expr("event_id % 5")
     event = (
@@ -326,7 +348,7 @@ SELECT event_id, pdf_url, item_id, 'store' AS bucket, 'PDF' AS prefix, 'PDF/' ||
 
 
 def _contents_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = spread(inputs.load(spark, sf_dir, "events"))
+    events = inputs.dealt(inputs.load(spark, sf_dir, "events").select("event_id", "event_type"), "event_id")
     number = F.col("event_id").cast("string")
     kind = F.expr("event_id % 6")
     event = (
@@ -367,21 +389,22 @@ SELECT event_id, bucket, key, paper_id, bucket AS output_bucket,
 
 
 def q_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = spread(inputs.load(spark, sf_dir, "events"))
-    kind = F.expr("event_id % 4")
+    events = inputs.dealt(inputs.load(spark, sf_dir, "events").select("event_id", "event_type"), "event_id")
+    kind = F.expr("event_id % 6")
     code = F.when(kind == 2, 404).when(kind == 3, 422).otherwise(200)
-    body = F.when(kind != 1, F.to_json(F.struct("event_id", "event_type")))
+    body = F.when(kind == 4, "").when(kind == 5, "not json").when(kind != 1, F.to_json(F.struct("event_id", "event_type")))
     response = F.to_json(F.struct(code.alias("statusCode"), body.alias("body")))
     parsed = envelopes.parsed_responses(events.select("event_id", response.alias("response")))
     return parsed.select("event_id", "statusCode", "decoded", "status", "message")
 
 
 ORACLES["q_responses"] = f"""
-WITH k AS (SELECT *, event_id % 4 AS kind FROM events)
+WITH k AS (SELECT *, event_id % 6 AS kind FROM events)
 SELECT event_id, CASE kind WHEN 2 THEN 404 WHEN 3 THEN 422 ELSE 200 END AS "statusCode",
   CASE WHEN kind = 0 THEN '{{"event_id":' || event_id || ',"event_type":"' || event_type || '"}}' END AS decoded,
   CASE WHEN kind = 0 THEN 200 ELSE 500 END AS status,
-  CASE kind WHEN 1 THEN '{fixed.NO_RESPONSE_BODY}' WHEN 2 THEN '{fixed.NON_200_RESPONSE}' WHEN 3 THEN '{fixed.NON_200_RESPONSE}' END AS message
+  CASE kind WHEN 1 THEN '{fixed.NO_RESPONSE_BODY}' WHEN 2 THEN '{fixed.NON_200_RESPONSE}' WHEN 3 THEN '{fixed.NON_200_RESPONSE}'
+    WHEN 4 THEN '{fixed.UNREADABLE_BODY}' WHEN 5 THEN '{fixed.UNREADABLE_BODY}' END AS message
 FROM k"""
 
 QUERIES.update({name: fn for name, fn in globals().items() if name.startswith("q_")})

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from acervo import fixed_values as fixed
 from acervo.plans import checks, ingest, layers, models
-from acervo.session import spread, work_dir
+from acervo.session import work_dir
 from acervo.sources import documents, tables
 from acervo.streaming.ingest import load_new_files
 from acervo.workloads import inputs, lines, pages, warehouse
@@ -107,7 +107,7 @@ def q_ingest_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines to stored tables of contents and back, with the rejected documents beside them."""
     folder = work_dir(spark, "ingest-contents")
     rejected = ingest.store_contents(inputs.lines(spark, sf_dir), folder, run=1)
-    loaded = documents.read_json(spark, folder, documents.CONTENTS)
+    loaded = documents.read_latest_documents(spark, folder, documents.CONTENTS, "paper_id")
     good = loaded.select("paper_id", "tableOfContent", F.lit(None).cast("string").alias("message"))
     return good.unionByName(
         rejected.select(F.col("key").alias("paper_id"), F.lit(None).cast("string").alias("tableOfContent"), "message")
@@ -143,12 +143,12 @@ _PERIOD = "CASE " + " ".join(
 _SECTION_PERIOD = _PERIOD.replace("o_orderdate", "l_shipdate")
 
 
-def _build(spark: SparkSession, sf_dir: str, folder: str) -> dict[str, DataFrame]:
+def _build(spark: SparkSession, sf_dir: str, folder: str, tags: set[str] | None = None) -> dict[str, DataFrame]:
     """Papers by period and tables of contents as JSON, then the layers."""
-    orders = spread(inputs.load(spark, sf_dir, "orders"))
+    orders = inputs.dealt(inputs.load(spark, sf_dir, "orders"), "o_orderkey")
     dated = inputs.spark_select(orders, {**inputs.PAPERS, "period": _PERIOD})
     dated.write.mode("overwrite").partitionBy("period").json(f"{folder}/papers")
-    items = spread(inputs.load(spark, sf_dir, "lineitem"))
+    items = inputs.dealt(inputs.load(spark, sf_dir, "lineitem"), "l_orderkey")
     sections = inputs.spark_select(items, {**inputs.CONTENTS, "period": _SECTION_PERIOD})
     sections.write.mode("overwrite").partitionBy("period").json(f"{folder}/contents")
     settings = layers.Settings(
@@ -157,8 +157,9 @@ def _build(spark: SparkSession, sf_dir: str, folder: str) -> dict[str, DataFrame
         teachers=inputs.teachers(spark, sf_dir),
         period_folder="period={}",
         as_of=warehouse.AS_OF,
+        empty_periods=frozenset(fixed.PERIODS[2:]),  # no order is that late
     )
-    return layers.build(spark, settings, f"{folder}/warehouse")
+    return layers.build(spark, settings, f"{folder}/warehouse", tags)
 
 
 def q_layer_build(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -205,10 +206,28 @@ def _sql_layer_counts() -> str:
 ORACLES["q_layer_build"] = _sql_layer_counts()
 
 
+def q_layer_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The papers that a build of the silver layer writes, through bronze views nobody selected."""
+    return _build(spark, sf_dir, work_dir(spark, "layers"), {"silver"})["silver_papers"]
+
+
+ORACLES["q_layer_silver"] = warehouse.ORACLES["q_silver_papers"]
+
+
+def q_layer_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The advisors that a build of the tag ``dim`` writes, all layers below computed on the way."""
+    return _build(spark, sf_dir, work_dir(spark, "layers"), {"dim"})[models.MART_ADVISORS]
+
+
+ORACLES["q_layer_dims"] = f"""WITH {warehouse.SILVER_TEACHERS}
+SELECT DISTINCT {warehouse.advisor_list()} FROM silver_t"""
+
+
 def q_mart_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mart exported table by table, read back by name and summarised."""
     mart = warehouse.mart(spark, sf_dir)
-    exported = tables.export_mart({name: mart[name] for name in tables.mart_tables()}, work_dir(spark, "export"))
+    chosen = {name: mart[name] for name in tables.mart_tables()}
+    exported = tables.export_mart(chosen, work_dir(spark, "export"), one_file=(models.MART_CALENDAR,))
     back = {name: spark.read.parquet(path) for name, path in exported.items()}
     return models.star_summary(back[models.MART_FACT], back[models.MART_CALENDAR], back[models.MART_ADVISORS])
 

@@ -9,7 +9,6 @@ from acervo import fixed_values as fixed
 from acervo.functions import dates, text
 from acervo.operators.joins import left_join
 from acervo.plans import models
-from acervo.session import spread
 from acervo.workloads import inputs
 
 AS_OF = "2021-06-30"
@@ -52,7 +51,7 @@ def sql_pt_date(c: str) -> str:
 
 
 def q_text_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spread(inputs.load(spark, sf_dir, "documents"))
+    docs = inputs.load(spark, sf_dir, "documents")
     return docs.select("doc_id", text.clean_text(F.col("text")).alias("cleaned"))
 
 
@@ -60,7 +59,7 @@ ORACLES["q_text_clean"] = f"SELECT doc_id, {sql_clean('text')} AS cleaned FROM d
 
 
 def q_parse_pt_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = spread(inputs.load(spark, sf_dir, "orders"))
+    orders = inputs.dealt(inputs.load(spark, sf_dir, "orders"), "o_orderkey")
     written = inputs.spark_select(orders, {"o_orderkey": "o_orderkey", "written": inputs.PT_DATE})
     return dates.with_pt_date(written, "written", "published").withColumn(
         "publish_key", dates.date_key(F.col("published"))
@@ -146,6 +145,14 @@ silver_t AS (SELECT *, {sql_part('disciplina', 1)} AS disciplina_primary,
 _TEACHER_LIST = lambda prefix: ", ".join(f"{c} AS {prefix}_{c}" for c in models.TEACHER_FIELDS)
 
 
+SILVER_TEACHERS = _SILVER_TEACHERS
+
+
+def advisor_list() -> str:
+    """The advisors' columns out of the silver teachers."""
+    return f"{_TEACHER_LIST(models.MART_ADVISORS)}, {sql_citation('nome')} AS {models.MART_ADVISORS}_nome_citacao"
+
+
 def q_silver_teacher(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.silver_teachers(inputs.teachers(spark, sf_dir))
 
@@ -195,6 +202,18 @@ ORACLES["q_left_join_toc"] = f"""WITH p AS ({inputs.PAPERS_SQL}), c AS ({inputs.
 SELECT p._id, c.paper_id, c."tableOfContent" FROM p LEFT JOIN c ON p._id = c.paper_id"""
 
 
+def q_left_join_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers with the suppliers of their nation: few keys, all of them hot, and NULL keys."""
+    customers = inputs.load(spark, sf_dir, "customer").selectExpr("c_custkey", "nullif(c_nationkey, 3) AS nation")
+    suppliers = inputs.load(spark, sf_dir, "supplier").selectExpr("s_suppkey", "s_nationkey")
+    return left_join(customers, suppliers, "nation", "s_nationkey", spread="c_custkey", hot_rows=2)
+
+
+ORACLES["q_left_join_hot"] = """
+SELECT c_custkey, nullif(c_nationkey, 3) AS nation, s_suppkey, s_nationkey
+FROM customer LEFT JOIN supplier ON s_nationkey = nullif(c_nationkey, 3)"""
+
+
 def _silver_papers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.silver_papers(inputs.papers(spark, sf_dir), inputs.contents(spark, sf_dir))
 
@@ -218,6 +237,18 @@ silver_p AS (SELECT _id AS silver_papers_id, {sql_pt_date('"Data do documento"')
 ORACLES["q_silver_papers"] = f"WITH {_silver_sql()} SELECT * FROM silver_p"
 
 
+def q_silver_options(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per paper, with its addresses as they were."""
+    papers, contents = inputs.papers(spark, sf_dir), inputs.contents(spark, sf_dir)
+    return models.silver_papers(papers.unionByName(papers), contents, dedupe=True, raw_urls=True)
+
+
+_LAST_CONTENTS = f'SELECT paper_id, max("tableOfContent") AS "tableOfContent" FROM ({inputs.CONTENTS_SQL}) GROUP BY 1'
+ORACLES["q_silver_options"] = f"""WITH {_silver_sql().replace(f'c AS ({inputs.CONTENTS_SQL})', f'c AS ({_LAST_CONTENTS})')}
+SELECT s.*, p._pdf_url AS silver_papers_pdf_url_raw, p._source_url AS silver_papers_source_url_raw
+FROM silver_p s JOIN p ON p._id = s.silver_papers_id"""
+
+
 def _orders_per_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Papers per publishing day: at most one row per calendar day."""
     orders = inputs.load(spark, sf_dir, "orders").select(F.expr(inputs.PUBLISH_DATE).alias("day"))
@@ -281,7 +312,7 @@ def _advisors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return models.mart_fact(_silver_papers(spark, sf_dir), _advisors(spark, sf_dir))
+    return models.mart_fact(_silver_papers(spark, sf_dir), models.advisor_columns(_master_teachers(spark, sf_dir)))
 
 
 def q_fact(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,10 +21,14 @@ def test_link_requests(spark):
         "nonsense",
         None,
         '{"body": {"other": 1}, "url": "a"}',
+        '{"body": "no json", "url": "a"}',
+        '{"body": "no json", "queryStringParameters": {"url": "q"}}',
+        '{"body": "", "url": "a"}',
     )
     got = envelopes.link_requests(events).orderBy("i").collect()
-    assert [r["url"] for r in got] == ["a", "b", "c", "q", "a", None, None, None, None, "a"]
-    assert [r["status"] for r in got] == [200] * 5 + [500] * 4 + [200]
+    assert [r["url"] for r in got] == ["a", "b", "c", "q", "a", None, None, None, None, "a", None, "q", "a"]
+    assert [r["status"] for r in got] == [200] * 5 + [500] * 4 + [200, 500, 200, 200]
+    assert got[10]["message"] == "The body is no readable JSON."
     assert got[5]["message"] == "The field 'url' is required."
     assert got[7]["message"] == "Invalid event. Expected JSON object."
 
@@ -69,12 +73,12 @@ def test_pdf_and_contents_requests(spark):
 
 def test_responses(spark):
     responses = spark.createDataFrame(
-        [(200, "[1]"), (200, None), (404, "x"), (422, "y"), (None, "z")], "statusCode int, body string"
+        [(200, "[1]"), (200, None), (200, ""), (200, "not json"), (404, "x"), (422, "y"), (None, "z")], "statusCode int, body string"
     )
     got = envelopes.decoded_responses(responses)
     assert rows(got, "statusCode", "decoded", "status") == rows(
         spark.createDataFrame(
-            [(200, "[1]", 200), (200, None, 500), (404, None, 500), (422, None, 500), (None, None, 500)],
+            [(200, "[1]", 200), (200, None, 500), (200, None, 500), (200, None, 500), (404, None, 500), (422, None, 500), (None, None, 500)],
             "a int, b string, c int",
         )
     )

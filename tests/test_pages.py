@@ -41,6 +41,21 @@ def test_links_of_the_search_table(spark):
     assert [r["link"] for r in items.collect()] == [f"{host}/handle/p/3", f"{host}/handle/p/4?a=1&b=2", f"{host}/handle/p/6"]
 
 
+def test_attributes_are_cut_from_the_left(spark):
+    html = f"""<table summary='{SEARCH}'><a title='see href=/handle/9/9' href='/handle/1/2'>x</a><a href=/a href = "/b">y</a>
+      <table/><a data-href="/no" href=c>z</a></table><a href="/after">w</a>"""
+    host = "https://h.example"
+    assert _links(spark, html) == [f"{host}/handle/1/2", f"{host}/b", f"{host}/handle/p/c"]
+
+
+def test_pages_without_an_id_or_with_the_same_one(spark):
+    table = _table(("Título", "{}"), ("Autor", "{}"))
+    data = [(None, URL, table.format("a", "b")), (None, URL + "1", table.format("c", "d")), (3, URL, table.format("e", "f")), (3, URL, table.format("g", "h"))]
+    df = spark.createDataFrame([*data, data[3]], "page_id bigint, url string, html string")
+    got = records.parse_pages(df).select("page_id", "tables_found", records.field("Título"))
+    assert rows(got) == [(3, 1, "e"), (3, 1, "g"), (3, 1, "g"), (None, 1, "a"), (None, 1, "c")]
+
+
 def test_unclosed_search_table_runs_to_the_end(spark):
     assert _links(spark, f'<table summary="{SEARCH}"><a href="/x">x</a><table></table><a href="/y">y</a>') == [
         "https://h.example/x",

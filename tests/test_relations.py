@@ -29,6 +29,15 @@ def test_union_filter_on_source_prunes_branches(spark):
 def test_latest_per_key(spark):
     df = spark.createDataFrame([(1, "old", 1), (1, "new", 2), (2, "only", 1)], "id int, v string, run int")
     assert rows(relations.latest_per_key(df, "id", ["run"])) == [(1, "new", 2), (2, "only", 1)]
+    repeated = df.unionByName(df).unionByName(spark.sql("SELECT CAST(NULL AS INT) AS id, 'x' AS v, CAST(NULL AS INT) AS run"))
+    assert rows(relations.latest_per_key(repeated, "id", ["run"])) == [(1, "new", 2), (2, "only", 1), (None, "x", None)]
+
+
+def test_latest_per_key_aggregates_narrow_rows(spark):
+    df = spark.createDataFrame([(1, "wide", 1)], "id int, wide string, run int")
+    plan = relations.latest_per_key(df, "id", ["run"])._jdf.queryExecution().executedPlan().toString()
+    aggregates = [line for line in plan.splitlines() if "Aggregate" in line]
+    assert aggregates and not any("wide" in line.split("functions=")[1] for line in aggregates)
 
 
 def test_distinct_values_keep_first_position(spark):
@@ -60,13 +69,18 @@ def test_consecutive_repeats_do_not_depend_on_blocks(spark, block):
     assert sorted(map(tuple, got.select("k", "i", "v").collect())) == sorted(expected, key=lambda r: r[:2])
 
 
-def test_numbered_blocks_bound_the_block_size(spark):
-    _, df = _events(spark)
-    position = F.col("i").cast("bigint")
-    one = df.select(relations.numbered_blocks(df, position).alias("b")).distinct().count()
-    many = df.groupBy(relations.numbered_blocks(df, position, rows_per_block=20).alias("b")).count()
-    assert one == 1
-    assert many.count() >= 10
+def test_blocks_split_a_burst(spark):
+    data = [(i if i % 100 == 0 else 1_000_000_000 + i,) for i in range(2000)] + [(None,)]
+    df = spark.createDataFrame(data, "i bigint")
+    sizes = [r["count"] for r in relations.numbered_blocks(df, F.col("i"), blocks=20).groupBy("block").count().collect()]
+    assert len(sizes) == 20 and max(sizes) <= 150 and sum(sizes) == 2001
+
+
+def test_consecutive_repeats_keep_null_keys_and_blocks(spark):
+    data = [(None, None, 1, "a"), (None, None, 2, "a"), (None, 5, 3, "a"), (None, 5, 4, "b"), (1, None, 1, "a"), (1, 2, 2, "a")]
+    df = spark.createDataFrame(data, "k int, b int, i int, v string")
+    got = relations.drop_consecutive_repeats(df, ["k"], ["b"], ["i"], "v")
+    assert rows(got, "k", "i", "v") == [(1, 1, "a"), (None, 1, "a"), (None, 4, "b")]
 
 
 @pytest.mark.parametrize("hot_rows", [10, 50, 10**6])
@@ -82,7 +96,8 @@ def test_left_join_with_hot_and_null_keys(spark, hot_rows):
         got = joins.left_join(left, right, "key", "rk", spread=spread, hot_rows=hot_rows)
         assert got.columns == ["key", "n", "rk", "v"]
         assert rows(got) == rows(plain)
-    assert len(joins.hot_keys(right, "rk", hot_rows)) == (1 if hot_rows < 100 else 0)
+    hot = rows(joins.hot_keys(right, "rk", hot_rows))
+    assert hot == ([("hot", 100 // hot_rows)] if hot_rows < 100 else [])
 
 
 def _requests(spark):

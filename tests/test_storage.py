@@ -4,6 +4,7 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.errors import AnalysisException
 
 from acervo import fixed_values as fixed
 from acervo.operators import contents
@@ -44,7 +45,9 @@ def _settings(spark, tmp_path):
     _write(tmp_path / "papers" / "2015_2016" / "b.json", *PAPERS[1:])
     _write(tmp_path / "toc" / "2019_2020" / "a.json", *CONTENTS)
     teachers = spark.createDataFrame(TEACHERS, "siape string, nome string, campus string, nome_da_disciplina string")
-    return layers.Settings(str(tmp_path / "papers"), str(tmp_path / "toc"), teachers, as_of="2020-12-31")
+    _write(tmp_path / "toc" / "2015_2016" / "a.json")
+    empty = frozenset(p for p in fixed.PERIODS if p not in ("2015_2016", "2019_2020"))
+    return layers.Settings(str(tmp_path / "papers"), str(tmp_path / "toc"), teachers, as_of="2020-12-31", empty_periods=empty)
 
 
 def test_fixed_schema_load(spark, tmp_path):
@@ -61,8 +64,13 @@ def test_fixed_schema_load(spark, tmp_path):
     assert rows(mapped.where("id = '1'"), "titulo", "pdf_url") == [(" Ação\tÑ ", "https://h/a.pdf")]
 
 
-def test_missing_period_is_empty(spark, tmp_path):
-    assert documents.read_json_or_empty(spark, str(tmp_path / "none"), documents.CONTENTS).count() == 0
+def test_mistyped_folder_leaves_the_old_mart(spark, tmp_path):
+    settings, warehouse = _settings(spark, tmp_path), str(tmp_path / "warehouse")
+    layers.build(spark, settings, warehouse)
+    settings.metadata_path += "_typo"
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        layers.build(spark, settings, warehouse)
+    assert tables.read_table(spark, warehouse, "gold", models.MART_FACT).count() == 6
 
 
 def test_documents_written_again_replace(spark, tmp_path):
