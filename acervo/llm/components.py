@@ -17,24 +17,26 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Alternating large and small stars: each step moves the links of a node to the smallest of its
     neighbours, until every component is a star about its smallest id. The number of steps grows with
-    the logarithm of the size. Minima are aggregated before the shuffle, and the table they are joined
-    to is a stored one, so that a node with very many links can be split.
+    the logarithm of the size. Minima are aggregated before the shuffle, and the table of the large
+    stars' minima is a stored one, so that a node with very many links can be split in the join.
 
     Ids are non-null integers. Links to oneself are ignored; repeated links count once; no links: no rows.
     """
     edges = cut(links.select(*_downward(a, b)).where("u > v").distinct())
-    before = None
-    while True:
+    while _unfinished(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = cut(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m")))
         large = cut(both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         release(edges, low)
-        low = cut(large.groupBy("u").agg(F.min("v").alias("m")))
+        low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        small = small.unionByName(low.select("u", F.col("m").alias("v")))
-        edges = cut(small.distinct())
-        release(large, low)
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == before:
-            return edges.select(F.col("u").alias("id"), F.col("v").alias("label"))
-        before = state
+        edges = cut(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
+        release(large)
+    return edges.select(F.col("u").alias("id"), F.col("v").alias("label"))
+
+
+def _unfinished(edges: DataFrame) -> bool:
+    """Whether a node points to two others, or to one that points on."""
+    targets = edges.groupBy("u").agg(F.count("*").alias("n"))
+    middles = targets.join(edges.select(F.col("v").alias("u")).distinct(), "u", "left_semi")
+    return bool(targets.where("n > 1").unionByName(middles).take(1))

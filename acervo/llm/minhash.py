@@ -7,10 +7,12 @@ and documents that share a band are candidates. Candidates are compared on their
 A group of thousands of copies makes neither a large task nor all its pairs:
 
 * Documents of equal sets are one class, found by a digest; one of them stands for all.
+* A shingle that no other candidate has cannot be shared: from how many others a document has follows
+  whom it can be linked with at all, which settles most copies that were edited too much.
 * In a round each band bucket has one leader, later several, and only leaders are compared with the
-  members. Components are worked out over the links so far. A bucket goes on while its members that
-  have not led lie in several components, with four times the leaders. Pairs in one component need
-  no comparison. Every pair of a bucket is thus compared or joined up, whatever the bucket's size.
+  members. Components are merged along the new links. A bucket goes on while its members that have
+  not led lie in several components, with 64 times the leaders. Pairs in one component need no
+  comparison. Every pair of a bucket is thus compared or joined up, whatever the bucket's size.
 """
 
 from __future__ import annotations
@@ -90,39 +92,50 @@ def sketches(df: DataFrame, width: int, rows: int) -> DataFrame:
 
 
 def full_sets(df: DataFrame, width: int) -> DataFrame:
-    """id, text -> id, items: the sorted hashes of the distinct shingles, as bytes."""
+    """id, text -> id, items: the sorted hashes of the distinct shingles."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            items = [s.tobytes() for s in _sets(batch.column(1).to_pylist(), width)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(items, pa.binary())], ["id", "items"])
+            items = [s.view(np.int64) for s in _sets(batch.column(1).to_pylist(), width)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(items, pa.list_(pa.int64()))], ["id", "items"])
 
-    return df.mapInArrow(make, "id long, items binary")
+    return df.mapInArrow(make, "id long, items array<long>")
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs a, b whose full sets are similar enough."""
+def _may_link(percent: int, n: str, m: str, other_n: str, other_m: str):
+    """Whether two sets can be similar enough, going by their sizes and by how many members others have too."""
+    shared = F.least(m, other_m)
+    return 100 * shared >= percent * (F.col(n) + F.greatest(F.col(other_n), shared) - shared)
+
+
+def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``pairs`` (a, b, label_a, label_b) with ``linked``: whether their full sets are similar enough."""
     one = sets.select(F.col("id").alias("b"), F.col("items").alias("items_b"))
     two = sets.select(F.col("id").alias("a"), F.col("items").alias("items_a"))
-    both = pairs.join(one, "b").join(two, "a").select("a", "b", "items_a", "items_b")
+    both = pairs.join(one, "b").join(two, "a").select("a", "b", "label_a", "label_b", "items_a", "items_b")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             good = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+            for x, y in zip(batch.column(4), batch.column(5)):
+                x, y = x.values.to_numpy(), y.values.to_numpy()
                 shared = len(np.intersect1d(x, y, assume_unique=True))
                 good.append(100 * shared >= percent * (len(x) + len(y) - shared))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(good, pa.bool_()))
+            names = ["a", "b", "label_a", "label_b", "linked"]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(good, pa.bool_())], names)
 
-    return both.mapInArrow(check, "a long, b long")
+    return both.mapInArrow(check, "a long, b long, label_a long, label_b long, linked boolean")
 
 
-def _contested(members: DataFrame) -> DataFrame:
-    """The rows of buckets whose members lie in several components."""
-    open_keys = members.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y")
+def _contested(members: DataFrame, percent: int) -> DataFrame:
+    """The rows of buckets whose members lie in several components, without those that can't be linked."""
+    keys = members.groupBy("key").agg(
+        F.min("label").alias("x"), F.max("label").alias("y"), F.min("n").alias("least_n"), F.max("m").alias("most_m")
+    )
     # Stored, so that the rows of a bucket with very many members can be split in the join.
-    return members.join(cut(open_keys.select("key")), "key")
+    keys = cut(keys.where("x != y").drop("x", "y"))
+    alive = members.join(keys, "key").where(_may_link(percent, "n", "m", "least_n", "most_m"))
+    return alive.select("key", "id", "n", "m", "label")
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
@@ -148,46 +161,44 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", widt
     classes = cut(classes.select("digest", "c.*"))
 
     # Members of band buckets that several classes share.
-    banded = classes.select(F.explode("bands").alias("key"), "id", "n", F.col("id").alias("label"))
-    members = cut(_contested(banded))
-    involved = members.select("id").distinct()
-    sets = cut(full_sets(docs.join(involved, "id"), width))
-
-    links, tested, leaders_per_bucket = [], [], 1
+    banded = classes.select(F.explode("bands").alias("key"), "id", "n", F.col("n").alias("m"), F.col("id").alias("label"))
+    members = cut(_contested(banded, percent))
+    sets = cut(full_sets(docs.join(members.select("id").distinct(), "id"), width))
+    # A shingle that only one of them has is in no intersection: ``m`` are the others.
+    single = sets.select("id", F.explode("items").alias("item")).groupBy("item")
+    single = single.agg(F.count("*").alias("n"), F.min("id").alias("id")).where("n = 1").groupBy("id").agg(F.count("*").alias("own"))
+    known = members.drop("m").join(single, "id", "left").withColumn("m", F.col("n") - F.coalesce("own", F.lit(0)))
+    members = cut(_contested(known.where(100 * F.col("m") >= percent * F.col("n")), percent))
+
+    tested, merges, leaders = [], [], 1
     while members.take(1):
-        salt = F.pmod(F.xxhash64(F.lit(leaders_per_bucket), "id"), F.lit(leaders_per_bucket))
-        order = F.struct("label", "id", "n") if leaders_per_bucket == 1 else F.struct("weight", "id", "n", "label")
-        if leaders_per_bucket > 1:
-            # Members of small components lead first: fewer of them are left to lead.
-            weights = cut(members.groupBy("key", "label").agg(F.count("*").alias("weight")))
-            ranked = members.join(weights, ["key", "label"])
-        else:
-            ranked = members
-        led = ranked.groupBy("key", salt.alias("salt")).agg(F.min(order).alias("leader"))
-        led = cut(led.select("key", "leader.id", "leader.n", "leader.label"))
-        lead = led.select("key", *[F.col(c).alias(f"lead_{c}") for c in ("id", "n", "label")])
-        near = 100 * F.least("n", "lead_n") >= percent * F.greatest("n", "lead_n")
+        # Those with the fewest shingles of their own lead: they have the most links.
+        salt = F.pmod(F.xxhash64("id"), F.lit(leaders)).alias("salt")
+        rank = F.struct((F.col("n") - F.col("m")).alias("own"), "id", "n", "m", "label")
+        led = cut(members.groupBy("key", salt).agg(F.min(rank).alias("leader")).select("key", "leader.*").drop("own"))
+        lead = led.select("key", *[F.col(c).alias(f"lead_{c}") for c in ("id", "n", "m", "label")])
+        near = _may_link(percent, "n", "m", "lead_n", "lead_m")
         pairs = members.join(lead, "key").where(near & (F.col("label") != F.col("lead_label")))
-        pairs = pairs.select(F.least("id", "lead_id").alias("a"), F.greatest("id", "lead_id").alias("b")).distinct()
+        first, second = F.struct("id", "label"), F.struct(F.col("lead_id").alias("id"), F.col("lead_label").alias("label"))
+        pairs = pairs.select(F.least(first, second).alias("x"), F.greatest(first, second).alias("y")).distinct()
+        pairs = pairs.select(
+            F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.col("x.label").alias("label_a"), F.col("y.label").alias("label_b")
+        )
         for earlier in tested:
-            pairs = pairs.join(earlier, ["a", "b"], "left_anti")
-        pairs = cut(pairs)
-        tested.append(pairs)
-        links.append(cut(_confirmed(pairs, sets, percent)))
-        joined = links[0]
-        for more in links[1:]:
-            joined = joined.unionByName(more)
-        labels = components(joined)
-        left = members.join(led.select("key", "id"), ["key", "id"], "left_anti").drop("label")
-        left = left.join(labels, "id", "left").select("key", "id", "n", F.coalesce("label", "id").alias("label"))
-        rest = cut(_contested(left))
+            pairs = pairs.join(earlier.select("a", "b"), ["a", "b"], "left_anti")
+        tested.append(cut(_compared(pairs, sets, percent)))
+        merged = components(tested[-1].where("linked"), "label_a", "label_b")
+        merges.append(merged.select(F.col("id").alias("label"), F.col("label").alias("new_label")))
+        left = members.join(led.select("key", "id"), ["key", "id"], "left_anti").join(merges[-1], "label", "left")
+        left = left.select("key", "id", "n", "m", F.coalesce("new_label", "label").alias("label"))
+        rest = cut(_contested(left, percent))
         release(members, led)
-        members, leaders_per_bucket = rest, 4 * leaders_per_bucket
-    found = classes.select("digest", "id")
-    if links:
-        found = found.join(labels, "id", "left").select("digest", F.coalesce("label", "id").alias("component"))
-    else:
-        found = found.withColumnRenamed("id", "component")
+        members, leaders = rest, 64 * leaders
+    # From a class to the smallest id of its component, round by round.
+    found = classes.select("digest", F.col("id").alias("component"))
+    for merge in merges:
+        found = found.join(merge.withColumnRenamed("label", "component"), "component", "left")
+        found = found.select("digest", F.coalesce("new_label", "component").alias("component"))
     found = cut(found)
     component = F.least("id", F.coalesce("component", "id"))
     return (
