@@ -19,13 +19,14 @@ from acervo.llm.common import cut, quiet_threads
 
 LIMIT = 1024
 OPEN_BINS = 4096
-#: Ids of so many words are kept in a Python worker.
-CACHED_WORDS = 300_000
+#: Ids of so many words are kept in a Python worker, none of words longer than LONG_WORD.
+CACHED_WORDS, LONG_WORD = 600_000, 64
 #: A space that white space or the end follows: such a text is not cut into words.
 _LOOSE_SPACE = re.compile(r" (?=\s|\Z)")
 
 _words: dict[str, dict[str, bytes]] = {}
 _tokenizers: dict = {}
+_spaced: dict = {}
 
 
 def _tokenizer(path: str):
@@ -39,29 +40,50 @@ def _tokenizer(path: str):
     return _tokenizers[path]
 
 
+def _starts_word(path: str):
+    """For each id whether its token begins with a space."""
+    import numpy as np
+
+    if path not in _spaced:
+        vocabulary = _tokenizer(path).get_vocab()
+        _spaced[path] = np.zeros(max(vocabulary.values()) + 1, bool)
+        _spaced[path][[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
+    return _spaced[path]
+
+
 def encode_words(texts: list[str], path: str) -> list[bytes]:
-    """The ids of each text, four bytes per id; each distinct word meets the tokenizer once.
+    """The ids of each text, four bytes per id; a worker gives each distinct word to the tokenizer once.
 
     A byte-level tokenizer starts a new pre-token at a space that a visible character follows and
-    that no white space precedes, so a text can be cut there without changing an id.
+    that no white space precedes, so a text can be cut there without changing an id. New words go
+    to the tokenizer in one text; its ids are cut where a token begins with a space.
     """
     import numpy as np
 
+    encode = lambda parts: _tokenizer(path).encode_batch_fast(parts, add_special_tokens=False)
     known = _words.setdefault(path, {})
     if len(known) > CACHED_WORDS:
         known.clear()
-    cut = []
+    heads, tails, new = [], [], set()
     for text in texts:
-        if _LOOSE_SPACE.search(text):
-            cut.append([text])
-        else:
-            first, *rest = text.split(" ")
-            cut.append([first, *[" " + word for word in rest]] if first else [" " + word for word in rest] or [""])
-    new = list(set().union(*cut) - known.keys()) if cut else []
-    whole = {}
-    for word, found in zip(new, _tokenizer(path).encode_batch_fast(new, add_special_tokens=False), strict=True):
-        (known if len(word) <= 64 else whole)[word] = np.array(found.ids, "<u4").tobytes()
-    return [b"".join([known[w] if w in known else whole[w] for w in words]) for words in cut]
+        head, *words = [text] if _LOOSE_SPACE.search(text) else text.split(" ")
+        found = list(map(known.get, words))
+        if None in found:
+            new.update(w for w, ids in zip(words, found) if ids is None)
+        heads.append(head)
+        tails.append(words)
+    if new:
+        new = list(new)
+        ids = np.array(encode([" " + " ".join(new)])[0].ids, "<u4")
+        edges = [*(4 * np.flatnonzero(_starts_word(path)[ids])).tolist(), 4 * len(ids)]
+        data = ids.tobytes()
+        known.update(zip(new, (data[a:b] for a, b in zip(edges, edges[1:])), strict=True))
+    heads = [np.array(e.ids, "<u4").tobytes() for e in encode(heads)]
+    out = [head + b"".join(map(known.__getitem__, words)) for head, words in zip(heads, tails)]
+    for word in new:
+        if len(word) > LONG_WORD:
+            del known[word]
+    return out
 
 
 def tokenize(df: DataFrame, path: str, end_id: int, key: str = "doc_id", text: str = "text", limit: int = LIMIT) -> DataFrame:
