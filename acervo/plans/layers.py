@@ -36,15 +36,15 @@ class Settings:
     periods: list[str] = field(default_factory=lambda: list(fixed.PERIODS))
     period_folder: str = "{}"
     as_of: str | None = None
-    empty_periods: frozenset[str] = frozenset()  # periods without a folder; any other must have one
+    empty: frozenset[str] = frozenset()  # relations whose period has no folder; any other must have one
 
 
 def registry(spark: SparkSession, settings: Settings) -> dict[str, Model]:
     """All models in dependency order."""
     base = settings.teacher_table
 
-    def stage(folder: str, period: str, schema) -> Callable[[], DataFrame]:
-        if period in settings.empty_periods:
+    def stage(name: str, folder: str, period: str, schema) -> Callable[[], DataFrame]:
+        if name in settings.empty:
             return lambda: spark.createDataFrame([], schema)
         return lambda: documents.read_json(spark, f"{folder}/{settings.period_folder.format(period)}", schema)
 
@@ -55,7 +55,7 @@ def registry(spark: SparkSession, settings: Settings) -> dict[str, Model]:
     ):
         names = [documents.period_name(kind, period) for period in settings.periods]
         for period, name in zip(settings.periods, names):
-            out[name] = Model(stage(folder, period, schema), [], "stage", {"stage"})
+            out[name] = Model(stage(name, folder, period, schema), [], "stage", {"stage"})
         union = lambda *dfs, names=names: union_relations(dict(zip(names, dfs)))
         out[f"bronze_{kind}"] = Model(union, names, "bronze", {"bronze"}, view=True)
     out[base] = Model(lambda: settings.teachers, [], "stage", {"stage"})

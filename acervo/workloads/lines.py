@@ -175,12 +175,8 @@ def q_page_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["q_page_lines"] = rf"""
 WITH p AS ({inputs.sql_select(_RAW_PAGE, 'documents')}),
 s AS (SELECT doc_id, page_no, replace(replace(replace(chr(65279) || text, chr(0), ' '), chr(65279), ' '), '·', '.') AS t FROM p),
-n AS (SELECT doc_id, page_no, regexp_replace(replace(t, '…', '...'), '[ 	
-]+', ' ', 'g') AS t FROM s),
-b AS (SELECT doc_id, page_no, regexp_replace(regexp_replace(t, '
-\s*
-+', chr(10), 'g'), ' *
- *', chr(10), 'g') AS t FROM n),
+n AS (SELECT doc_id, page_no, regexp_replace(replace(t, '…', '...'), '[ \t\r\f\x0B]+', ' ', 'g') AS t FROM s),
+b AS (SELECT doc_id, page_no, regexp_replace(regexp_replace(t, '\n\s*\n+', chr(10), 'g'), ' *\n *', chr(10), 'g') AS t FROM n),
 l AS (SELECT doc_id, page_no, string_split(regexp_replace(t, '^\s+|\s+$', '', 'g'), chr(10)) AS lines FROM b)
 SELECT doc_id, page_no, CAST(unnest(generate_series(0, len(lines) - 1)) AS INTEGER) AS line_no, unnest(lines) AS text FROM l"""
 

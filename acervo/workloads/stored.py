@@ -143,6 +143,12 @@ _PERIOD = "CASE " + " ".join(
 _SECTION_PERIOD = _PERIOD.replace("o_orderdate", "l_shipdate")
 
 
+def _without_rows(base: str, rows: DataFrame) -> frozenset[str]:
+    """Relations of the periods that no row falls into."""
+    found = {r["period"] for r in rows.select("period").distinct().collect()}
+    return frozenset(documents.period_name(base, period) for period in fixed.PERIODS if period not in found)
+
+
 def _build(spark: SparkSession, sf_dir: str, folder: str, tags: set[str] | None = None) -> dict[str, DataFrame]:
     """Papers by period and tables of contents as JSON, then the layers."""
     orders = inputs.dealt(inputs.load(spark, sf_dir, "orders"), "o_orderkey")
@@ -157,7 +163,7 @@ def _build(spark: SparkSession, sf_dir: str, folder: str, tags: set[str] | None
         teachers=inputs.teachers(spark, sf_dir),
         period_folder="period={}",
         as_of=warehouse.AS_OF,
-        empty_periods=frozenset(fixed.PERIODS[2:]),  # no order is that late
+        empty=_without_rows("papers_metadata", dated) | _without_rows("papers_tableofcontent", sections),
     )
     return layers.build(spark, settings, f"{folder}/warehouse", tags)
 

@@ -45,9 +45,10 @@ def _settings(spark, tmp_path):
     _write(tmp_path / "papers" / "2015_2016" / "b.json", *PAPERS[1:])
     _write(tmp_path / "toc" / "2019_2020" / "a.json", *CONTENTS)
     teachers = spark.createDataFrame(TEACHERS, "siape string, nome string, campus string, nome_da_disciplina string")
-    _write(tmp_path / "toc" / "2015_2016" / "a.json")
-    empty = frozenset(p for p in fixed.PERIODS if p not in ("2015_2016", "2019_2020"))
-    return layers.Settings(str(tmp_path / "papers"), str(tmp_path / "toc"), teachers, as_of="2020-12-31", empty_periods=empty)
+    there = ("papers_metadata_2015_2016", "papers_metadata_2019_2020", "papers_tableofcontent_2019_2020")
+    kinds = ("papers_metadata", "papers_tableofcontent")
+    empty = {documents.period_name(kind, period) for kind in kinds for period in fixed.PERIODS} - {*there}
+    return layers.Settings(str(tmp_path / "papers"), str(tmp_path / "toc"), teachers, as_of="2020-12-31", empty=frozenset(empty))
 
 
 def test_fixed_schema_load(spark, tmp_path):
