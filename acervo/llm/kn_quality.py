@@ -262,7 +262,10 @@ def score_quality(
 
 
 def reject_low_quality(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """``df`` without the documents that are not kept; a key goes where one of its rows does."""
+    """``df`` without the documents that are not kept; a key goes where one of its rows does.
+
+    Rows with a null key cannot be told apart by it, and stay.
+    """
     judged = score_quality(df, labels, key, text, lang)
     rejected = cut(judged.where(~F.col("kept")).select(F.col(key).alias("rejected")).where("rejected is not null").distinct())
     return df.join(rejected, df[key] == F.col("rejected"), "left_anti")
