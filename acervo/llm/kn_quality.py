@@ -33,8 +33,8 @@ QUANTILE, SLACK = 0.995, 1.25
 #: One in so many trusted texts, by key, is not trained on.
 SPARED = 5
 #: Texts of a task are compressed together, per block, whenever they reach so many characters.
-BUFFER_CHARS = 24 << 20
-STEP = 1 << 20
+BUFFER_CHARS = 12 << 20
+STEP = 1 << 19
 
 
 def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:

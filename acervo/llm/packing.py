@@ -20,7 +20,7 @@ from acervo.llm.common import cut, quiet_threads
 LIMIT = 1024
 OPEN_BINS = 4096
 #: Ids of so many words are kept in a Python worker, none of words longer than LONG_WORD.
-CACHED_WORDS, LONG_WORD = 600_000, 64
+CACHED_WORDS, LONG_WORD = 400_000, 64
 #: A space that white space or the end follows: such a text is not cut into words.
 _LOOSE_SPACE = re.compile(r" (?=\s|\Z)")
 

@@ -170,9 +170,10 @@ def learn(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [(t or "").encode() for t in batch.column(2).to_pylist()]
-            rows, offsets = buckets(texts)
-            found = [rows[a:b].tobytes() if b - a <= SAMPLE_WORDS else None for a, b in zip(offsets, offsets[1:])]
+            texts, found = [(t or "").encode() for t in batch.column(2).to_pylist()], []
+            for start, end in W.groups(texts):
+                rows, offsets = buckets(texts[start:end])
+                found += [rows[a:b].tobytes() if b - a <= SAMPLE_WORDS else None for a, b in zip(offsets, offsets[1:])]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.binary())], ["id", "y", "words"])
 
     chosen = df.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
@@ -190,7 +191,7 @@ def score(net: Network, text: Column) -> Column:
     def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             texts = [(t or "").encode() for t in batch.to_pylist()]
-            found = [net.scores(texts[a:b]) for a, b in W.groups(texts, 1 << 20)]
+            found = [net.scores(texts[a:b]) for a, b in W.groups(texts)]
             yield pa.array(np.concatenate(found) if found else np.zeros(0), pa.float64())
 
     return scored(text.cast("string"))

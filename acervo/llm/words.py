@@ -58,8 +58,8 @@ def hash_words(texts: list[bytes], gap: np.ndarray = SPACE, lower: bool = True)
     return mix(hashes), offsets
 
 
-def groups(texts: list[bytes], size: int = 4 << 20):
-    """Ranges of texts with about ``size`` bytes in all, at least one text each."""
+def groups(texts: list[bytes], size: int = 1 << 19):
+    """Ranges of texts with about ``size`` bytes in all, at least one text each: the work space of a task."""
     start, total = 0, 0
     for i, text in enumerate(texts):
         total += len(text) + 1
