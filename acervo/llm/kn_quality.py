@@ -27,9 +27,12 @@ from acervo.llm.common import cut, partitions
 ORDER = 4
 #: Three of these stand before each text: a control character, one UTF-16 unit.
 START = "\x02"
-#: Quantile of perplexity among the trusted texts of a language that the model was not trained on, and
-#: how far above it a text is still kept.
-QUANTILE, SLACK = 0.995, 1.25
+#: Quantile of perplexity among the trusted texts of a language that the model was not trained on; a text
+#: above it is not kept.
+QUANTILE = 0.99
+#: Texts of fewer n-grams say nothing about a language's threshold; a language with fewer texts than
+#: ``OWN`` takes the threshold of all languages.
+SHORT, OWN = 20, 100
 #: One in so many trusted texts, by key, is not trained on.
 SPARED = 5
 #: Texts of a task are compressed together, per block, whenever they reach so many characters.
@@ -229,8 +232,8 @@ def score_quality(
     """``key``, lang, n_grams, perplexity, threshold and kept, a row per document.
 
     Trusted are the texts labelled 1 in ``labels.quality``. The model is trained on four fifths of them.
-    ``threshold`` is the quantile of the others' perplexities in the language, or in all languages where
-    it has none, times ``SLACK``; above it a text is not kept.
+    ``threshold`` is the quantile of the perplexities of the others of at least ``SHORT`` n-grams in the
+    language, or in all languages where it has fewer than ``OWN`` of them; above it a text is not kept.
 
     * Null and empty texts have a null perplexity and are kept: nothing speaks against them. So is all
       without any trusted text. Null languages form no language of their own.
@@ -247,10 +250,11 @@ def score_quality(
     scored = cut(block_scores(texts, answers))
 
     high = F.percentile_approx("perplexity", F.lit(quantile), F.lit(10_000))
-    known = scored.join(good.where(spared), "id", "left_semi")
+    known = scored.join(good.where(spared), "id", "left_semi").where(F.col("n_grams") >= SHORT)
     overall = known.agg(high.alias("overall"))
-    by_lang = cut(known.where("lang is not null").groupBy("lang").agg(high.alias("of_lang")))
-    limit = SLACK * F.coalesce("of_lang", F.lit(overall.first()["overall"]).cast("double"))
+    by_lang = known.where("lang is not null").groupBy("lang").agg(high.alias("of_lang"), F.count("*").alias("n"))
+    by_lang = cut(by_lang.where(F.col("n") >= OWN).drop("n"))
+    limit = F.coalesce("of_lang", F.lit(overall.first()["overall"]).cast("double"))
     return scored.join(by_lang, "lang", "left").select(
         F.col("id").alias(key),
         "lang",

@@ -119,6 +119,23 @@ def test_perplexity_as_by_a_plain_model(spark):
     assert kept.count() == sum(r["kept"] or i is None for i, r in got.items())  # without a key a row stays
 
 
+def test_one_odd_or_short_text_sets_no_threshold(spark):
+    rng = random.Random(8)
+    words = ["".join(rng.choices("aeinrst", k=rng.randint(2, 6))) for _ in range(80)]
+    spared = spark.range(3000).where(F.pmod(F.xxhash64(F.lit("spared"), "id"), F.lit(kn_quality.SPARED)) == 0)
+    spared = [r["id"] for r in spared.collect() if r["id"] >= 2000]
+    texts = {i: (" ".join(rng.choices(words, k=40)), "en") for i in range(800)}
+    odd, short = spared[0], spared[1:6]
+    texts |= {odd: ("QX!! ZZ## 19|" * 20, "fr")} | {i: ("Q#.", "en") for i in short}
+    texts[5000] = "WX?? YY$$ 28/" * 20, "fr"  # junk about as unlike the model as the odd text
+    df = spark.createDataFrame([(i, t, lang) for i, (t, lang) in texts.items()], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i != 5000), 0) for i in texts], "doc_id long, quality int, toxic int")
+    got = {r["doc_id"]: r for r in kn_quality.score_quality(df, labels).collect()}
+    least = min(got[i]["perplexity"] for i in [odd, *short])
+    assert not got[5000]["kept"] and got[5000]["threshold"] < least and got[0]["threshold"] < least
+    assert sum(got[i]["kept"] for i in range(800)) >= 0.95 * 800
+
+
 def test_quality_without_rows_or_labels(spark):
     df = spark.createDataFrame([(1, "abc", "en")], "doc_id long, text string, lang string")
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
