@@ -6,7 +6,8 @@ and documents that share a band are candidates. Candidates are compared on their
 
 A group of thousands of copies makes neither a large task nor all its pairs:
 
-* Documents of equal sets are one class, found by a digest; one of them stands for all.
+* Texts of equal sets are one class, found by a digest; one of them stands for all. A key that has
+  several texts is in several classes, which start in one component.
 * A shingle that no other candidate has cannot be shared: from how many others a document has follows
   whom it can be linked with at all, which settles most copies that were edited too much.
 * In a round each band bucket has one leader, later several, and only leaders are compared with the
@@ -74,7 +75,7 @@ def _sets(texts: list[str | None], width: int) -> Iterator[np.ndarray]:
 
 
 def sketches(df: DataFrame, width: int, rows: int) -> DataFrame:
-    """id, text -> id, n (set size), digest (null for an empty set) and the bands."""
+    """id, text, text_hash -> id, text_hash, n (set size), digest (null for an empty set) and the bands."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -84,11 +85,17 @@ def sketches(df: DataFrame, width: int, rows: int) -> DataFrame:
                 digests.append(hashlib.blake2b(items.tobytes(), digest_size=16).digest() if len(items) else None)
                 all_bands.append(bands(min_max(items), rows) if len(items) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(all_bands, pa.list_(pa.int64()))],
-                ["id", "n", "digest", "bands"],
+                [
+                    batch.column(0),
+                    batch.column(2),
+                    pa.array(sizes, pa.int64()),
+                    pa.array(digests, pa.binary()),
+                    pa.array(all_bands, pa.list_(pa.int64())),
+                ],
+                ["id", "text_hash", "n", "digest", "bands"],
             )
 
-    return df.mapInArrow(sketch, "id long, n long, digest binary, bands array<long>")
+    return df.mapInArrow(sketch, "id long, text_hash long, n long, digest binary, bands array<long>")
 
 
 def full_sets(df: DataFrame, width: int) -> DataFrame:
@@ -127,6 +134,16 @@ def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(check, "a long, b long, label_a long, label_b long, linked boolean")
 
 
+def _class_sets(docs: DataFrame, chosen: DataFrame, width: int) -> DataFrame:
+    """id, items: the set of each class of ``chosen`` (class, id, text_hash, repeated), of one row of its text."""
+    texts = docs.join(chosen, ["id", "text_hash"]).select(F.col("class").alias("id"), "text", "repeated")
+    one = texts.where(~F.col("repeated")).select("id", "text")
+    if chosen.where("repeated").take(1):
+        # Equal rows are brought together; their partial aggregate keeps one per task.
+        one = one.unionByName(texts.where("repeated").groupBy("id").agg(F.min("text").alias("text")))
+    return full_sets(one, width)
+
+
 def _contested(members: DataFrame, percent: int) -> DataFrame:
     """The rows of buckets whose members lie in several components, without those that can't be linked."""
     keys = members.groupBy("key").agg(
@@ -156,21 +173,37 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", widt
     docs = df.where(F.col(f"`{key}`").isNotNull()).select(
         F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").cast("string").alias("text")
     )
+    docs = docs.withColumn("text_hash", F.xxhash64("text"))
     sketched = cut(sketches(docs, width, band_rows(percent / 100)))
-    classes = sketched.where("n > 0").groupBy("digest").agg(F.min(F.struct("id", "n", "bands")).alias("c"))
-    classes = cut(classes.select("digest", "c.*"))
+    classes = sketched.where("n > 0").groupBy("digest").agg(F.min(F.struct("id", "text_hash", "n", "bands")).alias("c"))
+    # A class goes by a number of its own, ``class``; its label is the smallest key in it.
+    classes = cut(classes.select("digest", F.xxhash64("digest").alias("class"), "c.*"))
+
+    # Classes that share a key start with one label.
+    several = sketched.where("n > 0").groupBy("id").agg(F.min("digest").alias("x"), F.max("digest").alias("y"))
+    several = cut(several.where("x != y").select("id"))
+    shared = sketched.where("n > 0").join(several, "id").select("id", "digest").distinct()
+    shared = cut(shared.join(classes.select("digest", F.col("id").alias("label")), "digest").select("id", "label").distinct())
+    least = shared.groupBy("id").agg(F.min("label").alias("least"))
+    start = components(shared.join(least, "id").where("label != least"), "least", "label")
+    start = cut(start.select(F.col("id").alias("label"), F.col("label").alias("new_label")))
 
     # Members of band buckets that several classes share.
-    banded = classes.select(F.explode("bands").alias("key"), "id", "n", F.col("n").alias("m"), F.col("id").alias("label"))
+    banded = classes.join(start, classes["id"] == start["label"], "left").select(
+        F.explode("bands").alias("key"), F.col("class").alias("id"), "n", F.col("n").alias("m"), F.coalesce("new_label", "id").alias("label")
+    )
     members = cut(_contested(banded, percent))
-    sets = cut(full_sets(docs.join(members.select("id").distinct(), "id"), width))
+    # A set per class, of whichever rows; those rows that repeat are counted.
+    chosen = classes.join(members.select(F.col("id").alias("class")).distinct(), "class").select("class", "id", "text_hash")
+    repeats = sketched.where("n > 0").groupBy("id", "text_hash").agg((F.count("*") > 1).alias("repeated"))
+    sets = cut(_class_sets(docs, cut(chosen.join(repeats, ["id", "text_hash"])), width))
     # A shingle that only one of them has is in no intersection: ``m`` are the others.
     single = sets.select("id", F.explode("items").alias("item")).groupBy("item")
     single = single.agg(F.count("*").alias("n"), F.min("id").alias("id")).where("n = 1").groupBy("id").agg(F.count("*").alias("own"))
     known = members.drop("m").join(single, "id", "left").withColumn("m", F.col("n") - F.coalesce("own", F.lit(0)))
     members = cut(_contested(known.where(100 * F.col("m") >= percent * F.col("n")), percent))
 
-    tested, merges, leaders = [], [], 1
+    tested, merges, leaders = [], [start], 1
     while members.take(1):
         # Those with the fewest shingles of their own lead: they have the most links.
         salt = F.pmod(F.xxhash64("id"), F.lit(leaders)).alias("salt")

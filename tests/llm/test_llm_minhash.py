@@ -79,6 +79,18 @@ def test_edge_cases(spark):
     assert sorted(map(tuple, got)) == [(2, 0, 2, True), (5, 2, 5, True), (5, 2, 5, True), (9, 2, 5, False)]
 
 
+def test_a_key_with_two_texts(spark):
+    rng = random.Random(11)
+    text = lambda: rng.choices([f"w{i}" for i in range(400)], k=120)
+    a, b, c, d, e = (text() for _ in range(5))
+    near = lambda words: [*words[:60], "x", *words[61:]]
+    rows = [(2, a), (2, b), (1, near(a)), (7, c), (7, c), (9, c), (9, d), (11, d), (12, near(d)), (20, e), (20, near(near(e)[::-1]))]
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in rows], "doc_id long, text string")
+    got = {(r["doc_id"], r["component_id"], r["kept"]) for r in minhash.near_duplicates(df).collect()}
+    expected = {2: 1, 1: 1, 7: 7, 9: 7, 11: 7, 12: 7, 20: 20}
+    assert got == {(i, c, i == c) for i, c in expected.items()}
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(200, 200), (300, 301), (301, 300)]
     df = spark.createDataFrame(links, "a long, b long")
