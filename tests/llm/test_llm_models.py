@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -48,6 +49,28 @@ def test_neighbours(spark):
     assert found / wanted >= 0.9
 
 
+@pytest.mark.parametrize("size", ["sf0.01", "sf0.1"])
+def test_recall_of_the_query(spark, size):
+    from acervo.llm import queries
+
+    folder = f"/root/testdata/{size}"
+    if not os.path.isdir(folder):
+        pytest.skip("no benchmark tables")
+    table = spark.read.parquet(f"{folder}/embeddings.parquet").toPandas()
+    ids, data = table["vec_id"].to_numpy(), np.stack(table["embedding"]).astype(float)
+    got = defaultdict(set)
+    for r in queries.QUERIES["op5_ann"](spark, folder).collect():
+        got[r["query_id"]].add(r["vec_id"])
+    found = wanted = 0
+    for q in ids[ids % 100 == 0]:
+        d = ((data - data[ids == q][0]) ** 2).sum(axis=1)
+        best = [i for i in ids[np.lexsort((ids, d))] if i != q][:10]
+        found += len(got[q] & set(best))
+        wanted += len(best)
+    print(f"recall {size}: {found} of {wanted}, {len(got)} queries of {len(ids)} vectors")
+    assert found / wanted >= 0.95
+
+
 def test_neighbours_of_few(spark):
     schema = "vec_id long, embedding array<float>"
     df = spark.createDataFrame([(0, [1.0, 0.0]), (3, [1.0, 0.0]), (5, [4.0, 4.0])], schema)
