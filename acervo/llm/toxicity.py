@@ -160,7 +160,7 @@ def train(rows: list[np.ndarray], labels: np.ndarray, seed: int = 1) -> Network:
 def learn(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> Network:
     """A network from at most ``SAMPLE_ROWS`` labelled rows that are not held out, chosen by a hash of the key.
 
-    Texts of more than ``SAMPLE_WORDS`` words are not in the sample. Null labels and keys are ignored; a
+    A key gives one text, that of the smallest hash. Texts of more than ``SAMPLE_WORDS`` words are not in the sample. Null labels and keys are ignored; a
     key with several labels counts as toxic if one is.
     """
     known = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull() & ~held_out(F.col(key)))
@@ -173,13 +173,16 @@ def learn(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
             texts, found = [(t or "").encode() for t in batch.column(2).to_pylist()], []
             for start, end in W.groups(texts):
                 rows, offsets = buckets(texts[start:end])
-                found += [rows[a:b].tobytes() if b - a <= SAMPLE_WORDS else None for a, b in zip(offsets, offsets[1:])]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.binary())], ["id", "y", "words"])
+                found += [rows[a:b].tobytes() if b - a <= most else None for a, b in zip(offsets, offsets[1:])]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], batch.column(3), pa.array(found, pa.binary())], ["id", "y", "h", "words"])
 
+    most = SAMPLE_WORDS
     chosen = df.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
-    chosen = chosen.join(F.broadcast(sample), "id").select("id", "y", "text")
-    taken = chosen.mapInArrow(hashed, "id long, y int, words binary").where("words is not null").toPandas()
-    taken = taken.sort_values(["id", "words"])
+    chosen = chosen.join(F.broadcast(sample), "id").select("id", "y", "text", F.xxhash64("text").alias("h"))
+    # One text per key before any of them are collected, by a partial aggregate.
+    one = chosen.mapInArrow(hashed, "id long, y int, h long, words binary").where("words is not null")
+    one = one.groupBy("id").agg(F.min(F.struct("h", "y", "words")).alias("m")).select("id", "m.y", "m.words")
+    taken = one.toPandas().sort_values("id")
     rows = [np.frombuffer(w, np.int32) for w in taken["words"]]
     return train(rows, taken["y"].to_numpy(np.float32))
 

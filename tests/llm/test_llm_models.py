@@ -223,6 +223,21 @@ def test_rejecting_toxic_texts(labelled):
     assert {2000, 2001} <= ids and 2002 not in ids
 
 
+def sampled(monkeypatch, df, labels):
+    seen = {}
+    monkeypatch.setattr(toxicity, "train", lambda rows, y: seen.update(rows=rows, y=y))
+    toxicity.learn(df, labels)
+    return seen["rows"], seen["y"]
+
+
+def test_a_key_gives_one_text_to_the_sample(spark, monkeypatch):
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 5]
+    rows = [(i, f"word {i}") for i in ids] + [(ids[0], f"another {k % 7}") for k in range(300)]
+    labels = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id long, toxic int")
+    found, y = sampled(monkeypatch, spark.createDataFrame(rows, "doc_id long, text string"), labels)
+    assert len(found) == len(y) == len(ids)
+
+
 def test_toxicity_without_labels_or_rows(labelled):
     df, labels = labelled
     assert len({r["score"] for r in toxicity.classify(df, labels.limit(0)).collect()}) == 1
