@@ -22,8 +22,8 @@ from acervo.llm.common import cut
 BUCKET_BITS = 18
 WIDTHS = (1, 2, 3)
 SIZE, FILTERS, EPOCHS, BATCH, RATE = 8, 12, 5, 32, 0.1
-#: Labelled rows that the network is trained on, and words of the longest text among them.
-SAMPLE_ROWS, SAMPLE_WORDS = 16_000, 2048
+#: Labelled texts that the network is trained on, at most, and their words all together.
+SAMPLE_ROWS, SAMPLE_WORDS = 16_000, 8 << 20
 #: A language's threshold may reject at most this share of its labelled clean texts.
 CLEAN_LOSS = 0.005
 GAP = max(WIDTHS) - 1  # empty words between texts, so that no filter sees two
@@ -158,10 +158,11 @@ def train(rows: list[np.ndarray], labels: np.ndarray, seed: int = 1) -> Network:
 
 
 def learn(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> Network:
-    """A network from at most ``SAMPLE_ROWS`` labelled rows that are not held out, chosen by a hash of the key.
+    """A network from at most ``SAMPLE_ROWS`` labelled keys that are not held out, chosen by a hash of the key.
 
-    A key gives one text, that of the smallest hash. Texts of more than ``SAMPLE_WORDS`` words are not in the sample. Null labels and keys are ignored; a
-    key with several labels counts as toxic if one is.
+    Whole texts of all lengths are in the sample, as many in the hash's order as have ``SAMPLE_WORDS`` words
+    together; a text with more than all of these is left out. A key gives one text, that of the smallest
+    hash. Null labels and keys are ignored; a key with several labels counts as toxic if one is.
     """
     known = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull() & ~held_out(F.col(key)))
     known = known.groupBy(F.col(key).alias("id")).agg((F.max(label) > 0).cast("int").alias("y"))
@@ -181,7 +182,14 @@ def learn(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     chosen = chosen.join(F.broadcast(sample), "id").select("id", "y", "text", F.xxhash64("text").alias("h"))
     # One text per key before any of them are collected, by a partial aggregate.
     one = chosen.mapInArrow(hashed, "id long, y int, h long, words binary").where("words is not null")
-    one = one.groupBy("id").agg(F.min(F.struct("h", "y", "words")).alias("m")).select("id", "m.y", "m.words")
+    one = cut(one.groupBy("id").agg(F.min(F.struct("h", "y", "words")).alias("m")).select("id", "m.y", "m.words"))
+    sizes = one.select("id", F.xxhash64("id").alias("h"), (F.octet_length("words") / 4).cast("long").alias("n")).toPandas()
+    sizes = sizes.sort_values(["h", "id"])
+    within = (sizes["n"].cumsum() <= most).to_numpy()
+    if not within.all():
+        h, i = (F.lit(sizes[c].tolist()[int(within.argmin())]) for c in ("h", "id"))
+        own = F.xxhash64("id")
+        one = one.where((own < h) | ((own == h) & (F.col("id") < i)))
     taken = one.toPandas().sort_values("id")
     rows = [np.frombuffer(w, np.int32) for w in taken["words"]]
     return train(rows, taken["y"].to_numpy(np.float32))

@@ -230,6 +230,17 @@ def sampled(monkeypatch, df, labels):
     return seen["rows"], seen["y"]
 
 
+def test_long_texts_are_in_the_sample(spark, monkeypatch):
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 5]
+    lengths = {i: 5000 if k < 2 else 10 for k, i in enumerate(ids)}
+    df = spark.createDataFrame([(i, "word " * n) for i, n in lengths.items()], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id long, toxic int")
+    assert sorted(map(len, sampled(monkeypatch, df, labels)[0])) == sorted(lengths.values())
+    monkeypatch.setattr(toxicity, "SAMPLE_WORDS", 5100)
+    rows = sampled(monkeypatch, df, labels)[0]
+    assert 0 < sum(map(len, rows)) <= 5100 and len(rows) < len(ids)
+
+
 def test_a_key_gives_one_text_to_the_sample(spark, monkeypatch):
     ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 5]
     rows = [(i, f"word {i}") for i in ids] + [(ids[0], f"another {k % 7}") for k in range(300)]
