@@ -249,6 +249,17 @@ def test_a_key_gives_one_text_to_the_sample(spark, monkeypatch):
     assert len(found) == len(y) == len(ids)
 
 
+def test_few_clean_texts_set_no_threshold(spark):
+    rows = [(i, "en", 0.1) for i in range(400)] + [(i, "xx", 0.999 if i == 400 else 0.1) for i in range(400, 420)]
+    rows = [(f"k{i}", lang, s) for i, lang, s in rows]
+    odd = next(i for i, r in enumerate(rows) if r[1] == "xx" and zlib.crc32(r[0].encode()) % 5)
+    rows = [(k, lang, 0.999 if i == odd else 0.1) for i, (k, lang, _) in enumerate(rows)]
+    scored = spark.createDataFrame(rows, "doc_id string, lang string, score double")
+    labels = spark.createDataFrame([(r[0], 0) for r in rows], "doc_id string, toxic int")
+    got = {r["lang"]: r["threshold"] for r in toxicity.thresholds(scored, labels).collect()}
+    assert got.get("xx", got[None]) == 0.5
+
+
 def test_toxicity_without_labels_or_rows(labelled):
     df, labels = labelled
     assert len({r["score"] for r in toxicity.classify(df, labels.limit(0)).collect()}) == 1
