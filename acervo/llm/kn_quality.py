@@ -2,7 +2,7 @@
 
 How the counts reach the texts, and back:
 
-* Texts are dealt into blocks by their key, compressed, once. The exchange serves counting and scoring.
+* Texts are dealt into blocks by their key and text, compressed, once. The exchange serves counting and scoring.
 * A block gives each of its distinct 4-grams once, with how often trusted texts in it have it.
 * Counts, continuation counts and history totals are aggregates and joins by n-gram or history: rows
   are distinct n-grams, never positions of a text. Each distinct 4-gram gets one log probability.
@@ -38,6 +38,8 @@ SPARED = 5
 #: Texts of a task are compressed together, per block, whenever they reach so many characters.
 BUFFER_CHARS = 12 << 20
 STEP = 1 << 19
+#: Characters of a block, on average, at most.
+BLOCK_CHARS = 32 << 20
 
 
 def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -73,10 +75,22 @@ def _steps(texts: list[str], size: int = STEP) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
+def block_count(df: DataFrame, text: str) -> int:
+    """Enough blocks for the session's partitions and for the measured characters."""
+    chars = df.agg(F.sum(F.length(F.col(f"`{text}`").cast("string")))).first()[0] or 0
+    return max(2 * partitions(df.sparkSession), -(-chars // BLOCK_CHARS))
+
+
+def block_of(key: str, text: str, blocks: int) -> Column:
+    """By key and text, so that neither null keys nor a key with many texts make a large block."""
+    hashed = F.xxhash64(F.col(f"`{key}`").cast("long"), F.col(f"`{text}`").cast("string"))
+    return F.pmod(hashed, F.lit(blocks)).cast("int").alias("block")
+
+
 def dealt(df: DataFrame, key: str, text: str, lang: str, blocks: int) -> DataFrame:
     """The texts, compressed, as rows (block, chunk); a chunk holds keys, languages and texts of one block."""
     source = df.select(
-        F.pmod(F.xxhash64(F.col(f"`{key}`").cast("long")), F.lit(blocks)).cast("int").alias("block"),
+        block_of(key, text, blocks),
         F.col(f"`{key}`").cast("long").alias("id"),
         F.col(f"`{lang}`").cast("string").alias("lang"),
         F.col(f"`{text}`").cast("string").alias("text"),
@@ -240,11 +254,13 @@ def score_quality(
     * Rows with a null key are scored, and never trusted. Repeated rows are scored alike. A key with
       several labels is trusted if one of them is 1. An empty table gives no rows.
     """
-    blocks = 2 * partitions(df.sparkSession)
+    blocks = block_count(df, text)
     texts = dealt(df, key, text, lang, blocks)
     good = labels.where("quality = 1").select(F.col(key).cast("long").alias("id")).where("id is not null").distinct()
     spared = F.pmod(F.xxhash64(F.lit("spared"), "id"), F.lit(SPARED)) == 0
-    trusted = good.where(~spared).select(F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block"), "id")
+    # A trusted key goes to each block that has one of its rows.
+    places = df.select(block_of(key, text, blocks), F.col(f"`{key}`").cast("long").alias("id")).distinct()
+    trusted = places.join(good.where(~spared), "id").select("block", "id")
     counted = cut(block_grams(texts, trusted))
     answers = counted.select("block", "gram").join(log_probabilities(counted), "gram")
     scored = cut(block_scores(texts, answers))

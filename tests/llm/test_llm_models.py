@@ -159,6 +159,23 @@ def test_one_odd_or_short_text_sets_no_threshold(spark):
     assert sum(got[i]["kept"] for i in range(800)) >= 0.95 * 800
 
 
+def test_hot_and_null_keys_are_dealt_over_blocks(spark, monkeypatch):
+    rng = random.Random(10)
+    texts = [" ".join("".join(rng.choices("aeinrst", k=4)) for _ in range(30)) for _ in range(120)]
+    spared = F.pmod(F.xxhash64(F.lit("spared"), "id"), F.lit(kn_quality.SPARED)) == 0
+    hot = spark.range(100).where(~spared).first()["id"]
+    rows = [(None if i % 2 else hot, t, "en") for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    blocks = kn_quality.dealt(df, "doc_id", "text", "lang", 8).select("block").distinct().count()
+    assert blocks == 8
+    labels = spark.createDataFrame([(hot, 1, 0)], "doc_id long, quality int, toxic int")
+    got = sorted(r["perplexity"] for r in kn_quality.score_quality(df, labels).collect())
+    expected = sorted(plain_model([t for k, t, _ in rows if k is not None], texts))
+    assert np.allclose(got, expected, rtol=1e-4)
+    monkeypatch.setattr(kn_quality, "BLOCK_CHARS", 100)
+    assert kn_quality.block_count(df, "text") == -(-sum(map(len, texts)) // 100)
+
+
 def test_quality_without_rows_or_labels(spark):
     df = spark.createDataFrame([(1, "abc", "en")], "doc_id long, text string, lang string")
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
