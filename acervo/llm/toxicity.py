@@ -213,14 +213,15 @@ def thresholds(scored: DataFrame, labels: DataFrame, key: str = "doc_id", lang:
     """``lang`` and ``threshold``: the lowest score, 0.5 at least, above all but ``CLEAN_LOSS`` of its clean texts.
 
     Over all labelled rows that are not held out. The row with a null ``lang`` is for all languages
-    together and serves those with fewer than ``OWN`` labelled clean texts.
+    together and serves those with fewer than ``OWN`` labelled clean texts; with fewer in all
+    it is 0.5.
     """
     clean = labels.where((F.col(label) == 0) & ~held_out(F.col(key))).select(F.col(key).alias("id")).distinct()
     known = scored.select(F.col(key).alias("id"), F.col(lang).alias("lang"), "score").join(clean, "id")
     high = F.percentile_approx("score", F.lit(1 - CLEAN_LOSS), F.lit(10_000))
     found = known.where(F.col("lang").isNotNull()).groupBy("lang").agg(high.alias("high"), F.count("*").alias("n"))
     found = found.where(F.col("n") >= OWN).drop("n")
-    found = found.unionByName(known.agg(high.alias("high")).select(F.lit(None).cast("string").alias("lang"), "high"))
+    found = found.unionByName(known.agg(F.when(F.count("*") >= OWN, high).alias("high")).select(F.lit(None).cast("string").alias("lang"), "high"))
     return found.select("lang", F.greatest(F.lit(0.5), F.coalesce("high", F.lit(0.5))).alias("threshold"))
 
 
