@@ -21,7 +21,9 @@ from acervo.llm.common import cut
 
 BUCKET_BITS = 18
 WIDTHS = (1, 2, 3)
-SIZE, FILTERS, EPOCHS, BATCH, RATE = 8, 12, 5, 32, 0.1
+SIZE, FILTERS, BATCH, RATE = 8, 12, 32, 0.1
+#: The sample is gone through so often, at least, and on until so many batches have been learned from.
+EPOCHS, UPDATES = 5, 2000
 #: Labelled texts that the network is trained on, at most, and their words all together.
 SAMPLE_ROWS, SAMPLE_WORDS = 16_000, 8 << 20
 #: A language's threshold may reject at most this share of its labelled clean texts; with fewer of them
@@ -121,7 +123,7 @@ def train(rows: list[np.ndarray], labels: np.ndarray, seed: int = 1) -> Network:
         sums[i][at] += grad * grad
         params[i][at] -= RATE * grad / np.sqrt(sums[i][at])
 
-    for _ in range(EPOCHS):
+    for _ in range(max(EPOCHS, -(-UPDATES * BATCH // len(rows)))):
         order = rng.permutation(len(rows))
         for start in range(0, len(order), BATCH):
             chosen = order[start : start + BATCH]
