@@ -28,9 +28,3 @@ def value(spark):
         return [r["out"] for r in sorted(df.collect(), key=lambda r: r["i"])]
 
     return run
-
-
-def rows(df, *columns):
-    """Rows as sorted tuples."""
-    picked = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in picked.collect()), key=repr)

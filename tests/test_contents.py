@@ -3,7 +3,7 @@ from __future__ import annotations
 from acervo.functions import lines as rules
 from acervo.operators import contents
 from acervo.sources import documents
-from conftest import rows
+from tables import rows
 
 PROSE = "um texto corrido sem nada de especial"
 

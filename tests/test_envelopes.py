@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 from acervo.operators import envelopes
-from conftest import rows
+from tables import rows
 
 
 def _events(spark, *texts):

@@ -5,7 +5,7 @@ import json
 from pyspark.sql import functions as F
 
 from acervo.operators import markup, records
-from conftest import rows
+from tables import rows
 
 URL = "https://h.example/handle/p/7"
 SEARCH = "This table browses all dspace content"

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from acervo.operators import joins, quality, relations
-from conftest import rows
+from tables import rows
 
 
 def test_union_relations(spark):

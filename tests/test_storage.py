@@ -12,7 +12,7 @@ from acervo.plans import checks, ingest, layers, models
 from acervo.session import shared_dir, stored
 from acervo.sources import documents, tables
 from acervo.streaming.ingest import load_new_files
-from conftest import rows
+from tables import rows
 
 
 def _write(path, *objects):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from acervo.functions import dates, text
 from acervo.plans import models
-from conftest import rows
+from tables import rows
 
 
 def test_clean_text_keeps_tabs_and_enye(value):
