@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from acervo.llm import ann, bpe, chat, kn_quality, merkle, minhash, packing, toxicity, url_rules, warc
+from acervo.llm import ann, bpe, centroids, chat, collocations, decontaminate, kn_quality, merkle, minhash, packing, toxicity, url_rules, warc
 from acervo.llm.common import table
 
 
@@ -103,6 +103,26 @@ def archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def benchmark_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated_words(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        decontaminate.words_hit("spans").alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (decontaminate.words_hit("spans") > 0).alias("contaminated"),
+    )
+
+
+def clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings")).drop("compared")
+
+
+def phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_minhash": near_duplicates,
     "op2_bpe": encode,
@@ -114,11 +134,78 @@ QUERIES = {
     "op8_quality": quality,
     "op9_toxicity": toxic,
     "op10_warc": archives,
+    "op11_decontaminate": benchmark_words,
+    "op12_centroids": clusters,
+    "op13_collocations": phrases,
 }
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+
+def _clusters_sql(rounds: int = 5) -> str:
+    """One assignment and one new table of centroids per round, then the last assignment."""
+    square = "list_sum(list_transform(range(1, 65), lambda i: (v.x[i] - c.x[i]) * (v.x[i] - c.x[i])))::BIGINT"
+    steps = []
+    for n in range(rounds + 1):
+        steps.append(f"""a{n} AS MATERIALIZED (SELECT vec_id, cluster, d FROM (
+  SELECT vec_id, cluster, d, row_number() OVER (PARTITION BY vec_id ORDER BY d, cluster) AS nth
+  FROM (SELECT v.vec_id, c.cluster, {square} AS d FROM kept v, c{n} c)) WHERE nth = 1)""")
+        if n < rounds:
+            steps.append(f"""c{n + 1} AS MATERIALIZED (SELECT c.cluster, coalesce(m.x, c.x) AS x FROM c{n} c LEFT JOIN (
+  SELECT cluster, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY j) AS x
+  FROM (SELECT cluster, j, sum(v) AS s, count(*) AS n FROM a{n} JOIN parts USING (vec_id) GROUP BY cluster, j) GROUP BY cluster) m
+  ON c.cluster = m.cluster)""")
+    return f"""
+WITH kept AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS x FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+parts AS MATERIALIZED (SELECT vec_id, unnest(range(1, 65)) AS j, unnest(x) AS v FROM kept),
+c0 AS MATERIALIZED (SELECT (row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1)::INTEGER AS cluster, x
+  FROM kept ORDER BY sha256('2:' || vec_id) LIMIT 40),
+{", ".join(steps)}
+SELECT vec_id, cluster, d AS distance, (sum(d) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia,
+  (sum(d) OVER ())::BIGINT AS inertia, sha256(array_to_string(x, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} USING (cluster)
+"""
+
+
 ORACLES = {
+    "op11_decontaminate": rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+b AS (SELECT item_id::VARCHAR AS item, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark),
+bw AS (SELECT DISTINCT item, span, array_to_string(words[i:i + span - 1], ' ') AS said
+  FROM (SELECT item, words, span, unnest(range(1, len(words) - span + 2)) AS i
+    FROM (SELECT item, words, least(10, len(words)) AS span FROM b WHERE len(words) > 0))),
+dw AS (SELECT doc_id, span, i, array_to_string(words[i:i + span - 1], ' ') AS said
+  FROM (SELECT doc_id, words, span, unnest(range(1, len(words) - span + 2)) AS i FROM d, (SELECT DISTINCT span FROM bw))),
+found AS (SELECT doc_id, item, i, dw.span FROM dw JOIN bw ON dw.said = bw.said AND dw.span = bw.span),
+hit AS (SELECT doc_id, count(DISTINCT w) AS n FROM (SELECT doc_id, unnest(range(i, i + span)) AS w FROM (SELECT DISTINCT doc_id, i, span FROM found)) GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id)
+SELECT d.doc_id, len(words)::BIGINT AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(named.n, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit ON d.doc_id = hit.doc_id LEFT JOIN named ON d.doc_id = named.doc_id
+""",
+    "op12_centroids": _clusters_sql(),
+    "op13_collocations": rf"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang,
+  unnest(regexp_split_to_array({_LOWER.format("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+p AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+runs AS (SELECT lang, m, w, unnest(range(1, len(w) - m + 2)) AS i FROM p, (SELECT unnest(range(1, 6)) AS m)),
+f AS MATERIALIZED (SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase, count(*) AS f FROM runs GROUP BY ALL HAVING count(*) >= 100),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM p GROUP BY lang),
+c AS MATERIALIZED (SELECT lang, m, phrase, string_split(phrase, ' ') AS w, f AS a FROM f WHERE m > 1),
+cuts AS (SELECT lang, m, phrase, w, a, unnest(range(1, m)) AS k FROM c),
+sides AS (SELECT c.*, x.f AS l, y.f AS r, n,
+  ((1000::HUGEINT * a * n) // (x.f::HUGEINT * y.f::HUGEINT))::BIGINT AS score FROM cuts c
+  JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:k], ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[k + 1:], ' ') JOIN totals t ON t.lang = c.lang),
+least AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS nth FROM sides),
+inner_runs AS (SELECT lang, w, a, s, unnest(range(1, m - s + 2)) AS i FROM (SELECT *, unnest(range(2, m)) AS s FROM c)),
+held AS (SELECT lang, array_to_string(w[i:i + s - 1], ' ') AS phrase, max(a) AS longer FROM inner_runs GROUP BY ALL),
+kept AS (SELECT x.* FROM least x LEFT JOIN held h ON h.lang = x.lang AND h.phrase = x.phrase
+  WHERE nth = 1 AND (longer IS NULL OR 100 * longer < 100 * a))
+SELECT lang, nth_best AS rank, phrase, a, l, r, n, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS nth_best FROM kept) WHERE nth_best <= 2000
+""",
     "op4_url_rules": rf"""
 WITH rules(rule_host, rule_path, verdict) AS (VALUES
   ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),

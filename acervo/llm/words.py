@@ -34,14 +34,13 @@ def _power(n: int) -> list[np.ndarray]:
     return _powers
 
 
-def hash_words(texts: list[bytes], gap: np.ndarray = SPACE, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """(64-bit hashes of all words, offsets: those of text i stand from offsets[i] to offsets[i + 1]).
+def word_spans(texts: list[bytes], gap: np.ndarray = SPACE, lower: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes of all texts, starts and ends of their words in it, offsets: text i has words offsets[i] to offsets[i + 1]).
 
-    A word is a run of bytes outside ``gap``; A-Z count as a-z. Words of equal bytes have equal hashes;
-    for others that is as likely as for random numbers of about 58 bits.
+    A word is a run of bytes outside ``gap``, which the line feed must be in; A-Z count as a-z.
     """
     if not texts:
-        return np.zeros(0, np.uint64), np.zeros(1, np.int64)
+        return np.zeros(0, np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(1, np.int64)
     joined = b"\n".join(texts) + b"\n"
     data = np.frombuffer(joined.lower() if lower else joined, np.uint8)
     inside = ~gap[data]
@@ -50,12 +49,27 @@ def hash_words(texts: list[bytes], gap: np.ndarray = SPACE, lower: bool = True)
         edges = np.concatenate(([0], edges))
     starts, ends = edges[0::2], edges[1::2]
     sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
-    offsets = np.concatenate(([0], np.searchsorted(starts, np.cumsum(sizes))))
+    return data, starts, ends, np.concatenate(([0], np.searchsorted(starts, np.cumsum(sizes))))
+
+
+def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of parts of ``data``.
+
+    Parts of equal bytes have equal hashes; for others that is as likely as for random numbers of
+    about 58 bits.
+    """
     up, down = _power(len(data))
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_LETTER[data] * up[: len(data)], out=sums[1:])
-    hashes = (sums[ends] - sums[starts]) * down[starts]
-    return mix(hashes), offsets
+    return mix((sums[ends] - sums[starts]) * down[starts])
+
+
+def hash_words(texts: list[bytes], gap: np.ndarray = SPACE, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """(64-bit hashes of all words, offsets: those of text i stand from offsets[i] to offsets[i + 1])."""
+    if not texts:
+        return np.zeros(0, np.uint64), np.zeros(1, np.int64)
+    data, starts, ends, offsets = word_spans(texts, gap, lower)
+    return hash_spans(data, starts, ends), offsets
 
 
 def groups(texts: list[bytes], size: int = 1 << 19):
