@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 #: 2**MOST_BITS bits are 32 MB: the most that goes through the driver and to each executor.
 LEAST_BITS, MOST_BITS = 15, 28
 #: Bits per hash, while the map can still grow: about one foreign hash in so many passes.
-ROOM = 32
+ROOM = 256
 _BUCKET = 15  # bits of a position within one of Spark's bitmaps
 
 

@@ -3,9 +3,10 @@
 A suffix is the words from one word of a piece on, as far as the longest phrase goes; a phrase's count
 is the number of suffixes that begin with it.
 
-* One pass counts hashes of neighbouring word pairs. Frequent ones go into a bitmap of bounded size.
+* One pass counts hashes of words and of neighbouring pairs. Frequent ones go into a bitmap of bounded size.
 * A second pass makes the suffixes, cut off after the first word whose pair with the next one is not in
-  the bitmap: no phrase over that pair is frequent. Each task counts equal suffixes before they leave it.
+  the bitmap: no phrase over that pair is frequent. Words that are not in it count for the language's total
+  alone. Each task counts equal suffixes before they leave it.
 * Suffixes are routed by their leading words: by ranges of the whole suffix, so that a very frequent
   word or pair is split by the words that follow it. Each task sorts its range by multikey three-way
   quicksort; the weight of an equal partition is a count, and partitions under the least count
@@ -29,7 +30,9 @@ from acervo.llm.common import cut, release
 
 LONGEST, LEAST, TOP, NO_LANG = 5, 100, 2000, "und"
 #: Bytes of text whose pairs and suffixes a task counts before it gives them out.
-BLOCK = 8 << 20
+BLOCK = 4 << 20
+#: Rows of a batch whose texts are unpacked at once; different suffixes that a task keeps count of.
+ROWS, KEPT = 256, 1_000_000
 #: Suffixes per range, about.
 RANGE_ROWS = 400_000
 #: A language's candidates are ranked in so many parts before the best of each are ranked together.
@@ -45,24 +48,23 @@ _gap[[0x20, 0x09]] = True
 
 
 class _Block:
-    """The words of some texts: hashes, pieces, languages, and where their bytes are."""
+    """The words of some texts: hashes, languages, whether the next one is in the same piece, and where their bytes are."""
 
     def __init__(self):
-        self.size, self.hashes, self.pieces, self.langs, self.spans = 0, [], [], [], []
+        self.size, self.hashes, self.langs, self.followed, self.spans = 0, [], [], [], []
 
     def add(self, texts: list[bytes], langs: np.ndarray) -> None:
         data, starts, ends, offsets = W.word_spans(texts, _gap)
-        before = self.pieces[-1][-1] + 1 if self.pieces and len(self.pieces[-1]) else self.size
         self.hashes.append(W.hash_spans(data, starts, ends))
-        self.pieces.append(np.cumsum(_ends_piece[data])[starts] + before)
+        pieces = np.cumsum(_ends_piece[data], dtype=np.int32)[starts]
+        self.followed.append(np.append(pieces[1:] == pieces[:-1], np.zeros(min(len(pieces), 1), bool)))
         self.langs.append(np.repeat(langs, np.diff(offsets)))
         self.spans.append((data, starts, ends))
         self.size += len(data)
 
     def joined(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(hashes, languages, whether each word has a next one in its piece)."""
-        hashes, pieces, langs = map(np.concatenate, (self.hashes, self.pieces, self.langs))
-        return hashes, langs, np.append(pieces[1:] == pieces[:-1], np.zeros(min(len(pieces), 1), bool))
+        return tuple(map(np.concatenate, (self.hashes, self.langs, self.followed)))
 
     def words(self, at: np.ndarray) -> pa.Array:
         """The texts of words by their numbers, ascending."""
@@ -75,17 +77,18 @@ class _Block:
         return pa.array(out, pa.binary()).cast(pa.string())
 
 
-def _pairs(hashes: np.ndarray, langs: np.ndarray) -> np.ndarray:
-    """A hash of each word and the next one, and their language; that of the last is of no use."""
-    return W.mix(W.mix(hashes + langs.astype(np.uint64)) + np.append(hashes[1:], hashes[:1]))
+def _grams(hashes: np.ndarray, salts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of each word, and of each word and the next one, with their language; the last pair is of no use."""
+    words = W.mix(hashes + salts)
+    return words, W.mix(words + np.append(hashes[1:], hashes[:1]))
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], names: dict[str, int]) -> Iterator[_Block]:
     """Blocks of about ``BLOCK`` bytes of the rows lang, text; ``names`` gets a number for each language met."""
     block = _Block()
-    for batch in batches:
-        lang = np.array([names.setdefault(x, len(names)) for x in batch.column(0).to_pylist()], np.int64)
-        texts = [(t or "").encode() for t in batch.column(1).to_pylist()]
+    for part in (batch.slice(at, ROWS) for batch in batches for at in range(0, batch.num_rows, ROWS)):
+        lang = np.array([names.setdefault(x, len(names)) for x in part.column(0).to_pylist()], np.int32)
+        texts = [(t or "").encode() for t in part.column(1).to_pylist()]
         for start, end in W.groups(texts):
             block.add(texts[start:end], lang[start:end])
             if block.size >= BLOCK:
@@ -104,19 +107,25 @@ def _salts(names: dict[str, int]) -> np.ndarray:
     return np.array([lang_salt(n) for n in names], np.uint64)
 
 
-def pair_counts(texts: DataFrame) -> DataFrame:
-    """lang, text -> pair (hash with the language), n: how often it occurs in a block; a pair may have several rows."""
+def gram_counts(texts: DataFrame) -> DataFrame:
+    """lang, text -> gram (hash of a word or a pair with the language), n: how often it is in a block.
+
+    A gram has a row for each block that it is in.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names: dict[str, int] = {}
         for block in _blocks(batches, names):
             hashes, langs, followed = block.joined()
-            pair, n = np.unique(_pairs(hashes, _salts(names)[langs])[followed], return_counts=True)
-            for start in range(0, len(pair), 50_000):
-                part = slice(start, start + 50_000)
-                yield pa.RecordBatch.from_arrays([pa.array(pair[part].view(np.int64)), pa.array(n[part])], ["pair", "n"])
+            block.spans.clear()
+            words, pairs = _grams(hashes, _salts(names)[langs])
+            for grams in (words, pairs[followed]):
+                gram, n = np.unique(grams, return_counts=True)
+                for start in range(0, len(gram), 50_000):
+                    part = slice(start, start + 50_000)
+                    yield pa.RecordBatch.from_arrays([pa.array(gram[part].view(np.int64)), pa.array(n[part])], ["gram", "n"])
 
-    return texts.mapInArrow(count, "pair long, n long")
+    return texts.mapInArrow(count, "gram long, n long")
 
 
 def _grouped(columns: list[np.ndarray], sizes: list[int]) -> tuple[np.ndarray, np.ndarray]:
@@ -129,47 +138,71 @@ def _grouped(columns: list[np.ndarray], sizes: list[int]) -> tuple[np.ndarray, n
 
 
 def suffixes(texts: DataFrame, found, bits: int, longest: int = LONGEST) -> DataFrame:
-    """lang, text -> suffix (language and up to ``longest`` words), n: how often it occurs in a block."""
+    """lang, text -> suffix (language and up to ``longest`` words), n: how often it occurs.
+
+    A task counts up to ``KEPT`` suffixes and gives them out when there are more, or at its end.
+    """
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, names = found.value, {}
+        sofar = pa.table({"key": pa.array([], pa.string()), "n": pa.array([], pa.int64())})
         for block in _blocks(batches, names):
             hashes, langs, followed = block.joined()
             if not len(hashes):
                 continue
-            linked = followed & in_bitmap(known, bits, _pairs(hashes, _salts(names)[langs]))
+            words, pairs = _grams(hashes, _salts(names)[langs])
+            linked, frequent = followed & in_bitmap(known, bits, pairs), in_bitmap(known, bits, words)
             _, first, code = np.unique(hashes, return_index=True, return_inverse=True)
+            del hashes, followed, words, pairs
             order = np.argsort(first)
-            number = np.empty(len(order), np.int64)
-            number[order] = np.arange(len(order))
+            number = np.empty(len(order), np.int32)
+            number[order] = np.arange(len(order), dtype=np.int32)
             code = number[code]  # words numbered by their first place
-            vocabulary = block.words(first[order])
-            size = len(vocabulary) + 1
+            every = pa.concat_arrays([pa.array([str(i) for i in range(len(names))]), block.words(first[order])])
+            block.spans.clear()
+            size = len(order) + 1
             # Words without a frequent pair stand alone; the others take along the words they are linked with.
+            # A pair of the bitmap by chance, whose first word is not in it, is no phrase.
+            linked &= frequent
             rows = [np.flatnonzero(linked), np.flatnonzero(~linked)]
             for at, depth in zip(rows, (longest, 1)):
-                columns, goes = [langs[at], code[at] + 1], np.ones(len(at), bool)
+                columns, goes = [langs[at], np.where(frequent[at], code[at] + 1, 0)], np.ones(len(at), bool)
                 for k in range(1, depth):
-                    before = np.minimum(at + k - 1, len(code) - 1)
-                    goes = goes & linked[before]
-                    columns.append(np.where(goes, code[np.minimum(at + k, len(code) - 1)] + 1, 0))
+                    goes = goes & linked[np.minimum(at + k - 1, len(code) - 1)]
+                    columns.append(np.where(goes, code[np.minimum(at + k, len(code) - 1)] + 1, 0).astype(np.int32))
                 firsts, n = _grouped(columns, [len(names)] + [size] * depth)
                 table = np.stack([c[firsts] for c in columns])
-                for start in range(0, len(n), 50_000):
-                    yield _suffix_batch(table[:, start : start + 50_000], n[start : start + 50_000], names, vocabulary)
+                del columns, goes, firsts
+                sofar = pa.concat_tables([sofar, pa.table({"key": _keys(table, len(names), every), "n": pa.array(n)})])
+                sofar = sofar.group_by("key", use_threads=False).aggregate([("n", "sum")]).rename_columns(["key", "n"])
+            if len(sofar) > KEPT:
+                yield from _given(sofar, names)
+                sofar = sofar.slice(0, 0)
+        yield from _given(sofar, names)
 
     return texts.mapInArrow(make, "suffix array<string>, n long")
 
 
-def _suffix_batch(table: np.ndarray, n: np.ndarray, names: dict[str, int], vocabulary: pa.Array) -> pa.RecordBatch:
-    every = pa.concat_arrays([pa.array(list(names), pa.string()), vocabulary])
+def _keys(table: np.ndarray, n_langs: int, every: pa.Array) -> pa.Array:
+    """Rows of numbers, language and words with 0 for none, as lines of what ``every`` has for them, languages first."""
     numbers = table.T.copy()
     there = numbers > 0
     there[:, 0] = True
-    numbers[:, 1:] += len(names) - 1
+    numbers[:, 1:] += n_langs - 1
     edges = np.concatenate(([0], np.cumsum(there.sum(axis=1))))
-    lists = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), every.take(pa.array(numbers[there])))
-    return pa.RecordBatch.from_arrays([lists, pa.array(n)], ["suffix", "n"])
+    # No word has a line feed in it.
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(edges, pa.int32()), every.take(pa.array(numbers[there]))), "\n")
+
+
+def _given(counted: pa.Table, names: dict[str, int]) -> Iterator[pa.RecordBatch]:
+    named = pa.array(list(names), pa.string())
+    for batch in counted.to_batches(max_chunksize=50_000):
+        lists = pc.split_pattern(batch.column("key"), "\n")
+        words, heads = lists.flatten(), lists.offsets.to_numpy()[:-1]
+        mask = np.zeros(len(words), bool)
+        mask[heads] = True
+        words = pc.replace_with_mask(words, pa.array(mask), named.take(words.take(pa.array(heads)).cast(pa.int64())))
+        yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(lists.offsets, words), batch.column("n")], ["suffix", "n"])
 
 
 def multikey_quicksort(keys: np.ndarray, weights: np.ndarray, least: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
@@ -270,8 +303,8 @@ def phrase_counts(df: DataFrame, text: str = "text", lang: str = "lang", longest
     ``phrase`` is an array, the language first. Both tables are stored.
     """
     texts = df.select(F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit(NO_LANG)).alias("lang"), F.col(f"`{text}`").cast("string").alias("text"))
-    frequent = cut(pair_counts(texts).groupBy("pair").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("pair"))
-    found, bits = bitmap(frequent, "pair")
+    frequent = cut(gram_counts(texts).groupBy("gram").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("gram"))
+    found, bits = bitmap(frequent, "gram")
     rows = cut(suffixes(texts, found, bits, longest))
     release(frequent)
     totals = cut(rows.groupBy(F.col("suffix")[0].alias("lang")).agg(F.sum("n").alias("n")))

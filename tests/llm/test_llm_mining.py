@@ -84,9 +84,9 @@ def test_contamination(spark):
 def test_bitmap(spark):
     values = np.random.default_rng(2).integers(0, 2**63, 3000) * 2 - 2**62
     found, bits = bitmaps.bitmap(spark.createDataFrame([(int(v),) for v in values], "h long"), "h")
-    assert bits == 17 and bitmaps.in_bitmap(found.value, bits, values.view(np.uint64)).all()
+    assert bits == 20 and bitmaps.in_bitmap(found.value, bits, values.view(np.uint64)).all()
     other = np.random.default_rng(3).integers(0, 2**63, 10_000).view(np.uint64)
-    assert bitmaps.in_bitmap(found.value, bits, other).mean() < 0.06
+    assert bitmaps.in_bitmap(found.value, bits, other).mean() < 0.008
     found, bits = bitmaps.bitmap(spark.createDataFrame([], "h long"), "h")
     assert not bitmaps.in_bitmap(found.value, bits, other).any()
 
