@@ -3,9 +3,9 @@
 A suffix is the words from one word of a piece on, as far as the longest phrase goes; a phrase's count
 is the number of suffixes that begin with it.
 
-* One pass counts hashes of words and of neighbouring pairs. Frequent ones go into a bitmap of bounded size.
-* A second pass makes the suffixes, cut off after the first word whose pair with the next one is not in
-  the bitmap: no phrase over that pair is frequent. Words that are not in it count for the language's total
+* One pass counts hashes of words, pairs and triples. Frequent ones go into a bitmap of bounded size.
+* A second pass makes the suffixes, cut off before the first word that ends a pair or triple which is not
+  in the bitmap: no phrase over that is frequent. Words that are not in it count for the language's total
   alone. Each task counts equal suffixes before they leave it.
 * Suffixes are routed by their leading words: by ranges of the whole suffix, so that a very frequent
   word or pair is split by the words that follow it. Each task sorts its range by multikey three-way
@@ -77,10 +77,14 @@ class _Block:
         return pa.array(out, pa.binary()).cast(pa.string())
 
 
-def _grams(hashes: np.ndarray, salts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of each word, and of each word and the next one, with their language; the last pair is of no use."""
+def _grams(hashes: np.ndarray, salts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes, with the language, of each word alone, with the next one, and with the next two.
+
+    What they are at the end of a piece is of no use.
+    """
     words = W.mix(hashes + salts)
-    return words, W.mix(words + np.append(hashes[1:], hashes[:1]))
+    pairs = W.mix(words + np.append(hashes[1:], hashes[:1]))
+    return words, pairs, W.mix(pairs + np.append(hashes[2:], hashes[:2]))
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], names: dict[str, int]) -> Iterator[_Block]:
@@ -108,7 +112,7 @@ def _salts(names: dict[str, int]) -> np.ndarray:
 
 
 def gram_counts(texts: DataFrame) -> DataFrame:
-    """lang, text -> gram (hash of a word or a pair with the language), n: how often it is in a block.
+    """lang, text -> gram (hash of a word, pair or triple with the language), n: how often it is in a block.
 
     A gram has a row for each block that it is in.
     """
@@ -118,8 +122,8 @@ def gram_counts(texts: DataFrame) -> DataFrame:
         for block in _blocks(batches, names):
             hashes, langs, followed = block.joined()
             block.spans.clear()
-            words, pairs = _grams(hashes, _salts(names)[langs])
-            for grams in (words, pairs[followed]):
+            words, pairs, triples = _grams(hashes, _salts(names)[langs])
+            for grams in (words, pairs[followed], triples[:-1][followed[:-1] & followed[1:]]):
                 gram, n = np.unique(grams, return_counts=True)
                 for start in range(0, len(gram), 50_000):
                     part = slice(start, start + 50_000)
@@ -150,10 +154,12 @@ def suffixes(texts: DataFrame, found, bits: int, longest: int = LONGEST) -> Data
             hashes, langs, followed = block.joined()
             if not len(hashes):
                 continue
-            words, pairs = _grams(hashes, _salts(names)[langs])
-            linked, frequent = followed & in_bitmap(known, bits, pairs), in_bitmap(known, bits, words)
+            words, pairs, triples = _grams(hashes, _salts(names)[langs])
+            frequent = in_bitmap(known, bits, words)
+            # A pair of the bitmap by chance, whose first word is not in it, is no phrase.
+            linked, goes_on = followed & frequent & in_bitmap(known, bits, pairs), in_bitmap(known, bits, triples)
             _, first, code = np.unique(hashes, return_index=True, return_inverse=True)
-            del hashes, followed, words, pairs
+            del hashes, followed, words, pairs, triples
             order = np.argsort(first)
             number = np.empty(len(order), np.int32)
             number[order] = np.arange(len(order), dtype=np.int32)
@@ -162,13 +168,13 @@ def suffixes(texts: DataFrame, found, bits: int, longest: int = LONGEST) -> Data
             block.spans.clear()
             size = len(order) + 1
             # Words without a frequent pair stand alone; the others take along the words they are linked with.
-            # A pair of the bitmap by chance, whose first word is not in it, is no phrase.
-            linked &= frequent
             rows = [np.flatnonzero(linked), np.flatnonzero(~linked)]
             for at, depth in zip(rows, (longest, 1)):
                 columns, goes = [langs[at], np.where(frequent[at], code[at] + 1, 0)], np.ones(len(at), bool)
                 for k in range(1, depth):
                     goes = goes & linked[np.minimum(at + k - 1, len(code) - 1)]
+                    if k > 1:
+                        goes = goes & goes_on[np.minimum(at + k - 2, len(code) - 1)]
                     columns.append(np.where(goes, code[np.minimum(at + k, len(code) - 1)] + 1, 0).astype(np.int32))
                 firsts, n = _grouped(columns, [len(names)] + [size] * depth)
                 table = np.stack([c[firsts] for c in columns])
