@@ -1,9 +1,9 @@
-"""HTML pages as a flat table of tokens, links and table cells.
+"""HTML pages as links, titles and table cells.
 
-Input is ``(page_id, url, html)`` with one row per page, so every group below is one page and
-no larger than one input record. Tokens are decoded in the page's row and shuffled once, by
-``page_key``; the windows and groupings after it all contain ``page_key`` and reuse that
-partitioning. The key is made of the page's id, address and markup, so pages without an id, or with
+Input is ``(page_id, url, html)`` with one row per page, so every array and group below is one page and
+no larger than one input record. Tables are read inside the page's row: a fold over its tags keeps what is
+open, and nothing is shuffled. The links of a container are found from a row per tag, shuffled once by
+``page_key``. The key is made of the page's id, address and markup, so pages without an id, or with
 the same one, stay apart; a row that is repeated in all three counts as one page.
 """
 
@@ -54,26 +54,24 @@ def page_key() -> Column:
 _TAG_NAME = r"^</?([A-Za-z][^\s/>]*)"
 
 
-def _tokens(pages: DataFrame, tags: list[str], keep_text: bool) -> DataFrame:
-    """One row per token: page_key, page_id, url, pos, tok, tag (lower case, '' for text), closing.
-
-    Tokens are named and filtered as an array inside the page's row, so only the wanted ones
-    become rows and each is matched against the patterns once. Without ``keep_text`` other tags
-    and texts are not even cut out.
-    """
-    pattern = _TOKEN if keep_text else _SKIPPED + "|" + _tag_pattern("|".join(tags))
-    cut = F.transform(
+def _named(pattern: str) -> Column:
+    """The markup's tokens as an array: pos, tok, tag (lower case, '' for text)."""
+    return F.transform(
         F.regexp_extract_all("html", F.lit(pattern), F.lit(0)),
         lambda tok, pos: F.struct(
             pos.alias("pos"), tok.alias("tok"), F.lower(F.regexp_extract(tok, _TAG_NAME, 1)).alias("tag")
         ),
     )
-    wanted = lambda t: t["tag"].isin(*tags)
-    if keep_text:
-        wanted = lambda t: t["tag"].isin(*tags, "script", "style") | (
-            (t["tag"] == "") & t["tok"].rlike(r"(?U)^[^\S<]*+(?:[^\s<]|<(?![!?/]))")
-        )
-    rows = pages.select(page_key().alias("page_key"), "page_id", "url", F.inline(F.filter(cut, wanted)))
+
+
+def _tokens(pages: DataFrame, tags: list[str]) -> DataFrame:
+    """One row per tag of the given names: page_key, page_id, url, pos, tok, tag, closing.
+
+    Tokens are named and filtered as an array inside the page's row, so only the wanted ones
+    become rows; other tags and texts are not even cut out.
+    """
+    cut = F.filter(_named(_SKIPPED + "|" + _tag_pattern("|".join(tags))), lambda t: t["tag"].isin(*tags))
+    rows = pages.select(page_key().alias("page_key"), "page_id", "url", F.inline(cut))
     return rows.withColumn("closing", F.col("tok").startswith("</"))
 
 
@@ -94,7 +92,7 @@ def container_links(
     (any such element for None). Nested containers belong to the outer one; a self-closed one is none.
     """
     with_container = pages.where(F.lower("html").contains(f"<{container}"))
-    tokens = _tokens(with_container, [container, "a"], keep_text=False)
+    tokens = _tokens(with_container, [container, "a"])
     is_open = (F.col("tag") == container) & ~F.col("closing")
     is_close = (F.col("tag") == container) & F.col("closing")
     wanted = F.lit(True) if summary is None else F.btrim(attribute(F.col("tok"), "summary"), F.lit(" \t\r\n\f")) == summary
@@ -152,231 +150,220 @@ def page_titles(pages: DataFrame) -> DataFrame:
     )
 
 
-def _last_flag(opens: Column, closes: Column, window) -> Column:
-    """1 after an opening event, 0 after a closing one, NULL before the first."""
-    return F.last(F.when(opens, 1).when(closes, 0), ignorenulls=True).over(window)
+_TABLE_TAGS = ["table", "tr", "td", "th", "a", "h1", "h2", "h3", "h4", "h5", "h6"]
+_CELL = "struct<open:int,close:int>"
+# What the fold over a page's tags keeps: how deep in tables it is and where the outermost one opened,
+# whether in a row, where the open cell began; the cells of the row, the rows of the table, the tables.
+_STATE = {
+    "depth": "int",
+    "top": "int",
+    "in_row": "boolean",
+    "cell": "int",
+    "row": f"array<{_CELL}>",
+    "rows": f"array<array<{_CELL}>>",
+    "tables": f"array<struct<top:int,rows:array<array<{_CELL}>>>>",
+}
+
+
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often it is used in it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _events(html: Column) -> Column:
+    """Tags of tables, links and headings and all texts: tag ('' for text), closing, coded.
+
+    ``coded`` is the text of a text, the href, class or summary of a tag. Element bodies and attributes
+    are decoded once and texts twice, so the former are escaped before all take the same way.
+    """
+    raw = lambda t: t["tag"].isin("script", "style")
+    blank = r"(?U)^[^\S<]*+(?:[^\s<]|<(?![!?/]))"
+    wanted = lambda t: (
+        raw(t) | (t["tag"].isin(*_TABLE_TAGS) & ~t["tok"].endswith("/>")) | ((t["tag"] == "") & t["tok"].rlike(blank))
+    )
+
+    def event(t: Column) -> Column:
+        escaped = lambda c: F.replace(c, F.lit("&"), F.lit("&amp;"))
+        closing = t["tok"].startswith("</")
+        value = (
+            F.when(t["tag"] == "", t["tok"])
+            .when(raw(t), escaped(F.regexp_extract(t["tok"], r"(?is)^<(?:script|style)[^>]*>(.*)</", 1)))
+            .when(closing, "")
+            .when(t["tag"] == "a", escaped(attribute(t["tok"], "href")))
+            .when(t["tag"].isin("td", "th"), escaped(attribute(t["tok"], "class")))
+            .when(t["tag"] == "table", escaped(attribute(t["tok"], "summary")))
+            .otherwise("")
+        )
+        closes = (t["tag"] != "") & ~raw(t) & closing
+        return F.struct(F.when(raw(t), "").otherwise(t["tag"]).alias("tag"), closes.alias("closing"), value.alias("coded"))
+
+    with_tables = F.lower(html).contains("<table")
+    return F.when(with_tables, F.transform(F.filter(_named(_TOKEN), wanted), event))
 
 
-def _with_state(tokens: DataFrame) -> DataFrame:
-    """What each token is inside of: top-level table, row, cell, heading.
+def _table_spans(events: Column) -> Column:
+    """Outermost tables with their complete rows and cells, as places in ``events``: top, rows of (open, close).
 
-    Counts of opening tags number them; three running windows share one sort.
+    A nested table's rows count as rows of the table around it, and a closing tag outside any table is
+    ignored. A cell runs to the next cell tag and counts if that closes it, while a row is open. A row
+    counts if it is closed before another one opens, a table if it is closed.
     """
-    running = Window.partitionBy("page_key").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    tag, opens, closes = F.col("tag"), ~F.col("closing"), F.col("closing")
-    table, row, cell = tag == "table", tag == "tr", tag.isin("td", "th")
-    heading = tag.rlike("^h[1-6]$")
+    tags = F.transform(events, lambda e, i: F.struct(i.alias("at"), e["tag"].alias("tag"), e["closing"].alias("closing")))
+    tags = F.filter(tags, lambda e: e["tag"].isin("table", "tr", "td", "th"))
+    none = {name: F.lit(None).cast(kind) for name, kind in _STATE.items()}
+    empty = lambda name: F.array().cast(_STATE[name])
+    start = none | {"depth": F.lit(0), "in_row": F.lit(False), "cell": F.lit(-1)} | {n: empty(n) for n in ("row", "rows", "tables")}
+
+    def state(s: Column, **changed: Column) -> Column:
+        return F.struct(*[changed.get(name, s[name]).cast(kind).alias(name) for name, kind in _STATE.items()])
+
+    def added(array: Column, item: Column, name: str) -> Column:
+        return F.concat(array, F.array(item).cast(_STATE[name]))
+
+    def table_tag(s: Column, e: Column) -> Column:
+        opened = state(s, depth=s["depth"] + 1, top=F.when(s["depth"] == 0, e["at"]).otherwise(s["top"]))
+        whole = F.struct(s["top"].alias("top"), s["rows"].alias("rows"))
+        done = F.when(F.size(s["rows"]) > 0, added(s["tables"], whole, "tables")).otherwise(s["tables"])
+        left = state(s, depth=F.lit(0), row=empty("row"), rows=empty("rows"), tables=done)
+        return F.when(~e["closing"], opened).when(s["depth"] <= 1, left).otherwise(state(s, depth=s["depth"] - 1))
+
+    def row_tag(s: Column, e: Column) -> Column:
+        rows = F.when(F.size(s["row"]) > 0, added(s["rows"], s["row"], "rows")).otherwise(s["rows"])
+        closed = state(s, in_row=F.lit(False), row=empty("row"), rows=rows)
+        return F.when(e["closing"], closed).otherwise(state(s, in_row=F.lit(True), row=empty("row")))
+
+    def cell_tag(s: Column, e: Column) -> Column:
+        cell = F.struct(s["cell"].alias("open"), e["at"].alias("close"))
+        row = F.when((s["cell"] >= 0) & s["in_row"], added(s["row"], cell, "row")).otherwise(s["row"])
+        return F.when(e["closing"], state(s, cell=F.lit(-1), row=row)).otherwise(state(s, cell=e["at"]))
+
+    def step(s: Column, e: Column) -> Column:
+        inside = s["depth"] > 0
+        return (
+            F.when(e["tag"] == "table", table_tag(s, e))
+            .when(inside & (e["tag"] == "tr"), row_tag(s, e))
+            .when(inside & (e["tag"] != "tr"), cell_tag(s, e))
+            .otherwise(s)
+        )
 
-    out = tokens.withColumn(
-        "level", F.sum(F.when(table & opens, 1).when(table, -1).otherwise(0)).over(running)
-    )
-    # A closing tag outside any table is ignored: the depth is reflected at zero.
-    out = out.withColumn("depth", F.col("level") - F.least(F.lit(0), F.min("level").over(running)))
-    in_table = F.col("depth") > 0
-    out = out.withColumns(
-        {
-            "top_open": table & opens & (F.col("depth") == 1),
-            "top_close": table & closes & (F.col("depth") == 0),
-            "row_open": row & opens & in_table,
-            "row_close": row & closes & in_table,
-            "cell_open": cell & opens & in_table,
-            "cell_close": cell & closes & in_table,
-            "heading_close": heading & closes,
-        }
-    ).drop("level")
-    return out.withColumns(
-        {
-            "table_id": F.sum(F.col("top_open").cast("int")).over(running),
-            "row_id": F.sum(F.col("row_open").cast("int")).over(running),
-            "cell_id": F.sum(F.col("cell_open").cast("int")).over(running),
-            "heading_id": F.sum((heading & opens).cast("int")).over(running),
-            "in_row": _last_flag(F.col("row_open"), F.col("row_close"), running),
-            "in_cell": _last_flag(F.col("cell_open"), F.col("cell_close"), running),
-            "in_heading": _last_flag(heading & opens, heading & closes, running),
-        }
-    )
+    initial = F.struct(*[start[name].cast(kind).alias(name) for name, kind in _STATE.items()])
+    return F.aggregate(tags, initial, step, lambda s: s["tables"])
 
 
-def _with_completion(state: DataFrame) -> DataFrame:
-    """The row and table event that come next after each token, to tell what gets closed."""
-    after = Window.partitionBy("page_key").orderBy(F.col("pos").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    inside = (F.col("in_cell") == 1) | (F.col("in_heading") == 1)
-    useful = state.where(
-        inside
-        | F.col("row_open")
-        | F.col("row_close")
-        | F.col("top_open")
-        | F.col("top_close")
-        | F.col("cell_close")
-        | F.col("heading_close")
-    )
-    row_event = F.when(
-        F.col("row_open") | F.col("row_close"), F.struct(F.col("row_close").alias("closes"), "table_id")
-    )
-    return useful.withColumns(
-        {
-            "next_row": F.last(row_event, ignorenulls=True).over(after),
-            "next_close": F.last(F.when(F.col("top_close"), F.col("table_id")), ignorenulls=True).over(after),
-        }
-    )
+def _between(events: Column, opened: Column, closed: Column) -> Column:
+    """The events between two places."""
+    return F.slice(events, opened + 2, closed - opened - 1)
 
 
-def _with_values(tokens: DataFrame) -> DataFrame:
-    """Adds ``value``: the text of a text, the href, class or summary of a tag, decoded.
+def _said(events: Column) -> Column:
+    """The texts among events, joined and squeezed."""
+    texts = F.transform(F.filter(events, lambda e: e["tag"] == ""), lambda e: e["value"])
+    return text.squeeze(F.array_join(texts, " "))
 
-    Element bodies and attributes are decoded once and texts twice, so the former are escaped
-    before all take the same way. Decoding comes before the shuffle: Python does not keep a
-    partitioning.
-    """
-    tag, tok = F.col("tag"), F.col("tok")
-    opens = ~F.col("closing")
-    raw = tag.isin("script", "style")
-    escaped = lambda c: F.replace(c, F.lit("&"), F.lit("&amp;"))
-    value = (
-        F.when(tag == "", tok)
-        .when(raw, escaped(F.regexp_extract(tok, r"(?is)^<(?:script|style)[^>]*>(.*)</", 1)))
-        .when((tag == "a") & opens, escaped(attribute(tok, "href")))
-        .when(tag.isin("td", "th") & opens, escaped(attribute(tok, "class")))
-        .when((tag == "table") & opens, escaped(attribute(tok, "summary")))
-        .otherwise(F.lit(""))
-    )
-    self_closed = (tag != "") & ~raw & tok.endswith("/>")
-    return (
-        tokens.where(~self_closed)
-        .withColumn("coded", value)
-        .select(
-            "page_key",
-            F.when((tag == "table") & opens, F.col("url")).alias("url"),  # one copy per table is enough
-            "pos",
-            F.when(raw, "").otherwise(tag).alias("tag"),
-            "closing",
-            text.unescape(F.col("coded"), times=2).alias("value"),
-        )
+
+def _pairs(array: Column) -> Column:
+    """Each element with the next one: one, next."""
+    return F.zip_with(
+        F.slice(array, 1, F.greatest(F.size(array) - 1, F.lit(0))),
+        F.slice(array, 2, F.greatest(F.size(array) - 1, F.lit(0))),
+        lambda a, b: F.struct(a.alias("one"), b.alias("next")),
     )
 
 
-def _blocks(state: DataFrame) -> DataFrame:
-    """Cells, headings and table starts, one row each; links still as they are written.
+def _placed(events: Column, wanted) -> Column:
+    """The wanted events with their places."""
+    placed = F.transform(events, lambda e, i: F.struct(i.alias("at"), e["tag"].alias("tag"), e["closing"].alias("closing"), e["value"].alias("value")))
+    return F.filter(placed, wanted)
 
-    Only closed cells in closed rows of closed tables survive; of several closing tags the first
-    counts.
-    """
-    is_text, link_tag = F.col("tag") == "", F.col("tag") == "a"
-    link_opens = link_tag & ~F.col("closing") & (F.col("value") != "")
-    link_closes = link_tag & F.col("closing")
-    event = F.struct(
-        "pos", F.when(link_opens, "link").when(link_closes, "end").otherwise("text").alias("what"), "value"
-    )
-    in_cell = (F.col("in_cell") == 1) | F.col("cell_close")
-    in_heading = (F.col("in_heading") == 1) | F.col("heading_close")
-    kind = lambda name, id_: F.struct(F.lit(name).alias("kind"), F.col(id_).alias("id"))
-    membership = F.array_compact(
-        F.array(
-            F.when(in_cell & (is_text | link_opens | link_closes | F.col("cell_open") | F.col("cell_close")), kind("cell", "cell_id")),
-            F.when(in_heading & (is_text | F.col("heading_close")), kind("heading", "heading_id")),
-            F.when(F.col("top_open"), kind("table", "table_id")),
-        )
+
+def _links(inner: Column, url: Column) -> Column:
+    """Links of a cell: an opening tag with an address counts when the next link tag closes it."""
+    tags = _placed(inner, lambda e: (e["tag"] == "a") & (e["closing"] | (e["value"] != "")))
+    closed = F.filter(_pairs(tags), lambda p: ~p["one"]["closing"] & p["next"]["closing"])
+    return F.transform(
+        closed,
+        lambda p: F.struct(
+            urls.resolve_url(url, p["one"]["value"]).alias("href"),
+            _said(_between(inner, p["one"]["at"], p["next"]["at"])).alias("text"),
+        ),
     )
-    closed = (F.col("in_row") == 1) & F.col("next_row.closes") & (F.col("next_close") == F.col("next_row.table_id"))
-    place = F.struct(
-        "pos", F.when(closed, F.col("next_row.table_id")).alias("table_id"), F.col("row_id").alias("row_id")
+
+
+def _headings(events: Column) -> Column:
+    """Headings that are not empty: at (where it closes), text."""
+    tags = _placed(events, lambda e: e["tag"].rlike("^h[1-6]$"))
+    closed = F.filter(_pairs(tags), lambda p: ~p["one"]["closing"] & p["next"]["closing"])
+    found = F.transform(
+        closed,
+        lambda p: F.struct(p["next"]["at"].alias("at"), _said(_between(events, p["one"]["at"], p["next"]["at"])).alias("text")),
     )
-    blocks = (
-        state.withColumn("member", F.explode(membership))
-        .groupBy("page_key", F.col("member.kind").alias("kind"), F.col("member.id").alias("id"))
-        .agg(
-            F.max(F.when(F.col("top_open"), F.col("url"))).alias("url"),
-            F.min(F.when(F.col("heading_close") | F.col("top_open") | F.col("cell_close"), F.col("pos"))).alias("pos"),
-            F.array_sort(F.collect_list(F.when(is_text | link_opens | link_closes, event))).alias("events"),
-            F.max(F.when(F.col("cell_open") | F.col("top_open"), F.col("value"))).alias("attribute"),
-            F.min(F.when(F.col("cell_close"), place)).alias("place"),
+    return F.filter(found, lambda h: h["text"] != "")
+
+
+def _filled_tables(events: Column, spans: Column, url: Column) -> Column:
+    """The tables with their contents, without empty cells, rows and tables: heading, summary, rows of cells."""
+
+    def cell(c: Column) -> Column:
+        content = lambda inner: F.struct(
+            _said(inner).alias("text"), events[c["open"]]["value"].alias("cell_class"), _links(inner, url).alias("links")
         )
-        .where(F.col("pos").isNotNull() & ((F.col("kind") != "cell") | F.col("place.table_id").isNotNull()))
-    )
-    joined = lambda events: text.squeeze(F.array_join(F.transform(events, lambda e: e["value"]), " "))
-    # A link counts when the next link tag of the cell closes it.
-    link_tags = F.filter("events", lambda e: e["what"] != "text")
-    closed_links = F.filter(
-        F.arrays_zip(link_tags.alias("tag"), F.slice(link_tags, 2, F.size(link_tags)).alias("next")),
-        lambda z: (z["tag"]["what"] == "link") & (z["next"]["what"] == "end"),
-    )
+        return let(_between(events, c["open"], c["close"]), content)
 
-    def link(z: Column) -> Column:
-        between = F.filter("events", lambda e: (e["pos"] > z["tag"]["pos"]) & (e["pos"] < z["next"]["pos"]))
-        return F.struct(z["tag"]["value"].alias("href"), joined(between).alias("text"))
+    def row(cells: Column) -> Column:
+        return F.filter(F.transform(cells, cell), lambda c: (c["text"] != "") | (F.size(c["links"]) > 0))
 
-    return blocks.select(
-        "page_key",
-        "url",
-        "kind",
-        "pos",
-        F.col("place.table_id").alias("table_id"),
-        F.col("place.row_id").alias("row_id"),
-        joined(F.filter("events", lambda e: e["what"] == "text")).alias("text"),
-        F.coalesce("attribute", F.lit("")).alias("attribute"),
-        F.transform(closed_links, link).alias("links"),
-    )
+    def table(headings: Column):
+        def of_span(s: Column) -> Column:
+            before = F.filter(headings, lambda h: h["at"] < s["top"])
+            return F.struct(
+                F.coalesce(F.try_element_at(before, F.lit(-1))["text"], F.lit("")).alias("heading"),
+                events[s["top"]]["value"].alias("summary"),
+                F.filter(F.transform(s["rows"], row), lambda r: F.size(r) > 0).alias("rows"),
+            )
 
+        return of_span
+
+    tables = let(_headings(events), lambda headings: F.transform(spans, table(headings)))
+    return F.filter(tables, lambda t: F.size(t["rows"]) > 0)
 
-_TABLE_TAGS = ["table", "tr", "td", "th", "a", "h1", "h2", "h3", "h4", "h5", "h6"]
+
+def page_tables(pages: DataFrame, *carried: Column) -> DataFrame:
+    """A row per page row: page_key, page_id, url, what is ``carried``, and its outermost tables.
+
+    ``tables``: array of heading (the last one before the table), summary and rows, arrays of cells with
+    text, cell_class and links ``array<struct<href,text>>``. Empty cells, rows without a closing tag,
+    empty rows and tables without rows are left out. Nothing is shuffled.
+    """
+    cut = pages.select(page_key().alias("page_key"), "page_id", "url", *carried, _events(F.col("html")).alias("events"))
+    coded = cut.withColumn("coded", F.transform("events", lambda e: e["coded"]))
+    decoded = coded.withColumn("decoded", text.unescape_all(F.col("coded"), times=2))
+    told = F.zip_with(
+        "events", "decoded", lambda e, v: F.struct(e["tag"].alias("tag"), e["closing"].alias("closing"), v.alias("value"))
+    )
+    tables = let(told, lambda events: _filled_tables(events, _table_spans(events), F.col("url")))
+    return decoded.withColumn("tables", tables).drop("events", "coded", "decoded")
 
 
 def table_cells(pages: DataFrame) -> DataFrame:
-    """Non-empty cells of the top-level tables, in flat form.
+    """Non-empty cells of the outermost tables, in flat form; a repeated page row counts once.
 
     Columns: page_key, page_id, url, table_no, row_no, cell_no (all from 1), text, cell_class,
     links ``array<struct<href,text>>``, heading (last one before the table), summary.
-    A nested table's rows count as rows of the table around it. Rows without a closing tag,
-    empty rows and tables without rows are left out.
     """
-    tokens = _tokens(pages.where(F.lower("html").contains("<table")), _TABLE_TAGS, keep_text=True)
-    blocks = _blocks(_with_completion(_with_state(_each_once(_with_values(tokens)))))
-
-    # All windows below share one sort: blocks of a page in document order.
-    in_page = Window.partitionBy("page_key").orderBy("pos")
-    running = in_page.rowsBetween(Window.unboundedPreceding, 0)
-    heading = F.when((F.col("kind") == "heading") & (F.col("text") != ""), F.col("text"))
-    table = F.struct(
-        "url", F.coalesce("heading", F.lit("")).alias("heading"), F.col("attribute").alias("summary")
-    )
-    cells = (
-        blocks.withColumn("heading", F.last(heading, ignorenulls=True).over(running))
-        .withColumn("table", F.last(F.when(F.col("kind") == "table", table), ignorenulls=True).over(running))
-        .where((F.col("kind") == "cell") & ((F.col("text") != "") | (F.size("links") > 0)))
-    )
-    new_table = ~F.lag("table_id").over(in_page).eqNullSafe(F.col("table_id"))
-    new_row = new_table | ~F.lag("row_id").over(in_page).eqNullSafe(F.col("row_id"))
-    first_in = lambda flag, n: F.last(F.when(F.col(flag), F.col(n)), ignorenulls=True).over(running)
-    numbered = (
-        cells.withColumns({"new_table": new_table, "new_row": new_row})
-        .withColumns(
-            {
-                "table_no": F.sum(F.col("new_table").cast("int")).over(running).cast("int"),
-                "row_seq": F.sum(F.col("new_row").cast("int")).over(running).cast("int"),
-                "cell_seq": F.row_number().over(in_page),
-            }
-        )
-        .withColumns(
-            {
-                "row_no": F.col("row_seq") - first_in("new_table", "row_seq") + 1,
-                "cell_no": F.col("cell_seq") - first_in("new_row", "cell_seq") + 1,
-            }
-        )
-    )
-    links = F.transform(
-        "links",
-        lambda k: F.struct(urls.resolve_url(F.col("table.url"), k["href"]).alias("href"), k["text"].alias("text")),
-    )
-    return numbered.select(
+    each = page_tables(pages).dropDuplicates(["page_key"])
+    tables = each.select("page_key", "page_id", "url", F.posexplode("tables").alias("t", "table"))
+    rows = tables.select("*", F.posexplode("table.rows").alias("r", "cells"))
+    cells = rows.select("*", F.posexplode("cells").alias("c", "cell"))
+    return cells.select(
         "page_key",
-        "page_key.page_id",
-        "table.url",
-        "table_no",
-        "row_no",
-        "cell_no",
-        "text",
-        F.col("attribute").alias("cell_class"),
-        links.alias("links"),
+        "page_id",
+        "url",
+        (F.col("t") + 1).alias("table_no"),
+        (F.col("r") + 1).alias("row_no"),
+        (F.col("c") + 1).alias("cell_no"),
+        "cell.text",
+        "cell.cell_class",
+        "cell.links",
         "table.heading",
         "table.summary",
     )

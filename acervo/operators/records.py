@@ -1,84 +1,86 @@
 """Metadata records and PDF links from the table cells of item pages.
 
-Everything is grouped by ``page_key`` first, so it runs on the partitioning ``table_cells``
-leaves behind; a group is one page.
+Everything is decided inside the page's row, on the nested tables of ``page_tables``; no page meets another.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from acervo import fixed_values as fixed
 from acervo.functions import text, urls
-from acervo.operators.markup import page_key, page_title, table_cells
+from acervo.operators.markup import let, page_tables, page_title
 from acervo.session import stored
 
 
-def _contains_any(c: Column, terms: list[str]) -> Column:
+def _contains_any(c: Column, terms) -> Column:
     found = F.lit(False)
     for term in terms:
         found = found | c.contains(term)
     return found
 
 
-def table_rows(cells: DataFrame) -> DataFrame:
-    """One row per table row, with the tests that need its first cell and its texts."""
-    cell = F.struct("cell_no", "text", "cell_class", "links")
-    words = F.lower(F.concat_ws(" ", "text", "links.href", "links.text"))
-    rows = cells.groupBy("page_key", "url", "table_no", "row_no").agg(
-        F.array_sort(F.collect_list(cell)).alias("cells"),
-        F.first("heading").alias("heading"),
-        F.first("summary").alias("summary"),
-        F.max(words.contains("arquivo")).alias("says_file"),
-        F.max(words.contains("formato")).alias("says_format"),
-        F.max(words.contains("pdf") | words.contains("bitstream")).alias("says_pdf"),
-    )
-    label = text.label(F.col("cells")[0]["text"])
-    known = F.lower(F.col("cells")[0]["cell_class"]).contains(fixed.METADATA_LABEL_CLASS) | _contains_any(
-        F.lower(label), fixed.METADATA_TERMS
-    )
-    return rows.withColumn("label", label).withColumn(
-        "is_metadata_row", (F.size("cells") >= 2) & (F.col("label") != "") & known
+def _row_facts(cells: Column) -> Column:
+    """A table row with what its first cell and its texts say."""
+    label = text.label(cells[0]["text"])
+    words = F.transform(cells, lambda c: F.lower(F.concat_ws(" ", c["text"], c["links"]["href"], c["links"]["text"])))
+
+    def told(r: Column) -> Column:
+        by_class = F.lower(r["cells"][0]["cell_class"]).contains(fixed.METADATA_LABEL_CLASS)
+        known = by_class | _contains_any(F.lower(r["label"]), fixed.METADATA_TERMS)
+        says = lambda *terms: F.exists(r["words"], lambda w: _contains_any(w, terms))
+        return F.struct(
+            r["cells"].alias("cells"),
+            r["label"].alias("label"),
+            ((F.size(r["cells"]) >= 2) & (r["label"] != "") & known).alias("is_metadata_row"),
+            says("arquivo").alias("says_file"),
+            says("formato").alias("says_format"),
+            says("pdf", "bitstream").alias("says_pdf"),
+        )
+
+    return let(F.struct(cells.alias("cells"), label.alias("label"), words.alias("words")), told)
+
+
+def table_facts(tables: Column) -> Column:
+    """The tables of a page with their files-table and metadata-table tests."""
+
+    def told(t: Column, place: Column) -> Column:
+        some = lambda name: F.exists(t["rows"], lambda r: r[name])
+        by_words = some("says_file") & some("says_format") & some("says_pdf")
+        is_files_table = (
+            _contains_any(F.lower(t["heading"]), fixed.FILES_HEADINGS)
+            | _contains_any(text.squeeze(F.lower(t["summary"])), fixed.FILES_SUMMARIES)
+            | by_words
+        )
+        metadata_rows = F.size(F.filter(t["rows"], lambda r: r["is_metadata_row"]))
+        return F.struct(
+            (place + 1).alias("table_no"),
+            t["rows"].alias("rows"),
+            is_files_table.alias("is_files_table"),
+            metadata_rows.alias("metadata_rows"),
+            (metadata_rows * 10 + F.size(t["rows"])).cast("long").alias("score"),
+        )
+
+    with_rows = F.transform(
+        tables,
+        lambda t: F.struct(t["heading"].alias("heading"), t["summary"].alias("summary"), F.transform(t["rows"], _row_facts).alias("rows")),
     )
+    return F.transform(with_rows, told)
 
 
-def table_facts(rows: DataFrame) -> DataFrame:
-    """Files-table and metadata-table tests, repeated on every row of the table."""
-    of_table = Window.partitionBy("page_key", "table_no")
-    of_page = Window.partitionBy("page_key")
-    heading, summary = F.lower("heading"), F.lower("summary")
-    by_words = (
-        F.max("says_file").over(of_table)
-        & F.max("says_format").over(of_table)
-        & F.max("says_pdf").over(of_table)
-    )
-    facts = rows.withColumns(
-        {
-            "is_files_table": _contains_any(heading, fixed.FILES_HEADINGS)
-            | _contains_any(text.squeeze(summary), fixed.FILES_SUMMARIES)
-            | by_words,
-            "metadata_rows": F.sum(F.col("is_metadata_row").cast("int")).over(of_table),
-            "n_rows": F.count("*").over(of_table),
-        }
-    )
-    candidate = ~F.col("is_files_table") & (F.col("metadata_rows") >= 2)
-    score = F.col("metadata_rows") * 10 + F.col("n_rows")
-    best = F.max_by("table_no", F.when(candidate, F.struct(score.alias("score"), (-F.col("table_no")).alias("first"))))
-    return facts.withColumns(
-        {
-            "score": F.when(candidate, score),
-            "metadata_table": best.over(of_page),
-            "has_files_table": F.max("is_files_table").over(of_page),
-        }
-    )
+def _metadata_table(facts: Column) -> Column:
+    """The page's metadata table, NULL without one: of the highest score, the first of equal ones."""
+    candidates = F.filter(facts, lambda t: ~t["is_files_table"] & (t["metadata_rows"] >= 2))
+    ranked = F.transform(candidates, lambda t: F.struct(t["score"].alias("score"), (-t["table_no"]).alias("first")))
+    return let(F.array_max(ranked), lambda best: F.when(best.isNotNull(), F.try_element_at(facts, -best["first"])))
 
 
-def metadata_tables(cells: DataFrame) -> DataFrame:
-    """The metadata table of each page that has one: page_id, table_no, score."""
-    facts = table_facts(table_rows(cells)).where(F.col("table_no") == F.col("metadata_table"))
-    scores = facts.groupBy("page_key", "table_no").agg(F.max("score").alias("score"))
-    return scores.select("page_key.page_id", "table_no", "score")
+def metadata_tables(tables: DataFrame) -> DataFrame:
+    """The metadata table of each page that has one, from ``page_tables``: page_id, table_no, score."""
+    chosen = F.array_compact(F.array(let(table_facts(F.col("tables")), _metadata_table)))
+    found = tables.select("page_key", F.inline(chosen)).select("page_key", "table_no", "score")
+    return found.dropDuplicates(["page_key"]).select("page_key.page_id", "table_no", "score")
 
 
 def _row_value(cells: Column) -> Column:
@@ -115,42 +117,42 @@ def _fields(entries: Column) -> Column:
     return F.map_from_arrays(labels, values)
 
 
-def parsed_tables(cells: DataFrame) -> DataFrame:
-    """Per page with tables: number of tables, metadata fields, PDF link of the tables."""
-    facts = table_facts(table_rows(cells))
-    entry = F.struct("row_no", "label", _row_value(F.col("cells")).alias("value"))
-    in_record = (
-        (F.col("table_no") == F.col("metadata_table"))
-        & (F.size("cells") >= 2)
-        & (F.col("label") != "")
-        & ~F.btrim(F.lower("label"), F.lit(":")).isin(*fixed.SKIPPED_LABELS)
-    )
-    pdf = _first_pdf(F.col("cells"))
-    searched = F.col("is_files_table") | ~F.col("has_files_table")
-    pages = facts.groupBy("page_key").agg(
-        F.max("table_no").alias("tables_found"),
-        F.array_sort(F.collect_list(F.when(in_record, entry))).alias("rows"),
-        F.min(
-            F.when(searched & pdf.isNotNull(), F.struct("table_no", "row_no", pdf.alias("href")))
-        ).alias("pdf"),
-    )
-    # Stored texts are decoded thrice more than cell texts; what is left to decode is rare.
+def _parsed(tables: Column) -> Column:
+    """Of a page's tables: how many there are, label and value of the record's rows, the PDF link."""
+
+    def told(facts: Column) -> Column:
+        rows = F.filter(
+            F.coalesce(_metadata_table(facts)["rows"], F.slice(F.flatten(F.transform(facts, lambda t: t["rows"])), 1, 0)),
+            lambda r: (F.size(r["cells"]) >= 2)
+            & (r["label"] != "")
+            & ~F.btrim(F.lower(r["label"]), F.lit(":")).isin(*fixed.SKIPPED_LABELS),
+        )
+        has_files_table = F.exists(facts, lambda t: t["is_files_table"])
+        searched = F.filter(facts, lambda t: t["is_files_table"] | ~has_files_table)
+        links = F.flatten(F.transform(searched, lambda t: F.transform(t["rows"], lambda r: _first_pdf(r["cells"]))))
+        return F.struct(
+            F.size(facts).alias("tables_found"),
+            F.transform(rows, lambda r: F.struct(r["label"].alias("label"), _row_value(r["cells"]).alias("value"))).alias("rows"),
+            F.try_element_at(F.filter(links, lambda h: h.isNotNull()), F.lit(1)).alias("pdf"),
+        )
+
+    return let(table_facts(tables), told)
+
+
+def _with_fields(parsed: DataFrame) -> DataFrame:
+    """``fields``: the record's labels and their distinct values, from ``rows``.
+
+    Stored texts are decoded thrice more than cell texts; what is left to decode is rare.
+    """
     n = F.size("rows")
     texts = F.concat(F.transform("rows", lambda e: e["label"]), F.transform("rows", lambda e: e["value"]))
-    decoded = pages.withColumn("coded", texts).withColumn("texts", text.unescape_all(F.col("coded"), times=3))
+    decoded = parsed.withColumn("coded", texts).withColumn("texts", text.unescape_all(F.col("coded"), times=3))
     pairs = F.arrays_zip(F.slice("texts", 1, n).alias("label"), F.slice("texts", n + 1, n).alias("value"))
     entries = F.transform(
         pairs, lambda e: F.struct(text.label(e["label"]).alias("label"), text.squeeze(e["value"]).alias("value"))
     )
-    kept = decoded.withColumn(
-        "entries", F.filter(entries, lambda e: (e["label"] != "") & (e["value"] != ""))
-    )
-    return kept.select(
-        "page_key",
-        "tables_found",
-        _fields(F.col("entries")).alias("fields"),
-        F.col("pdf.href").alias("table_pdf_url"),
-    )
+    kept = F.filter(entries, lambda e: (e["label"] != "") & (e["value"] != ""))
+    return decoded.withColumn("entries", kept).withColumn("fields", _fields(F.col("entries"))).drop("coded", "texts", "rows", "entries")
 
 
 def html_pdf_url(html: Column, url: Column) -> Column:
@@ -160,24 +162,22 @@ def html_pdf_url(html: Column, url: Column) -> Column:
 
 
 def parse_pages(pages: DataFrame) -> DataFrame:
-    """One row per item page: page_id, url, page_title, tables_found, fields, pdf_url."""
-    own = pages.select(
-        page_key().alias("page_key"),
-        "page_id",
-        "url",
-        page_title(F.col("html")).alias("page_title"),
-        html_pdf_url(F.col("html"), F.col("url")).alias("html_pdf_url"),
-    )
-    tables = parsed_tables(table_cells(pages))
+    """One row per item page: page_id, url, page_title, tables_found, fields, pdf_url.
+
+    One scan of the markup and no shuffle: title, tables and links are found in the page's row.
+    """
+    html = F.col("html")
+    tables = page_tables(pages, page_title(html).alias("page_title"), html_pdf_url(html, F.col("url")).alias("html_pdf_url"))
+    # One row each, as a generator's row: what is made once is not made again for each use of it.
+    own = tables.select("page_id", "url", "page_title", "html_pdf_url", F.inline(F.array(_parsed(F.col("tables")))))
     empty = F.create_map().cast("map<string,array<string>>")
-    # One narrow row per page on either side.
-    return own.join(tables, "page_key", "left").select(
+    return _with_fields(own).select(
         "page_id",
         "url",
         "page_title",
         F.coalesce("tables_found", F.lit(0)).alias("tables_found"),
         F.coalesce("fields", empty).alias("fields"),
-        F.coalesce("table_pdf_url", "html_pdf_url").alias("pdf_url"),
+        F.coalesce("pdf", "html_pdf_url").alias("pdf_url"),
     )
 
 

@@ -112,7 +112,7 @@ def test_metadata_table_choice(spark):
     one_row = _table(("Título", "1"))
     files = "<h2>Files in this item</h2>" + _table(("Title", "a"), ("Date", "b"), ("Type", "c"))
     got = records.metadata_tables(
-        markup.table_cells(_pages(spark, by_class + tied, one_row + tied, one_row, files, tied + by_class + tied))
+        markup.page_tables(_pages(spark, by_class + tied, one_row + tied, one_row, files, tied + by_class + tied))
     )
     assert rows(got) == [(0, 1, 22), (1, 2, 22), (4, 1, 22)]
 
@@ -194,6 +194,28 @@ def test_fallback_warning_and_documents(spark):
     assert rows(records.rejected_documents(rootless), "status") == [(500,)]
 
 
-def test_one_shuffle_of_tokens(spark):
-    plan = markup.table_cells(_pages(spark, "<table></table>"))._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1
+def test_state_is_kept_within_the_page(spark):
+    pages = _pages(spark, "<table></table>")
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert plan(markup.table_cells(pages)).count("Exchange hashpartitioning") == 1  # repeated page rows
+    parsed = plan(records.parse_pages(pages))
+    assert all(name not in parsed for name in ("Exchange", "Window", "Join")) and parsed.count("regexp_extract_all(html") == 1
+
+
+def test_what_stays_open_over_table_ends(spark):
+    # A row and a cell left open go on in the next table; a table inside a cell ends the cell.
+    html = """<table><tr><td>a</table><p>b<table><caption>c</caption>d</td><td>e</td></tr><tr><td>f</td></tr></table>
+      <table><tr><td>g<td>h</td>i</tr></tr><td>j</td><tr><td>k</td></table></table><h2>H<h3>L</h3> x</h2>
+      <table summary=s><td>l</td><tr><td>m</td></tr></table>"""
+    assert _cells(spark, html) == [(1, 1, 1, "a b c d"), (1, 1, 2, "e"), (1, 2, 1, "f"), (2, 1, 1, "h"), (3, 1, 1, "m")]
+    got = markup.table_cells(_pages(spark, html, html)).where("text = 'm'").collect()
+    assert [(r["page_id"], r["heading"], r["summary"]) for r in sorted(got)] == [(0, "L", "s"), (1, "L", "s")]
+    repeated = markup.table_cells(_pages(spark, html).union(_pages(spark, html)))
+    assert repeated.count() == 5
+
+
+def test_very_long_tables(spark):
+    html = "<table>" + "".join(f"<tr><td>k{i}</td><td>v <b>{i}</b></td></tr>" for i in range(4000)) + "</table>" + "<table><tr><td>x</td></tr></table>" * 500
+    got = markup.table_cells(_pages(spark, html))
+    assert got.agg(F.max("table_no"), F.max("row_no"), F.count("*")).first()[:] == (501, 4000, 8500)
+    assert got.where("table_no = 1 and row_no = 3999 and cell_no = 2").first()["text"] == "v 3998"
