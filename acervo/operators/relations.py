@@ -74,16 +74,29 @@ def label_counts(values: DataFrame, keys: list[str]) -> DataFrame:
     return values.groupBy(*keys).agg(F.count("*").alias("n_values"))
 
 
-def numbered_blocks(df: DataFrame, position: Column, blocks: int = 128, name: str = "block") -> DataFrame:
+BLOCK_ROWS, MOST_BLOCKS = 1_000_000, 100_000
+
+
+def numbered_blocks(df: DataFrame, position: Column, blocks: int | None = None, name: str = "block") -> DataFrame:
     """``df`` with the number of the block of ``position`` that each row is in.
 
     The edges are quantiles, so a burst is split like any other stretch. They are one value, found by
-    one aggregate over a single column.
+    one aggregate over a single column; a row finds its block by binary search. Without ``blocks`` the
+    rows are counted, and there is a block for every ``BLOCK_ROWS`` of them.
     """
-    shares = F.array(*[F.lit(i / blocks) for i in range(1, blocks)])
+    if blocks is None:
+        blocks = min(MOST_BLOCKS, max(1, df.count() // BLOCK_ROWS))
+    shares = F.array(*[F.lit(i / blocks) for i in range(1, blocks)]) if blocks > 1 else F.array(F.lit(0.5))
     edges = df.select(F.percentile_approx(position, shares, F.lit(10 * blocks)).alias("edges")).scalar()
-    passed = F.size(F.filter(F.coalesce("__edges", F.array()), lambda e: F.coalesce(e <= position, F.lit(False))))
-    return df.withColumn("__edges", edges).withColumn(name, passed).drop("__edges")
+    if blocks == 1:
+        return df.withColumn(name, F.lit(0))
+
+    def halved(place: Column, step: Column) -> Column:
+        further = F.coalesce(F.try_element_at("__edges", place + step) <= position, F.lit(False))
+        return F.when(further, place + step).otherwise(place)
+
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(blocks.bit_length()))])
+    return df.withColumn("__edges", edges).withColumn(name, F.aggregate(steps, F.lit(0), halved)).drop("__edges")
 
 
 def drop_consecutive_repeats(
@@ -93,18 +106,17 @@ def drop_consecutive_repeats(
 
     Rows are sorted per (key, block), not per key, so a key with a third of all rows is spread
     over its blocks. The last value of each block reaches the next block through a table with
-    one row per block. Both sides of that join read the one shuffle the sort needs. NULL is a key
-    and a block like any other: they are compared inside structs.
+    one row per block, made by a partial aggregate: the rows themselves are exchanged once. NULL is a
+    key and a block like any other: they are compared inside structs.
     """
     packed = df.withColumns({"__key": F.struct(*key), "__block": F.struct(*block)})
-    here = Window.partitionBy("__key", "__block").orderBy(*order)
     boxed = F.struct(F.col(value).alias("value"))
-    marked = packed.withColumns({"__previous": F.lag(boxed).over(here), "__next": F.lead(boxed).over(here)})
-    ends = marked.where(F.col("__next").isNull()).select("__key", "__block", boxed.alias("__end"))
+    ends = packed.groupBy("__key", "__block").agg(F.max_by(boxed, F.struct(*order)).alias("__end"))
     before = ends.select(
         "__key", "__block", F.lag("__end").over(Window.partitionBy("__key").orderBy("__block")).alias("__before")
     )
-    joined = marked.drop("__next").join(before, ["__key", "__block"])
+    here = Window.partitionBy("__key", "__block").orderBy(*order)
+    joined = packed.withColumn("__previous", F.lag(boxed).over(here)).join(before, ["__key", "__block"])
     previous = F.coalesce("__previous", "__before")
     repeated = previous.isNotNull() & previous["value"].eqNullSafe(F.col(value))
     return joined.where(~repeated).drop("__previous", "__before", "__key", "__block")

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from acervo import fixed_values as fixed
 from acervo.operators.relations import union_relations
@@ -37,6 +39,7 @@ class Settings:
     period_folder: str = "{}"
     as_of: str | None = None
     empty: frozenset[str] = frozenset()  # relations whose period has no folder; any other must have one
+    merge_labels: bool = False  # keep labels outside the fixed list, and leave unreadable lines out
 
 
 def registry(spark: SparkSession, settings: Settings) -> dict[str, Model]:
@@ -46,7 +49,10 @@ def registry(spark: SparkSession, settings: Settings) -> dict[str, Model]:
     def stage(name: str, folder: str, period: str, schema) -> Callable[[], DataFrame]:
         if name in settings.empty:
             return lambda: spark.createDataFrame([], schema)
-        return lambda: documents.read_json(spark, f"{folder}/{settings.period_folder.format(period)}", schema)
+        path = f"{folder}/{settings.period_folder.format(period)}"
+        if settings.merge_labels:
+            return lambda: documents.read_merged(spark, path, schema)[0]
+        return lambda: documents.read_json(spark, path, schema)
 
     out: dict[str, Model] = {}
     for kind, folder, schema in (
@@ -90,6 +96,21 @@ def registry(spark: SparkSession, settings: Settings) -> dict[str, Model]:
     return out
 
 
+def unreadable_lines(spark: SparkSession, settings: Settings) -> DataFrame:
+    """Lines of all periods that are no JSON object, with the relation they were read for."""
+    found = []
+    for kind, folder, schema in (
+        ("papers_metadata", settings.metadata_path, documents.PAPERS),
+        ("papers_tableofcontent", settings.contents_path, documents.CONTENTS),
+    ):
+        for period in settings.periods:
+            name = documents.period_name(kind, period)
+            if name not in settings.empty:
+                lines = documents.read_merged(spark, f"{folder}/{settings.period_folder.format(period)}", schema)[1]
+                found.append(lines.select(F.lit(name).alias("relation"), "line"))
+    return reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], "relation string, line string")
+
+
 def build(
     spark: SparkSession, settings: Settings, warehouse: str, tags: set[str] | None = None
 ) -> dict[str, DataFrame]:

@@ -24,6 +24,48 @@ def read_json(spark: SparkSession, path: str | list[str], schema: T.StructType)
     return spark.read.schema(schema).option("multiLine", False).json(path)
 
 
+#: Labels that documents may have besides the fixed ones; more than that are no labels but data.
+MOST_LABELS = 10_000
+
+
+def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    return spark.read.text(path).where(F.col("value").rlike(r"\S"))
+
+
+def labels_seen(spark: SparkSession, path: str | list[str]) -> list[str]:
+    """All labels of the documents under a folder, sorted; at most ``MOST_LABELS``.
+
+    Each task gives out a label once; the distinct labels alone are shuffled and collected.
+    """
+    seen = _lines(spark, path).select(F.explode(F.json_object_keys("value")).alias("label")).distinct()
+    found = sorted(r["label"] for r in seen.limit(MOST_LABELS + 1).collect())
+    if len(found) > MOST_LABELS:
+        raise ValueError(f"more than {MOST_LABELS} labels under {path}")
+    return found
+
+
+def read_merged(spark: SparkSession, path: str | list[str], schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """(documents, unreadable lines) of a folder of JSON lines.
+
+    The documents have the columns of ``schema`` and, after them, every further label that some document
+    has, as text. A line that is no JSON object is set aside in the column ``line``. Blank lines are
+    neither. A label that differs from an earlier column in case only gets a number after its name.
+    """
+    known = set(schema.fieldNames())
+    more = [label for label in labels_seen(spark, path) if label not in known]
+    names: list[str] = []
+    for label in [*schema.fieldNames(), *more]:
+        same = sum(n.lower() == label.lower() for n in names)
+        names.append(f"{label} ({same + 1})" if same else label)
+    bad = "__unreadable"
+    fields = T.StructType([*schema.fields, *text_schema(more).fields, T.StructField(bad, T.StringType())])
+    parsed = F.from_json("value", fields, {"columnNameOfCorruptRecord": bad})
+    # A generator's row: the line is parsed once, not once for each column and filter.
+    rows = _lines(spark, path).select("value", F.inline(F.array(parsed))).toDF("__line", *names, bad)
+    fine = F.col(bad).isNull() & F.ltrim("__line").startswith("{")
+    return rows.where(fine).select(*[f"`{n}`" for n in names]), rows.where(~fine).select(F.col("__line").alias("line"))
+
+
 def read_mapped(spark: SparkSession, path: str | list[str], mapping: dict[str, str]) -> DataFrame:
     """External table over JSON: ``mapping`` gives the document key behind each column."""
     raw = read_json(spark, path, text_schema(list(mapping.values())))

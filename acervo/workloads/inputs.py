@@ -18,11 +18,6 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def dealt(df: DataFrame, key: str) -> DataFrame:
-    """Narrow rows dealt out by their key, before something wide is made of each."""
-    return df.repartition(F.col(key))
-
-
 def spark_select(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return df.select(*[F.expr(e).alias(name) for name, e in columns.items()])
 
@@ -133,12 +128,12 @@ LINES_FROM = "lineitem JOIN part ON l_partkey = p_partkey"
 
 
 def papers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark_select(dealt(load(spark, sf_dir, "orders"), "o_orderkey"), PAPERS)
+    return spark_select(load(spark, sf_dir, "orders"), PAPERS)
 
 
 def contents(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
-    return spark_select(dealt(items, "l_orderkey"), CONTENTS)
+    return spark_select(items, CONTENTS)
 
 
 def teachers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,7 +147,7 @@ def teacher_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     wanted = ["l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_returnflag"]
-    items = dealt(load(spark, sf_dir, "lineitem").select(*wanted), "l_orderkey")
+    items = load(spark, sf_dir, "lineitem").select(*wanted)
     parts = load(spark, sf_dir, "part").select("p_partkey", "p_name")
     return spark_select(items.join(parts, F.col("l_partkey") == F.col("p_partkey")), LINES)
 

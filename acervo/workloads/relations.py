@@ -263,7 +263,7 @@ FROM k"""
 
 def _event_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Request envelopes of every shape, by event number."""
-    events = inputs.dealt(inputs.load(spark, sf_dir, "events").select("event_id", "event_type"), "event_id")
+    events = inputs.load(spark, sf_dir, "events").select("event_id", "event_type")
     url = F.concat(F.lit(f"{HOST}/handle/prefix/"), F.col("event_id"))
     direct = F.struct(url.alias("url"))
     kind = F.expr("event_id % 10")
@@ -317,7 +317,7 @@ SELECT event_id, url, 'store' AS bucket, 'papers' AS prefix,
 
 
 def _pdf_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = inputs.dealt(inputs.load(spark, sf_dir, "events").select("event_id", "event_type"), "event_id")
+    events = inputs.load(spark, sf_dir, "events").select("event_id", "event_type")
     number = F.col("event_id").cast("string")
     kind = F.expr("event_id % 5")
     event = (
@@ -348,7 +348,7 @@ SELECT event_id, pdf_url, item_id, 'store' AS bucket, 'PDF' AS prefix, 'PDF/' ||
 
 
 def _contents_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = inputs.dealt(inputs.load(spark, sf_dir, "events").select("event_id", "event_type"), "event_id")
+    events = inputs.load(spark, sf_dir, "events").select("event_id", "event_type")
     number = F.col("event_id").cast("string")
     kind = F.expr("event_id % 6")
     event = (
@@ -389,7 +389,7 @@ SELECT event_id, bucket, key, paper_id, bucket AS output_bucket,
 
 
 def q_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = inputs.dealt(inputs.load(spark, sf_dir, "events").select("event_id", "event_type"), "event_id")
+    events = inputs.load(spark, sf_dir, "events").select("event_id", "event_type")
     kind = F.expr("event_id % 6")
     code = F.when(kind == 2, 404).when(kind == 3, 422).otherwise(200)
     body = F.when(kind == 4, "").when(kind == 5, "not json").when(kind != 1, F.to_json(F.struct("event_id", "event_type")))

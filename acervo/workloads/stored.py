@@ -31,6 +31,39 @@ def q_json_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["q_json_load"] = inputs.PAPERS_SQL
 
 
+def _mixed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of changing labels as lines, and lines that are no documents."""
+    orders = inputs.load(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS _id", "concat('T', o_custkey) AS `Título`",
+        "CASE WHEN o_orderkey % 3 = 0 THEN concat('Selo ', o_custkey) END AS `Selo (novo)`",
+        "CASE WHEN o_orderkey % 5 = 0 THEN array('a', o_orderpriority) END AS `a.b`",
+    )
+    return orders.select(
+        F.expr("CASE _id % 13 WHEN 4 THEN concat('{\"_id\": \"', _id) WHEN 5 THEN concat('[', _id, ']') WHEN 6 THEN ' ' "
+               "ELSE to_json(struct(string(_id) AS _id, `Título`, `Selo (novo)`, `a.b`)) END").alias("value")
+    )
+
+
+def q_json_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every label that some document has, whether listed or not, and the lines that are none."""
+    folder = work_dir(spark, "json-merged")
+    _mixed_lines(spark, sf_dir).write.text(f"{folder}/in")
+    good, bad = documents.read_merged(spark, f"{folder}/in", documents.PAPERS)
+    own = good.select("_id", F.col("Título").alias("titulo"), F.col("`Selo (novo)`").alias("selo"), F.col("`a.b`").alias("ab"), F.lit(len(good.columns)).alias("n_columns"))
+    return own.withColumn("line", F.lit(None).cast("string")).unionByName(bad, allowMissingColumns=True)
+
+
+ORACLES["q_json_merged"] = f"""
+SELECT CAST(o_orderkey AS VARCHAR) AS _id, 'T' || o_custkey AS titulo,
+  CASE WHEN o_orderkey % 3 = 0 THEN 'Selo ' || o_custkey END AS selo,
+  CASE WHEN o_orderkey % 5 = 0 THEN '["a","' || o_orderpriority || '"]' END AS ab,
+  {len(documents.PAPERS.fields) + 2} AS n_columns, NULL AS line
+FROM orders WHERE o_orderkey % 13 NOT IN (4, 5, 6)
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL,
+  CASE o_orderkey % 13 WHEN 4 THEN '{{"_id": "' || o_orderkey ELSE '[' || o_orderkey || ']' END
+FROM orders WHERE o_orderkey % 13 IN (4, 5)"""
+
+
 def q_json_load_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_dir(spark, "json-contents")
     _write_json(inputs.contents(spark, sf_dir), f"{folder}/in")
@@ -151,10 +184,10 @@ def _without_rows(base: str, rows: DataFrame) -> frozenset[str]:
 
 def _build(spark: SparkSession, sf_dir: str, folder: str, tags: set[str] | None = None) -> dict[str, DataFrame]:
     """Papers by period and tables of contents as JSON, then the layers."""
-    orders = inputs.dealt(inputs.load(spark, sf_dir, "orders"), "o_orderkey")
+    orders = inputs.load(spark, sf_dir, "orders")
     dated = inputs.spark_select(orders, {**inputs.PAPERS, "period": _PERIOD})
     dated.write.mode("overwrite").partitionBy("period").json(f"{folder}/papers")
-    items = inputs.dealt(inputs.load(spark, sf_dir, "lineitem"), "l_orderkey")
+    items = inputs.load(spark, sf_dir, "lineitem")
     sections = inputs.spark_select(items, {**inputs.CONTENTS, "period": _SECTION_PERIOD})
     sections.write.mode("overwrite").partitionBy("period").json(f"{folder}/contents")
     settings = layers.Settings(

@@ -142,3 +142,37 @@ def test_quality(spark):
     assert rows(quality.not_null(df.where("d is not null"), "d")) == [("not_null", "d", 0, True)]
     assert rows(quality.unique(df, "id")) == [("unique", "id", 1, False)]
     assert rows(quality.unique(df, "d")) == [("unique", "d", 0, True)]
+
+
+def test_all_tests_of_a_table_in_one_pass(spark):
+    df = spark.createDataFrame([(1, "a", None), (1, None, None), (2, None, "x"), (None, "b", "x")], "i int, s string, t string")
+    tests = [("not_null", "i"), ("unique", "i"), ("not_null", "s"), ("unique", "s"), ("not_null", "t"), ("unique", "t")]
+    results = quality.run_all(df, tests)
+    assert [tuple(r) for r in results.collect()] == [
+        ("not_null", "i", 1, False), ("unique", "i", 1, False), ("not_null", "s", 2, False),
+        ("unique", "s", 0, True), ("not_null", "t", 2, False), ("unique", "t", 1, False),
+    ]
+    assert all(r["passed"] for r in quality.run_all(df.limit(0), tests).collect())
+    plan = quality.run_all(df, tests)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_hot_keys_are_found_by_a_sketch(spark):
+    rows_ = [("hot", i) for i in range(500)] + [("warm", i) for i in range(60)] + [(f"k{i}", i) for i in range(300)] + [(None, 0)] * 900
+    got = joins.hot_keys(spark.createDataFrame(rows_, "k string, i int").repartition(5), "k", 50)
+    assert rows(got) == [("hot", 10), ("warm", 2)]
+    assert "keys=[k" not in got._jdf.queryExecution().executedPlan().toString()
+    assert joins.hot_keys(spark.createDataFrame([], "k string"), "k", 50).count() == 0
+
+
+def test_blocks_follow_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(relations, "BLOCK_ROWS", 100)
+    df = spark.range(1000).select((F.col("id") % 7).alias("k"), F.when(F.col("id") > 0, F.col("id") * F.col("id")).alias("i"), (F.col("id") % 3 % 2).alias("v"))
+    blocked = relations.numbered_blocks(df, F.col("i"))
+    sizes = [r["count"] for r in blocked.groupBy("block").count().collect()]
+    assert len(sizes) == 10 and max(sizes) <= 125
+    edges = blocked.groupBy("block").agg(F.min("i"), F.max("i")).orderBy("block").collect()
+    assert all(a[2] < b[1] for a, b in zip(edges, edges[1:]))
+    kept = relations.drop_consecutive_repeats(blocked, ["k"], ["block"], ["i"], "v")
+    one = relations.drop_consecutive_repeats(df.withColumn("block", F.lit(0)), ["k"], ["block"], ["i"], "v")
+    assert rows(kept, "k", "i", "v") == rows(one, "k", "i", "v")

@@ -215,3 +215,20 @@ def test_lines_to_documents(spark, tmp_path):
     assert rows(rejected) == [("8", 422, "error 1: No enough text")]
     stored_text = documents.contents_table(spark, str(tmp_path / "toc")).collect()
     assert [(r["paper_id"], r["table_of_content"][:28]) for r in stored_text] == [("7", "Sumário\n1. Capitulo numero 1")]
+
+
+def test_labels_outside_the_list_and_lines_that_are_no_documents(spark, tmp_path):
+    lines = [
+        '{"_id": "1", "Novo selo": "x", "a.b": {"c": [1]}}', '{"_id": "2", "autor(ES)": "y", "Autor(es)": ["z"]}', "",
+        '  {"_id": "3"} ', '{"_id": "4"', "[1]", "null", "no json", '{"_id": "5", "Novo selo": null}',
+    ]
+    (tmp_path / "a.json").write_text("\n".join(lines), encoding="utf-8")
+    good, bad = documents.read_merged(spark, str(tmp_path), documents.PAPERS)
+    assert good.columns == [*fixed.PAPER_KEYS, "Novo selo", "a.b", "autor(ES) (2)"]
+    assert rows(good, "_id", "`Novo selo`", "`a.b`", "`Autor(es)`", "`autor(ES) (2)`") == [
+        ("1", "x", '{"c":[1]}', None, None), ("2", None, None, '["z"]', "y"), ("3", None, None, None, None), ("5", None, None, None, None),
+    ]
+    assert rows(bad) == [("[1]",), ("no json",), ("null",), ('{"_id": "4"',)]
+    (tmp_path / "none").mkdir()
+    good, bad = documents.read_merged(spark, str(tmp_path / "none"), documents.CONTENTS)
+    assert good.columns == fixed.CONTENTS_KEYS and good.count() == bad.count() == 0
