@@ -20,13 +20,14 @@ from acervo.llm.common import cut, quiet_threads
 LIMIT = 1024
 OPEN_BINS = 4096
 #: Ids of so many words are kept in a Python worker, none of words longer than LONG_WORD.
-CACHED_WORDS, LONG_WORD = 400_000, 64
+CACHED_WORDS, LONG_WORD = 1_200_000, 64
 #: A space that white space or the end follows: such a text is not cut into words.
-_LOOSE_SPACE = re.compile(r" (?=\s|\Z)")
+_LOOSE_SPACE = r" (?=\s|\Z)"
 
 _words: dict[str, dict[str, bytes]] = {}
 _tokenizers: dict = {}
 _spaced: dict = {}
+_uncut: dict = {}
 
 
 def _tokenizer(path: str):
@@ -34,12 +35,18 @@ def _tokenizer(path: str):
         quiet_threads()
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        _tokenizers[path] = tokenizer
+        _tokenizers[path] = Tokenizer.from_file(path)
     return _tokenizers[path]
 
 
+def _whole(path: str) -> re.Pattern:
+    """What a text holds that is not to be cut into words: a loose space, or the string of a special token."""
+    if path not in _uncut:
+        special = [re.escape(token.content) for token in _tokenizer(path).get_added_tokens_decoder().values()]
+        _uncut[path] = re.compile("|".join([_LOOSE_SPACE, *special]))
+    return _uncut[path]
+
+
 def _starts_word(path: str):
     """For each id whether its token begins with a space."""
     import numpy as np
@@ -64,9 +71,9 @@ def encode_words(texts: list[str], path: str) -> list[bytes]:
     known = _words.setdefault(path, {})
     if len(known) > CACHED_WORDS:
         known.clear()
-    heads, tails, new = [], [], set()
+    heads, tails, new, whole = [], [], set(), _whole(path)
     for text in texts:
-        head, *words = [text] if _LOOSE_SPACE.search(text) else text.split(" ")
+        head, *words = [text] if whole.search(text) else text.split(" ")
         found = list(map(known.get, words))
         if None in found:
             new.update(w for w, ids in zip(words, found) if ids is None)
@@ -169,9 +176,9 @@ def pack(pieces: DataFrame, key: str = "doc_id", limit: int = LIMIT, open_bins:
     and not by chance, into tasks of about ``rows_per_task``, and each task packs its share in an order
     that depends on values only: a task that runs again gives the same rows. A task's number goes into
     the upper bits of its sequence ids. The pieces are stored first, so leave out wide columns that
-    another table has.
+    another table has. Columns named sequence_id and offset are replaced.
     """
-    pieces = cut(pieces)
+    pieces = cut(pieces.drop("sequence_id", "offset"))
     order = F.xxhash64(F.lit(7), F.col(f"`{key}`"), "piece", "ids_crc32")
     parts = max(1, -(-pieces.where(F.col("length") < limit).count() // rows_per_task))
     dealt = pieces.repartition(parts, order).sortWithinPartitions(order, key, "piece", "length")

@@ -62,7 +62,6 @@ def plain_ids(text):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(TOKENIZER)
-    tokenizer.encode_special_tokens = True
     return tokenizer.encode(text or "", add_special_tokens=False).ids + [2]
 
 
@@ -77,7 +76,7 @@ def test_packing(spark):
     rows = [(i, t) for i, t in enumerate(TEXTS)] + [(100 + i, "word " * (i * 37 % 900)) for i in range(300)] + [(None, "x")]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("piece", F.lit("clash"))
     pieces = packing.tokenize(df, TOKENIZER, end_id=2)
-    got = packing.pack(pieces).collect()
+    got = packing.pack(pieces.withColumns({"offset": F.lit("clash"), "sequence_id": F.lit("clash")})).collect()
     by_doc, by_sequence = defaultdict(list), defaultdict(list)
     for r in got:
         by_doc[r["doc_id"]].append(r)
