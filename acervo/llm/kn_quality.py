@@ -288,4 +288,4 @@ def reject_low_quality(df: DataFrame, labels: DataFrame, key: str = "doc_id", te
     """
     judged = score_quality(df, labels, key, text, lang)
     rejected = cut(judged.where(~F.col("kept")).select(F.col(key).alias("rejected")).where("rejected is not null").distinct())
-    return df.join(rejected, df[key] == F.col("rejected"), "left_anti")
+    return df.alias("d").join(rejected.alias("r"), F.col(f"d.`{key}`") == F.col("r.rejected"), "left_anti")

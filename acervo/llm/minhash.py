@@ -119,19 +119,10 @@ def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """``pairs`` (a, b, label_a, label_b) with ``linked``: whether their full sets are similar enough."""
     one = sets.select(F.col("id").alias("b"), F.col("items").alias("items_b"))
     two = sets.select(F.col("id").alias("a"), F.col("items").alias("items_a"))
-    both = pairs.join(one, "b").join(two, "a").select("a", "b", "label_a", "label_b", "items_a", "items_b")
-
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            good = []
-            for x, y in zip(batch.column(4), batch.column(5)):
-                x, y = x.values.to_numpy(), y.values.to_numpy()
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                good.append(100 * shared >= percent * (len(x) + len(y) - shared))
-            names = ["a", "b", "label_a", "label_b", "linked"]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(good, pa.bool_())], names)
-
-    return both.mapInArrow(check, "a long, b long, label_a long, label_b long, linked boolean")
+    both = pairs.join(one, "b").join(two, "a")
+    shared = F.size(F.array_intersect("items_a", "items_b"))
+    linked = 100 * shared >= percent * (F.size("items_a") + F.size("items_b") - shared)
+    return both.select("a", "b", "label_a", "label_b", linked.alias("linked"))
 
 
 def _class_sets(docs: DataFrame, chosen: DataFrame, width: int) -> DataFrame:

@@ -282,3 +282,25 @@ def test_toxicity_without_labels_or_rows(labelled):
     assert len({r["score"] for r in toxicity.classify(df, labels.limit(0)).collect()}) == 1
     assert toxicity.classify(df.limit(0), labels).collect() == []
     assert toxicity.reject_toxic(df, labels.limit(0)).count() == df.count()
+
+
+def test_scores_of_a_network_by_plain_loops():
+    rng = np.random.default_rng(11)
+    words = [f"w{i}" for i in range(50)]
+    texts = ["", " . ", "w1", "w1 w2", *[" ".join(rng.choice(words, n)) for n in (3, 9, 40, 700, 21_000)], "W3, w4;w5"]
+    rows, offsets = toxicity.buckets([t.encode() for t in texts])
+    parts = [rows[a:b] for a, b in zip(offsets, offsets[1:])]
+    net = toxicity.train(parts, np.array([0, 1] * (len(texts) // 2), np.float32))
+    expected = []
+    for part in parts:
+        # As many empty words follow a text as the widest filter has besides the first; an empty text is one empty word.
+        padded = list(part) + [toxicity.EMPTY] * (toxicity.GAP + (not len(part)))
+        top = []
+        for f, b in zip(net.filters, net.biases):
+            starts = range(max(len(part), 1))
+            values = [sum(net.embedding[padded[i + k]].astype(float) @ f[k] for k in range(len(f))) + b for i in starts]
+            top.append(np.max(values, axis=0))
+        z = np.maximum(np.concatenate(top), 0) @ net.weights + net.bias[0]
+        expected.append(1 / (1 + np.exp(-np.clip(z, -30, 30))))
+    assert np.allclose(net.scores([t.encode() for t in texts], step=64), expected, atol=1e-4)
+    assert np.allclose(net.scores([t.encode() for t in texts]), expected, atol=1e-4)
