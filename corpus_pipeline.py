@@ -28,7 +28,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """One document of each group: that with the smallest doc_id. Shingles of five words, similarity 0.8."""
     groups = minhash.near_duplicates(docs, width=5, percent=80)
     gone = cut(groups.where(~F.col("kept")).select(F.col("doc_id").alias("gone")).distinct())
-    return docs.join(gone, F.col("doc_id") == F.col("gone"), "left_anti")
+    return docs.alias("d").join(gone.alias("g"), F.col("d.doc_id") == F.col("g.gone"), "left_anti")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
