@@ -10,10 +10,12 @@ A group of thousands of copies makes neither a large task nor all its pairs:
   several texts is in several classes, which start in one component.
 * A shingle that no other candidate has cannot be shared: from how many others a document has follows
   whom it can be linked with at all, which settles most copies that were edited too much.
-* In a round each band bucket has one leader, later several, and only leaders are compared with the
-  members. Components are merged along the new links. A bucket goes on while its members that have
-  not led lie in several components, with 64 times the leaders. Pairs in one component need no
-  comparison. Every pair of a bucket is thus compared or joined up, whatever the bucket's size.
+* Each band bucket has one leader, and the others are compared with it. Components are merged along the
+  new links. Pairs in one component need no comparison, so only a bucket whose other members still lie
+  in several components goes on.
+* What goes on is settled by differences, see ``_by_differences``: all members of buckets that hang
+  together are a block, a set is stored as its difference to what most of its block have in common, and
+  only pairs whose differences share one of their rarest members are compared.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from acervo.llm import words as W
-from acervo.llm.common import cut, release
+from acervo.llm.common import cut
 from acervo.llm.components import components
 
 PERMUTATIONS = 65
@@ -146,6 +148,73 @@ def _contested(members: DataFrame, percent: int) -> DataFrame:
     return alive.select("key", "id", "n", "m", "label")
 
 
+def _merge(compared: DataFrame) -> DataFrame:
+    """label, new_label: what becomes of the labels that the links of ``compared`` join up."""
+    merged = components(cut(compared.where("linked").select("label_a", "label_b").distinct()), "label_a", "label_b")
+    return cut(merged.select(F.col("id").alias("label"), F.col("label").alias("new_label")))
+
+
+def _by_differences(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (label_a, label_b, linked) that join up whatever members (key, id, label) of one bucket are linked.
+
+    Buckets with common members form a block. D(x) is the difference between the set x and the block's
+    reference, the members that more than half of its sets have. With p for ``percent`` and
+    cost(x) = (100 + p) |D(x)| - (100 - p) |x|, two sets are similar enough exactly where
+    cost(x) + cost(y) <= 2 (100 + p) |D(x) & D(y)|. So, in each block:
+
+    * A set that is linked by costs alone, whatever the differences share, is linked with the set of least
+      cost. Those are ``near``, one component; what follows links the others with them and each other.
+    * |D(x) & D(y)| is at most the number of members of D(x) that another difference has, too. Whoever
+      can't reach anyone's cost by that is settled.
+    * Linked differences share at least the smallest number that any partner's cost asks for, hence one of
+      the rarest members of each (prefix filter). Pairs that do are compared on their full sets.
+    """
+    scale = 100 + percent
+    hubs = members.groupBy("key").agg(F.min("id").alias("hub"))
+    joined = cut(members.join(hubs, "key").select("hub", "id").where("hub != id").distinct())
+    blocks = components(joined, "hub", "id").withColumnRenamed("label", "block")
+    nodes = members.select("id", "label").distinct().join(blocks, "id", "left")
+    nodes = cut(nodes.withColumn("block", F.coalesce("block", "id")).join(sets, "id"))
+
+    total = nodes.groupBy("block").agg(F.count("*").alias("total"))
+    counts = nodes.select("block", F.explode("items").alias("item")).groupBy("block", "item").agg(F.count("*").alias("count"))
+    # At most twice as many as a set of the block has on the average.
+    common = counts.join(total, "block").where("2 * count > total").groupBy("block").agg(F.collect_list("item").alias("common"))
+    diff = F.concat(F.array_except("items", "common"), F.array_except("common", "items"))
+    diffs = nodes.join(common, "block", "left").withColumn("common", F.coalesce("common", F.array().cast("array<long>")))
+    cost = scale * F.size("diff") - (100 - percent) * F.size("items")
+    diffs = diffs.withColumn("diff", diff).select("block", "id", "label", cost.cast("long").alias("cost"), "diff")
+    least = F.min(F.struct("cost", "id", "label")).alias("least")
+    diffs = cut(diffs.join(diffs.groupBy("block").agg(least), "block").withColumn("near", F.col("cost") + F.col("least.cost") <= 0))
+    star = diffs.where("near and label != least.label").select(F.col("label").alias("label_a"), F.col("least.label").alias("label_b"))
+
+    # The members of differences that several have, rarest first.
+    items = diffs.select("block", "id", F.explode("diff").alias("item"))
+    several = cut(items.groupBy("block", "item").agg(F.count("*").alias("count")).where("count > 1"))
+    shared = items.join(several, ["block", "item"]).groupBy("id").agg(F.sort_array(F.collect_list(F.struct("count", "item"))).alias("shared"))
+    reach = (2 * scale * F.size("shared") - F.col("cost")).alias("reach")
+    rest = cut(diffs.join(shared, "id").select("block", "id", "label", "cost", "near", "shared", reach))
+    limits = rest.groupBy("block").agg(F.max("reach").alias("most"), F.min("cost").alias("least"))
+    far = rest.where("not near").join(limits, "block").where("cost <= most and reach >= least").drop("most", "least")
+    limits = far.groupBy("block").agg(F.max("reach").alias("most"), F.min("cost").alias("least"))
+    near = rest.where("near").join(limits, "block").where("cost <= most and reach >= least").drop("most", "least")
+    alive = cut(far.unionByName(near))
+    limits = alive.groupBy("block").agg(F.min("cost").alias("least"))
+    needed = F.greatest(F.ceil((F.col("cost") + F.col("least")) / (2 * scale)), F.lit(1)).cast("int")
+    rarest = F.slice("shared", F.lit(1), F.greatest(F.size("shared") - needed + 1, F.lit(0)))
+    keyed = alive.join(limits, "block").select("block", "id", "label", "cost", "reach", "near", F.explode(rarest).alias("rare"))
+    keyed = cut(keyed.withColumn("item", F.col("rare.item")).drop("rare"))
+    other = keyed.select("block", "item", *[F.col(c).alias(f"other_{c}") for c in ("id", "label", "cost", "reach", "near")])
+    meet = (F.col("label") != F.col("other_label")) & (F.col("cost") <= F.col("other_reach")) & (F.col("other_cost") <= F.col("reach"))
+    once = F.col("other_near") | (F.col("id") < F.col("other_id"))
+    pairs = keyed.where("not near").join(other, ["block", "item"]).where(meet & once)
+    pairs = pairs.select(
+        F.col("id").alias("a"), F.col("other_id").alias("b"), F.col("label").alias("label_a"), F.col("other_label").alias("label_b")
+    )
+    found = _compared(pairs.distinct(), sets, percent).select("label_a", "label_b", "linked")
+    return found.unionByName(star.withColumn("linked", F.lit(True)))
+
+
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """A row per document: ``key``, n_shingles, component_id and kept.
 
@@ -194,12 +263,11 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", widt
     known = members.drop("m").join(single, "id", "left").withColumn("m", F.col("n") - F.coalesce("own", F.lit(0)))
     members = cut(_contested(known.where(100 * F.col("m") >= percent * F.col("n")), percent))
 
-    tested, merges, leaders = [], [start], 1
-    while members.take(1):
+    merges = [start]
+    if members.take(1):
         # Those with the fewest shingles of their own lead: they have the most links.
-        salt = F.pmod(F.xxhash64("id"), F.lit(leaders)).alias("salt")
         rank = F.struct((F.col("n") - F.col("m")).alias("own"), "id", "n", "m", "label")
-        led = cut(members.groupBy("key", salt).agg(F.min(rank).alias("leader")).select("key", "leader.*").drop("own"))
+        led = cut(members.groupBy("key").agg(F.min(rank).alias("leader")).select("key", "leader.*").drop("own"))
         lead = led.select("key", *[F.col(c).alias(f"lead_{c}") for c in ("id", "n", "m", "label")])
         near = _may_link(percent, "n", "m", "lead_n", "lead_m")
         pairs = members.join(lead, "key").where(near & (F.col("label") != F.col("lead_label")))
@@ -208,16 +276,12 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", widt
         pairs = pairs.select(
             F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.col("x.label").alias("label_a"), F.col("y.label").alias("label_b")
         )
-        for earlier in tested:
-            pairs = pairs.join(earlier.select("a", "b"), ["a", "b"], "left_anti")
-        tested.append(cut(_compared(pairs, sets, percent)))
-        merged = components(tested[-1].where("linked"), "label_a", "label_b")
-        merges.append(merged.select(F.col("id").alias("label"), F.col("label").alias("new_label")))
+        merges.append(_merge(_compared(pairs, sets, percent)))
         left = members.join(led.select("key", "id"), ["key", "id"], "left_anti").join(merges[-1], "label", "left")
         left = left.select("key", "id", "n", "m", F.coalesce("new_label", "label").alias("label"))
         rest = cut(_contested(left, percent))
-        release(members, led)
-        members, leaders = rest, 64 * leaders
+        if rest.take(1):
+            merges.append(_merge(_by_differences(rest, sets, percent)))
     # From a class to the smallest id of its component, round by round.
     found = classes.select("digest", F.col("id").alias("component"))
     for merge in merges:
