@@ -29,7 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from acervo.llm import words as W
-from acervo.llm.common import cut
+from acervo.llm.bitmaps import bitmap, in_bitmap
+from acervo.llm.common import cut, release
 from acervo.llm.components import components
 
 PERMUTATIONS = 65
@@ -100,17 +101,6 @@ def sketches(df: DataFrame, width: int, rows: int) -> DataFrame:
     return df.mapInArrow(sketch, "id long, text_hash long, n long, digest binary, bands array<long>")
 
 
-def full_sets(df: DataFrame, width: int) -> DataFrame:
-    """id, text -> id, items: the sorted hashes of the distinct shingles."""
-
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            items = [s.view(np.int64) for s in _sets(batch.column(1).to_pylist(), width)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(items, pa.list_(pa.int64()))], ["id", "items"])
-
-    return df.mapInArrow(make, "id long, items array<long>")
-
-
 def _may_link(percent: int, n: str, m: str, other_n: str, other_m: str):
     """Whether two sets can be similar enough, going by their sizes and by how many members others have too."""
     shared = F.least(m, other_m)
@@ -128,13 +118,29 @@ def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _class_sets(docs: DataFrame, chosen: DataFrame, width: int) -> DataFrame:
-    """id, items: the set of each class of ``chosen`` (class, id, text_hash, repeated), of one row of its text."""
-    texts = docs.join(chosen, ["id", "text_hash"]).select(F.col("class").alias("id"), "text", "repeated")
-    one = texts.where(~F.col("repeated")).select("id", "text")
+    """id, items: the set of each class of ``chosen``, of one row of its text, as sorted hashes of its shingles.
+
+    ``chosen`` (class, id, text_hash, row, repeated) is stored. A bitmap of bounded size lets its rows
+    through, so that of the other texts few or none are shuffled; beyond that size more are, with the same result.
+    """
+    found, bits = bitmap(chosen, "row")
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row = batch.column(2).to_numpy().view(np.uint64)
+            batch = batch.filter(pa.array(in_bitmap(found.value, bits, row)))
+            items = [s.view(np.int64) for s in _sets(batch.column(3).to_pylist(), width)]
+            arrays = [batch.column(0), batch.column(1), pa.array(items, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(arrays, ["id", "text_hash", "items"])
+
+    rows = docs.select("id", "text_hash", F.xxhash64("id", "text_hash").alias("row"), "text")
+    sets = rows.mapInArrow(make, "id long, text_hash long, items array<long>").join(chosen, ["id", "text_hash"])
+    sets = sets.select(F.col("class").alias("id"), "items", "repeated")
+    one = sets.where("not repeated").select("id", "items")
+    # Equal rows are brought together; their partial aggregate keeps one per task.
     if chosen.where("repeated").take(1):
-        # Equal rows are brought together; their partial aggregate keeps one per task.
-        one = one.unionByName(texts.where("repeated").groupBy("id").agg(F.min("text").alias("text")))
-    return full_sets(one, width)
+        one = one.unionByName(sets.where("repeated").groupBy("id").agg(F.first("items").alias("items")))
+    return one
 
 
 def _contested(members: DataFrame, percent: int) -> DataFrame:
@@ -256,12 +262,15 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", widt
     # A set per class, of whichever rows; those rows that repeat are counted.
     chosen = classes.join(members.select(F.col("id").alias("class")).distinct(), "class").select("class", "id", "text_hash")
     repeats = sketched.where("n > 0").groupBy("id", "text_hash").agg((F.count("*") > 1).alias("repeated"))
-    sets = cut(_class_sets(docs, cut(chosen.join(repeats, ["id", "text_hash"])), width))
+    chosen = cut(chosen.join(repeats, ["id", "text_hash"]).withColumn("row", F.xxhash64("id", "text_hash")))
+    sets = cut(_class_sets(docs, chosen, width))
     # A shingle that only one of them has is in no intersection: ``m`` are the others.
     single = sets.select("id", F.explode("items").alias("item")).groupBy("item")
     single = single.agg(F.count("*").alias("n"), F.min("id").alias("id")).where("n = 1").groupBy("id").agg(F.count("*").alias("own"))
     known = members.drop("m").join(single, "id", "left").withColumn("m", F.col("n") - F.coalesce("own", F.lit(0)))
-    members = cut(_contested(known.where(100 * F.col("m") >= percent * F.col("n")), percent))
+    open_members = cut(_contested(known.where(100 * F.col("m") >= percent * F.col("n")), percent))
+    release(members, chosen)
+    members = open_members
 
     merges = [start]
     if members.take(1):

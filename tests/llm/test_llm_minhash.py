@@ -71,6 +71,36 @@ def test_groups_as_by_brute_force(spark, width, percent):
     assert got == expected
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_differences_join_up_what_is_linked(spark, percent):
+    """Two buckets that share members: a family of edited sets whose edits often agree, and one without a common core."""
+    rng = random.Random(percent)
+    base, family = list(range(60)), []
+    for _ in range(70):
+        gone = rng.sample(range(24), rng.choice([0, 3, 7, 11]))
+        family.append((set(base) - set(gone)) | set(rng.sample(range(100, 130), rng.choice([0, 2, 6, 10]))))
+    family = [set(x) for x in {frozenset(x) for x in family}]
+    family += [{1000 * k + i for i in range(40)} - {1000 * k + rng.randrange(40)} for k in range(1, 5) for _ in range(3)]
+    sets = spark.createDataFrame([(i, sorted(x)) for i, x in enumerate(family)], "id long, items array<long>")
+    half = len(family) // 2
+    rows = [(1, i, i) for i in range(half + 9)] + [(2, i, i) for i in range(half, len(family))]
+    members = spark.createDataFrame(rows, "key long, id long, label long")
+    found = minhash._by_differences(members, sets, percent).where("linked").collect()
+    similar = lambda a, b: 100 * len(family[a] & family[b]) >= percent * len(family[a] | family[b])
+
+    def labels(links):
+        root = list(range(len(family)))
+        for a, b in links:
+            x, y = sorted((root[a], root[b]))
+            root = [x if r == y else r for r in root]
+        return root
+
+    expected = [(a, b) for b in range(len(family)) for a in range(b) if similar(a, b)]
+    assert labels([(r["label_a"], r["label_b"]) for r in found]) == labels(expected)
+    assert all(similar(r["label_a"], r["label_b"]) for r in found)
+    assert 5 < len(set(labels(expected))) < len(family) - 5
+
+
 def test_edge_cases(spark):
     schema = "doc_id long, text string"
     assert minhash.near_duplicates(spark.createDataFrame([], schema)).collect() == []
