@@ -11,20 +11,24 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark import TaskContext
 
 from acervo.llm.common import cut, quiet_threads
+from acervo.llm.words import hash_spans
 
 LIMIT = 1024
 OPEN_BINS = 4096
-#: Ids of so many words are kept in a Python worker, none of words longer than LONG_WORD.
-CACHED_WORDS, LONG_WORD = 400_000, 64
+#: Ids of so many words are kept in a Python worker (about 60 bytes each), none of words of more than LONG_WORD bytes.
+CACHED_WORDS, LONG_WORD = 1_000_000, 64
+#: New words in one text for the tokenizer; bytes of texts whose words are looked up together.
+TEXT_WORDS, BLOCK = 1000, 4 << 20
 #: A space that white space or the end follows: such a text is not cut into words.
 _LOOSE_SPACE = r" (?=\s|\Z)"
 
-_words: dict[str, dict[str, bytes]] = {}
+_words: dict[str, "_Known"] = {}
 _tokenizers: dict = {}
 _spaced: dict = {}
 _uncut: dict = {}
@@ -58,39 +62,118 @@ def _starts_word(path: str):
     return _spaced[path]
 
 
-def encode_words(texts: list[str], path: str) -> list[bytes]:
-    """The ids of each text, four bytes per id; a worker gives each distinct word to the tokenizer once.
+class _Known:
+    """Ids of words met lately. They are found by a hash, and the word itself confirms what is found."""
+
+    def __init__(self):
+        import numpy as np
+
+        self.hashes, self.places = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # sorted by hash; rows of words and ids
+        self.words, self.ids = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
+        self.used, self.round = np.zeros(0, np.int64), 0
+
+    def find(self, words: pa.Array, hashes):
+        """The row of each word, -1 for those that are not known."""
+        import numpy as np
+
+        self.round += 1
+        if not len(self.hashes):
+            return np.full(len(words), -1)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        rows = self.places[at]
+        same = self.hashes[at] == hashes
+        same &= pc.equal(self.words.take(pa.array(rows)), words).to_numpy(zero_copy_only=False)
+        self.used[rows[same]] = self.round
+        return np.where(same, rows, -1)
+
+    def add(self, words: pa.Array, hashes, ids: pa.Array) -> None:
+        """Keeps words that were not found, beyond ``CACHED_WORDS`` the half that was met last. Long words are left out."""
+        import numpy as np
+
+        fresh = np.unique(hashes, return_index=True)[1]
+        fresh = fresh[pc.binary_length(words).to_numpy()[fresh] <= LONG_WORD]
+        at = np.searchsorted(self.hashes, hashes[fresh])
+        fresh = fresh[at == np.searchsorted(self.hashes, hashes[fresh], "right")]  # another word may have the hash
+        kept = np.arange(len(self.words))
+        if len(kept) + len(fresh) > CACHED_WORDS:
+            kept = np.argsort(-self.used, kind="stable")[: CACHED_WORDS // 2]
+            fresh = fresh[: CACHED_WORDS - len(kept)]
+            own = np.empty(len(self.words), np.uint64)
+            own[self.places] = self.hashes
+            own = own[kept]
+            self.words, self.ids, self.used = self.words.take(pa.array(kept)), self.ids.take(pa.array(kept)), self.used[kept]
+            self.places = np.argsort(own)
+            self.hashes = own[self.places]
+        hashes = np.concatenate([self.hashes, hashes[fresh]])
+        places = np.concatenate([self.places, len(kept) + np.arange(len(fresh))])
+        order = np.argsort(hashes, kind="stable")  # two sorted runs
+        self.hashes, self.places = hashes[order], places[order]
+        self.words = pa.concat_arrays([self.words, words.take(pa.array(fresh))])
+        self.ids = pa.concat_arrays([self.ids, ids.take(pa.array(fresh))])
+        self.used = np.concatenate([self.used, np.full(len(fresh), self.round)])
+
+
+def _new_ids(words: list[str], path: str) -> pa.Array:
+    """The ids of words that a space stands before, four bytes per id.
+
+    They go to the tokenizer in texts of ``TEXT_WORDS`` words, and its ids are cut where a token begins with a space.
+    """
+    import numpy as np
+
+    texts = [" " + " ".join(words[at : at + TEXT_WORDS]) for at in range(0, len(words), TEXT_WORDS)]
+    found = _tokenizer(path).encode_batch_fast(texts, add_special_tokens=False)
+    ids = np.concatenate([np.array(e.ids, "<u4") for e in found]) if found else np.zeros(0, "<u4")
+    edges = np.append(np.flatnonzero(_starts_word(path)[ids]), len(ids))
+    if len(edges) != len(words) + 1:
+        raise ValueError("each word's first token, and no other, has to begin with a space")
+    return pa.Array.from_buffers(pa.large_binary(), len(words), [None, pa.py_buffer(4 * edges.astype(np.int64)), pa.py_buffer(ids)])
+
+
+def _word_ids(words: pa.Array, path: str) -> pa.Array:
+    """The ids of distinct words; new ones are kept for the next texts."""
+    import numpy as np
+
+    known = _words.setdefault(path, _Known())
+    offsets = np.frombuffer(words.buffers()[1], np.int64, words.offset + len(words) + 1)[words.offset :]
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    hashes = hash_spans(data, offsets[:-1] - offsets[0], offsets[1:] - offsets[0])
+    rows = known.find(words, hashes)
+    new = np.flatnonzero(rows < 0)
+    unknown = words.take(pa.array(new))
+    ids = _new_ids(unknown.to_pylist(), path)
+    rows[new] = len(known.ids) + np.arange(len(new))
+    found = pa.concat_arrays([known.ids, ids]).take(pa.array(rows))
+    known.add(unknown, hashes[new], ids)
+    return found
+
+
+def encode_words(texts: list[str] | pa.Array, path: str) -> list[bytes]:
+    """The ids of each text, four bytes per id; a worker gives a word to the tokenizer once while it keeps it.
 
     A byte-level tokenizer starts a new pre-token at a space that a visible character follows and
-    that no white space precedes, so a text can be cut there without changing an id. New words go
-    to the tokenizer in one text; its ids are cut where a token begins with a space.
+    that no white space precedes, so a text can be cut there without changing an id. The words of all
+    texts are looked up once per distinct word, and their ids are gathered by array operations.
     """
     import numpy as np
 
-    encode = lambda parts: _tokenizer(path).encode_batch_fast(parts, add_special_tokens=False)
-    known = _words.setdefault(path, {})
-    if len(known) > CACHED_WORDS:
-        known.clear()
-    heads, tails, new, whole = [], [], set(), _whole(path)
-    for text in texts:
-        head, *words = [text] if whole.search(text) else text.split(" ")
-        found = list(map(known.get, words))
-        if None in found:
-            new.update(w for w, ids in zip(words, found) if ids is None)
-        heads.append(head)
-        tails.append(words)
-    if new:
-        new = list(new)
-        ids = np.array(encode([" " + " ".join(new)])[0].ids, "<u4")
-        edges = [*(4 * np.flatnonzero(_starts_word(path)[ids])).tolist(), 4 * len(ids)]
-        data = ids.tobytes()
-        known.update(zip(new, (data[a:b] for a, b in zip(edges, edges[1:])), strict=True))
-    heads = [np.array(e.ids, "<u4").tobytes() for e in encode(heads)]
-    out = [head + b"".join(map(known.__getitem__, words)) for head, words in zip(heads, tails)]
-    for word in new:
-        if len(word) > LONG_WORD:
-            del known[word]
-    return out
+    whole = _whole(path)
+    texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
+    uncut = np.fromiter((whole.search(t) is not None for t in texts.to_pylist()), bool, len(texts))
+    lists = pc.split_pattern(texts.filter(pa.array(~uncut)).cast(pa.large_string()), " ")
+    edges = lists.offsets.to_numpy()
+    # The first word of a text has no space before it.
+    first = iter(pc.list_element(lists, 0).to_pylist() if len(lists) else [])
+    heads = [t if u else next(first) for t, u in zip(texts.to_pylist(), uncut.tolist())]
+    heads = [np.array(e.ids, "<u4").tobytes() for e in _tokenizer(path).encode_batch_fast(heads, add_special_tokens=False)]
+    coded = lists.flatten().dictionary_encode()
+    tails = np.delete(coded.indices.to_numpy(), edges[:-1])
+    needed = np.zeros(len(coded.dictionary), bool)
+    needed[tails] = True
+    ids = _word_ids(coded.dictionary.filter(pa.array(needed)), path).take(pa.array((np.cumsum(needed) - 1)[tails]))
+    places = np.frombuffer(ids.buffers()[1], np.int64, len(ids) + 1) if len(ids) else np.zeros(1, np.int64)
+    data, places = memoryview(ids.buffers()[2] or b""), places[edges - np.arange(len(edges))].tolist()
+    parts = zip(places, places[1:])
+    return [head if u else head + data[slice(*next(parts))] for head, u in zip(heads, uncut.tolist())]
 
 
 def tokenize(df: DataFrame, path: str, end_id: int, key: str = "doc_id", text: str = "text", limit: int = LIMIT) -> DataFrame:
@@ -105,12 +188,16 @@ def tokenize(df: DataFrame, path: str, end_id: int, key: str = "doc_id", text: s
     out = f"key {kind}, piece int, start long, length long, ids_crc32 long, ids binary"
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+
         end = end_id.to_bytes(4, "little")
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+            edges = [0, *(np.flatnonzero(np.diff(size // BLOCK)) + 1).tolist(), batch.num_rows]
+            for low, high in zip(edges, edges[1:]):
+                part = batch.slice(low, high - low)
                 columns = [[], [], [], [], [], []]
-                keys, texts = part.column(0), [t or "" for t in part.column(1).to_pylist()]
+                keys, texts = part.column(0), pc.fill_null(part.column(1), "")
                 owner = []
                 for row, ids in enumerate(encode_words(texts, path)):
                     ids += end
