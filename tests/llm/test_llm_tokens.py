@@ -117,3 +117,23 @@ def test_digest_of_the_ids(spark, whole):
     made = bpe.encode_table(df, RANKS, public_tokenizers.PATTERN).select(F.sha2("ids", 256)).first()[0]
     ids = whole.encode_ordinary(text)
     assert made == hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest()
+
+
+def test_words_that_are_dropped_or_share_a_hash_keep_their_ids(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(TOKENIZER)
+    texts = ["w0 " + " ".join(f"w{i * k % 97}x{'y' * (i % 70)}" for i in range(60)) + " end" for k in range(1, 20)] + [""]
+    expected = [np.array(plain.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    same_hashes = lambda data, starts, ends: (ends - starts).astype(np.uint64) % np.uint64(5)
+    for hashed in (packing.hash_spans, same_hashes):
+        monkeypatch.setattr(packing, "CACHED_WORDS", 40)
+        monkeypatch.setattr(packing, "hash_spans", hashed)
+        monkeypatch.setattr(packing, "_words", {})
+        assert [packing.encode_words([t], TOKENIZER)[0] for t in texts] == expected
+        known = packing._words[TOKENIZER]
+        assert 0 < len(known.words) == len(known.ids) == len(known.hashes) <= 40
+        assert packing.encode_words(pa.array(texts), TOKENIZER) == expected
+        assert packing.encode_words([], TOKENIZER) == []
