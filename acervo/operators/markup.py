@@ -1,15 +1,14 @@
 """HTML pages as links, titles and table cells.
 
 Input is ``(page_id, url, html)`` with one row per page, so every array and group below is one page and
-no larger than one input record. Tables are read inside the page's row: a fold over its tags keeps what is
-open, and nothing is shuffled. The links of a container are found from a row per tag, shuffled once by
-``page_key``. The key is made of the page's id, address and markup, so pages without an id, or with
+no larger than one input record. Tables and the links of a container are read inside the page's row: a fold
+over its tags keeps what is open. Links are shuffled once, by ``page_key``, to drop repeated pages. The key is made of the page's id, address and markup, so pages without an id, or with
 the same one, stay apart; a row that is repeated in all three counts as one page.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from acervo import fixed_values as fixed
@@ -64,21 +63,36 @@ def _named(pattern: str) -> Column:
     )
 
 
-def _tokens(pages: DataFrame, tags: list[str]) -> DataFrame:
-    """One row per tag of the given names: page_key, page_id, url, pos, tok, tag, closing.
+def _container_spans(tags: Column) -> Column:
+    """Where wanted containers are open: array of (from, to), from the containers' tags in page order.
 
-    Tokens are named and filtered as an array inside the page's row, so only the wanted ones
-    become rows; other tags and texts are not even cut out.
+    A closing tag closes the last open tag of any container; without one it closes nothing.
     """
-    cut = F.filter(_named(_SKIPPED + "|" + _tag_pattern("|".join(tags))), lambda t: t["tag"].isin(*tags))
-    rows = pages.select(page_key().alias("page_key"), "page_id", "url", F.inline(cut))
-    return rows.withColumn("closing", F.col("tok").startswith("</"))
+    span = "array<struct<from:int,to:int>>"
+    last = F.lit(2**31 - 1)
+    start = F.struct(
+        F.array().cast("array<boolean>").alias("open"), F.lit(0).alias("inside"), F.lit(-1).alias("from"), F.array().cast(span).alias("spans")
+    )
+
+    def state(opened: Column, inside: Column, start: Column, spans: Column) -> Column:
+        return F.struct(opened.alias("open"), inside.cast("int").alias("inside"), start.cast("int").alias("from"), spans.cast(span).alias("spans"))
+
+    def with_span(s: Column, to: Column) -> Column:
+        return F.concat(s["spans"], F.array(F.struct(s["from"].alias("from"), to.cast("int").alias("to"))).cast(span))
 
+    def step(s: Column, t: Column) -> Column:
+        closed = F.coalesce(F.try_element_at(s["open"], F.lit(-1)), F.lit(False))
+        left = F.slice(s["open"], 1, F.greatest(F.size(s["open"]) - 1, F.lit(0)))
+        ends = closed & (s["inside"] == 1)
+        closing = state(left, s["inside"] - closed.cast("int"), s["from"], F.when(ends, with_span(s, t["pos"])).otherwise(s["spans"]))
+        begins = t["target"] & (s["inside"] == 0)
+        opening = state(
+            F.concat(s["open"], F.array(t["target"])), s["inside"] + t["target"].cast("int"),
+            F.when(begins, t["pos"]).otherwise(s["from"]), s["spans"],
+        )
+        return F.when(t["closing"], closing).otherwise(opening)
 
-def _each_once(tokens: DataFrame) -> DataFrame:
-    """Tokens without the copies that a repeated page row brings; shares the sort of the windows."""
-    before = F.lag("pos").over(Window.partitionBy("page_key").orderBy("pos"))
-    return tokens.withColumn("before", before).where(~F.col("before").eqNullSafe(F.col("pos"))).drop("before")
+    return F.aggregate(tags, start, step, lambda s: F.when(s["inside"] > 0, with_span(s, last)).otherwise(s["spans"]))
 
 
 def container_links(
@@ -92,30 +106,35 @@ def container_links(
     (any such element for None). Nested containers belong to the outer one; a self-closed one is none.
     """
     with_container = pages.where(F.lower("html").contains(f"<{container}"))
-    tokens = _tokens(with_container, [container, "a"])
-    is_open = (F.col("tag") == container) & ~F.col("closing")
-    is_close = (F.col("tag") == container) & F.col("closing")
-    wanted = F.lit(True) if summary is None else F.btrim(attribute(F.col("tok"), "summary"), F.lit(" \t\r\n\f")) == summary
-    # Decided and decoded in the page's row: Python does not keep a partitioning.
-    href = F.when((F.col("tag") == "a") & ~F.col("closing"), attribute(F.col("tok"), "href"))
-    tokens = tokens.where(~((F.col("tag") == container) & F.col("tok").endswith("/>")))
-    tokens = tokens.withColumns({"target": is_open & wanted, "coded": href}).withColumn("href", text.unescape(F.col("coded")))
-    tokens = _each_once(tokens.drop("tok", "coded"))
-    in_page = Window.partitionBy("page_key").orderBy("pos")
-    running = in_page.rowsBetween(Window.unboundedPreceding, 0)
-    # Opening and closing tags of one nesting level alternate, so the tag before a closing
-    # tag on its level is the one it closes.
-    on_level = Window.partitionBy("page_key", "level").orderBy("pos")
-    marked = (
-        tokens.withColumn("depth", F.sum(F.when(is_open, 1).when(is_close, -1).otherwise(0)).over(running))
-        .withColumn("level", F.when(is_close, F.col("depth") + 1).when(is_open, F.col("depth")).otherwise(-1))
-        .withColumn("closes_target", is_close & F.coalesce(F.lag("target").over(on_level), F.lit(False)))
-        .withColumn(
-            "inside", F.sum(F.when(F.col("target"), 1).when(F.col("closes_target"), -1).otherwise(0)).over(running)
+    wanted = lambda t: (t["tag"] == "a") | ((t["tag"] == container) & ~t["tok"].endswith("/>"))
+    is_target = lambda t: F.lit(True) if summary is None else F.btrim(attribute(t["tok"], "summary"), F.lit(" \t\r\n\f")) == summary
+
+    def read(t: Column) -> Column:
+        closing = t["tok"].startswith("</")
+        is_container = t["tag"] == container
+        return F.struct(
+            t["pos"].alias("pos"),
+            is_container.alias("is_container"),
+            closing.alias("closing"),
+            (is_container & ~closing & is_target(t)).alias("target"),
+            F.when((t["tag"] == "a") & ~closing, attribute(t["tok"], "href")).alias("coded"),
         )
+
+    tags = F.filter(_named(_SKIPPED + "|" + _tag_pattern(f"{container}|a")), wanted)
+    cut = with_container.select(page_key().alias("page_key"), "page_id", "url", F.transform(tags, read).alias("tags"))
+    spans = _container_spans(F.filter("tags", lambda t: t["is_container"]))
+    inside = lambda t: lambda span: (t["pos"] > span["from"]) & (t["pos"] < span["to"])
+    linked = let(
+        spans,
+        lambda found: F.filter("tags", lambda t: (t["coded"] != "") & F.exists(found, inside(t))),
     )
-    hrefs = marked.where((F.col("inside") > 0) & (F.col("href") != ""))
-    return hrefs.select("page_key", "page_id", "url", "pos", urls.resolve_url(F.col("url"), F.col("href")).alias("link"))
+    # Only a page's links go on, once for all copies of the page.
+    kept = cut.select("page_key", "page_id", "url", linked.alias("linked"))
+    each = kept.dropDuplicates(["page_key"]).withColumn("coded", F.transform("linked", lambda t: t["coded"]))
+    decoded = each.withColumn("decoded", text.unescape_all(F.col("coded")))
+    hrefs = F.zip_with("linked", "decoded", lambda t, href: F.struct(t["pos"].alias("pos"), href.alias("href")))
+    rows = decoded.select("page_key", "page_id", "url", F.inline(F.filter(hrefs, lambda h: h["href"] != "")))
+    return rows.select("page_key", "page_id", "url", "pos", urls.resolve_url(F.col("url"), F.col("href")).alias("link"))
 
 
 def item_links(links: DataFrame, pattern: str = fixed.ITEM_PATH) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from acervo import fixed_values as fixed
 from acervo.operators import markup, records
 from acervo.plans import ingest
+from acervo.session import spread
 from acervo.workloads import inputs
 
 QUERIES, ORACLES = {}, {}
@@ -23,7 +24,7 @@ def q_search_items(spark: SparkSession, sf_dir: str) -> DataFrame:
       '<table><tr><td><A HREF=''/handle/p/', c_custkey + 1, '?x=1&amp;y=2#f''>b</A></td></tr></table><table/>',
       '<a href="/handle/p/3" href="/handle/p/', c_custkey + 2, '">c</a><a href="/about">d</a><a href="/handle/p/', c_custkey,
       '">again</a><!-- <a href="/handle/p/4">e</a> --></td></tr></table><a href="/handle/p/5">after</a>')"""
-    customers = inputs.load(spark, sf_dir, "customer").select("c_custkey")
+    customers = spread(inputs.load(spark, sf_dir, "customer").select("c_custkey"))
     found = ingest.item_requests(
         customers.selectExpr("nullif(c_custkey, 5) AS page_id", f"concat('{HOST}/simple-search?p=', c_custkey) AS url", f"{html} AS html")
     )
@@ -41,7 +42,7 @@ def q_record_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Values of several cells and links; pages without an id, pages that share one, misleading attributes."""
     html = """concat('<table><tr><td class="metadataFieldLabel" title="class=x">Nota</td><td>', c_mktsegment, '</td><td>b <a title="href=/no" href="/l">L',
       c_custkey, '</a></td></tr><tr><td>Autor</td><td>x</td><td><a href="/no" href="/m.pdf?k=', c_custkey, '">x</a></td></tr></table>')"""
-    customers = inputs.load(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    customers = spread(inputs.load(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment"))
     pages = customers.selectExpr("nullif(c_custkey % 50, 0) AS page_id", f"concat('{HOST}/handle/p/', c_custkey) AS url", f"{html} AS html")
     parsed = records.parse_pages(pages)
     return parsed.select("page_id", "url", "tables_found", "pdf_url", records.field("Nota").alias("nota"), records.field("Autor").alias("autor"))
@@ -124,7 +125,8 @@ _HAS_FULL_RECORD = "c_custkey % 8 > 0"
 
 def rendered(spark: SparkSession, sf_dir: str, full: bool = False) -> DataFrame:
     """One item page per customer; every fourth has no table, its full variant mostly has one."""
-    customers, nations = inputs.load(spark, sf_dir, "customer"), inputs.load(spark, sf_dir, "nation")
+    # A page takes a millisecond to read, and the customers' short rows may be a single split.
+    customers, nations = spread(inputs.load(spark, sf_dir, "customer")), inputs.load(spark, sf_dir, "nation")
     joined = customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
     has_record = _HAS_FULL_RECORD if full else _HAS_RECORD
     html = f"""concat('<!DOCTYPE html><html><head><title>Item ', c_name, ' &amp;amp; mais</title><script>var t="<table>";</script></head><body></table>',
