@@ -85,7 +85,8 @@ class Network:
             for text, b, e in zip(range(first, last), begins, ends):
                 if e > b:
                     np.maximum(top[text], values[b:e].max(axis=0), out=top[text])
-        z = np.maximum(top, 0) @ self.weights + self.bias
+        # Row by row: a product of matrices may round a row by its place among the others.
+        z = (np.maximum(top, 0) * self.weights).sum(axis=1) + self.bias
         return 1 / (1 + np.exp(-np.clip(z, -30, 30).astype(np.float64)))
 
 
