@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from acervo.llm.common import cut, partitions
+from acervo.llm.common import at_work, cut, partitions
 
 ORDER = 4
 #: Three of these stand before each text: a control character, one UTF-16 unit.
@@ -99,6 +99,7 @@ def dealt(df: DataFrame, key: str, text: str, lang: str, blocks: int) -> DataFra
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
+        at_work("quality")
         packer = zstandard.ZstdCompressor(level=3)
         held, chars = {}, 0
 

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from acervo.llm import words as W
 from acervo.llm.bitmaps import bitmap, in_bitmap
-from acervo.llm.common import cut, release
+from acervo.llm.common import at_work, cut, release
 from acervo.llm.components import components
 
 PERMUTATIONS = 65
@@ -69,11 +69,11 @@ def bands(signature: np.ndarray, rows: int) -> np.ndarray:
     return total.view(np.int64)
 
 
-def _sets(texts: list[str | None], width: int) -> Iterator[np.ndarray]:
-    data = [(t or "").encode() for t in texts]
-    for start, end in W.groups(data):
-        hashes, at = W.hash_words(data[start:end])
-        for i in range(end - start):
+def _sets(texts: pa.Array, width: int) -> Iterator[np.ndarray]:
+    at_work("minhash")
+    for data in W.pieces(texts):
+        hashes, at = W.hash_words(data)
+        for i in range(len(data)):
             yield W.shingles(hashes[at[i] : at[i + 1]], width)
 
 
@@ -83,7 +83,7 @@ def sketches(df: DataFrame, width: int, rows: int) -> DataFrame:
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, digests, all_bands = [], [], []
-            for items in _sets(batch.column(1).to_pylist(), width):
+            for items in _sets(batch.column(1), width):
                 sizes.append(len(items))
                 digests.append(hashlib.blake2b(items.tobytes(), digest_size=16).digest() if len(items) else None)
                 all_bands.append(bands(min_max(items), rows) if len(items) else None)
@@ -129,7 +129,7 @@ def _class_sets(docs: DataFrame, chosen: DataFrame, width: int) -> DataFrame:
         for batch in batches:
             row = batch.column(2).to_numpy().view(np.uint64)
             batch = batch.filter(pa.array(in_bitmap(found.value, bits, row)))
-            items = [s.view(np.int64) for s in _sets(batch.column(3).to_pylist(), width)]
+            items = [s.view(np.int64) for s in _sets(batch.column(3), width)]
             arrays = [batch.column(0), batch.column(1), pa.array(items, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(arrays, ["id", "text_hash", "items"])
 

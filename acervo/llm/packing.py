@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark import TaskContext
 
-from acervo.llm.common import cut, quiet_threads
+from acervo.llm.common import at_work, cut, quiet_threads
 from acervo.llm.words import hash_spans
 
 LIMIT = 1024
@@ -34,6 +34,11 @@ _spaced: dict = {}
 _uncut: dict = {}
 
 
+def _forget() -> None:
+    for kept in (_words, _tokenizers, _spaced, _uncut):
+        kept.clear()
+
+
 def _tokenizer(path: str):
     if path not in _tokenizers:
         quiet_threads()
@@ -156,6 +161,7 @@ def encode_words(texts: list[str] | pa.Array, path: str) -> list[bytes]:
     """
     import numpy as np
 
+    at_work("packing", _forget)
     whole = _whole(path)
     texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
     uncut = np.fromiter((whole.search(t) is not None for t in texts.to_pylist()), bool, len(texts))

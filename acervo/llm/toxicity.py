@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from acervo.llm import words as W
-from acervo.llm.common import cut
+from acervo.llm.common import at_work, cut, release
 
 BUCKET_BITS = 18
 WIDTHS = (1, 2, 3)
@@ -174,10 +174,11 @@ def learn(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     sample = cut(known.orderBy(F.xxhash64("id"), "id").limit(SAMPLE_ROWS))
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at_work("toxicity")
         for batch in batches:
-            texts, found = [(t or "").encode() for t in batch.column(2).to_pylist()], []
-            for start, end in W.groups(texts):
-                rows, offsets = buckets(texts[start:end])
+            found = []
+            for texts in W.pieces(batch.column(2)):
+                rows, offsets = buckets(texts)
                 found += [rows[a:b].tobytes() if b - a <= most else None for a, b in zip(offsets, offsets[1:])]
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], batch.column(3), pa.array(found, pa.binary())], ["id", "y", "h", "words"])
 
@@ -204,9 +205,9 @@ def score(net: Network, text: Column) -> Column:
 
     @F.arrow_udf("double")
     def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        at_work("toxicity")
         for batch in batches:
-            texts = [(t or "").encode() for t in batch.to_pylist()]
-            found = [net.scores(texts[a:b]) for a, b in W.groups(texts)]
+            found = [net.scores(texts) for texts in W.pieces(batch)]
             yield pa.array(np.concatenate(found) if found else np.zeros(0), pa.float64())
 
     return scored(text.cast("string"))
@@ -245,8 +246,10 @@ def reject_toxic(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: st
     """``df`` without the texts that score above their language's threshold; rows and columns else as they are."""
     columns = [F.col(f"d.`{c}`") for c in df.columns]
     net = learn(df, labels, key, text)
-    narrow = df.select(F.col(f"`{key}`"), F.col(f"`{lang}`"), score(net, F.col(f"`{text}`")).alias("score"))
+    # Stored, because the thresholds read the scores twice.
+    narrow = cut(df.select(F.col(f"`{key}`"), F.col(f"`{lang}`"), score(net, F.col(f"`{text}`")).alias("score")))
     limits = cut(thresholds(narrow, labels, key, lang))
+    release(narrow)
     overall = limits.where("lang is null").select(F.col("threshold").alias("overall"))
     marked = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("d"), score(net, F.col(f"`{text}`")).alias("score"))
     fitting = limits.where("lang is not null").withColumnRenamed("lang", "of_lang")

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 _rng = np.random.Generator(np.random.PCG64(20240229))
 _LETTER = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -84,6 +88,18 @@ def groups(texts: list[bytes], size: int = 1 << 19):
         yield start, len(texts)
 
 
+def pieces(texts: pa.Array, size: int = 1 << 19) -> Iterator[list[bytes]]:
+    """The texts as bytes, null as empty, in lists of about ``size`` bytes in all: never a whole batch at once."""
+    data = texts.cast(pa.large_binary() if pa.types.is_large_string(texts.type) else pa.binary())
+    sizes = pc.fill_null(pc.binary_length(data), 0).to_pylist()
+    start, total = 0, 0
+    for i, n in enumerate(sizes):
+        total += n + 1
+        if total >= size or i + 1 == len(sizes):
+            yield [t or b"" for t in data.slice(start, i + 1 - start).to_pylist()]
+            start, total = i + 1, 0
+
+
 def shingles(words: np.ndarray, width: int) -> np.ndarray:
     """Sorted hashes of the distinct runs of ``width`` words; of fewer words, the one run of all."""
     if not len(words):

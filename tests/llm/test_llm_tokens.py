@@ -137,3 +137,28 @@ def test_words_that_are_dropped_or_share_a_hash_keep_their_ids(monkeypatch):
         assert 0 < len(known.words) == len(known.ids) == len(known.hashes) <= 40
         assert packing.encode_words(pa.array(texts), TOKENIZER) == expected
         assert packing.encode_words([], TOKENIZER) == []
+
+
+def test_a_worker_lets_go_of_the_words_when_another_operator_is_at_work():
+    from acervo.llm import common
+
+    common.at_work("packing", packing._forget)
+    expected = packing.encode_words(["a b c a"], TOKENIZER)
+    common.at_work("packing")
+    assert packing._words and packing._tokenizers
+    common.at_work("toxicity")
+    assert not packing._words and not packing._tokenizers
+    assert packing.encode_words(["a b c a"], TOKENIZER) == expected and packing._words
+
+
+def test_texts_are_taken_from_a_batch_in_pieces_of_bounded_size():
+    import pyarrow as pa
+
+    from acervo.llm import words
+
+    texts = ["é" * n for n in range(50)] + [None, "", "x" * 500, None]
+    for array in (pa.array(texts), pa.array(texts, pa.large_string()), pa.array(["skipped", *texts])[1:]):
+        found = list(words.pieces(array, 200))
+        assert [t for piece in found for t in piece] == [(t or "").encode() for t in texts]
+        assert len(found) > 5 and all(sum(len(t) + 1 for t in piece[:-1]) < 200 for piece in found)
+    assert list(words.pieces(pa.array([], pa.string()))) == []
