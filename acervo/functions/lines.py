@@ -15,7 +15,9 @@ LINE_BREAK = r"[\n\x1c\x1d\x1e\x85\u2028\u2029]"
 
 def _plain_symbols(c: Column) -> Column:
     """NUL and BOM to blanks, ellipsis and middle dot to dots."""
-    return F.replace(F.translate(c, "\x00\ufeff·", "  ."), F.lit("…"), F.lit("..."))
+    # Translating goes letter by letter, so texts without these symbols skip it.
+    odd = c.contains("\x00") | c.contains("\ufeff") | c.contains("·")
+    return F.replace(F.when(odd, F.translate(c, "\x00\ufeff·", "  .")).otherwise(c), F.lit("…"), F.lit("..."))
 
 
 def normalise_page(c: Column) -> Column:

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from acervo import fixed_values as fixed
 
 # Unicode white space, plus the four separator controls Java's class leaves out.
-_SPACES = r"(?U)[\s\x1c-\x1f]+"
+_SPACE = r"\s\x1c-\x1f"
+#: All runs of it but a single blank, which is what each becomes.
+_SPACES = rf"(?U)[{_SPACE}&&[^ ]][{_SPACE}]*| [{_SPACE}]+"
 
 
 def clean_text(c: Column) -> Column:

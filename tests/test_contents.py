@@ -22,6 +22,17 @@ def test_line_rules(value):
     assert value(rules.is_contents_entry, texts) == [True] * 8 + [False, False, True]
 
 
+def test_only_what_changes_is_replaced_and_nothing_else_differs(value):
+    import itertools
+    import re
+
+    parts = ["a", " ", "\t", "\n", "\x1c", "\u00a0", "\u2003", "\x85", "·", "…", "\ufeff", "\x00"]
+    texts = ["".join(t) for n in (1, 2, 3) for t in itertools.product(parts, repeat=n)]
+    white = "[\t-\r \x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
+    plain = [t.replace("\x00", " ").replace("\ufeff", " ").replace("·", ".").replace("…", "...") for t in texts]
+    assert value(rules.normalise_line, texts) == [re.sub(white, " ", t).strip(" ") for t in plain]
+
+
 def test_normalisation(value):
     assert value(rules.normalise_line, [" a\u0000b\t c… d·e ﻿", None]) == ["a b c... d.e", ""]
     assert value(rules.normalise_page, ["\n a \t b\r\n\n  \n c\n"]) == ["a b\nc"]
