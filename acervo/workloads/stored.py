@@ -184,12 +184,12 @@ def _without_rows(base: str, rows: DataFrame) -> frozenset[str]:
 
 def _build(spark: SparkSession, sf_dir: str, folder: str, tags: set[str] | None = None) -> dict[str, DataFrame]:
     """Papers by period and tables of contents as JSON, then the layers."""
-    orders = inputs.load(spark, sf_dir, "orders")
-    dated = inputs.spark_select(orders, {**inputs.PAPERS, "period": _PERIOD})
+    # Compressed files are not split, and each task writes one per period: twice as many tasks as run at once.
+    tasks = 2 * spark.sparkContext.defaultParallelism
+    dated = inputs.papers(spark, sf_dir, period=_PERIOD).coalesce(tasks)
     # Lines of JSON repeat all keys; lz4 takes little time and leaves about a tenth on the disks.
     dated.write.mode("overwrite").option("compression", "lz4").partitionBy("period").json(f"{folder}/papers")
-    items = inputs.load(spark, sf_dir, "lineitem")
-    sections = inputs.spark_select(items, {**inputs.CONTENTS, "period": _SECTION_PERIOD})
+    sections = inputs.contents(spark, sf_dir, period=_SECTION_PERIOD)
     sections.write.mode("overwrite").option("compression", "lz4").partitionBy("period").json(f"{folder}/contents")
     settings = layers.Settings(
         metadata_path=f"{folder}/papers",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from acervo.operators import joins, markup
 from acervo.session import prepare, spread
-from acervo.workloads import pages, stored, warehouse
+from acervo.workloads import inputs, pages, stored, warehouse
 from tables import rows
 
 
@@ -85,3 +85,16 @@ def test_staged_documents_are_compressed(spark, folder, tmp_path):
     for kind in ("papers", "contents"):
         parts = glob.glob(f"{tmp_path}/layers/{kind}/period=*/part-*")
         assert parts and all(p.endswith(".lz4") for p in parts)
+
+
+def test_papers_of_one_split_are_dealt_out(spark, folder):
+    papers = inputs.papers(spark, folder)
+    assert len(_per_task(papers)) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert len(rows(papers, "_id")) == 300
+
+
+def test_staged_json_is_written_by_several_tasks_without_a_sort(spark, folder, tmp_path):
+    stored._build(spark, folder, f"{tmp_path}/layers", {"stage"})
+    files = glob.glob(f"{tmp_path}/layers/papers/*/*.json.lz4")
+    assert len(files) >= spark.sparkContext.defaultParallelism // 2  # files of lz4 are not split by their readers
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "32"
