@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from acervo.llm import words as W
 from acervo.llm.bitmaps import bitmap, in_bitmap
-from acervo.llm.common import cut, release
+from acervo.llm.common import at_work, cut, release, tidy
 
 LONGEST, LEAST, TOP, NO_LANG = 5, 100, 2000, "und"
 #: Bytes of text whose pairs and suffixes a task counts before it gives them out.
@@ -113,7 +113,9 @@ def gram_counts(texts: DataFrame) -> DataFrame:
     A gram has a row for each block that it is in.
     """
 
+    @tidy
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at_work("collocations")
         names: dict[str, int] = {}
         for block in _blocks(batches, names):
             hashes, langs, followed = block.joined()
@@ -143,7 +145,9 @@ def suffixes(texts: DataFrame, found, bits: int, longest: int = LONGEST) -> Data
     A task counts up to ``KEPT`` suffixes and gives them out when there are more, or at its end.
     """
 
+    @tidy
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at_work("collocations")
         known, names = found.value, {}
         sofar = pa.table({"key": pa.array([], pa.string()), "n": pa.array([], pa.int64())})
         for block in _blocks(batches, names):
@@ -249,7 +253,9 @@ def prefix_counts(ranges: DataFrame, least: int, longest: int) -> DataFrame:
     Complete counts from ``least`` on, and for prefixes of the first and the last suffix their part.
     """
 
+    @tidy
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at_work("collocations")
         batches = [b for b in batches if b.num_rows]
         if not batches:
             return

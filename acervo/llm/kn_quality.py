@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from acervo.llm.common import at_work, cut, partitions
+from acervo.llm.common import at_work, cut, give_back, partitions, tidy
 
 ORDER = 4
 #: Three of these stand before each text: a control character, one UTF-16 unit.
@@ -96,6 +96,7 @@ def dealt(df: DataFrame, key: str, text: str, lang: str, blocks: int) -> DataFra
         F.col(f"`{text}`").cast("string").alias("text"),
     )
 
+    @tidy
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
@@ -138,6 +139,13 @@ def block_grams(texts: DataFrame, trusted: DataFrame) -> DataFrame:
     """
 
     def count(docs: pd.DataFrame, good: pd.DataFrame) -> pd.DataFrame:
+        at_work("quality")
+        try:
+            return counted(docs, good)
+        finally:
+            give_back()
+
+    def counted(docs: pd.DataFrame, good: pd.DataFrame) -> pd.DataFrame:
         if not len(docs):
             return pd.DataFrame({"block": [], "gram": [], "n": []}).astype({"block": "int32", "gram": "int64", "n": "int64"})
         ids, parts = np.unique(good["id"].to_numpy(np.int64)), []
@@ -212,6 +220,13 @@ def block_scores(texts: DataFrame, answers: DataFrame) -> DataFrame:
     """id, lang, n_grams, perplexity of every text; ``answers``: block, gram, logp."""
 
     def score(docs: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        at_work("quality")
+        try:
+            return scored(docs, known)
+        finally:
+            give_back()
+
+    def scored(docs: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         known = known.sort_values("gram")
         names, values = known["gram"].to_numpy(np.int64), known["logp"].to_numpy(np.float64)
         out = []

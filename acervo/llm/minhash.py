@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from acervo.llm import words as W
 from acervo.llm.bitmaps import bitmap, in_bitmap
-from acervo.llm.common import at_work, cut, release
+from acervo.llm.common import at_work, cut, release, tidy
 from acervo.llm.components import components
 
 PERMUTATIONS = 65
@@ -80,6 +80,7 @@ def _sets(texts: pa.Array, width: int) -> Iterator[np.ndarray]:
 def sketches(df: DataFrame, width: int, rows: int) -> DataFrame:
     """id, text, text_hash -> id, text_hash, n (set size), digest (null for an empty set) and the bands."""
 
+    @tidy
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, digests, all_bands = [], [], []
@@ -125,6 +126,7 @@ def _class_sets(docs: DataFrame, chosen: DataFrame, width: int) -> DataFrame:
     """
     found, bits = bitmap(chosen, "row")
 
+    @tidy
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             row = batch.column(2).to_numpy().view(np.uint64)

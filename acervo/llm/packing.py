@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark import TaskContext
 
-from acervo.llm.common import at_work, cut, quiet_threads
+from acervo.llm.common import at_work, cut, quiet_threads, tidy
 from acervo.llm.words import hash_spans
 
 LIMIT = 1024
@@ -193,6 +193,7 @@ def tokenize(df: DataFrame, path: str, end_id: int, key: str = "doc_id", text: s
     kind = source.schema["key"].dataType.simpleString()
     out = f"key {kind}, piece int, start long, length long, ids_crc32 long, ids binary"
 
+    @tidy
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
@@ -278,6 +279,7 @@ def pack(pieces: DataFrame, key: str = "doc_id", limit: int = LIMIT, open_bins:
     schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in pieces.schema)}, sequence_id long, offset long"
     at = pieces.columns.index("length")
 
+    @tidy
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bins = Bins(limit, open_bins, TaskContext.get().partitionId() << 40)
         for batch in batches:

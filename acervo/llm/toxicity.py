@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from acervo.llm import words as W
-from acervo.llm.common import at_work, cut, release
+from acervo.llm.common import at_work, cut, release, tidy
 
 BUCKET_BITS = 18
 WIDTHS = (1, 2, 3)
@@ -173,6 +173,7 @@ def learn(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     # At most SAMPLE_ROWS narrow rows, whatever the table's size.
     sample = cut(known.orderBy(F.xxhash64("id"), "id").limit(SAMPLE_ROWS))
 
+    @tidy
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at_work("toxicity")
         for batch in batches:
@@ -204,6 +205,7 @@ def score(net: Network, text: Column) -> Column:
     """The network's score, 0 to 1, of every whole text; null is scored as the empty text."""
 
     @F.arrow_udf("double")
+    @tidy
     def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         at_work("toxicity")
         for batch in batches:

@@ -151,6 +151,49 @@ def test_a_worker_lets_go_of_the_words_when_another_operator_is_at_work():
     assert packing.encode_words(["a b c a"], TOKENIZER) == expected and packing._words
 
 
+def test_a_task_gives_its_memory_back(spark):
+    import re
+
+    from pyspark.sql.functions import col
+
+    from acervo.llm import common
+
+    def held() -> int:
+        with open("/proc/self/smaps_rollup") as f:
+            return sum(map(int, re.findall(r"\nPss_Anon:\s+(\d+)", f.read()))) // 1024
+
+    def use(batches):
+        for batch in batches:
+            kept = [bytes(n) for n in range(4000, 24_000)] + [batch]  # 280 MB of many small pieces
+            yield pa.RecordBatch.from_arrays([pa.array([held()], pa.int64()), pa.array([len(kept)], pa.int64())], ["held", "n"])
+
+    def look(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([held()], pa.int64()), pa.array([0], pa.int64())], ["held", "n"])
+
+    import pyarrow as pa
+
+    one = spark.range(1).coalesce(1)
+    full = one.mapInArrow(common.tidy(use), "held long, n long").first()["held"]
+    idle = one.mapInArrow(look, "held long, n long").where(col("n") == 0).first()["held"]
+    assert full > 250 and idle < full - 200
+
+
+def test_batches_of_whole_texts_are_bounded_by_bytes(spark, tmp_path):
+    import pyarrow as pa
+
+    from acervo.llm import common
+
+    spark.range(6000).selectExpr("id AS doc_id", "repeat('word ', 400) AS text").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes], pa.int64()), pa.array([batch.num_rows], pa.int64())], ["bytes", "n"])
+
+    got = common.table(spark, str(tmp_path), "documents").mapInArrow(sizes, "bytes long, n long").collect()
+    assert sum(r["n"] for r in got) == 6000 and max(r["bytes"] for r in got) < 5 << 20
+
+
 def test_texts_are_taken_from_a_batch_in_pieces_of_bounded_size():
     import pyarrow as pa
 
