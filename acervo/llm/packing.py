@@ -22,9 +22,11 @@ from acervo.llm.words import hash_spans
 LIMIT = 1024
 OPEN_BINS = 4096
 #: Ids of so many words are kept in a Python worker (about 60 bytes each), none of words of more than LONG_WORD bytes.
-CACHED_WORDS, LONG_WORD = 1_000_000, 64
+CACHED_WORDS, LONG_WORD = 250_000, 64
 #: New words in one text for the tokenizer; bytes of texts whose words are looked up together.
-TEXT_WORDS, BLOCK = 1000, 4 << 20
+TEXT_WORDS, BLOCK = 1000, 2 << 20
+#: Texts that the tokenizer encodes at once: what it says of a token takes far more room than the id.
+TEXTS = 16
 #: A space that white space or the end follows: such a text is not cut into words.
 _LOOSE_SPACE = r" (?=\s|\Z)"
 
@@ -56,6 +58,15 @@ def _whole(path: str) -> re.Pattern:
     return _uncut[path]
 
 
+def _encoded(texts: list[str], path: str) -> Iterator:
+    """The ids of each text."""
+    import numpy as np
+
+    for at in range(0, len(texts), TEXTS):
+        for found in _tokenizer(path).encode_batch_fast(texts[at : at + TEXTS], add_special_tokens=False):
+            yield np.array(found.ids, "<u4")
+
+
 def _starts_word(path: str):
     """For each id whether its token begins with a space."""
     import numpy as np
@@ -126,8 +137,7 @@ def _new_ids(words: list[str], path: str) -> pa.Array:
     import numpy as np
 
     texts = [" " + " ".join(words[at : at + TEXT_WORDS]) for at in range(0, len(words), TEXT_WORDS)]
-    found = _tokenizer(path).encode_batch_fast(texts, add_special_tokens=False)
-    ids = np.concatenate([np.array(e.ids, "<u4") for e in found]) if found else np.zeros(0, "<u4")
+    ids = np.concatenate([np.zeros(0, "<u4"), *_encoded(texts, path)])
     edges = np.append(np.flatnonzero(_starts_word(path)[ids]), len(ids))
     if len(edges) != len(words) + 1:
         raise ValueError("each word's first token, and no other, has to begin with a space")
@@ -170,7 +180,7 @@ def encode_words(texts: list[str] | pa.Array, path: str) -> list[bytes]:
     # The first word of a text has no space before it.
     first = iter(pc.list_element(lists, 0).to_pylist() if len(lists) else [])
     heads = [t if u else next(first) for t, u in zip(texts.to_pylist(), uncut.tolist())]
-    heads = [np.array(e.ids, "<u4").tobytes() for e in _tokenizer(path).encode_batch_fast(heads, add_special_tokens=False)]
+    heads = [ids.tobytes() for ids in _encoded(heads, path)]
     coded = lists.flatten().dictionary_encode()
     tails = np.delete(coded.indices.to_numpy(), edges[:-1])
     needed = np.zeros(len(coded.dictionary), bool)
