@@ -51,8 +51,9 @@ def latest_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     picks the winners, and never aggregated.
     """
     hashed = df.withColumn("__row", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
-    place = F.struct(*[F.col(f"`{c}`") for c in order], "__row")
-    # Structs, because NULL keys and order values must meet their like.
+    # Structs, because NULL keys and order values must meet their like. A hash alone is never NULL, and a number is
+    # aggregated without a sort of the rows.
+    place = F.struct(*[F.col(f"`{c}`") for c in order], "__row") if order else F.col("__row")
     winners = hashed.groupBy(F.struct(F.col(f"`{key}`")).alias("__key")).agg(F.max(place).alias("__place"))
     placed = hashed.withColumns({"__key": F.struct(F.col(f"`{key}`")), "__place": place})
     won = placed.join(winners, ["__key", "__place"])

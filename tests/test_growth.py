@@ -7,7 +7,7 @@ import glob
 import pytest
 from pyspark.sql import functions as F
 
-from acervo.operators import joins, markup
+from acervo.operators import joins, markup, relations
 from acervo.session import prepare, spread
 from acervo.workloads import inputs, pages, stored, warehouse
 from tables import rows
@@ -79,6 +79,22 @@ def test_partitions_of_joins_stay_small(spark):
     assert size("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes") <= 32 << 20
 
 
+def test_a_session_of_few_partitions_gets_enough_for_large_inputs(spark):
+    prepare(spark)
+    assert int(spark.conf.get("spark.sql.shuffle.partitions")) < 200
+    summed = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    assert ", 200)" in summed._jdf.queryExecution().executedPlan().toString()
+    assert sorted(rows(summed)) == [(k, 143 if k < 6 else 142) for k in range(7)]
+
+
+def test_the_last_of_a_key_without_an_order_is_found_without_a_sort_of_all_rows(spark):
+    twice = spark.sql("SELECT * FROM VALUES ('a', 1), ('a', 1), ('a', 2), (NULL, 3), (NULL, 3), ('b', NULL) AS t(k, v)")
+    last = relations.latest_per_key(twice, "k", [])
+    assert sorted(map(str, (r["k"] for r in last.collect()))) == ["None", "a", "b"]
+    assert rows(relations.latest_per_key(twice, "k", ["v"]).where("k = 'a'")) == [("a", 2)]
+    assert "SortAggregate" not in last._jdf.queryExecution().executedPlan().toString()
+
+
 def test_staged_documents_are_compressed(spark, folder, tmp_path):
     built = stored._build(spark, folder, f"{tmp_path}/layers", {"silver"})
     assert built["silver_papers"].count() == 300
