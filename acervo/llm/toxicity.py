@@ -253,7 +253,9 @@ def reject_toxic(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: st
     limits = cut(thresholds(narrow, labels, key, lang))
     release(narrow)
     overall = limits.where("lang is null").select(F.col("threshold").alias("overall"))
-    marked = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("d"), score(net, F.col(f"`{text}`")).alias("score"))
+    # Never null, and Spark has to know it: a filter against nulls would score each row a second time, in a second worker.
+    own = F.coalesce(score(net, F.col(f"`{text}`")), F.lit(0.0))
+    marked = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("d"), own.alias("score"))
     fitting = limits.where("lang is not null").withColumnRenamed("lang", "of_lang")
     default = overall.first()["overall"]
     joined = marked.join(F.broadcast(fitting), F.col(f"d.`{lang}`") == F.col("of_lang"), "left")

@@ -240,6 +240,12 @@ def test_rejecting_toxic_texts(labelled):
     assert {2000, 2001} <= ids and 2002 not in ids
 
 
+def test_rejecting_toxic_texts_scores_each_row_once(labelled):
+    kept = toxicity.reject_toxic(*labelled)
+    # A second node is a second run of the network over all texts, and a second Python worker for each task.
+    assert kept._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+
+
 def sampled(monkeypatch, df, labels):
     seen = {}
     monkeypatch.setattr(toxicity, "train", lambda rows, y: seen.update(rows=rows, y=y))
