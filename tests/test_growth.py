@@ -114,3 +114,21 @@ def test_staged_json_is_written_by_several_tasks_without_a_sort(spark, folder, t
     files = glob.glob(f"{tmp_path}/layers/papers/*/*.json.lz4")
     assert len(files) >= spark.sparkContext.defaultParallelism // 2  # files of lz4 are not split by their readers
     assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "32"
+
+
+def test_a_left_row_meets_the_right_rows_of_its_key_in_packs(spark, folder, monkeypatch):
+    monkeypatch.setattr(joins, "PACK_ROWS", 8)
+    left = spark.createDataFrame([(0.0, 1), (-0.0, 2), (5.0, 3), (7.0, 4), (None, 5), (None, 5)], "k double, v int")
+    copies = [(-0.0, "same")] * 60 + [(-0.0, f"r{i}") for i in range(41)] + [(5.0, None), (None, "x"), (6.0, "o")]
+    right = spark.createDataFrame(copies, "rk double, v string").repartition(3)
+    plain = left.join(right, F.col("k") == F.col("rk"), "left").toDF("k", "n", "rk", "v")
+    for hot_rows in (2, 50, joins.HOT_ROWS):
+        got = joins.left_join(left, right, "k", "rk", hot_rows=hot_rows, pack=True)
+        assert got.columns == ["k", "v", "rk", "v"]
+        assert rows(got.toDF("k", "n", "rk", "v")) == rows(plain)
+    packs = joins.packed(right.withColumn("s", F.lit(0)), "rk", "s")
+    assert rows(packs.select(F.size("__rows"))) == [(1,), (1,), (5,)] + [(8,)] * 12
+    monkeypatch.setattr(joins, "PACK_ROWS", 256)
+    joined = warehouse.q_left_join_hot(spark, folder)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("inline(__rows") < plan.index("Join")
