@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from acervo import fixed_values as fixed
 from acervo.functions import urls
+from acervo.operators.joins import HOT_ROWS, hot_keys
 
 
 def _as_text(df: DataFrame, name: str) -> Column:
@@ -43,23 +44,35 @@ def union_relations(relations: dict[str, DataFrame], source_column: str = "__tab
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), branches)
 
 
-def latest_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
+def _without_hot_losers(df: DataFrame, key: str, place: Column, hot_rows: int) -> DataFrame:
+    """``df`` without the rows that are not the last of a hot or NULL key, whose rows would all meet in one task.
+
+    Their last places, ``NAMED`` and one at most, are found by a partial aggregate and broadcast.
+    """
+    hot, here = hot_keys(df, key, hot_rows), F.col(f"`{key}`")
+    many = df.join(F.broadcast(hot), here == F.col("__hot_key"), "left_semi").union(df.where(here.isNull()))
+    best = many.select(here.alias("__key"), place.alias("__place")).groupBy("__key").agg(F.max("__place").alias("__best"))
+    met = df.join(F.broadcast(best), here.eqNullSafe(F.col("__key")), "left")
+    return met.where(F.col("__best").isNull() | (F.col("__best") == place)).drop("__key", "__best")
+
+
+def latest_per_key(df: DataFrame, key: str, order: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """One row per key, the last by ``order``: a document written again replaces the earlier one.
 
     Of rows equal in ``order`` a hash of the row decides, so a task run again picks the same row.
-    The winner is found on key, order and hash alone; whole rows are shuffled once, by the join that
-    picks the winners, and never aggregated.
+    Whole rows are shuffled once, by the key, and sorted there; a join on the key then moves none again.
+    Of a key with more than ``hot_rows`` rows only its last ones are shuffled. Where key and order are the
+    whole row, each task first keeps its last row of a key, by the limit that Catalyst puts below the shuffle.
     """
-    hashed = df.withColumn("__row", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
-    # Structs, because NULL keys and order values must meet their like. A hash alone is never NULL, and a number is
-    # aggregated without a sort of the rows.
-    place = F.struct(*[F.col(f"`{c}`") for c in order], "__row") if order else F.col("__row")
-    winners = hashed.groupBy(F.struct(F.col(f"`{key}`")).alias("__key")).agg(F.max(place).alias("__place"))
-    placed = hashed.withColumns({"__key": F.struct(F.col(f"`{key}`")), "__place": place})
-    won = placed.join(winners, ["__key", "__place"])
-    # Rows that are equal throughout have all won.
-    first = F.row_number().over(Window.partitionBy("__key", "__place").orderBy("__place"))
-    return won.withColumn("__n", first).where("__n = 1").select(*[F.col(f"`{c}`") for c in df.columns])
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    by = [F.col(f"`{c}`") for c in order]
+    if not order or set(df.columns) - {key, *order}:
+        by.append(F.xxhash64(*columns))
+        # A number alone is aggregated without a sort of the rows.
+        place = F.struct(*by) if order else by[0]
+        df = _without_hot_losers(df, key, place, hot_rows).repartition(F.col(f"`{key}`"))
+    last = F.row_number().over(Window.partitionBy(F.col(f"`{key}`")).orderBy(*[c.desc_nulls_last() for c in by]))
+    return df.withColumn("__n", last).where("__n = 1").select(*columns)
 
 
 def distinct_values(df: DataFrame, keys: list[str], value: str, position: str) -> DataFrame:

@@ -55,7 +55,8 @@ def silver_papers(
         text.null_flag(F.col("tableOfContent")).alias("__has"),
         text.clean_text(F.col("tableOfContent")).alias("silver_papers_table_of_content"),
     )
-    joined = left_join(own, sections, "silver_papers_id", "paper_id")
+    # One table of contents per paper leaves no hot key, and both sides are dealt out by the paper already.
+    joined = left_join(own, sections, "silver_papers_id", "paper_id", **({"hot_rows": None} if dedupe else {}))
     has_contents = F.coalesce("__has", F.lit(0)).alias("silver_papers_has_table_of_content")
     return joined.select(
         "silver_papers_id",

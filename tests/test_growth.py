@@ -132,3 +132,39 @@ def test_a_left_row_meets_the_right_rows_of_its_key_in_packs(spark, folder, monk
     joined = warehouse.q_left_join_hot(spark, folder)
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert plan.index("inline(__rows") < plan.index("Join")
+
+
+def test_papers_kept_once_are_shuffled_once(spark, folder):
+    silver = warehouse.q_silver_options(spark, folder)
+    assert silver.count() == 300 and silver.select("silver_papers_id").distinct().count() == 300
+    plan = silver._jdf.queryExecution().executedPlan().toString().splitlines()
+    by_paper = [line for line in plan if "Exchange hashpartitioning" in line and "(__key" not in line]
+    assert len(by_paper) == 2  # the papers, and the tables of contents
+    assert not any("salt" in line for line in by_paper)
+
+
+@pytest.mark.parametrize("hot_rows", [3, 1000])
+@pytest.mark.parametrize("order", [[], ["run"], ["run", "v"]])
+def test_only_the_last_rows_of_a_hot_key_are_shuffled(spark, hot_rows, order):
+    data = [("hot", i % 9, f"v{i % 7}", i % 3) for i in range(120)] + [(None, i % 4, "n", None) for i in range(40)]
+    data += [("a", 1, "x", 1), ("a", 1, "x", 1), ("a", None, "y", 2), ("b", None, None, 1)]
+    df = spark.createDataFrame(data, "k string, run int, v string, more int").repartition(3)
+    got = rows(relations.latest_per_key(df, "k", order, hot_rows))
+    assert [r[0] for r in got] == ["a", "b", "hot", None] and set(got) <= set(data)
+    if order:
+        assert {r[0]: r[1] for r in got} == {"hot": 8, None: 3, "a": 1, "b": None}
+    if len(order) == 2:
+        assert {r[0]: r[2] for r in got} == {"hot": "v6", None: "n", "a": "x", "b": None}
+    place = F.struct("run", "v")
+    left = relations._without_hot_losers(df, "k", place, hot_rows)
+    kept = {r["k"]: r["count"] for r in left.groupBy("k").count().collect()}
+    ends = {"hot": sum(r[:3] == ("hot", 8, "v6") for r in data), None: 10}
+    assert kept == {"a": 3, "b": 1, None: 10, "hot": ends["hot"] if hot_rows == 3 else 120}
+
+
+def test_rows_that_key_and_order_make_up_are_limited_before_the_shuffle(spark):
+    pairs = spark.sql("SELECT id % 5 AS k, id AS v FROM range(0, 500, 1, 4)")
+    last = relations.latest_per_key(pairs, "k", ["v"])
+    assert rows(last) == [(k, 495 + k) for k in range(5)]
+    plan = last._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Exchange") < plan.index("WindowGroupLimit", plan.index("Exchange"))
